@@ -25,3 +25,120 @@ SELECT *,
   points_per_game * 10 + goal_differential AS performance_rating,
   CAST(ROW_NUMBER() OVER (ORDER BY points DESC, goal_differential DESC, team_id) AS BIGINT) AS overall_rank
 FROM perf"""
+
+ORACLE["competition_overview"] = W("t2_standings") + """
+SELECT count(DISTINCT team_id) AS total_teams, count(DISTINCT group_id) AS total_groups,
+  CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT) AS total_games_played,
+  CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) AS total_goals_scored,
+  avg(CAST(goalsFor AS INT)) AS avg_goals_per_team,
+  max(CAST(points AS INT)) AS max_points, min(CAST(points AS INT)) AS min_points,
+  CASE WHEN sum(CAST(gamesPlayed AS INT)) > 0
+       THEN CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) / CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT)
+       ELSE 0 END AS goals_per_game,
+  'UEFA Champions League' AS competition_name, '2024-25' AS season
+FROM t2_standings"""
+
+ORACLE["group_analysis"] = W("t2_standings") + """,
+g AS (
+  SELECT group_id, group_name, count(*) AS teams_in_group,
+    CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT) AS total_games_played,
+    CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) AS total_goals_scored,
+    avg(CAST(points AS INT)) AS avg_points_per_team,
+    max(CAST(points AS INT)) AS group_leader_points, min(CAST(points AS INT)) AS group_lowest_points,
+    avg(CAST(goalDifferential AS INT)) AS avg_goal_differential,
+    max(CAST(goalDifferential AS INT)) AS best_goal_differential,
+    min(CAST(goalDifferential AS INT)) AS worst_goal_differential
+  FROM t2_standings GROUP BY group_id, group_name),
+s AS (
+  SELECT *, group_leader_points - group_lowest_points AS points_spread,
+    CASE WHEN group_leader_points - group_lowest_points > 0
+         THEN 100 / (group_leader_points - group_lowest_points) ELSE 100.0 END AS competitiveness_score,
+    CASE WHEN total_games_played > 0 THEN total_goals_scored / total_games_played ELSE 0 END AS goals_per_game
+  FROM g)
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY competitiveness_score DESC, group_id) AS BIGINT) AS competitiveness_rank
+FROM s"""
+
+ORACLE["team_roster_summary"] = W("t3_athletes") + """
+SELECT CAST(team_id AS VARCHAR) AS team_id, team_name, CAST(NULL AS VARCHAR) AS team_abbreviation,
+  count(*) AS total_players, avg(athlete_age) AS avg_age, min(athlete_age) AS min_age,
+  max(athlete_age) AS max_age, avg(athlete_weight) AS avg_weight, avg(athlete_height) AS avg_height,
+  array_to_string(list_sort(list_distinct(list(athlete_nationality))), ',') AS nationalities,
+  array_to_string(list_sort(list_distinct(list(athlete_position))), ',') AS positions,
+  CAST(len(list_distinct(list(athlete_nationality))) AS INT) AS nationality_count,
+  CAST(len(list_distinct(list(athlete_position))) AS INT) AS position_count,
+  max(athlete_age) - min(athlete_age) AS age_diversity
+FROM t3_athletes WHERE team_id IS NOT NULL GROUP BY team_id, team_name"""
+
+_AGE_GROUP = """CASE WHEN {x} <= 21 THEN 'Youth (≤21)' WHEN {x} <= 25 THEN 'Young (22-25)'
+  WHEN {x} <= 29 THEN 'Prime (26-29)' WHEN {x} <= 33 THEN 'Experienced (30-33)'
+  ELSE 'Veteran (34+)' END"""
+_BMI = """CASE WHEN athlete_weight IS NOT NULL AND athlete_height IS NOT NULL AND athlete_height > 0
+  THEN athlete_weight / (athlete_height / 100) / (athlete_height / 100) END"""
+
+ORACLE["player_analytics"] = W("t3_athletes") + f"""
+SELECT athlete_id, athlete_full_name AS player_name, athlete_age AS age,
+  athlete_weight AS weight_kg, athlete_height AS height_cm, athlete_nationality AS nationality,
+  athlete_position AS position, CAST(team_id AS VARCHAR) AS team_id,
+  CASE WHEN team_id IS NOT NULL THEN team_name END AS team_name,
+  CAST(NULL AS VARCHAR) AS team_abbreviation,
+  {_AGE_GROUP.format(x='athlete_age')} AS age_group, {_BMI} AS bmi
+FROM t3_athletes WHERE athlete_full_name IS NOT NULL AND athlete_age IS NOT NULL"""
+
+ORACLE["age_bucket"] = f"""
+SELECT p_partkey, p_size, {_AGE_GROUP.format(x='p_size')} AS age_group FROM part"""
+
+ORACLE["bmi"] = W("t3_athletes") + f"SELECT athlete_id, {_BMI} AS bmi FROM t3_athletes"
+
+ORACLE["cast_safe"] = """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int,
+  TRY_CAST(event_type AS INTEGER) AS type_int,
+  TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value_double,
+  TRY_CAST(CONCAT(CAST(user_id AS VARCHAR), 'x') AS BIGINT) AS junk_bigint
+FROM events"""
+
+ORACLE["kpi_points_per_game"] = W("t2_standings") + """
+SELECT team_id, CASE WHEN gamesPlayed > 0 THEN points / gamesPlayed ELSE 0 END AS points_per_game
+FROM t2_standings"""
+
+ORACLE["expected_points"] = W("t2_standings") + """
+SELECT team_id, CAST(goalDifferential AS INT) AS goal_differential,
+  CASE WHEN CAST(goalDifferential AS INT) > 0 THEN 3 WHEN CAST(goalDifferential AS INT) = 0 THEN 1 ELSE 0 END
+    AS expected_points
+FROM t2_standings"""
+
+ORACLE["qualification_status"] = W("t2_standings") + """
+SELECT group_id, team_id, CAST(rank AS INT) AS group_rank,
+  CASE WHEN CAST(rank AS INT) <= 2 THEN 'Qualified' WHEN CAST(rank AS INT) = 3 THEN 'Europa League'
+       ELSE 'Eliminated' END AS qualification_status
+FROM t2_standings"""
+
+_OUTCOME = """CASE WHEN home_score > away_score THEN 'Win' WHEN home_score = away_score THEN 'Draw'
+  WHEN home_score < away_score THEN 'Loss' END"""
+
+ORACLE["match_outcome"] = W("t4_matches") + f"""
+SELECT event_id, home_team_id, away_team_id, home_score, away_score, {_OUTCOME} AS outcome
+FROM t4_matches"""
+
+ORACLE["team_stats_table"] = W("t2_standings") + """
+SELECT team_id, team_name, CAST(gamesPlayed AS INT) AS games_played,
+  CONCAT_WS('-', CAST(CAST(wins AS INT) AS VARCHAR), CAST(CAST(ties AS INT) AS VARCHAR),
+            CAST(CAST(losses AS INT) AS VARCHAR)) AS record,
+  CAST(points AS INT) AS points, CAST(goalsFor AS INT) AS goals_for,
+  CAST(goalsAgainst AS INT) AS goals_against, CAST(goalDifferential AS INT) AS goal_differential
+FROM t2_standings WHERE gamesPlayed IS NOT NULL AND points IS NOT NULL"""
+
+ORACLE["audit_columns"] = W("t2_standings") + """
+SELECT group_id, team_id, points, '2024-07-01T00:00:00' AS transformation_timestamp,
+  'silver' AS data_layer, 'standings' AS dataset_name
+FROM t2_standings"""
+
+ORACLE["filter_not_null"] = W("t3_athletes") + """
+SELECT athlete_id, athlete_age, athlete_weight FROM t3_athletes
+WHERE athlete_age IS NOT NULL AND athlete_weight IS NOT NULL"""
+
+ORACLE["having_filter"] = W("t3_athletes") + """
+SELECT team_id, count(*) AS players FROM t3_athletes GROUP BY team_id HAVING team_id IS NOT NULL"""
+
+ORACLE["latest_snapshot"] = W("t5_fact_team_performance") + """
+SELECT * FROM t5_fact_team_performance
+WHERE date_id = (SELECT max(date_id) FROM t5_fact_team_performance)"""

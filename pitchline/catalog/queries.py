@@ -8,6 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchline.functions import exprs as X
+from pitchline.operators.audit import with_audit
+from pitchline.operators.filters import latest_snapshot as F_latest_snapshot
+from pitchline.operators.filters import require_not_null
 from pitchline.operators.reshape import pivot_stats
 from pitchline.plans import gold
 from pitchline.sources import adapters as A
@@ -15,6 +19,9 @@ from pitchline.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Injected audit timestamp, so audit columns are reproducible.
+AUDIT_TS = "2024-07-01T00:00:00"
+
 
 def query(fn=None, *, name: str | None = None):
     """Register ``fn(tables)`` under ``name`` (default: the function name)."""
@@ -54,3 +61,115 @@ def pivot_stats_q(t: Tables) -> DataFrame:
 def team_performance_summary(t: Tables) -> DataFrame:
     return gold.team_performance_summary(standings(t))
 
+
+@query
+def competition_overview(t: Tables) -> DataFrame:
+    return gold.competition_overview(standings(t))
+
+
+@query
+def group_analysis(t: Tables) -> DataFrame:
+    return gold.group_analysis(standings(t))
+
+
+@query
+def team_roster_summary(t: Tables) -> DataFrame:
+    return gold.team_roster_summary(athletes(t), sets="string")
+
+
+@query
+def player_analytics(t: Tables) -> DataFrame:
+    return gold.player_analytics(athletes(t)).drop("team_info")
+
+
+# ------------------------------------------------- scalar expressions ---
+
+@query
+def age_bucket(t: Tables) -> DataFrame:
+    """C15's bucketing bound to ``part.p_size``."""
+    return t.part.select("p_partkey", "p_size", X.age_group("p_size").alias("age_group"))
+
+
+@query
+def bmi(t: Tables) -> DataFrame:
+    a = A.t3_athletes(t)
+    return a.select("athlete_id", X.bmi("athlete_weight", "athlete_height").alias("bmi"))
+
+
+@query
+def cast_safe(t: Tables) -> DataFrame:
+    """Numeric casts of raw strings; junk becomes NULL, never an error."""
+    e = t.events
+    return e.select(
+        "event_id",
+        X.to_int(F.get_json_object("props", "$.k")).alias("k_int"),
+        X.to_int("event_type").alias("type_int"),
+        X.to_double(F.col("value").cast("string")).alias("value_double"),
+        X.to_bigint(F.concat(F.col("user_id").cast("string"), F.lit("x"))).alias("junk_bigint"))
+
+
+@query
+def kpi_points_per_game(t: Tables) -> DataFrame:
+    s = standings(t)
+    return s.select("team_id", X.safe_ratio("points", "gamesPlayed").alias("points_per_game"))
+
+
+@query
+def expected_points(t: Tables) -> DataFrame:
+    s = standings(t)
+    gd = X.to_int("goalDifferential")
+    return s.select("team_id", gd.alias("goal_differential"),
+                    X.expected_points(gd).alias("expected_points"))
+
+
+@query
+def qualification_status(t: Tables) -> DataFrame:
+    s = standings(t)
+    r = X.to_int("rank")
+    return s.select("group_id", "team_id", r.alias("group_rank"),
+                    X.qualification(r).alias("qualification_status"))
+
+
+@query
+def match_outcome(t: Tables) -> DataFrame:
+    m = A.t4_matches(t)
+    return m.select("event_id", "home_team_id", "away_team_id", "home_score", "away_score",
+                    X.outcome("home_score", "away_score").alias("outcome"))
+
+
+@query
+def team_stats_table(t: Tables) -> DataFrame:
+    """Dashboard table: team, games, W-D-L record, points, GF, GA, GD."""
+    p = gold.team_performance_summary(standings(t))
+    return p.select("team_id", "team_name", "games_played",
+                    X.wdl("wins", "ties", "losses").alias("record"), "points",
+                    "goals_for", "goals_against", "goal_differential")
+
+
+@query
+def audit_columns(t: Tables) -> DataFrame:
+    s = standings(t).select("group_id", "team_id", "points")
+    return with_audit(s, "silver", "standings", ts=AUDIT_TS)
+
+
+# ----------------------------------------------------------- filters ---
+
+@query
+def filter_not_null(t: Tables) -> DataFrame:
+    a = A.t3_athletes(t)
+    return require_not_null(a, "athlete_age", "athlete_weight").select(
+        "athlete_id", "athlete_age", "athlete_weight")
+
+
+@query
+def having_filter(t: Tables) -> DataFrame:
+    """Filter on a group key after the aggregate (pushed below it)."""
+    a = A.t3_athletes(t)
+    return (a.groupBy("team_id").agg(F.count(F.lit(1)).alias("players"))
+            .where(F.col("team_id").isNotNull()))
+
+
+@query
+def latest_snapshot(t: Tables) -> DataFrame:
+    f = A.t5_fact_team_performance(t)
+    return F_latest_snapshot(f, "date_id")
