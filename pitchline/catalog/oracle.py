@@ -9,7 +9,8 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["pivot_stats"] = W("t2_standings") + "SELECT * FROM t2_standings"
 
-ORACLE["team_performance_summary"] = W("t2_standings") + """,
+# team performance summary as a reusable CTE named ``tps``
+TPS = W("t2_standings") + """,
 perf AS (
   SELECT group_id, group_name, team_id, team_name,
     CAST(gamesPlayed AS INT) AS games_played, CAST(wins AS INT) AS wins,
@@ -17,14 +18,18 @@ perf AS (
     CAST(pointsPerGame AS DOUBLE) AS points_per_game, CAST(goalsFor AS INT) AS goals_for,
     CAST(goalsAgainst AS INT) AS goals_against, CAST(goalDifferential AS INT) AS goal_differential,
     CAST(rank AS INT) AS group_rank
-  FROM t2_standings WHERE gamesPlayed IS NOT NULL AND points IS NOT NULL)
-SELECT *,
-  CASE WHEN games_played > 0 THEN wins / games_played * 100 ELSE 0 END AS win_percentage,
-  CASE WHEN games_played > 0 THEN goals_for / games_played ELSE 0 END AS goals_per_game,
-  CASE WHEN games_played > 0 THEN goals_against / games_played ELSE 0 END AS goals_conceded_per_game,
-  points_per_game * 10 + goal_differential AS performance_rating,
-  CAST(ROW_NUMBER() OVER (ORDER BY points DESC, goal_differential DESC, team_id) AS BIGINT) AS overall_rank
-FROM perf"""
+  FROM t2_standings WHERE gamesPlayed IS NOT NULL AND points IS NOT NULL),
+tps AS (
+  SELECT *,
+    CASE WHEN games_played > 0 THEN wins / games_played * 100 ELSE 0 END AS win_percentage,
+    CASE WHEN games_played > 0 THEN goals_for / games_played ELSE 0 END AS goals_per_game,
+    CASE WHEN games_played > 0 THEN goals_against / games_played ELSE 0 END AS goals_conceded_per_game,
+    points_per_game * 10 + goal_differential AS performance_rating,
+    CAST(ROW_NUMBER() OVER (ORDER BY points DESC, goal_differential DESC, team_id) AS BIGINT) AS overall_rank
+  FROM perf)
+"""
+
+ORACLE["team_performance_summary"] = TPS + "SELECT * FROM tps"
 
 ORACLE["competition_overview"] = W("t2_standings") + """
 SELECT count(DISTINCT team_id) AS total_teams, count(DISTINCT group_id) AS total_groups,
@@ -142,3 +147,166 @@ SELECT team_id, count(*) AS players FROM t3_athletes GROUP BY team_id HAVING tea
 ORACLE["latest_snapshot"] = W("t5_fact_team_performance") + """
 SELECT * FROM t5_fact_team_performance
 WHERE date_id = (SELECT max(date_id) FROM t5_fact_team_performance)"""
+
+
+def _dec(x: str, p: int = 5, s: int = 2) -> str:
+    """Spark's double → decimal cast rounds the shortest decimal text of the
+    double half-up; DuckDB's cast rounds the binary value, so go via text."""
+    return f"TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL({p},{s}))"
+
+
+_PLAYERS = """players AS (
+  SELECT * FROM t3_athletes WHERE athlete_full_name IS NOT NULL AND athlete_age IS NOT NULL)"""
+
+ORACLE["dim_teams"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS team_id, s_name AS team_name,
+  CAST(NULL AS VARCHAR) AS team_abbreviation, s_name AS team_display_name, n_name AS team_location,
+  CAST(NULL AS VARCHAR) AS team_color, CAST(NULL AS VARCHAR) AS team_alternate_color,
+  COALESCE(CASE WHEN s_acctbal >= 0 THEN s_acctbal > 1000 END, TRUE) AS team_is_active,
+  CAST(NULL AS VARCHAR) AS team_logos
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
+ORACLE["dim_players"] = W("t3_athletes") + f""", {_PLAYERS}
+SELECT CAST(athlete_id AS VARCHAR) AS player_id, athlete_full_name AS player_name,
+  CAST(NULL AS VARCHAR) AS player_display_name, athlete_age AS age,
+  {_dec('athlete_weight')} AS weight_kg, {_dec('athlete_height')} AS height_cm,
+  CAST(NULL AS VARCHAR) AS birth_place, athlete_nationality AS nationality,
+  athlete_position AS position, CAST(NULL AS INT) AS jersey_number,
+  CAST(team_id AS VARCHAR) AS team_id, {_AGE_GROUP.format(x='athlete_age')} AS age_group,
+  {_dec(_BMI)} AS bmi
+FROM players"""
+
+ORACLE["dim_groups"] = W("t2_standings") + """
+SELECT CAST(group_id AS VARCHAR) AS group_id, min(group_name) AS group_name,
+  CAST(NULL AS VARCHAR) AS group_abbreviation
+FROM t2_standings GROUP BY CAST(group_id AS VARCHAR)"""
+
+ORACLE["dim_dates"] = W("t6_fact_player_stats") + """,
+b AS (SELECT min(date_id) AS lo, max(date_id) AS hi FROM t6_fact_player_stats),
+d AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_id FROM b),
+e AS (SELECT date_id, CAST(year(date_id) - CASE WHEN month(date_id) < 7 THEN 1 ELSE 0 END AS INT) AS sy FROM d)
+SELECT date_id, CAST(year(date_id) AS INT) AS year, CAST(month(date_id) AS INT) AS month,
+  CAST(day(date_id) AS INT) AS day, CAST(quarter(date_id) AS INT) AS quarter,
+  CAST(weekofyear(date_id) AS INT) AS week, CAST(dayofweek(date_id) + 1 AS INT) AS day_of_week,
+  dayname(date_id) AS day_name, monthname(date_id) AS month_name,
+  dayofweek(date_id) IN (0, 6) AS is_weekend,
+  CONCAT(CAST(sy AS VARCHAR), '-', lpad(CAST((sy + 1) % 100 AS VARCHAR), 2, '0')) AS season
+FROM e"""
+
+ORACLE["fact_team_performance"] = TPS + f""",
+f AS (
+  SELECT CAST(team_id AS VARCHAR) AS team_id, CAST(group_id AS VARCHAR) AS group_id,
+    DATE '2024-12-31' AS date_id, games_played, wins, losses, ties, points,
+    {_dec('points_per_game')} AS points_per_game, goals_for, goals_against, goal_differential,
+    group_rank, CAST(overall_rank AS INT) AS overall_rank,
+    {_dec('win_percentage')} AS win_percentage, {_dec('goals_per_game')} AS goals_per_game,
+    {_dec('goals_conceded_per_game')} AS goals_conceded_per_game,
+    {_dec('performance_rating', 8, 2)} AS performance_rating
+  FROM tps)
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY date_id, team_id, group_id) AS BIGINT) AS performance_id
+FROM f"""
+
+ORACLE["fact_player_stats"] = W("t6_fact_player_stats") + """,
+f AS (
+  SELECT CAST(player_id AS VARCHAR) AS player_id, CAST(team_id AS VARCHAR) AS team_id, date_id,
+    games_played, goals, assists, CAST(NULL AS DECIMAL(5,2)) AS pass_completion_rate
+  FROM t6_fact_player_stats)
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY player_id NULLS FIRST, team_id NULLS FIRST,
+  date_id NULLS FIRST, games_played NULLS FIRST, goals NULLS FIRST, assists NULLS FIRST) AS BIGINT) AS stat_id
+FROM f"""
+
+ORACLE["fact_match_results"] = W("t4_matches") + """,
+f AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(home_team_id AS VARCHAR) AS home_team_id,
+    CAST(away_team_id AS VARCHAR) AS away_team_id, CAST(group_id AS VARCHAR) AS group_id,
+    match_date, home_score, away_score, match_status, attendance, venue
+  FROM t4_matches)
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY event_id NULLS FIRST, home_team_id NULLS FIRST,
+  away_team_id NULLS FIRST, group_id NULLS FIRST, match_date NULLS FIRST, home_score NULLS FIRST,
+  away_score NULLS FIRST, match_status NULLS FIRST, attendance NULLS FIRST, venue NULLS FIRST) AS BIGINT)
+  AS match_id
+FROM f"""
+
+ORACLE["surrogate_key"] = """
+SELECT o_orderkey, o_orderdate,
+  CAST(ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS order_sk
+FROM orders"""
+
+ORACLE["upsert"] = """
+WITH ex AS (
+  SELECT l_suppkey AS team_id, count(*) AS games, CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS quantity
+  FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01' GROUP BY l_suppkey),
+inc AS (
+  SELECT l_suppkey AS team_id, count(*) AS games, CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS quantity
+  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01' GROUP BY l_suppkey)
+SELECT COALESCE(ex.team_id, inc.team_id) AS team_id,
+  CASE WHEN inc.team_id IS NOT NULL THEN inc.games ELSE ex.games END AS games,
+  CASE WHEN inc.team_id IS NOT NULL THEN inc.quantity ELSE ex.quantity END AS quantity,
+  CASE WHEN ex.team_id IS NOT NULL THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-06-01 00:00:00' END AS created_at,
+  CASE WHEN inc.team_id IS NOT NULL THEN TIMESTAMP '2024-06-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
+FROM ex FULL OUTER JOIN inc ON ex.team_id = inc.team_id"""
+
+_T5_LATEST = """latest AS (
+  SELECT * FROM t5_fact_team_performance
+  WHERE date_id = (SELECT max(date_id) FROM t5_fact_team_performance))"""
+
+ORACLE["v_team_performance"] = W("t5_fact_team_performance") + f""", {_T5_LATEST}
+SELECT s_name AS team_name, n_name AS group_name, games_played, wins, points, goals_for
+FROM latest JOIN supplier ON team_id = s_suppkey JOIN nation ON group_id = n_nationkey"""
+
+ORACLE["v_group_standings"] = W("t5_fact_team_performance") + f""", {_T5_LATEST}
+SELECT n_name AS group_name, s_name AS team_name, points, games_played, wins, goals_for
+FROM latest JOIN supplier ON team_id = s_suppkey JOIN nation ON group_id = n_nationkey
+ORDER BY group_name, points DESC, team_name"""
+
+ORACLE["v_recent_matches"] = W("t4_matches") + """
+SELECT event_id, match_date, h.n_name AS home_team, a.n_name AS away_team, home_score, away_score,
+  match_status, r_name AS group_name, venue
+FROM t4_matches JOIN nation h ON home_team_id = h.n_nationkey JOIN nation a ON away_team_id = a.n_nationkey
+  JOIN region ON group_id = r_regionkey
+ORDER BY match_date DESC, event_id, home_team, away_team, home_score, away_score, match_status,
+  group_name, venue
+LIMIT 20"""
+
+ORACLE["top_scorers"] = W("t6_fact_player_stats") + """,
+per AS (SELECT player_id, team_id, sum(goals) AS g, sum(assists) AS a, sum(games_played) AS n
+        FROM t6_fact_player_stats GROUP BY player_id, team_id),
+agg AS (
+  SELECT c_name AS player_name, c_mktsegment AS position, n_name AS team_name,
+    CAST(sum(g) AS BIGINT) AS total_goals, CAST(sum(a) AS BIGINT) AS total_assists,
+    CAST(sum(n) AS BIGINT) AS total_games
+  FROM per JOIN customer ON player_id = c_custkey JOIN nation ON team_id = n_nationkey
+  GROUP BY c_name, c_mktsegment, n_name)
+SELECT *, CASE WHEN total_games > 0
+  THEN CAST(((200 * total_goals + total_games) // (2 * total_games)) * 0.01 AS DECIMAL(18,2))
+  ELSE CAST(0 AS DECIMAL(18,2)) END AS goals_per_game
+FROM agg ORDER BY total_goals DESC, total_assists DESC"""
+
+ORACLE["data_quality_check"] = W("t3_athletes", "t5_fact_team_performance") + f""", {_PLAYERS}
+SELECT 'Teams' AS table_name, count(*) AS record_count,
+  count(*) FILTER (WHERE s_name IS NULL) AS null_names, count(*) FILTER (WHERE s_suppkey IS NULL) AS null_ids
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+UNION ALL
+SELECT 'Players', count(*), count(*) FILTER (WHERE athlete_full_name IS NULL),
+  count(*) FILTER (WHERE athlete_id IS NULL) FROM players
+UNION ALL
+SELECT 'Team Performance', count(*), count(*) FILTER (WHERE points IS NULL),
+  count(*) FILTER (WHERE team_id IS NULL) FROM t5_fact_team_performance"""
+
+ORACLE["table_metrics"] = W("t5_fact_team_performance", "t6_fact_player_stats") + """
+SELECT 'fact_team_performance' AS table_name, count(*) AS row_count,
+  TIMESTAMP '2024-07-01 00:00:00' AS earliest_record, TIMESTAMP '2024-07-01 00:00:00' AS latest_record,
+  count(DISTINCT team_id) AS unique_teams, count(DISTINCT date_id) AS unique_dates
+FROM t5_fact_team_performance
+UNION ALL
+SELECT 'fact_player_stats', count(*), TIMESTAMP '2024-07-01 00:00:00', TIMESTAMP '2024-07-01 00:00:00',
+  count(DISTINCT player_id), count(DISTINCT date_id)
+FROM t6_fact_player_stats"""
+
+ORACLE["fk_violations"] = W("t3_athletes", "t6_fact_player_stats") + f""", {_PLAYERS}
+SELECT * FROM t6_fact_player_stats f
+WHERE player_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM players p WHERE p.athlete_id = f.player_id)"""
+
+ORACLE["fk_conform"] = W("t3_athletes", "t6_fact_player_stats") + f""", {_PLAYERS}
+SELECT * FROM t6_fact_player_stats f
+WHERE EXISTS (SELECT 1 FROM players p WHERE p.athlete_id = f.player_id)"""

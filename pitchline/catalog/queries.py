@@ -5,15 +5,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.functions import exprs as X
+from pitchline.operators import joins as J
+from pitchline.operators import ranking as R
+from pitchline.operators.joins import broadcast_fixed
 from pitchline.operators.audit import with_audit
 from pitchline.operators.filters import latest_snapshot as F_latest_snapshot
 from pitchline.operators.filters import require_not_null
 from pitchline.operators.reshape import pivot_stats
 from pitchline.plans import gold
+from pitchline.plans import views as V
+from pitchline.plans import warehouse as W
 from pitchline.sources import adapters as A
 from pitchline.sources.tables import Tables
 
@@ -173,3 +178,140 @@ def having_filter(t: Tables) -> DataFrame:
 def latest_snapshot(t: Tables) -> DataFrame:
     f = A.t5_fact_team_performance(t)
     return F_latest_snapshot(f, "date_id")
+
+
+# --------------------------------------------------------- warehouse ---
+
+SNAPSHOT_DATE = "2024-12-31"
+
+
+def player_dim(t: Tables) -> DataFrame:
+    return W.dim_players(gold.player_analytics(athletes(t)))
+
+
+@query
+def dim_teams(t: Tables) -> DataFrame:
+    return W.dim_teams(A.teams_silver(t))
+
+
+@query
+def dim_players(t: Tables) -> DataFrame:
+    return player_dim(t)
+
+
+@query
+def dim_groups(t: Tables) -> DataFrame:
+    return W.dim_groups(standings(t))
+
+
+@query
+def dim_dates(t: Tables) -> DataFrame:
+    """Calendar over the span of the player-stat facts."""
+    return W.dim_dates(F.min("date_id"), F.max("date_id"), source=A.t6_fact_player_stats(t))
+
+
+@query
+def fact_team_performance(t: Tables) -> DataFrame:
+    return W.fact_team_performance(gold.team_performance_summary(standings(t)), SNAPSHOT_DATE)
+
+
+@query
+def fact_player_stats(t: Tables) -> DataFrame:
+    return W.fact_player_stats(A.t6_fact_player_stats(t))
+
+
+@query
+def fact_match_results(t: Tables) -> DataFrame:
+    return W.fact_match_results(A.events_silver(t))
+
+
+@query
+def surrogate_key(t: Tables) -> DataFrame:
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    return R.surrogate_key(o, [F.col("o_orderdate"), F.col("o_orderkey")], "order_sk")
+
+
+@query
+def upsert(t: Tables) -> DataFrame:
+    """Reload per-team totals: the existing load covers ship dates before
+    1998, the incoming one from 1997 on; overlapping teams are updated."""
+    li = t.lineitem.select("l_suppkey", "l_shipdate", "l_quantity")
+
+    def load(cond: Column, ts: str) -> DataFrame:
+        return (li.where(cond).groupBy(F.col("l_suppkey").alias("team_id"))
+                .agg(F.count(F.lit(1)).alias("games"),
+                     F.sum(F.col("l_quantity").cast("int")).cast("bigint").alias("quantity"))
+                .withColumns({"created_at": F.lit(ts).cast("timestamp_ntz"),
+                              "updated_at": F.lit(ts).cast("timestamp_ntz")}))
+
+    existing = load(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"),
+                    "2024-01-01 00:00:00")
+    incoming = load(F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz"),
+                    "2024-06-01 00:00:00").drop("created_at", "updated_at")
+    return W.upsert(existing, incoming, ["team_id"], ts="2024-06-01 00:00:00")
+
+
+# -------------------------------------------------------------- views ---
+
+def team_dim(t: Tables) -> DataFrame:
+    return t.supplier.select(F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("team_name"))
+
+
+def group_dim(t: Tables) -> DataFrame:
+    return broadcast_fixed(t.nation.select(F.col("n_nationkey").alias("group_id"),
+                                           F.col("n_name").alias("group_name")))
+
+
+@query
+def v_team_performance(t: Tables) -> DataFrame:
+    return V.v_team_performance_summary(A.t5_fact_team_performance(t), team_dim(t), group_dim(t))
+
+
+@query
+def v_group_standings(t: Tables) -> DataFrame:
+    return V.v_group_standings(A.t5_fact_team_performance(t), team_dim(t), group_dim(t))
+
+
+@query
+def v_recent_matches(t: Tables) -> DataFrame:
+    nations = broadcast_fixed(t.nation.select(F.col("n_nationkey").alias("team_id"),
+                                              F.col("n_name").alias("team_name")))
+    regions = broadcast_fixed(t.region.select(F.col("r_regionkey").alias("group_id"),
+                                              F.col("r_name").alias("group_name")))
+    return V.v_recent_matches(A.t4_matches(t), nations, regions, n=20)
+
+
+@query
+def top_scorers(t: Tables) -> DataFrame:
+    players = t.customer.select(F.col("c_custkey").alias("player_id"),
+                                F.col("c_name").alias("player_name"),
+                                F.col("c_mktsegment").alias("position"))
+    teams = broadcast_fixed(t.nation.select(F.col("n_nationkey").alias("team_id"),
+                                            F.col("n_name").alias("team_name")))
+    return V.top_scorers(A.t6_fact_player_stats(t), players, teams)
+
+
+@query
+def data_quality_check(t: Tables) -> DataFrame:
+    return V.data_quality_check(W.dim_teams(A.teams_silver(t)), player_dim(t),
+                                A.t5_fact_team_performance(t))
+
+
+@query
+def table_metrics(t: Tables) -> DataFrame:
+    stamp = {"created_at": F.lit(AUDIT_TS).cast("timestamp_ntz")}
+    return V.table_metrics(A.t5_fact_team_performance(t).withColumns(stamp),
+                           A.t6_fact_player_stats(t).withColumns(stamp))
+
+
+@query
+def fk_violations(t: Tables) -> DataFrame:
+    """Player-stat facts whose player is missing from the player dimension."""
+    dim = player_dim(t).select(F.col("player_id").cast("bigint").alias("player_id"))
+    return J.fk_violations(A.t6_fact_player_stats(t), dim, ["player_id"])
+
+
+@query
+def fk_conform(t: Tables) -> DataFrame:
+    dim = player_dim(t).select(F.col("player_id").cast("bigint").alias("player_id"))
+    return J.conform(A.t6_fact_player_stats(t), dim, ["player_id"])

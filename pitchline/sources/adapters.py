@@ -178,3 +178,37 @@ def t7_logs(t: Tables) -> DataFrame:
 def t8_metrics(t: Tables) -> DataFrame:
     """Metric samples ``(ts, metric_name, value)``."""
     return t.events.select("ts", F.col("event_type").alias("metric_name"), "value")
+
+
+def teams_silver(t: Tables) -> DataFrame:
+    """Silver teams bound to suppliers; ``team_is_active`` is NULL for a
+    negative balance (the DDL default then applies)."""
+    nation = broadcast_fixed(t.nation.select("n_nationkey", "n_name"))
+    s = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    return s.join(nation, s.s_nationkey == nation.n_nationkey).select(
+        F.col("s_suppkey").alias("team_id"),
+        F.col("s_name").alias("team_name"),
+        F.col("s_name").alias("team_display_name"),
+        F.col("n_name").alias("team_location"),
+        F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal") > 1000).alias("team_is_active"))
+
+
+def events_silver(t: Tables) -> DataFrame:
+    """Silver events built from T4: the nested competition payload (our
+    schema, FIXTURES A4/A5) with home and away competitors."""
+    m = t4_matches(t)
+
+    def competitor(side: str, team: str, score: str) -> Column:
+        return F.struct(F.lit(side).alias("homeAway"), F.col(team).cast("string").alias("teamId"),
+                        F.col(score).cast("string").alias("score"))
+
+    competition = F.struct(
+        F.col("venue").alias("venue"), F.col("attendance").alias("attendance"),
+        F.col("group_id").cast("string").alias("groupId"),
+        F.array(competitor("home", "home_team_id", "home_score"),
+                competitor("away", "away_team_id", "away_score")).alias("competitors"))
+    return m.select(
+        F.col("event_id"),
+        F.date_format("match_date", "yyyy-MM-dd'T'HH:mm'Z'").alias("event_date"),
+        F.struct(F.col("match_status").alias("name")).alias("event_status"),
+        F.array(competition).alias("event_competitions"))
