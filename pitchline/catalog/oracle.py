@@ -310,3 +310,93 @@ WHERE player_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM players p WHERE p.athl
 ORACLE["fk_conform"] = W("t3_athletes", "t6_fact_player_stats") + f""", {_PLAYERS}
 SELECT * FROM t6_fact_player_stats f
 WHERE EXISTS (SELECT 1 FROM players p WHERE p.athlete_id = f.player_id)"""
+
+
+# --------------------------------------------------------- dashboards ---
+
+ORACLE["kpi_cards"] = W("t2_standings") + """
+SELECT count(DISTINCT team_name) AS total_teams, count(DISTINCT group_name) AS total_groups,
+  CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) AS total_goals,
+  CASE WHEN sum(CAST(gamesPlayed AS INT)) > 0
+    THEN CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) / CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT)
+    ELSE 0 END AS avg_goals_per_game
+FROM t2_standings"""
+
+ORACLE["goals_distribution"] = W("t2_standings") + """
+SELECT team_id, team_name, CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) AS goals_for
+FROM t2_standings GROUP BY team_id, team_name ORDER BY goals_for DESC, team_id"""
+
+ORACLE["performance_trend"] = W("t5_fact_team_performance") + """
+SELECT date_id, team_id, CAST(sum(points) AS BIGINT) AS points,
+  CAST(sum(games_played) AS BIGINT) AS games_played
+FROM t5_fact_team_performance GROUP BY date_id, team_id"""
+
+ORACLE["age_distribution"] = W("t3_athletes") + f""", {_PLAYERS}
+SELECT {_AGE_GROUP.format(x='athlete_age')} AS age_group, athlete_position AS position,
+  count(*) AS players
+FROM players GROUP BY 1, 2"""
+
+ORACLE["team_composition"] = W("t3_athletes") + f""", {_PLAYERS}
+SELECT CAST(team_id AS VARCHAR) AS team_id, athlete_position AS position, count(*) AS players
+FROM players GROUP BY 1, 2"""
+
+ORACLE["venue_analysis"] = W("t4_matches") + """
+SELECT venue, count(*) AS matches, avg(attendance) AS avg_attendance FROM t4_matches GROUP BY venue"""
+
+ORACLE["score_distribution"] = W("t4_matches") + f"""
+SELECT home_score, away_score, {_OUTCOME} AS outcome, count(*) AS matches
+FROM t4_matches GROUP BY 1, 2, 3"""
+
+ORACLE["fixture_calendar"] = W("t4_matches") + """
+SELECT match_date, count(*) FILTER (WHERE home_score > away_score) AS win,
+  count(*) FILTER (WHERE home_score = away_score) AS draw,
+  count(*) FILTER (WHERE home_score < away_score) AS loss
+FROM t4_matches GROUP BY match_date"""
+
+ORACLE["head_to_head"] = W("t4_matches") + """
+SELECT home_team_id, away_team_id, count(*) AS matches,
+  count(*) FILTER (WHERE home_score > away_score) AS home_wins,
+  count(*) FILTER (WHERE home_score = away_score) AS draws,
+  count(*) FILTER (WHERE home_score < away_score) AS away_wins
+FROM t4_matches GROUP BY home_team_id, away_team_id"""
+
+ORACLE["team_form"] = W("t4_matches") + """,
+r AS (
+  SELECT event_id, match_date, home_team_id AS team_id, away_team_id AS opponent_id,
+    home_score AS goals_for, away_score AS goals_against FROM t4_matches
+  UNION ALL
+  SELECT event_id, match_date, away_team_id, home_team_id, away_score, home_score FROM t4_matches),
+ranked AS (
+  SELECT *, CASE WHEN goals_for > goals_against THEN 'W' WHEN goals_for = goals_against THEN 'D' ELSE 'L' END AS result,
+    ROW_NUMBER() OVER (PARTITION BY team_id ORDER BY match_date DESC, event_id DESC, opponent_id DESC,
+                       goals_for DESC, goals_against DESC) AS rn
+  FROM r)
+SELECT team_id, string_agg(result, '' ORDER BY rn DESC) AS form, count(*) AS games
+FROM ranked WHERE rn <= 5 GROUP BY team_id"""
+
+ORACLE["team_vs_average"] = TPS + """,
+a AS (SELECT round(avg(win_percentage), 6) AS aw, round(avg(goals_per_game), 6) AS ag,
+             round(avg(goals_conceded_per_game), 6) AS ac, round(avg(points_per_game), 6) AS ap FROM tps)
+SELECT team_id, win_percentage, aw AS avg_win_percentage, win_percentage - aw AS diff_win_percentage,
+  goals_per_game, ag AS avg_goals_per_game, goals_per_game - ag AS diff_goals_per_game,
+  goals_conceded_per_game, ac AS avg_goals_conceded_per_game,
+  goals_conceded_per_game - ac AS diff_goals_conceded_per_game,
+  points_per_game, ap AS avg_points_per_game, points_per_game - ap AS diff_points_per_game
+FROM tps, a"""
+
+ORACLE["top_performers"] = W("t6_fact_player_stats") + """
+SELECT player_id, CAST(sum(goals) AS BIGINT) AS total_goals
+FROM t6_fact_player_stats GROUP BY player_id ORDER BY total_goals DESC, player_id LIMIT 10"""
+
+ORACLE["param_filters"] = W("t4_matches") + """,
+s AS (SELECT *, CAST(year(match_date) - CASE WHEN month(match_date) < 7 THEN 1 ELSE 0 END AS INT) AS sy
+      FROM t4_matches)
+SELECT event_id, home_team_id, away_team_id, group_id, match_date, home_score, away_score,
+  match_status, attendance, venue,
+  CONCAT(CAST(sy AS VARCHAR), '-', lpad(CAST((sy + 1) % 100 AS VARCHAR), 2, '0')) AS season
+FROM s WHERE sy = 1996 AND match_status IN ('F', 'O')"""
+
+ORACLE["last_n_days"] = W("t4_matches") + """
+SELECT * FROM t4_matches
+WHERE match_date >= (SELECT max(match_date) FROM t4_matches) - INTERVAL 30 DAY
+  AND match_date <= (SELECT max(match_date) FROM t4_matches)"""

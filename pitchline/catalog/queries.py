@@ -16,6 +16,8 @@ from pitchline.operators.audit import with_audit
 from pitchline.operators.filters import latest_snapshot as F_latest_snapshot
 from pitchline.operators.filters import require_not_null
 from pitchline.operators.reshape import pivot_stats
+from pitchline.operators import filters as Flt
+from pitchline.plans import dashboards as D
 from pitchline.plans import gold
 from pitchline.plans import views as V
 from pitchline.plans import warehouse as W
@@ -315,3 +317,79 @@ def fk_violations(t: Tables) -> DataFrame:
 def fk_conform(t: Tables) -> DataFrame:
     dim = player_dim(t).select(F.col("player_id").cast("bigint").alias("player_id"))
     return J.conform(A.t6_fact_player_stats(t), dim, ["player_id"])
+
+
+# --------------------------------------------------------- dashboards ---
+
+@query
+def kpi_cards(t: Tables) -> DataFrame:
+    return D.kpi_cards(standings(t))
+
+
+@query
+def goals_distribution(t: Tables) -> DataFrame:
+    return D.goals_distribution(standings(t))
+
+
+@query
+def performance_trend(t: Tables) -> DataFrame:
+    return D.performance_trend(A.t5_fact_team_performance(t))
+
+
+@query
+def age_distribution(t: Tables) -> DataFrame:
+    return D.age_distribution(gold.player_analytics(athletes(t)))
+
+
+@query
+def team_composition(t: Tables) -> DataFrame:
+    return D.team_composition(gold.player_analytics(athletes(t)))
+
+
+@query
+def venue_analysis(t: Tables) -> DataFrame:
+    return D.venue_analysis(A.t4_matches(t))
+
+
+@query
+def score_distribution(t: Tables) -> DataFrame:
+    return D.score_distribution(A.t4_matches(t))
+
+
+@query
+def fixture_calendar(t: Tables) -> DataFrame:
+    return D.fixture_calendar(A.t4_matches(t))
+
+
+@query
+def head_to_head(t: Tables) -> DataFrame:
+    return D.head_to_head(A.t4_matches(t))
+
+
+@query
+def team_form(t: Tables) -> DataFrame:
+    return D.team_form(A.t4_matches(t), n=5)
+
+
+@query
+def team_vs_average(t: Tables) -> DataFrame:
+    return D.team_vs_average(gold.team_performance_summary(standings(t)))
+
+
+@query
+def top_performers(t: Tables) -> DataFrame:
+    return D.top_performers(A.t6_fact_player_stats(t), "goals", k=10)
+
+
+@query
+def param_filters(t: Tables) -> DataFrame:
+    """Season 1996-97 (D6), all groups and teams (D7), finished or open
+    matches only (D9 match-type parameter)."""
+    m = A.t4_matches(t).withColumn("season", W.season_label(F.col("match_date")))
+    return Flt.param_filters(m, season="1996-97", groups=None, teams=None,
+                             extra={"match_status": ["F", "O"]})
+
+
+@query
+def last_n_days(t: Tables) -> DataFrame:
+    return Flt.last_n_days(A.t4_matches(t), "match_date", days=30)
