@@ -10,7 +10,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["pivot_stats"] = W("t2_standings") + "SELECT * FROM t2_standings"
 
 # team performance summary as a reusable CTE named ``tps``
-TPS = W("t2_standings") + """,
+TPS_BODY = """,
 perf AS (
   SELECT group_id, group_name, team_id, team_name,
     CAST(gamesPlayed AS INT) AS games_played, CAST(wins AS INT) AS wins,
@@ -28,6 +28,7 @@ tps AS (
     CAST(ROW_NUMBER() OVER (ORDER BY points DESC, goal_differential DESC, team_id) AS BIGINT) AS overall_rank
   FROM perf)
 """
+TPS = W("t2_standings") + TPS_BODY
 
 ORACLE["team_performance_summary"] = TPS + "SELECT * FROM tps"
 
@@ -400,3 +401,191 @@ ORACLE["last_n_days"] = W("t4_matches") + """
 SELECT * FROM t4_matches
 WHERE match_date >= (SELECT max(match_date) FROM t4_matches) - INTERVAL 30 DAY
   AND match_date <= (SELECT max(match_date) FROM t4_matches)"""
+
+
+# ------------------------------------------------------------ quality ---
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def _dq(suite: str, etype: str, col: str | None, success: str, observed: str,
+        unexpected: str, elements: str, details: str, src: str) -> str:
+    c = "CAST(NULL AS VARCHAR)" if col is None else f"'{col}'"
+    return (f"SELECT '{suite}' AS suite, '{etype}' AS expectation_type, {c} AS \"column\", "
+            f"CAST({success} AS BOOLEAN) AS success, CAST({observed} AS DOUBLE) AS observed, "
+            f"CAST({unexpected} AS BIGINT) AS unexpected_count, CAST({elements} AS BIGINT) AS element_count, "
+            f"'{_q(details)}' AS details FROM ({src}) AS q")
+
+
+def _row_count(suite: str, table: str, lo: int, hi: int) -> str:
+    return _dq(suite, "expect_table_row_count_to_be_between", None, f"n >= {lo} AND n <= {hi}",
+               "n", "NULL", "n", f"min_value={lo},max_value={hi}", f"SELECT count(*) AS n FROM {table}")
+
+
+def _not_null(suite: str, table: str, col: str) -> str:
+    return _dq(suite, "expect_column_values_to_not_be_null", col, "bad = 0",
+               "CASE WHEN n > 0 THEN bad / n END", "bad", "n", "",
+               f"SELECT count(*) AS n, count(*) FILTER (WHERE {col} IS NULL) AS bad FROM {table}")
+
+
+def _completeness(suite: str, table: str, col: str, thr: float = 0.95) -> str:
+    return _dq(suite, "expect_column_values_completeness_at_least", col,
+               f"COALESCE(CASE WHEN n > 0 THEN k / n END >= {thr}, FALSE)",
+               "CASE WHEN n > 0 THEN k / n END", "n - k", "n", f"threshold={thr}",
+               f"SELECT count(*) AS n, count({col}) AS k FROM {table}")
+
+
+def _in_range(suite: str, table: str, col: str, lo, hi) -> str:
+    return _dq(suite, "expect_column_values_to_be_between", col, "bad = 0",
+               "CASE WHEN k > 0 THEN bad / k END", "bad", "n", f"min_value={lo},max_value={hi}",
+               f"SELECT count(*) AS n, count({col}) AS k, count(*) FILTER (WHERE {col} IS NOT NULL "
+               f"AND ({col} < {lo} OR {col} > {hi})) AS bad FROM {table}")
+
+
+def _bad_rows(suite: str, table: str, col: str, etype: str, bad_cond: str, details: str) -> str:
+    return _dq(suite, etype, col, "bad = 0", "CASE WHEN k > 0 THEN bad / k END", "bad", "n", details,
+               f"SELECT count(*) AS n, count({col}) AS k, count(*) FILTER (WHERE {col} IS NOT NULL "
+               f"AND ({bad_cond})) AS bad FROM {table}")
+
+
+def _unique(suite: str, table: str, cols: str) -> str:
+    return _dq(suite, "expect_compound_columns_to_be_unique", cols, "dup = 0",
+               "CASE WHEN n > 0 THEN dup / n END", "dup", "n", "",
+               f"SELECT (SELECT count(*) FROM {table}) AS n, (SELECT COALESCE(sum(c), 0) FROM "
+               f"(SELECT count(*) AS c FROM {table} GROUP BY {cols} HAVING count(*) > 1)) AS dup")
+
+
+def _exists(suite: str, col: str, ok: bool) -> str:
+    return _dq(suite, "expect_column_to_exist", col, "TRUE" if ok else "FALSE", "NULL", "NULL",
+               "NULL", "", "SELECT 1")
+
+
+_UNION = "\nUNION ALL\n"
+
+ORACLE["dq_row_count"] = W("t2_standings", "t3_athletes") + _UNION.join([
+    _row_count("standings", "t2_standings", 1, 100),
+    _row_count("teams", "supplier", 1, 50),
+    _row_count("athletes", "t3_athletes", 1, 1000)])
+
+ORACLE["dq_not_null"] = W("t3_athletes") + _UNION.join(
+    _not_null("athletes", "t3_athletes", c)
+    for c in ("athlete_id", "athlete_age", "athlete_nationality"))
+
+ORACLE["dq_suite"] = W("t3_athletes") + _UNION.join([
+    _row_count("athletes", "t3_athletes", 1, 1000),
+    _exists("athletes", "athlete_id", True),
+    _exists("athletes", "athlete_team.id", True),
+    _exists("athletes", "data.id", False),
+    _not_null("athletes", "t3_athletes", "athlete_id"),
+    _completeness("athletes", "t3_athletes", "athlete_age"),
+    _in_range("athletes", "t3_athletes", "athlete_age", 18, 38),
+    _unique("athletes", "t3_athletes", "athlete_id")])
+
+ORACLE["dq_completeness"] = W("t3_athletes") + _UNION.join(
+    _completeness("athletes", "t3_athletes", c)
+    for c in ("athlete_age", "athlete_weight", "athlete_height", "athlete_nationality", "team_id"))
+
+ORACLE["dq_uniqueness"] = W("t6_fact_player_stats") + _UNION.join([
+    _unique("orders", "orders", "o_orderkey"),
+    _unique("player_stats", "t6_fact_player_stats", "player_id,date_id"),
+    _unique("lineitem", "lineitem", "l_orderkey,l_linenumber")])
+
+ORACLE["dq_range"] = W("t4_matches") + _UNION.join([
+    _in_range("matches", "t4_matches", "home_score", 0, 5),
+    _in_range("matches", "t4_matches", "away_score", 0, 3),
+    _in_range("matches", "t4_matches", "attendance", 1, 999)])
+
+ORACLE["dq_format"] = W("t4_matches") + """,
+ev AS (SELECT strftime(CAST(match_date AS TIMESTAMP), '%Y-%m-%dT%H:%MZ') AS event_date FROM t4_matches)
+""" + _UNION.join([
+    _bad_rows("events", "ev", "event_date", "expect_column_values_to_match_format",
+              "try_strptime(event_date, '%Y-%m-%dT%H:%MZ') IS NULL",
+              "format=yyyy-MM-dd'T'HH:mm'Z'"),
+    _bad_rows("event_log", "events", "props", "expect_column_values_to_match_regex",
+              """NOT regexp_matches(props, '^\\{"k": [0-9]+\\}$')""", 'regex=^\\{"k": [0-9]+\\}$'),
+    _bad_rows("event_log", "events", "event_type", "expect_column_values_to_match_regex",
+              "NOT regexp_matches(event_type, '^[a-z]+$')", "regex=^[a-z]+$")])
+
+
+def _ddl(table: str, src: str, checks: list[tuple[str, str, str]]) -> str:
+    return _UNION.join(
+        f"SELECT '{table}' AS table_name, '{c}' AS \"column\", '{rule}' AS rule, "
+        f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violations, "
+        f"CAST(count(*) AS BIGINT) AS element_count FROM {src}"
+        for c, rule, cond in checks)
+
+
+def _over(c: str, p: int, s: int) -> str:
+    return f"{c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS DECIMAL({p},{s})) IS NULL"
+
+
+ORACLE["dq_ddl_contract"] = W("t2_standings", "t3_athletes") + TPS_BODY + f""", {_PLAYERS},
+pa AS (SELECT CAST(athlete_id AS VARCHAR) AS player_id, athlete_full_name AS player_name,
+         athlete_weight AS weight_kg, athlete_height AS height_cm, athlete_nationality AS nationality,
+         athlete_position AS position, CAST(team_id AS VARCHAR) AS team_id,
+         {_AGE_GROUP.format(x='athlete_age')} AS age_group, {_BMI} AS bmi FROM players),
+fa AS (SELECT CAST(team_id AS VARCHAR) AS team_id, CAST(group_id AS VARCHAR) AS group_id, * EXCLUDE (team_id, group_id)
+       FROM tps)
+""" + _ddl("dim_players", "pa", [
+    ("player_id", "not_null", "player_id IS NULL"),
+    ("player_name", "not_null", "player_name IS NULL"),
+    ("player_id", "varchar(20)", "length(player_id) > 20"),
+    ("player_name", "varchar(100)", "length(player_name) > 100"),
+    ("nationality", "varchar(50)", "length(nationality) > 50"),
+    ("position", "varchar(50)", "length(position) > 50"),
+    ("team_id", "varchar(20)", "length(team_id) > 20"),
+    ("age_group", "varchar(20)", "length(age_group) > 20"),
+    ("weight_kg", "decimal(5,2)", _over("weight_kg", 5, 2)),
+    ("height_cm", "decimal(5,2)", _over("height_cm", 5, 2)),
+    ("bmi", "decimal(5,2)", _over("bmi", 5, 2))]) + _UNION + _ddl("fact_team_performance", "fa", [
+    ("team_id", "not_null", "team_id IS NULL"),
+    ("group_id", "not_null", "group_id IS NULL"),
+    ("team_id", "varchar(20)", "length(team_id) > 20"),
+    ("group_id", "varchar(20)", "length(group_id) > 20"),
+    ("points_per_game", "decimal(5,2)", _over("points_per_game", 5, 2)),
+    ("win_percentage", "decimal(5,2)", _over("win_percentage", 5, 2)),
+    ("goals_per_game", "decimal(5,2)", _over("goals_per_game", 5, 2)),
+    ("goals_conceded_per_game", "decimal(5,2)", _over("goals_conceded_per_game", 5, 2)),
+    ("performance_rating", "decimal(8,2)", _over("performance_rating", 8, 2))])
+
+
+# --------------------------------------------------------- monitoring ---
+
+ORACLE["error_logs"] = W("t7_logs") + """
+SELECT * FROM t7_logs WHERE message LIKE '%ERROR%' ORDER BY ts DESC, event_id LIMIT 100"""
+
+ORACLE["perf_logs"] = W("t7_logs") + """
+SELECT * FROM t7_logs WHERE message LIKE '%duration%' OR message LIKE '%processing time%'
+ORDER BY ts DESC, event_id LIMIT 100"""
+
+_BUCKET = "time_bucket(INTERVAL '300 seconds', {x}, TIMESTAMP '1970-01-01')"
+_WIN = W("t8_metrics") + f""",
+w AS (SELECT {_BUCKET.format(x='ts')} AS window_start, metric_name,
+        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value, count(value) AS samples
+      FROM t8_metrics GROUP BY 1, 2)
+"""
+
+ORACLE["metric_windows"] = _WIN + """
+SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, metric_name, sum_value,
+  samples, sum_value / samples AS avg_value
+FROM w"""
+
+ORACLE["alarm_missing_window"] = _WIN + f""",
+b AS (SELECT metric_name, {_BUCKET.format(x='min(ts)')} AS lo, {_BUCKET.format(x='max(ts)')} AS hi
+      FROM t8_metrics GROUP BY metric_name),
+sp AS (SELECT metric_name, unnest(generate_series(lo, hi, INTERVAL '300 seconds')) AS window_start FROM b)
+SELECT sp.metric_name, sp.window_start, COALESCE(w.sum_value, 0.0) AS sum_value,
+  CAST(COALESCE(w.samples, 0) AS BIGINT) AS samples, w.samples IS NULL AS missing,
+  w.samples IS NULL OR w.sum_value < 1.0 AS breaching
+FROM sp LEFT JOIN w ON sp.metric_name = w.metric_name AND sp.window_start = w.window_start"""
+
+ORACLE["alarm_consecutive"] = _WIN + """,
+x AS (SELECT metric_name, window_start, sum_value / samples AS avg_value,
+        sum_value / samples > 80.0 AS breaching,
+        LAG(window_start) OVER (PARTITION BY metric_name ORDER BY window_start) AS ps,
+        LAG(sum_value / samples > 80.0) OVER (PARTITION BY metric_name ORDER BY window_start) AS pb
+      FROM w)
+SELECT metric_name, window_start, avg_value, breaching,
+  breaching AND COALESCE(ps = window_start - INTERVAL '300 seconds' AND pb, FALSE) AS alarm
+FROM x"""

@@ -19,6 +19,8 @@ from pitchline.operators.reshape import pivot_stats
 from pitchline.operators import filters as Flt
 from pitchline.plans import dashboards as D
 from pitchline.plans import gold
+from pitchline.plans import monitoring as M
+from pitchline.plans import quality as Q
 from pitchline.plans import views as V
 from pitchline.plans import warehouse as W
 from pitchline.sources import adapters as A
@@ -393,3 +395,110 @@ def param_filters(t: Tables) -> DataFrame:
 @query
 def last_n_days(t: Tables) -> DataFrame:
     return Flt.last_n_days(A.t4_matches(t), "match_date", days=30)
+
+
+# ------------------------------------------------------------ quality ---
+
+@query
+def dq_row_count(t: Tables) -> DataFrame:
+    """Q1: the row-count bound of each entity suite."""
+    return (Q.run_suite(standings(t), "standings", [Q.row_count_between(1, 100)])
+            .unionByName(Q.run_suite(A.teams_silver(t), "teams", [Q.row_count_between(1, 50)]))
+            .unionByName(Q.run_suite(A.t3_athletes(t), "athletes", [Q.row_count_between(1, 1000)])))
+
+
+@query
+def dq_not_null(t: Tables) -> DataFrame:
+    return Q.run_suite(A.t3_athletes(t), "athletes",
+                       [Q.not_null("athlete_id"), Q.not_null("athlete_age"),
+                        Q.not_null("athlete_nationality")])
+
+
+ATHLETE_SUITE = [Q.row_count_between(1, 1000), Q.column_exists("athlete_id"),
+                 Q.column_exists("athlete_team.id"), Q.column_exists("data.id"),
+                 Q.not_null("athlete_id"), Q.completeness("athlete_age", Q.COMPLETENESS_THRESHOLD),
+                 Q.in_range("athlete_age", 18, 38), Q.unique("athlete_id")]
+
+
+@query
+def dq_suite(t: Tables) -> DataFrame:
+    """Q4: a whole suite in one aggregate pass (+ one grouped count for
+    uniqueness)."""
+    return Q.run_suite(athletes(t), "athletes", ATHLETE_SUITE)
+
+
+@query
+def dq_completeness(t: Tables) -> DataFrame:
+    cols = ["athlete_age", "athlete_weight", "athlete_height", "athlete_nationality", "team_id"]
+    return Q.run_suite(A.t3_athletes(t), "athletes",
+                       [Q.completeness(c, Q.COMPLETENESS_THRESHOLD) for c in cols])
+
+
+@query
+def dq_uniqueness(t: Tables) -> DataFrame:
+    return (Q.run_suite(t.orders, "orders", [Q.unique("o_orderkey")])
+            .unionByName(Q.run_suite(A.t6_fact_player_stats(t), "player_stats",
+                                     [Q.unique("player_id", "date_id")]))
+            .unionByName(Q.run_suite(t.lineitem, "lineitem", [Q.unique("l_orderkey", "l_linenumber")])))
+
+
+@query
+def dq_range(t: Tables) -> DataFrame:
+    return Q.run_suite(A.t4_matches(t), "matches",
+                       [Q.in_range("home_score", 0, 5), Q.in_range("away_score", 0, 3),
+                        Q.in_range("attendance", 1, 999)])
+
+
+@query
+def dq_format(t: Tables) -> DataFrame:
+    ev = Q.run_suite(A.events_silver(t), "events",
+                     [Q.matches_format("event_date", "yyyy-MM-dd'T'HH:mm'Z'")])
+    logs = Q.run_suite(t.events, "event_log",
+                       [Q.matches_regex("props", r'^\{"k": [0-9]+\}$'),
+                        Q.matches_regex("event_type", "^[a-z]+$")])
+    return ev.unionByName(logs)
+
+
+@query
+def dq_ddl_contract(t: Tables) -> DataFrame:
+    """Q11: DDL contract of dim_players and fact_team_performance checked on
+    the values before the typed load."""
+    p = gold.player_analytics(athletes(t)).withColumn(
+        "player_id", F.col("athlete_id").cast("string"))
+    f = gold.team_performance_summary(standings(t)).withColumns(
+        {"team_id": F.col("team_id").cast("string"), "group_id": F.col("group_id").cast("string")})
+    return (Q.ddl_violations(p, "dim_players", W.NOT_NULL["dim_players"],
+                             W.VARCHAR_LIMITS["dim_players"], W.DECIMALS["dim_players"])
+            .unionByName(Q.ddl_violations(f, "fact_team_performance",
+                                          W.NOT_NULL["fact_team_performance"],
+                                          W.VARCHAR_LIMITS["fact_team_performance"],
+                                          W.DECIMALS["fact_team_performance"])))
+
+
+# --------------------------------------------------------- monitoring ---
+
+@query
+def error_logs(t: Tables) -> DataFrame:
+    return M.error_logs(A.t7_logs(t))
+
+
+@query
+def perf_logs(t: Tables) -> DataFrame:
+    return M.perf_logs(A.t7_logs(t))
+
+
+@query
+def metric_windows(t: Tables) -> DataFrame:
+    return M.metric_windows(A.t8_metrics(t), 300)
+
+
+@query
+def alarm_missing_window(t: Tables) -> DataFrame:
+    """Pipeline-style alarm (sum < 1, missing = breaching) on 300 s periods:
+    the 6 h period of the monitor is always filled by this data."""
+    return M.alarm_missing_window(A.t8_metrics(t), period_s=300, threshold=1.0)
+
+
+@query
+def alarm_consecutive(t: Tables) -> DataFrame:
+    return M.alarm_consecutive(A.t8_metrics(t))
