@@ -589,3 +589,66 @@ x AS (SELECT metric_name, window_start, sum_value / samples AS avg_value,
 SELECT metric_name, window_start, avg_value, breaching,
   breaching AND COALESCE(ps = window_start - INTERVAL '300 seconds' AND pb, FALSE) AS alarm
 FROM x"""
+
+
+# ------------------------------------------------------------- silver ---
+
+_LONG = W("t1_standings_long") + """
+SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, 'api' AS source,
+  CAST(group_id AS VARCHAR) AS group_id, group_name, CAST(NULL AS VARCHAR) AS group_abbreviation,
+  CAST(team_id AS VARCHAR) AS team_id, team_name, CAST(NULL AS VARCHAR) AS team_abbreviation,
+  stat_name, stat_value
+FROM t1_standings_long"""
+
+ORACLE["nested_explode"] = _LONG
+ORACLE["nested_roundtrip"] = _LONG
+
+ORACLE["silver_standings"] = W("t2_standings") + """
+SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, 'api' AS source,
+  CAST(group_id AS VARCHAR) AS group_id, group_name, CAST(NULL AS VARCHAR) AS group_abbreviation,
+  CAST(team_id AS VARCHAR) AS team_id, team_name, CAST(NULL AS VARCHAR) AS team_abbreviation,
+  gamesPlayed, wins, losses, ties, points, pointsPerGame, goalsFor, goalsAgainst, goalDifferential,
+  rank, '2024-07-01T00:00:00' AS transformation_timestamp, 'silver' AS data_layer
+FROM t2_standings"""
+
+ORACLE["project_rename"] = """
+SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, 'api' AS source,
+  CAST(s_suppkey AS VARCHAR) AS team_id, CONCAT('s:', CAST(s_suppkey AS VARCHAR)) AS team_uid,
+  lower(s_name) AS team_slug, n_name AS team_location, s_name AS team_name,
+  CAST(NULL AS VARCHAR) AS team_abbreviation, s_name AS team_display_name,
+  s_name AS team_short_display_name, CAST(NULL AS VARCHAR) AS team_color,
+  CAST(NULL AS VARCHAR) AS team_alternate_color, s_acctbal >= 0 AS team_is_active,
+  '2024-07-01T00:00:00' AS transformation_timestamp, 'silver' AS data_layer
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
+ORACLE["flatten_struct"] = W("t3_athletes") + """
+SELECT athlete_id, athlete_full_name, athlete_age, athlete_weight, athlete_height,
+  athlete_nationality, athlete_position,
+  CAST(team_id AS VARCHAR) AS athlete_team_id,
+  CASE WHEN team_id IS NOT NULL THEN team_name END AS athlete_team_name,
+  CAST(NULL AS VARCHAR) AS athlete_team_abbreviation
+FROM t3_athletes"""
+
+
+# ------------------------------------------------------ sources/sinks ---
+
+ORACLE["scan_parquet"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1998-01-01'"""
+
+ORACLE["union_by_name"] = """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS TIMESTAMP) AS o_orderdate FROM orders
+WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, o_custkey, CAST(NULL AS DOUBLE), o_orderdate FROM orders WHERE o_orderstatus <> 'F'"""
+
+ORACLE["export_metadata"] = W("t2_standings") + """
+SELECT 'standings' AS dataset_name, '2024-07-01T00:00:00' AS export_timestamp,
+  count(*) AS record_count,
+  'group_id,group_name,team_id,team_name,gamesPlayed,wins,losses,ties,points,pointsPerGame,goalsFor,goalsAgainst,goalDifferential,rank' AS columns
+FROM t2_standings"""
+
+ORACLE["global_row_number"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
+  CAST(ROW_NUMBER() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey, l_linenumber) AS BIGINT) AS rn
+FROM lineitem"""

@@ -19,6 +19,10 @@ from pitchline.operators.reshape import pivot_stats
 from pitchline.operators import filters as Flt
 from pitchline.plans import dashboards as D
 from pitchline.plans import gold
+from pitchline.plans import silver as S
+from pitchline.sinks import files as Out
+from pitchline.sources import bronze
+from pitchline.sources.tables import read_table
 from pitchline.plans import monitoring as M
 from pitchline.plans import quality as Q
 from pitchline.plans import views as V
@@ -502,3 +506,71 @@ def alarm_missing_window(t: Tables) -> DataFrame:
 @query
 def alarm_consecutive(t: Tables) -> DataFrame:
     return M.alarm_consecutive(A.t8_metrics(t))
+
+
+# ------------------------------------------------------------- silver ---
+
+def parsed_standings(t: Tables) -> DataFrame:
+    """Standings documents through their JSON text and back (B1 → A1)."""
+    text = A.standings_documents(t).select(F.to_json(F.struct("metadata", "data")).alias("value"))
+    doc = F.from_json("value", bronze.document_schema("standings", corrupt=False))
+    return text.select(doc.alias("d")).select("d.*")
+
+
+@query
+def nested_explode(t: Tables) -> DataFrame:
+    return S.explode_standings(A.standings_documents(t))
+
+
+@query
+def nested_roundtrip(t: Tables) -> DataFrame:
+    return S.explode_standings(parsed_standings(t))
+
+
+@query
+def silver_standings(t: Tables) -> DataFrame:
+    return S.silver_standings(parsed_standings(t), ts=AUDIT_TS)
+
+
+@query
+def project_rename(t: Tables) -> DataFrame:
+    return S.silver_teams(A.teams_documents(t), ts=AUDIT_TS).drop("team_logos", "team_links")
+
+
+@query
+def flatten_struct(t: Tables) -> DataFrame:
+    return S.flatten_struct(athletes(t), sep="_")
+
+
+# ------------------------------------------------------ sources/sinks ---
+
+@query
+def scan_parquet(t: Tables) -> DataFrame:
+    """A2: projection + filter reach the Parquet scan (ReadSchema /
+    PushedFilters)."""
+    li = read_table(t.spark, t.sf_dir, "lineitem")
+    return (li.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+            .select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"))
+
+
+@query
+def union_by_name(t: Tables) -> DataFrame:
+    """Part frames with different columns concatenated by name."""
+    o = t.orders
+    a = o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
+    b = o.where(F.col("o_orderstatus") != "F").select("o_orderdate", "o_orderkey", "o_custkey")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query
+def export_metadata(t: Tables) -> DataFrame:
+    """The metadata record written next to a JSON export."""
+    return Out.export_metadata(standings(t), "standings", ts=AUDIT_TS)
+
+
+@query
+def global_row_number(t: Tables) -> DataFrame:
+    """a dense rank over the whole fact table, spread over all tasks."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+    return R.global_row_number(li, [F.col("l_extendedprice").desc(), "l_orderkey", "l_partkey",
+                                    "l_suppkey", "l_linenumber"], "rn")

@@ -64,8 +64,8 @@ def t1_base(t: Tables) -> DataFrame:
     )
 
 
-def t1_standings_long(t: Tables) -> DataFrame:
-    """The exploded ``(stat_name, stat_value)`` form of T1: input of E1."""
+def t1_wide(t: Tables) -> DataFrame:
+    """T1 with the derived stats (points per game, goal difference, rank)."""
     base = t1_base(t).withColumns({
         "pointsPerGame": F.round(F.col("points") / F.col("gamesPlayed"), 4),
         "goalDifferential": F.col("goalsFor") - F.col("goalsAgainst"),
@@ -75,7 +75,12 @@ def t1_standings_long(t: Tables) -> DataFrame:
                               F.col("goalDifferential").desc(),
                               F.col("team_id").asc()],
                        name="_rank")
-    base = base.withColumn("rank", F.col("_rank").cast("double")).drop("_rank")
+    return base.withColumn("rank", F.col("_rank").cast("double")).drop("_rank")
+
+
+def t1_standings_long(t: Tables) -> DataFrame:
+    """The exploded ``(stat_name, stat_value)`` form of T1: input of E1."""
+    base = t1_wide(t)
     return base.unpivot(["group_id", "group_name", "team_id", "team_name"],
                         list(STAT_NAMES), "stat_name", "stat_value")
 
@@ -212,3 +217,48 @@ def events_silver(t: Tables) -> DataFrame:
         F.date_format("match_date", "yyyy-MM-dd'T'HH:mm'Z'").alias("event_date"),
         F.struct(F.col("match_status").alias("name")).alias("event_status"),
         F.array(competition).alias("event_competitions"))
+
+
+# Envelope of the bronze documents built from the tables.
+BRONZE_TS, BRONZE_SOURCE, BRONZE_VERSION = "2024-07-01T00:00:00", "api", "1.0"
+
+
+def _metadata() -> Column:
+    return F.struct(F.lit(BRONZE_TS).alias("ingestion_timestamp"),
+                    F.lit(BRONZE_SOURCE).alias("source"), F.lit(BRONZE_VERSION).alias("version"))
+
+
+def standings_documents(t: Tables) -> DataFrame:
+    """Bronze standings documents, one per team (groups → entries → stats);
+    every array holds a bounded number of elements."""
+    w = t1_wide(t)
+    none = F.lit(None).cast("string")
+    stats = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value"))
+                      for n in STAT_NAMES])
+    team = F.struct(F.col("team_id").cast("string").alias("id"), F.col("team_name").alias("name"),
+                    none.alias("abbreviation"))
+    entry = F.struct(team.alias("team"), stats.alias("stats"))
+    group = F.struct(F.col("group_id").cast("string").alias("id"), F.col("group_name").alias("name"),
+                     none.alias("abbreviation"),
+                     F.struct(F.array(entry).alias("entries")).alias("standings"))
+    return w.select(_metadata().alias("metadata"),
+                    F.struct(F.array(group).alias("children")).alias("data"))
+
+
+def teams_documents(t: Tables) -> DataFrame:
+    """Bronze teams documents, one team item per document."""
+    nation = broadcast_fixed(t.nation.select("n_nationkey", "n_name"))
+    s = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    j = s.join(nation, s.s_nationkey == nation.n_nationkey)
+    sid = F.col("s_suppkey").cast("string")
+    none = F.lit(None).cast("string")
+    href = "array<struct<href:string>>"
+    item = F.struct(sid.alias("id"), F.concat(F.lit("s:"), sid).alias("uid"),
+                    F.lower("s_name").alias("slug"), F.col("n_name").alias("location"),
+                    F.col("s_name").alias("name"), none.alias("abbreviation"),
+                    F.col("s_name").alias("displayName"), F.col("s_name").alias("shortDisplayName"),
+                    none.alias("color"), none.alias("alternateColor"),
+                    (F.col("s_acctbal") >= 0).alias("isActive"),
+                    F.array(F.struct(F.concat(F.lit("/logos/"), sid).alias("href"))).alias("logos"),
+                    F.lit(None).cast(href).alias("links"))
+    return j.select(_metadata().alias("metadata"), F.struct(F.array(item).alias("items")).alias("data"))
