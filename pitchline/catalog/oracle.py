@@ -204,17 +204,14 @@ f AS (
     {_dec('goals_conceded_per_game')} AS goals_conceded_per_game,
     {_dec('performance_rating', 8, 2)} AS performance_rating
   FROM tps)
-SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY date_id, team_id, group_id) AS BIGINT) AS performance_id
-FROM f"""
+SELECT * FROM f"""
 
 ORACLE["fact_player_stats"] = W("t6_fact_player_stats") + """,
 f AS (
   SELECT CAST(player_id AS VARCHAR) AS player_id, CAST(team_id AS VARCHAR) AS team_id, date_id,
     games_played, goals, assists, CAST(NULL AS DECIMAL(5,2)) AS pass_completion_rate
   FROM t6_fact_player_stats)
-SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY player_id NULLS FIRST, team_id NULLS FIRST,
-  date_id NULLS FIRST, games_played NULLS FIRST, goals NULLS FIRST, assists NULLS FIRST) AS BIGINT) AS stat_id
-FROM f"""
+SELECT * FROM f"""
 
 ORACLE["fact_match_results"] = W("t4_matches") + """,
 f AS (
@@ -222,11 +219,7 @@ f AS (
     CAST(away_team_id AS VARCHAR) AS away_team_id, CAST(group_id AS VARCHAR) AS group_id,
     match_date, home_score, away_score, match_status, attendance, venue
   FROM t4_matches)
-SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY event_id NULLS FIRST, home_team_id NULLS FIRST,
-  away_team_id NULLS FIRST, group_id NULLS FIRST, match_date NULLS FIRST, home_score NULLS FIRST,
-  away_score NULLS FIRST, match_status NULLS FIRST, attendance NULLS FIRST, venue NULLS FIRST) AS BIGINT)
-  AS match_id
-FROM f"""
+SELECT * FROM f"""
 
 ORACLE["surrogate_key"] = """
 SELECT o_orderkey, o_orderdate,

@@ -8,13 +8,15 @@ cluster) serialises the work. The functions here instead:
 1. sort globally (a range shuffle; Spark samples the full composite key, so
    a hot leading key is split over many partitions because the order always
    ends in a unique tie-break),
-2. checkpoint the sorted frame into the shared checkpoint folder, so every
-   later pass sees the same partitions in the same order, even after an
-   executor is lost,
-3. number rows inside each partition (``monotonically_increasing_id`` holds
-   ``partition << 33 | position``) and add the running count of the earlier
-   partitions: one small aggregate with one row per partition (a proven
-   bound, so its broadcast is safe).
+2. write the sorted rows as a Parquet table into the shared checkpoint
+   folder (``spark.checkpoint.dir``): lineage is cut, and every later pass
+   sees exactly the same rows in the same files, even after an executor is
+   lost,
+3. number each row as (rows in earlier files) + its ``_metadata.row_index``
+   inside its file. Files are named by the writing task's partition index,
+   so their order is the sort order; the per-file counts are one small
+   aggregate with one row per file (a proven bound, so its broadcast is
+   safe).
 
 Small inputs with a known bound may use ``strategy="window"`` for the plain
 single-partition window.
@@ -22,6 +24,7 @@ single-partition window.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,14 +32,25 @@ from pyspark.sql import functions as F
 
 from pitchline.session import ensure_checkpoint_dir
 
-_POS_BITS = 33
-_POS_MASK = (1 << _POS_BITS) - 1
+# Output file names of a Spark write: part-<task>-<job uuid>-c<seq>.<ext>
+_PART = r"^part-(\d+)-"
+_SEQ = r"-c(\d+)(\.|$)"
 
 
 def _as_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back:
+    the lineage-cutting step shared by the operators here."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/pitchline-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column | str],
                       name: str = "row_number", *, strategy: str = "range") -> DataFrame:
     """Add ``name`` = 1..n in the given total order (include a unique
@@ -46,20 +60,22 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str],
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order).checkpoint(eager=True)
-    numbered = (ordered
-                .withColumn("_pl_id", F.monotonically_increasing_id())
-                .withColumn("_pl_part", F.shiftright(F.col("_pl_id"), _POS_BITS))
-                .withColumn("_pl_pos", F.col("_pl_id").bitwiseAND(F.lit(_POS_MASK))))
-    # one row per partition: the bound that makes the window and broadcast safe
-    sizes = numbered.groupBy("_pl_part").agg(F.count(F.lit(1)).alias("_pl_n"))
-    before = Window.orderBy("_pl_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_pl_part", F.coalesce(F.sum("_pl_n").over(before), F.lit(0)).alias("_pl_off"))
-    return (numbered.join(F.broadcast(offsets), "_pl_part")
+    cols = df.columns
+    stored = materialize(df.orderBy(*order), "sorted")
+    fname = F.col("_metadata.file_name")
+    rows = stored.select(
+        *cols,
+        F.regexp_extract(fname, _PART, 1).cast("bigint").alias("_pl_part"),
+        F.regexp_extract(fname, _SEQ, 1).cast("bigint").alias("_pl_seq"),
+        F.col("_metadata.row_index").alias("_pl_pos"))
+    # one row per file: the bound that makes the window and broadcast safe
+    sizes = rows.groupBy("_pl_part", "_pl_seq").agg(F.count(F.lit(1)).alias("_pl_n"))
+    before = Window.orderBy("_pl_part", "_pl_seq").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pl_part", "_pl_seq",
+                           F.coalesce(F.sum("_pl_n").over(before), F.lit(0)).alias("_pl_off"))
+    return (rows.join(F.broadcast(offsets), ["_pl_part", "_pl_seq"])
             .withColumn(name, (F.col("_pl_off") + F.col("_pl_pos") + 1).cast("bigint"))
-            .drop("_pl_id", "_pl_part", "_pl_pos", "_pl_off"))
+            .select(*cols, name))
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
@@ -86,16 +102,23 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
 
 
 def surrogate_key(df: DataFrame, order: Sequence[Column | str] | None = None,
-                  name: str = "sk", *, dense: bool = True,
+                  name: str = "sk", *, dense: bool = False,
                   hash_cols: Sequence[str] | None = None) -> DataFrame:
-    """IDENTITY(1,1)-style key (K8).
-
-    ``dense=True``: 1..n in ``order`` (a total order), via
-    :func:`global_row_number`. ``dense=False``: ``xxhash64`` of the natural
-    key columns; no shuffle at all, stable across reloads."""
+    """IDENTITY(1,1)-style key (K8). A warehouse identity column promises
+    unique values, not consecutive ones, so the default needs no shuffle:
+
+    * default: ``monotonically_increasing_id`` - unique 64-bit ids
+      (partition index in the high bits); a re-run task re-issues ids from
+      its own range only, so ids stay unique after a lost executor;
+    * ``dense=True``: exactly 1..n in ``order`` (a total order), via
+      :func:`global_row_number` (a global sort);
+    * ``hash_cols``: ``xxhash64`` of the natural key, stable across reloads
+      (64-bit: collisions become likely only near 2^32 keys).
+    """
     if dense:
         if order is None:
             raise ValueError("a dense surrogate key needs a total order")
         return global_row_number(df, order, name)
-    cols = list(hash_cols or df.columns)
-    return df.withColumn(name, F.xxhash64(*cols))
+    if hash_cols:
+        return df.withColumn(name, F.xxhash64(*hash_cols))
+    return df.withColumn(name, F.monotonically_increasing_id())

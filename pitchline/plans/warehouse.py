@@ -178,10 +178,7 @@ def fact_team_performance(summary: DataFrame, date_id: Column | str | _dt.date,
         _dec("goals_per_game", 5, 2).alias("goals_per_game"),
         _dec("goals_conceded_per_game", 5, 2).alias("goals_conceded_per_game"),
         _dec("performance_rating", 8, 2).alias("performance_rating"))
-    if key:
-        f = surrogate_key(f, [F.col("date_id"), F.col("team_id"), F.col("group_id")],
-                          "performance_id")
-    return f
+    return surrogate_key(f, name="performance_id") if key else f
 
 
 PLAYER_STAT_COLUMNS = ("games_played", "goals", "assists", "yellow_cards", "red_cards",
@@ -205,10 +202,7 @@ def fact_player_stats(stats: DataFrame, *, key: bool = True) -> DataFrame:
         elif c in cols:
             out.append(X.to_int(c).alias(c))
     f = s.select(*out)
-    if key:
-        order = [F.col(c) for c in f.columns]
-        f = surrogate_key(f, order, "stat_id")
-    return f
+    return surrogate_key(f, name="stat_id") if key else f
 
 
 def fact_match_results(events: DataFrame, *, key: bool = True) -> DataFrame:
@@ -234,9 +228,7 @@ def fact_match_results(events: DataFrame, *, key: bool = True) -> DataFrame:
         F.col("event_status.name").alias("match_status"),
         F.col("c.attendance").cast("int").alias("attendance"),
         F.col("c.venue").alias("venue"))
-    if key:
-        f = surrogate_key(f, [F.col(c) for c in f.columns], "match_id")
-    return f
+    return surrogate_key(f, name="match_id") if key else f
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str], *,
