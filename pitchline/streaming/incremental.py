@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pitchline.plans import silver
@@ -64,10 +65,15 @@ def stream_metrics(metrics: DataFrame, period: str = "300 seconds",
                    name_col: str = "metric_name", value_col: str = "value") -> DataFrame:
     """L4: event-time window aggregate of a metric stream (append mode)."""
     v = F.col(value_col)
+    ntz = isinstance(metrics.schema[ts_col].dataType, T.TimestampNTZType)
+    if ntz:  # watermarks need TIMESTAMP; the session zone maps it back below
+        metrics = metrics.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
     agg = (metrics.withWatermark(ts_col, watermark)
            .groupBy(F.window(ts_col, period).alias("w"), F.col(name_col).alias("metric_name"))
            .agg(F.sum(v.cast("decimal(18,2)")).cast("double").alias("sum_value"),
                 F.count(v).alias("samples")))
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+    back = (lambda c: c.cast("timestamp_ntz")) if ntz else (lambda c: c)
+    return agg.select(back(F.col("w.start")).alias("window_start"),
+                      back(F.col("w.end")).alias("window_end"),
                       "metric_name", "sum_value", "samples",
                       (F.col("sum_value") / F.col("samples")).alias("avg_value"))
