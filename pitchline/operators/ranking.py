@@ -18,8 +18,11 @@ cluster) serialises the work. The functions here instead:
    aggregate with one row per file (a proven bound, so its broadcast is
    safe).
 
-Small inputs with a known bound may use ``strategy="window"`` for the plain
-single-partition window.
+Strategies: ``"auto"`` (default) first writes the input to the checkpoint
+folder and counts it; at most ``SMALL_ROWS`` rows (a checked bound) are
+ranked by one single-partition window, anything bigger takes the range
+path above. ``"range"`` always takes the range path, ``"window"`` always
+the single window (only for inputs with a known small bound).
 """
 
 from __future__ import annotations
@@ -51,15 +54,31 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Largest input ranked by a single-partition window under ``"auto"``.
+SMALL_ROWS = 1_000_000
+
+
+def _small(df: DataFrame, strategy: str, small_rows: int) -> tuple[DataFrame, bool]:
+    """Apply the strategy: returns (input to use, rank it with one window?)."""
+    if strategy == "window":
+        return df, True
+    if strategy == "range":
+        return df, False
+    if strategy != "auto":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    stored = materialize(df, "input")
+    return stored, stored.count() <= small_rows
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column | str],
-                      name: str = "row_number", *, strategy: str = "range") -> DataFrame:
+                      name: str = "row_number", *, strategy: str = "auto",
+                      small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add ``name`` = 1..n in the given total order (include a unique
     tie-break in ``order`` for a deterministic result). Type: bigint."""
     order = _as_cols(order)
-    if strategy == "window":
+    df, small = _small(df, strategy, small_rows)
+    if small:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    if strategy != "range":
-        raise ValueError(f"unknown strategy {strategy!r}")
     cols = df.columns
     stored = materialize(df.orderBy(*order), "sorted")
     fname = F.col("_metadata.file_name")
@@ -79,18 +98,20 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str],
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
-                name: str = "rank", *, strategy: str = "range") -> DataFrame:
+                name: str = "rank", *, strategy: str = "auto",
+                small_rows: int = SMALL_ROWS) -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)`` (bigint).
 
-    The ``range`` strategy ranks globally by ``(by, order)`` and subtracts the
-    first global rank of each group, so a hot group is spread over many
+    Beyond the small bound, ranks globally by ``(by, order)`` and subtracts
+    the first global rank of each group, so a hot group is spread over many
     tasks instead of landing in one window partition."""
     order = _as_cols(order)
-    if strategy == "window":
+    df, small = _small(df, strategy, small_rows)
+    if small:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ranked = global_row_number(df, [*(F.col(c).asc() for c in by), *order], "_pl_g",
-                               strategy=strategy)
+                               strategy="range")
     # first global rank per group: map-side partial min, one row per group
     firsts = ranked.groupBy(*by).agg(F.min("_pl_g").alias("_pl_first"))
     firsts = firsts.select(*(F.col(c).alias(f"_pl_k_{i}") for i, c in enumerate(by)),

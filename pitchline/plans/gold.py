@@ -36,7 +36,7 @@ def _snapshot(standings: DataFrame, snapshot: str) -> DataFrame:
 
 
 def team_performance_summary(standings: DataFrame, *, snapshot: str = "latest",
-                             rank_strategy: str = "range") -> DataFrame:
+                             rank_strategy: str = "auto") -> DataFrame:
     """Per-team performance with rates, rating and an overall rank (F1).
 
     ``overall_rank`` orders by points desc, goal difference desc and team id
@@ -158,7 +158,7 @@ def competition_overview(standings: DataFrame, *, snapshot: str = "latest",
 
 
 def group_analysis(standings: DataFrame, *, snapshot: str = "latest",
-                   rank_strategy: str = "range") -> DataFrame:
+                   rank_strategy: str = "auto") -> DataFrame:
     """Per-group statistics and competitiveness rank."""
     s = _snapshot(standings, snapshot)
     pts, gd = X.to_int("points"), X.to_int("goalDifferential")

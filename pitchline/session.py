@@ -16,8 +16,18 @@ from pyspark.sql import SparkSession
 # Settings a user would put in spark-defaults for these jobs. AQE re-plans
 # joins from runtime sizes, coalesces small shuffle partitions and splits
 # skewed sort-merge join partitions.
+#
+# Broadcast policy: no broadcast from *static* estimates (a Parquet
+# relation's estimate is its compressed file size scaled by the projected
+# columns, and without column statistics a join's estimate is the product
+# of its inputs, which can make a fact table look smaller than its
+# dimensions). AQE broadcasts a join side only when its *measured* shuffle
+# output is under the adaptive threshold. Relations fixed in size by
+# definition are still hinted explicitly (operators.joins.broadcast_fixed).
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",

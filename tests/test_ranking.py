@@ -3,6 +3,8 @@ key holding a third of the rows and ties broken by a unique id."""
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pitchline.operators.ranking import global_row_number, rank_within, surrogate_key
@@ -17,25 +19,30 @@ def frame(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "id long, g int, pts int, x double").repartition(6)
 
 
-def test_global_row_number_matches_window(spark):
+@pytest.mark.parametrize("strategy,small", [("range", 0), ("auto", 0), ("auto", 10_000)])
+def test_global_row_number_matches_window(spark, strategy, small):
     df = frame(spark)
     order = [F.col("pts").desc(), F.col("x").asc_nulls_first(), F.col("id")]
-    a = {r.id: r.rn for r in global_row_number(df, order, "rn").collect()}
+    a = {r.id: r.rn for r in global_row_number(df, order, "rn", strategy=strategy,
+                                               small_rows=small).collect()}
     b = {r.id: r.rn for r in global_row_number(df, order, "rn", strategy="window").collect()}
     assert a == b and sorted(a.values()) == list(range(1, 3001))
 
 
-def test_rank_within_matches_window(spark):
+@pytest.mark.parametrize("strategy,small", [("range", 0), ("auto", 0), ("auto", 10_000)])
+def test_rank_within_matches_window(spark, strategy, small):
     df = frame(spark)
     order = [F.col("pts").desc(), F.col("id")]
-    a = {r.id: r.r for r in rank_within(df, ["g"], order, "r").collect()}
+    a = {r.id: r.r for r in rank_within(df, ["g"], order, "r", strategy=strategy,
+                                        small_rows=small).collect()}
     b = {r.id: r.r for r in rank_within(df, ["g"], order, "r", strategy="window").collect()}
     assert a == b
 
 
 def test_rank_within_null_group_key(spark):
     df = spark.createDataFrame([(1, None, 5), (2, None, 7), (3, 1, 1)], "id int, g int, p int")
-    r = {x.id: x.r for x in rank_within(df, ["g"], [F.col("p").desc(), "id"], "r").collect()}
+    r = {x.id: x.r for x in rank_within(df, ["g"], [F.col("p").desc(), "id"], "r",
+                                        strategy="range").collect()}
     assert r == {2: 1, 1: 2, 3: 1}
 
 
