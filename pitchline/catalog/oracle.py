@@ -645,3 +645,26 @@ ORACLE["global_row_number"] = """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
   CAST(ROW_NUMBER() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey, l_linenumber) AS BIGINT) AS rn
 FROM lineitem"""
+
+
+_NATIONS = range(25)  # TPC-H fixes the nation dimension at 25 rows
+ORACLE["head_to_head_matrix"] = W("t4_matches") + """,
+p AS (SELECT home_team_id, away_team_id,
+        CASE WHEN home_score > away_score THEN 1 WHEN home_score < away_score THEN -1 ELSE 0 END AS pts
+      FROM t4_matches)
+SELECT home_team_id, """ + ", ".join(
+    f"CAST(sum(pts) FILTER (WHERE away_team_id = {k}) AS BIGINT) AS away_{k}" for k in _NATIONS) + """
+FROM p GROUP BY home_team_id"""
+
+ORACLE["dq_summary"] = "WITH r AS (" + ORACLE["dq_suite"] + """)
+SELECT suite, bool_and(COALESCE(success, FALSE)) AS success, count(*) AS evaluated_expectations,
+  count(*) FILTER (WHERE success) AS successful_expectations,
+  count(*) FILTER (WHERE NOT COALESCE(success, FALSE)) AS unsuccessful_expectations,
+  count(*) FILTER (WHERE success) * 100.0 / count(*) AS success_percent
+FROM r GROUP BY suite"""
+
+ORACLE["dq_validate"] = W("t2_standings") + _UNION.join([
+    _row_count("standings", "t2_standings", 1, 100),
+    _exists("standings", "group_id", True),
+    _exists("standings", "group_name", True),
+    _not_null("standings", "t2_standings", "group_id")])

@@ -578,3 +578,25 @@ def global_row_number(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
     return R.global_row_number(li, [F.col("l_extendedprice").desc(), "l_orderkey", "l_partkey",
                                     "l_suppkey", "l_linenumber"], "rn")
+
+
+@query
+def head_to_head_matrix(t: Tables) -> DataFrame:
+    """E14 wide form: one column per away team; the team list is the nation
+    dimension, whose size TPC-H fixes (25 rows), so the width is bounded."""
+    away = [r.n_nationkey for r in t.nation.select("n_nationkey").orderBy("n_nationkey").collect()]
+    m = D.head_to_head_matrix(A.t4_matches(t), away)
+    return m.select("home_team_id", *[F.col(str(k)).cast("bigint").alias(f"away_{k}") for k in away])
+
+
+@query
+def dq_summary(t: Tables) -> DataFrame:
+    """Q4 statistics of a suite run: success, evaluated, successful, failed,
+    percent."""
+    return Q.suite_summary(Q.run_suite(athletes(t), "athletes", ATHLETE_SUITE))
+
+
+@query
+def dq_validate(t: Tables) -> DataFrame:
+    """Q5: the entity's own suite picked from the registry."""
+    return Q.validate(standings(t), "standings")
