@@ -5,6 +5,7 @@ decimals). Used by the oracle test and ``scripts/check_oracle.py``."""
 from __future__ import annotations
 
 import math
+import os
 
 SPARK2DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
               "StringType": "VARCHAR", "DateType": "DATE", "TimestampNTZType": "TIMESTAMP",
@@ -21,13 +22,16 @@ def spark_type(dt) -> str:
     return SPARK2DUCK.get(name, name)
 
 
+STRICT = bool(os.environ.get("PL_STRICT_COMPARE"))
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
+        return "nan" if math.isnan(v) else (v if STRICT else round(v, 6))
     if hasattr(v, "as_tuple"):  # Decimal
-        return round(float(v), 6)
+        return str(v) if STRICT else round(float(v), 6)
     if isinstance(v, (list, tuple)):
         return tuple(norm(x) for x in v)
     return v

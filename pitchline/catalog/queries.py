@@ -577,7 +577,7 @@ def global_row_number(t: Tables) -> DataFrame:
     """a dense rank over the whole fact table, spread over all tasks."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
     return R.global_row_number(li, [F.col("l_extendedprice").desc(), "l_orderkey", "l_partkey",
-                                    "l_suppkey", "l_linenumber"], "rn")
+                                    "l_suppkey", "l_linenumber"], "rn", strategy="range")
 
 
 @query

@@ -100,23 +100,20 @@ def head_to_head_matrix(matches: DataFrame, away_teams: Sequence) -> DataFrame:
 
 
 def team_results(matches: DataFrame) -> DataFrame:
-    """Each match twice, once from each side: team, opponent, result letter."""
-    letter = {X.WIN: "W", X.DRAW: "D", X.LOSS: "L"}
-    m = with_outcome(matches)
-    home_letter = F.when(F.col("outcome") == X.WIN, letter[X.WIN]).when(
-        F.col("outcome") == X.DRAW, letter[X.DRAW]).when(F.col("outcome") == X.LOSS, letter[X.LOSS])
-    away_letter = F.when(F.col("outcome") == X.WIN, "L").when(
-        F.col("outcome") == X.DRAW, "D").when(F.col("outcome") == X.LOSS, "W")
-    keep = ["event_id", "match_date"]
-    home = m.select(*keep, F.col("home_team_id").alias("team_id"),
-                    F.col("away_team_id").alias("opponent_id"),
-                    F.col("home_score").alias("goals_for"), F.col("away_score").alias("goals_against"),
-                    home_letter.alias("result"))
-    away = m.select(*keep, F.col("away_team_id").alias("team_id"),
-                    F.col("home_team_id").alias("opponent_id"),
-                    F.col("away_score").alias("goals_for"), F.col("home_score").alias("goals_against"),
-                    away_letter.alias("result"))
-    return home.unionByName(away)
+    """Each match from both sides (team, opponent, goals, result letter) in
+    ONE pass: every row emits its two perspectives with ``inline``, so the
+    matches input is computed once (a union of two projections would plan
+    the whole input twice)."""
+    h, a = F.col("home_score"), F.col("away_score")
+
+    def side(team: str, opp: str, gf: Column, ga: Column) -> Column:
+        result = F.when(gf > ga, "W").when(gf == ga, "D").when(gf < ga, "L")
+        return F.struct(F.col(team).alias("team_id"), F.col(opp).alias("opponent_id"),
+                        gf.alias("goals_for"), ga.alias("goals_against"), result.alias("result"))
+
+    both = F.array(side("home_team_id", "away_team_id", h, a),
+                   side("away_team_id", "home_team_id", a, h))
+    return matches.select("event_id", "match_date", F.inline(both))
 
 
 def team_form(matches: DataFrame, n: int = 5) -> DataFrame:
@@ -145,11 +142,12 @@ def team_vs_average(summary: DataFrame, metrics: Sequence[str] = RADAR_METRICS,
                     teams: Sequence | None = None, digits: int = 6) -> DataFrame:
     """each (selected) team's radar metrics next to the league average.
 
-    The averages are one uncorrelated scalar subquery per metric over the
-    whole league (computed once), so no window over all rows and no cross
-    join. Averages are rounded to ``digits`` so they do not depend on the
-    summation order of the doubles."""
-    avgs = {m: F.round(summary.select(F.avg(m)).scalar(), digits) for m in metrics}
+    The averages come from ONE uncorrelated scalar subquery (a struct of
+    all metric averages over the whole league, computed once), so no window
+    over all rows and no cross join. Averages are rounded to ``digits`` so
+    they do not depend on the summation order of the doubles."""
+    league = summary.select(F.struct(*[F.avg(m).alias(m) for m in metrics])).scalar()
+    avgs = {m: F.round(league.getField(m), digits) for m in metrics}
     out = summary if teams is None else summary.where(F.col("team_id").isin(list(teams)))
     cols: list[Column] = [F.col("team_id")]
     for m in metrics:
