@@ -49,7 +49,9 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     the lineage-cutting step shared by the operators here."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/pitchline-{tag}-{uuid.uuid4().hex}"
+    # one folder per application, so a retention job can drop a finished run
+    app = spark.sparkContext.applicationId
+    path = f"{base}/pitchline/{app}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 

@@ -137,13 +137,18 @@ def team_roster_summary(athletes: DataFrame, *, sets: str = "array") -> DataFram
 
 def competition_overview(standings: DataFrame, *, snapshot: str = "latest",
                          competition_name: str = COMPETITION_NAME,
-                         season: str = SEASON) -> DataFrame:
+                         season: str = SEASON, approx: bool = False) -> DataFrame:
     """One-row competition totals (E2). Two exact distinct counts in one
-    aggregate (Catalyst expands them); totals are summed per task first."""
+    aggregate (Catalyst expands them); totals are summed per task first.
+    ``approx=True`` uses HyperLogLog++ for the two distinct counts."""
     s = _snapshot(standings, snapshot)
+
+    def distinct(c: str):
+        return (F.approx_count_distinct(c) if approx else F.count_distinct(c)).cast("bigint")
+
     o = s.agg(
-        F.count_distinct("team_id").alias("total_teams"),
-        F.count_distinct("group_id").alias("total_groups"),
+        distinct("team_id").alias("total_teams"),
+        distinct("group_id").alias("total_groups"),
         F.sum(X.to_int("gamesPlayed")).alias("total_games_played"),
         F.sum(X.to_int("goalsFor")).alias("total_goals_scored"),
         F.avg(X.to_int("goalsFor")).alias("avg_goals_per_team"),

@@ -102,16 +102,22 @@ def data_quality_check(dim_teams: DataFrame, dim_players: DataFrame, fact: DataF
 
 
 def table_metrics(team_fact: DataFrame, player_fact: DataFrame,
-                  created_col: str = "created_at") -> DataFrame:
+                  created_col: str = "created_at", *, approx: bool = False) -> DataFrame:
     """Row count, load-time range and distinct keys per fact table
-    (the second branch's distinct players land in ``unique_teams``)."""
+    (the second branch's distinct players land in ``unique_teams``).
+
+    ``approx=True`` counts distinct keys with HyperLogLog++
+    (``approx_count_distinct``: fixed memory per task, no Expand of the
+    input), the choice for monitoring very large facts."""
+    def distinct(c: str) -> Column:
+        return (F.approx_count_distinct(c) if approx else F.count_distinct(c)).cast("bigint")
+
     a = team_fact.agg(F.lit("fact_team_performance").alias("table_name"),
                       F.count(F.lit(1)).alias("row_count"),
                       F.min(created_col).alias("earliest_record"),
                       F.max(created_col).alias("latest_record"),
-                      F.count_distinct("team_id").alias("unique_teams"),
-                      F.count_distinct("date_id").alias("unique_dates"))
+                      distinct("team_id").alias("unique_teams"),
+                      distinct("date_id").alias("unique_dates"))
     b = player_fact.agg(F.lit("fact_player_stats"), F.count(F.lit(1)), F.min(created_col),
-                        F.max(created_col), F.count_distinct("player_id"),
-                        F.count_distinct("date_id"))
+                        F.max(created_col), distinct("player_id"), distinct("date_id"))
     return a.union(b)

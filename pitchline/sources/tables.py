@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,10 +17,10 @@ def read_table(spark: SparkSession, root: str, name: str, *,
     folder of part files; ``merge_schema`` unions differing part schemas by
     column name (what a pandas concat of the parts gives)."""
     path = f"{root.rstrip('/')}/{name}"
-    if not name.endswith(".parquet"):
-        import os
-        if os.path.exists(path + ".parquet") and not os.path.exists(path):
-            path = path + ".parquet"
+    # local convenience: a single-file table may be named without its suffix
+    if not name.endswith(".parquet") and os.path.exists(path + ".parquet") \
+            and not os.path.exists(path):
+        path = path + ".parquet"
     reader = spark.read
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
@@ -44,7 +44,3 @@ class Tables:
         if name in TABLE_NAMES:
             return self.read(name)
         raise AttributeError(name)
-
-    @cached_property
-    def names(self) -> tuple[str, ...]:
-        return TABLE_NAMES
