@@ -53,7 +53,8 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     app = spark.sparkContext.applicationId
     path = f"{base}/pitchline/{app}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer-inference job
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # Largest input ranked by a single-partition window under ``"auto"``.

@@ -27,6 +27,27 @@ def read_table(spark: SparkSession, root: str, name: str, *,
     return reader.parquet(path)
 
 
+# Footer schemas already read, keyed by (path, size, mtime): a later read of
+# the same unchanged file passes the schema and skips Spark's inference job.
+_SCHEMAS: dict[tuple[str, int, float], object] = {}
+
+
+def read_parquet_cached(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` that reuses the footer schema of an unchanged
+    local file (other paths are read normally)."""
+    try:
+        st = os.stat(path)
+        key = (os.path.abspath(path), st.st_size, st.st_mtime)
+    except OSError:
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 class Tables:
     """Lazy handles on the driver's tables in one scale-factor folder.
 
@@ -38,7 +59,7 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_parquet_cached(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
