@@ -96,3 +96,20 @@ def test_write_warehouse_table(spark, workdir):
                         path=f"{workdir}/wh/dim_probe")
     assert spark.table("dim_probe").count() == 5
     spark.sql("DROP TABLE dim_probe")
+
+
+def test_versioned_reload_never_overwrites_its_input(spark, workdir):
+    from pitchline.sinks.versions import read_current, reload
+    root = f"{workdir}/wh"
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    reload(spark, root, "dim", first, ["k"], version="20240101000000", ts="2024-01-01 00:00:00")
+    second = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
+    reload(spark, root, "dim", second, ["k"], version="20240601000000", ts="2024-06-01 00:00:00")
+    cur = {r.k: r for r in read_current(spark, root, "dim").collect()}
+    assert {k: r.v for k, r in cur.items()} == {1: "a", 2: "B", 3: "c"}
+    assert str(cur[2].created_at) == "2024-01-01 00:00:00"
+    assert str(cur[2].updated_at) == "2024-06-01 00:00:00"
+    assert sorted(os.listdir(f"{root}/dim"))[:2] == ["version=20240101000000",
+                                                     "version=20240601000000"]
+    old = spark.read.parquet(f"{root}/dim/version=20240101000000")
+    assert old.count() == 2                      # the input version is intact
