@@ -41,7 +41,7 @@ SELECT count(DISTINCT team_id) AS total_teams, count(DISTINCT group_id) AS total
   CASE WHEN sum(CAST(gamesPlayed AS INT)) > 0
        THEN CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) / CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT)
        ELSE 0 END AS goals_per_game,
-  'UEFA Champions League' AS competition_name, '2024-25' AS season
+  'Competition' AS competition_name, '2024-25' AS season
 FROM t2_standings"""
 
 ORACLE["group_analysis"] = W("t2_standings") + """,

@@ -14,8 +14,8 @@ from pitchline.functions import exprs as X
 from pitchline.operators.filters import latest_snapshot, require_not_null
 from pitchline.operators.ranking import global_row_number
 
-# Competition constants of the overview dataset.
-COMPETITION_NAME = "UEFA Champions League"
+# Labels of the overview row; a load passes its own competition and season.
+COMPETITION_NAME = "Competition"
 SEASON = "2024-25"
 
 

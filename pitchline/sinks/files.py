@@ -72,8 +72,8 @@ def export_metadata(df: DataFrame, name: str, *, ts: str | None = None) -> DataF
         "record_count", F.lit(",".join(df.columns)).alias("columns"))
 
 
-# Export sub-folders per format.
-EXPORT_DIRS = {"csv": "csv", "json": "json", "bi": "tableau"}
+# Export sub-folders per format.
+EXPORT_DIRS = {"csv": "csv", "json": "json", "bi": "bi"}
 
 
 def export(df: DataFrame, root: str, name: str, fmt: str, *, ts: str | None = None) -> str:
