@@ -668,3 +668,9 @@ ORACLE["dq_validate"] = W("t2_standings") + _UNION.join([
     _exists("standings", "group_id", True),
     _exists("standings", "group_name", True),
     _not_null("standings", "t2_standings", "group_id")])
+
+
+ORACLE["stream_metric_windows"] = _WIN + """
+SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, metric_name, sum_value,
+  samples, sum_value / samples AS avg_value
+FROM w WHERE window_start + INTERVAL '300 seconds' <= (SELECT max(ts) FROM t8_metrics)"""

@@ -600,3 +600,21 @@ def dq_summary(t: Tables) -> DataFrame:
 def dq_validate(t: Tables) -> DataFrame:
     """Q5: the entity's own suite picked from the registry."""
     return Q.validate(standings(t), "standings")
+
+
+# ---------------------------------------------------------- streaming ---
+
+@query
+def stream_metric_windows(t: Tables) -> DataFrame:
+    """L4: the metric-window stream over the events files (AvailableNow,
+    watermark 0 s): every window whose end the watermark has passed."""
+    import uuid
+
+    from pitchline.session import ensure_checkpoint_dir
+    from pitchline.streaming.incremental import run_metric_stream
+
+    base = (f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/pitchline/"
+            f"{t.spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}")
+    return run_metric_stream(
+        t.spark, f"{t.sf_dir}/events*.parquet", t.events.schema, f"{base}/out", f"{base}/ckpt",
+        select=lambda s: s.select("ts", F.col("event_type").alias("metric_name"), "value"))

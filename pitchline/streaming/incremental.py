@@ -77,3 +77,22 @@ def stream_metrics(metrics: DataFrame, period: str = "300 seconds",
                       back(F.col("w.end")).alias("window_end"),
                       "metric_name", "sum_value", "samples",
                       (F.col("sum_value") / F.col("samples")).alias("avg_value"))
+
+
+def run_metric_stream(spark: SparkSession, source: str, schema, out_dir: str,
+                      checkpoint: str, *, period: str = "300 seconds",
+                      watermark: str = "0 seconds", ts_col: str = "ts",
+                      name_col: str = "metric_name", value_col: str = "value",
+                      select: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Run L4 over every file now under ``source`` (``AvailableNow``) into
+    a Parquet file sink (append: a window is written once the watermark
+    passes its end) and return what the sink holds. Files, offsets and state
+    live in shared folders, so a restarted run resumes where it stopped."""
+    sdf = spark.readStream.schema(schema).parquet(source)
+    if select is not None:
+        sdf = select(sdf)
+    q = (stream_metrics(sdf, period, watermark, ts_col, name_col, value_col).writeStream
+         .format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out_dir)
