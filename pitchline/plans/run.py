@@ -18,19 +18,19 @@ from pitchline.sinks.files import write_layer
 from pitchline.sources.bronze import read_bronze
 from pitchline.sources.tables import read_table
 
-Builder = Callable[[SparkSession, str, str | None], DataFrame]
+Builder = Callable[..., DataFrame]
 
 
 def _silver(entity: str) -> Builder:
-    def build(spark: SparkSession, root: str, ts: str | None) -> DataFrame:
-        docs = read_bronze(spark, f"{root}/bronze", entity)
+    def build(spark: SparkSession, root: str, ts: str | None, layout: str = "lines") -> DataFrame:
+        docs = read_bronze(spark, f"{root}/bronze", entity, layout=layout)
         return {"standings": silver.silver_standings, "teams": silver.silver_teams,
                 "athletes": silver.silver_athletes, "events": silver.silver_events}[entity](docs, ts=ts)
     return build
 
 
 def _gold(name: str, source: str, fn: Callable[[DataFrame], DataFrame]) -> Builder:
-    def build(spark: SparkSession, root: str, ts: str | None) -> DataFrame:
+    def build(spark: SparkSession, root: str, ts: str | None, layout: str = "lines") -> DataFrame:
         return with_audit(fn(read_table(spark, f"{root}/silver", source)), "gold", name, ts)
     return build
 
@@ -55,14 +55,15 @@ RUN_STATUS = T.StructType([T.StructField("layer", T.StringType()),
 
 
 def run_layer(spark: SparkSession, layer: str, root: str, *, ts: str | None = None,
-              only: list[str] | None = None) -> dict[str, bool]:
-    """Build and write every dataset of ``layer`` under ``root/<layer>``."""
+              only: list[str] | None = None, bronze_layout: str = "lines") -> dict[str, bool]:
+    """Build and write every dataset of ``layer`` under ``root/<layer>``
+    (``bronze_layout``: how the bronze files hold their documents)."""
     results: dict[str, bool] = {}
     for name, build in LAYERS[layer].items():
         if only and name not in only:
             continue
         try:
-            write_layer(build(spark, root, ts), f"{root}/{layer}", name)
+            write_layer(build(spark, root, ts, bronze_layout), f"{root}/{layer}", name)
             results[name] = True
         except Exception:  # noqa: BLE001 - one dataset must not stop the others
             results[name] = False
@@ -78,9 +79,11 @@ def run_quality(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
-def run_pipeline(spark: SparkSession, root: str, *, ts: str | None = None) -> dict[str, dict[str, bool]]:
+def run_pipeline(spark: SparkSession, root: str, *, ts: str | None = None,
+                 bronze_layout: str = "lines") -> dict[str, dict[str, bool]]:
     """Bronze → silver → quality report → gold, one session."""
-    report: dict[str, dict[str, bool]] = {"silver": run_layer(spark, "silver", root, ts=ts)}
+    report: dict[str, dict[str, bool]] = {
+        "silver": run_layer(spark, "silver", root, ts=ts, bronze_layout=bronze_layout)}
     try:
         write_layer(run_quality(spark, root), f"{root}", "reports", mode="append")
         report["quality"] = {"reports": True}

@@ -1,7 +1,8 @@
 """Bronze JSON documents (A1, A4, B1 envelope, data model §1).
 
-Each bronze file is one JSON object ``{metadata: {...}, data: <payload>}``.
-Schemas are explicit, so reading runs no inference job and the layout of
+Each bronze document is one JSON object ``{metadata: {...}, data: <payload>}``,
+either one per line (JSON Lines, what ``land_bronze`` writes) or one
+pretty-printed document per file (legacy landing). Schemas are explicit, so reading runs no inference job and the layout of
 a field never depends on which files happen to be present. Malformed
 documents are kept in ``_corrupt_record`` instead of failing the read.
 """
@@ -74,17 +75,31 @@ ENTITY_PARTITIONS: dict[str, tuple[str, ...]] = {
 }
 
 
-def read_bronze(spark: SparkSession, root: str, entity: str, *, multiline: bool = True,
+# Bronze file layouts: "lines" = one document per line (JSON Lines, what
+# land_bronze writes; splittable), "document" = one pretty-printed document
+# per file (legacy landing). Parsing a JSON Lines file as one document keeps
+# only its first line, so the layout is always stated, never guessed.
+LAYOUTS = {"lines": "false", "document": "true"}
+
+
+def _multiline(layout: str) -> str:
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown bronze layout {layout!r}; use one of {sorted(LAYOUTS)}")
+    return LAYOUTS[layout]
+
+
+def read_bronze(spark: SparkSession, root: str, entity: str, *, layout: str = "lines",
                 schema_entity: str | None = None) -> DataFrame:
     """A1/A4: all snapshots of one entity under ``root/<entity>/``.
 
     ``recursiveFileLookup`` descends into any folder layout (``season=``
-    partition folders or plain ones); ``multiLine`` accepts pretty-printed
-    documents. ``asset_name`` is the file name without ``.json`` and
-    ``source_file`` the full path, both from the file metadata column."""
+    partition folders or plain ones); ``layout`` says how documents sit in
+    a file (see ``LAYOUTS``). ``asset_name`` is the file name without
+    ``.json`` and ``source_file`` the full path, both from the file
+    metadata column."""
     schema = document_schema(schema_entity or entity)
     df = (spark.read.schema(schema)
-          .option("multiLine", str(multiline).lower())
+          .option("multiLine", _multiline(layout))
           .option("recursiveFileLookup", "true")
           .option("pathGlobFilter", "*.json*")
           .option("mode", "PERMISSIVE")

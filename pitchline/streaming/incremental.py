@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pitchline.plans import silver
 from pitchline.sinks.files import write_batch
-from pitchline.sources.bronze import document_schema
+from pitchline.sources.bronze import LAYOUTS, document_schema
 
 SILVER_BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "standings": silver.silver_standings,
@@ -34,11 +34,12 @@ SILVER_BUILDERS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
-def bronze_stream(spark: SparkSession, root: str, entity: str, *,
+def bronze_stream(spark: SparkSession, root: str, entity: str, *, layout: str = "lines",
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """New bronze documents of one entity as a stream (explicit schema)."""
+    """New bronze documents of one entity as a stream (explicit schema;
+    ``layout`` as for :func:`pitchline.sources.bronze.read_bronze`)."""
     r = (spark.readStream.schema(document_schema(entity))
-         .option("multiLine", "true").option("recursiveFileLookup", "true")
+         .option("multiLine", LAYOUTS[layout]).option("recursiveFileLookup", "true")
          .option("pathGlobFilter", "*.json*"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -46,7 +47,7 @@ def bronze_stream(spark: SparkSession, root: str, entity: str, *,
 
 
 def stream_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity: str,
-                  checkpoint: str, *, ts: str | None = None,
+                  checkpoint: str, *, ts: str | None = None, layout: str = "lines",
                   available_now: bool = True) -> StreamingQuery:
     """L1: incremental bronze → silver for one entity."""
     build = SILVER_BUILDERS[entity]
@@ -54,7 +55,7 @@ def stream_silver(spark: SparkSession, bronze_root: str, silver_root: str, entit
     def batch(df: DataFrame, batch_id: int) -> None:
         write_batch(build(df, ts=ts), silver_root, entity, batch_id)
 
-    w = (bronze_stream(spark, bronze_root, entity).writeStream
+    w = (bronze_stream(spark, bronze_root, entity, layout=layout).writeStream
          .foreachBatch(batch).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="6 hours")
     return w.start()

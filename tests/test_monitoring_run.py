@@ -51,7 +51,7 @@ def test_run_pipeline(spark, workdir):
     os.makedirs(f"{root}/bronze/standings/2024")
     with open(f"{root}/bronze/standings/2024/a.json", "w") as f:
         json.dump(doc, f, indent=2)
-    report = run_pipeline(spark, root, ts="2024-09-01T01:00:00")
+    report = run_pipeline(spark, root, ts="2024-09-01T01:00:00", bronze_layout="document")
     assert report["silver"]["standings"] is True
     assert report["silver"]["teams"] is False          # no teams landed: isolated failure
     assert report["gold"]["team_performance_summary"] is True

@@ -56,7 +56,7 @@ def bronze_tree(root):
 
 def test_read_bronze_multiline_and_plain_folders(spark, workdir):
     bronze_tree(workdir)
-    df = read_bronze(spark, workdir, "standings")
+    df = read_bronze(spark, workdir, "standings", layout="document")
     rows = df.select("metadata.ingestion_timestamp", "asset_name", "_corrupt_record").collect()
     assert sorted(r.ingestion_timestamp for r in rows) == [TS1, TS2]
     assert {r.asset_name for r in rows} == {"20240901_000000", "20240908_000000"}
@@ -65,17 +65,17 @@ def test_read_bronze_multiline_and_plain_folders(spark, workdir):
 
 def test_explode_drops_empty_and_null_arrays(spark, workdir):
     bronze_tree(workdir)
-    long = silver.explode_standings(read_bronze(spark, workdir, "standings"))
+    long = silver.explode_standings(read_bronze(spark, workdir, "standings", layout="document"))
     # snapshot 1: 2 teams x 10 stats (t3 null stats, group C empty); snapshot 2: 3 x 10
     assert long.count() == 50
-    outer = silver.explode_standings(read_bronze(spark, workdir, "standings"), outer=True)
+    outer = silver.explode_standings(read_bronze(spark, workdir, "standings", layout="document"), outer=True)
     keys = {(r.group_id, r.team_id) for r in outer.where(F.col("stat_name").isNull()).collect()}
     assert ("C", None) in keys and ("B", "t3") in keys
 
 
 def test_silver_standings_pivot_and_audit(spark, workdir):
     bronze_tree(workdir)
-    wide = silver.silver_standings(read_bronze(spark, workdir, "standings"), ts="T")
+    wide = silver.silver_standings(read_bronze(spark, workdir, "standings", layout="document"), ts="T")
     assert wide.count() == 5
     r = wide.where((F.col("team_id") == "t1") & (F.col("ingestion_timestamp") == TS2)).first()
     assert (r.gamesPlayed, r.points, r.goalDifferential, r.data_layer,
@@ -84,7 +84,7 @@ def test_silver_standings_pivot_and_audit(spark, workdir):
 
 def test_gold_latest_snapshot_and_ties(spark, workdir):
     bronze_tree(workdir)
-    wide = silver.silver_standings(read_bronze(spark, workdir, "standings"))
+    wide = silver.silver_standings(read_bronze(spark, workdir, "standings", layout="document"))
     perf = gold.team_performance_summary(wide).collect()
     by = {r.team_id: r for r in perf}
     assert set(by) == {"t1", "t2", "t3"}          # newest snapshot per team only

@@ -25,14 +25,14 @@ def put(root, name, doc):
 def test_stream_silver_incremental(spark, workdir):
     bronze, out, ckpt = f"{workdir}/bronze", f"{workdir}/silver", f"{workdir}/ckpt"
     put(bronze, "a", athletes_doc("t1", [1, 2, 3]))
-    stream_silver(spark, bronze, out, "athletes", ckpt, ts="T").awaitTermination()
+    stream_silver(spark, bronze, out, "athletes", ckpt, ts="T", layout="document").awaitTermination()
     first = spark.read.parquet(f"{out}/athletes")
-    batch = silver.silver_athletes(read_bronze(spark, bronze, "athletes"), ts="T")
+    batch = silver.silver_athletes(read_bronze(spark, bronze, "athletes", layout="document"), ts="T")
     assert sorted(r.athlete_id for r in first.collect()) == sorted(r.athlete_id for r in batch.collect())
-    stream_silver(spark, bronze, out, "athletes", ckpt, ts="T").awaitTermination()
+    stream_silver(spark, bronze, out, "athletes", ckpt, ts="T", layout="document").awaitTermination()
     assert spark.read.parquet(f"{out}/athletes").count() == 3          # nothing new
     put(bronze, "b", athletes_doc("t2", [4]))
-    stream_silver(spark, bronze, out, "athletes", ckpt, ts="T").awaitTermination()
+    stream_silver(spark, bronze, out, "athletes", ckpt, ts="T", layout="document").awaitTermination()
     assert spark.read.parquet(f"{out}/athletes").count() == 4
 
 
