@@ -674,3 +674,6 @@ ORACLE["stream_metric_windows"] = _WIN + """
 SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, metric_name, sum_value,
   samples, sum_value / samples AS avg_value
 FROM w WHERE window_start + INTERVAL '300 seconds' <= (SELECT max(ts) FROM t8_metrics)"""
+
+ORACLE["bronze_files"] = ORACLE["silver_standings"]
+ORACLE["stream_silver_standings"] = ORACLE["silver_standings"]

@@ -608,13 +608,48 @@ def dq_validate(t: Tables) -> DataFrame:
 def stream_metric_windows(t: Tables) -> DataFrame:
     """L4: the metric-window stream over the events files (AvailableNow,
     watermark 0 s): every window whose end the watermark has passed."""
-    import uuid
-
-    from pitchline.session import ensure_checkpoint_dir
     from pitchline.streaming.incremental import run_metric_stream
 
-    base = (f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/pitchline/"
-            f"{t.spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}")
+    base = _scratch(t, "metric-stream")
     return run_metric_stream(
         t.spark, f"{t.sf_dir}/events*.parquet", t.events.schema, f"{base}/out", f"{base}/ckpt",
         select=lambda s: s.select("ts", F.col("event_type").alias("metric_name"), "value"))
+
+
+def _scratch(t: Tables, tag: str) -> str:
+    """A fresh folder for files a query lands, under the shared checkpoint
+    folder of this application."""
+    import uuid
+
+    from pitchline.session import ensure_checkpoint_dir
+    return (f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/pitchline/"
+            f"{t.spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}")
+
+
+def _land_standings(t: Tables, root: str) -> None:
+    docs = A.standings_documents(t).select("data.*", F.lit("2024").alias("season"))
+    Out.land_bronze(docs, root, "standings", A.BRONZE_SOURCE, partition_by=["season"],
+                    ts=A.BRONZE_TS, compression="gzip")
+
+
+@query
+def bronze_files(t: Tables) -> DataFrame:
+    """B1 → A1 through real files: the standings documents are landed as
+    gzip JSON Lines under ``season=`` folders, read back with the explicit
+    schema and turned into silver standings."""
+    root = _scratch(t, "bronze")
+    _land_standings(t, root)
+    docs = bronze.read_bronze(t.spark, root, "standings", layout="lines")
+    return S.silver_standings(docs, ts=AUDIT_TS)
+
+
+@query
+def stream_silver_standings(t: Tables) -> DataFrame:
+    """L1: the incremental bronze → silver stream (AvailableNow, one
+    idempotent batch partition per micro-batch) over landed files."""
+    from pitchline.streaming.incremental import stream_silver
+    root = _scratch(t, "stream")
+    _land_standings(t, f"{root}/bronze")
+    stream_silver(t.spark, f"{root}/bronze", f"{root}/silver", "standings", f"{root}/ckpt",
+                  ts=AUDIT_TS, layout="lines").awaitTermination()
+    return t.spark.read.parquet(f"{root}/silver/standings").drop("batch_id")
