@@ -32,6 +32,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.session import ensure_checkpoint_dir
 
@@ -52,9 +53,13 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     # one folder per application, so a retention job can drop a finished run
     app = spark.sparkContext.applicationId
     path = f"{base}/pitchline/{app}/{tag}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    # Parquet has no void type: an untyped NULL column is stored as string
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
+    stored = df.withColumns({c: F.col(c).cast("string") for c in void}) if void else df
+    stored.write.mode("error").parquet(path)
     # the schema is known: reading it back needs no footer-inference job
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(stored.schema).parquet(path)
+    return back.withColumns({c: F.lit(None) for c in void}) if void else back
 
 
 # Largest input ranked by a single-partition window under ``"auto"``.

@@ -73,3 +73,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="pitchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(total_cores: int, shuffle_bytes: float | None = None,
+                 checkpoint_dir: str | None = None) -> dict[str, str]:
+    """Starting settings for a large cluster (e.g. 1000 executors, ~100 TB
+    input): enough initial shuffle partitions for AQE to coalesce down to
+    ~128 MB partitions, 256 MB input splits, skew splitting for sort-merge
+    joins, and the shared checkpoint folder. ``shuffle_bytes`` is the
+    largest expected shuffle (e.g. the projected columns of the biggest
+    fact table)."""
+    partitions = 2 * total_cores
+    if shuffle_bytes:
+        partitions = max(partitions, int(shuffle_bytes // (128 * 1024 * 1024)) + 1)
+    conf = dict(DEFAULT_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    })
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
+    return conf

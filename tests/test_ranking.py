@@ -52,3 +52,18 @@ def test_surrogate_keys(spark):
     assert len(set(ids)) == len(ids) == 3000
     dense = sorted(r.sk for r in surrogate_key(df, ["id"], "sk", dense=True).collect())
     assert dense == list(range(1, 3001))
+
+
+def test_untyped_null_column_survives_materialization(spark):
+    df = spark.range(5).select("id", F.lit(None).alias("nothing"))
+    out = global_row_number(df, [F.col("id").desc()], "rn", strategy="range").collect()
+    assert sorted((r.id, r.rn) for r in out) == [(i, 5 - i) for i in range(5)]
+    assert all(r.nothing is None for r in out)
+
+
+def test_cluster_conf():
+    from pitchline.session import cluster_conf
+    c = cluster_conf(8000, shuffle_bytes=20 * 2**40, checkpoint_dir="hdfs:///ckpt")
+    assert int(c["spark.sql.shuffle.partitions"]) >= 16000
+    assert c["spark.checkpoint.dir"] == "hdfs:///ckpt"
+    assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
