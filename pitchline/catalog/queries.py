@@ -9,26 +9,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.functions import exprs as X
+from pitchline.operators import filters as Flt
 from pitchline.operators import joins as J
 from pitchline.operators import ranking as R
-from pitchline.operators.joins import broadcast_fixed
 from pitchline.operators.audit import with_audit
-from pitchline.operators.filters import latest_snapshot as F_latest_snapshot
-from pitchline.operators.filters import require_not_null
+from pitchline.operators.joins import broadcast_fixed
 from pitchline.operators.reshape import pivot_stats
-from pitchline.operators import filters as Flt
 from pitchline.plans import dashboards as D
 from pitchline.plans import gold
-from pitchline.plans import silver as S
-from pitchline.sinks import files as Out
-from pitchline.sources import bronze
-from pitchline.sources.tables import read_table
 from pitchline.plans import monitoring as M
 from pitchline.plans import quality as Q
+from pitchline.plans import silver as S
 from pitchline.plans import views as V
 from pitchline.plans import warehouse as W
+from pitchline.sinks import files as Out
 from pitchline.sources import adapters as A
-from pitchline.sources.tables import Tables
+from pitchline.sources import bronze
+from pitchline.sources.tables import Tables, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -170,7 +167,7 @@ def audit_columns(t: Tables) -> DataFrame:
 @query
 def filter_not_null(t: Tables) -> DataFrame:
     a = A.t3_athletes(t)
-    return require_not_null(a, "athlete_age", "athlete_weight").select(
+    return Flt.require_not_null(a, "athlete_age", "athlete_weight").select(
         "athlete_id", "athlete_age", "athlete_weight")
 
 
@@ -185,7 +182,7 @@ def having_filter(t: Tables) -> DataFrame:
 @query
 def latest_snapshot(t: Tables) -> DataFrame:
     f = A.t5_fact_team_performance(t)
-    return F_latest_snapshot(f, "date_id")
+    return Flt.latest_snapshot(f, "date_id")
 
 
 # --------------------------------------------------------- warehouse ---
