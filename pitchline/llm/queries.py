@@ -7,9 +7,11 @@ from pitchline.llm.host_quality import op8_host_quality
 from pitchline.llm.licenses import op6_license_scan
 from pitchline.llm.pfair import op10_mix_sources
 from pitchline.llm.ppm import op2_ppm_score
+from pitchline.llm.repeats import op7_maximal_repeats
 from pitchline.llm.secrets import op1_secret_scan
 from pitchline.llm.sentencepiece_backend import op5_sentencepiece
 
 QUERIES = {q.__name__: q for q in (
-    op1_secret_scan, op2_ppm_score, op4_bit_packing, op5_sentencepiece, op6_license_scan, op8_host_quality, op10_mix_sources)}
+    op1_secret_scan, op2_ppm_score, op4_bit_packing, op5_sentencepiece, op6_license_scan, op7_maximal_repeats,
+    op8_host_quality, op10_mix_sources)}
 ORACLE: dict[str, str] = {}
