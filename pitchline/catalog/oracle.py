@@ -209,7 +209,9 @@ SELECT * FROM f"""
 ORACLE["fact_player_stats"] = W("t6_fact_player_stats") + """,
 f AS (
   SELECT CAST(player_id AS VARCHAR) AS player_id, CAST(team_id AS VARCHAR) AS team_id, date_id,
-    games_played, goals, assists, CAST(NULL AS DECIMAL(5,2)) AS pass_completion_rate
+    games_played, goals, assists, CAST(NULL AS INT) AS yellow_cards, CAST(NULL AS INT) AS red_cards,
+    CAST(NULL AS INT) AS minutes_played, CAST(NULL AS INT) AS shots, CAST(NULL AS INT) AS shots_on_target,
+    CAST(NULL AS DECIMAL(5,2)) AS pass_completion_rate
   FROM t6_fact_player_stats)
 SELECT * FROM f"""
 
@@ -240,18 +242,19 @@ SELECT COALESCE(ex.team_id, inc.team_id) AS team_id,
   CASE WHEN inc.team_id IS NOT NULL THEN TIMESTAMP '2024-06-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
 FROM ex FULL OUTER JOIN inc ON ex.team_id = inc.team_id"""
 
-_T5_LATEST = """latest AS (
-  SELECT * FROM t5_fact_team_performance
-  WHERE date_id = (SELECT max(date_id) FROM t5_fact_team_performance))"""
+# the views read the newest of two stored snapshots of the fact
+_FACT = ORACLE["fact_team_performance"].removesuffix("SELECT * FROM f")
 
-ORACLE["v_team_performance"] = W("t5_fact_team_performance") + f""", {_T5_LATEST}
-SELECT s_name AS team_name, n_name AS group_name, games_played, wins, points, goals_for
-FROM latest JOIN supplier ON team_id = s_suppkey JOIN nation ON group_id = n_nationkey"""
+ORACLE["v_team_performance"] = _FACT + """
+SELECT s_name AS team_name, n_name AS group_name, games_played, wins, losses, ties, points, goal_differential,
+  group_rank, overall_rank, win_percentage, performance_rating
+FROM f JOIN supplier ON team_id = CAST(s_suppkey AS VARCHAR) JOIN nation ON group_id = CAST(n_nationkey AS VARCHAR)"""
 
-ORACLE["v_group_standings"] = W("t5_fact_team_performance") + f""", {_T5_LATEST}
-SELECT n_name AS group_name, s_name AS team_name, points, games_played, wins, goals_for
-FROM latest JOIN supplier ON team_id = s_suppkey JOIN nation ON group_id = n_nationkey
-ORDER BY group_name, points DESC, team_name"""
+ORACLE["v_group_standings"] = _FACT + """
+SELECT n_name AS group_name, s_name AS team_name, points, games_played, wins, losses, ties, goals_for,
+  goals_against, goal_differential, group_rank
+FROM f JOIN supplier ON team_id = CAST(s_suppkey AS VARCHAR) JOIN nation ON group_id = CAST(n_nationkey AS VARCHAR)
+ORDER BY group_name, group_rank, team_name"""
 
 ORACLE["v_recent_matches"] = W("t4_matches") + """
 SELECT event_id, match_date, h.n_name AS home_team, a.n_name AS away_team, home_score, away_score,
@@ -388,7 +391,8 @@ s AS (SELECT *, CAST(year(match_date) - CASE WHEN month(match_date) < 7 THEN 1 E
 SELECT event_id, home_team_id, away_team_id, group_id, match_date, home_score, away_score,
   match_status, attendance, venue,
   CONCAT(CAST(sy AS VARCHAR), '-', lpad(CAST((sy + 1) % 100 AS VARCHAR), 2, '0')) AS season
-FROM s WHERE sy = 1996 AND match_status IN ('F', 'O')"""
+FROM s WHERE sy = 1996 AND match_status IN ('F', 'O') AND group_id IN (0, 1, 3)
+  AND home_team_id IN (0, 1, 2, 3, 5, 8, 13, 21)"""
 
 ORACLE["last_n_days"] = W("t4_matches") + """
 SELECT * FROM t4_matches
@@ -565,9 +569,9 @@ SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, metric
 FROM w"""
 
 ORACLE["alarm_missing_window"] = _WIN + f""",
-b AS (SELECT metric_name, {_BUCKET.format(x='min(ts)')} AS lo, {_BUCKET.format(x='max(ts)')} AS hi
-      FROM t8_metrics GROUP BY metric_name),
-sp AS (SELECT metric_name, unnest(generate_series(lo, hi, INTERVAL '300 seconds')) AS window_start FROM b)
+b AS (SELECT unnest(['click', 'error', 'heartbeat', 'purchase', 'signup', 'view']) AS metric_name),
+sp AS (SELECT metric_name, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:55:00',
+         INTERVAL '300 seconds')) AS window_start FROM b)
 SELECT sp.metric_name, sp.window_start, COALESCE(w.sum_value, 0.0) AS sum_value,
   CAST(COALESCE(w.samples, 0) AS BIGINT) AS samples, w.samples IS NULL AS missing,
   w.samples IS NULL OR w.sum_value < 1.0 AS breaching
@@ -638,7 +642,7 @@ SELECT o_orderkey, o_custkey, CAST(NULL AS DOUBLE), o_orderdate FROM orders WHER
 ORACLE["export_metadata"] = W("t2_standings") + """
 SELECT 'standings' AS dataset_name, '2024-07-01T00:00:00' AS export_timestamp,
   count(*) AS record_count,
-  'group_id,group_name,team_id,team_name,gamesPlayed,wins,losses,ties,points,pointsPerGame,goalsFor,goalsAgainst,goalDifferential,rank' AS columns
+  string_split('group_id,group_name,team_id,team_name,gamesPlayed,wins,losses,ties,points,pointsPerGame,goalsFor,goalsAgainst,goalDifferential,rank', ',') AS columns
 FROM t2_standings"""
 
 ORACLE["global_row_number"] = """
@@ -673,7 +677,33 @@ ORACLE["dq_validate"] = W("t2_standings") + _UNION.join([
 ORACLE["stream_metric_windows"] = _WIN + """
 SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, metric_name, sum_value,
   samples, sum_value / samples AS avg_value
-FROM w WHERE window_start + INTERVAL '300 seconds' <= (SELECT max(ts) FROM t8_metrics)"""
+FROM w"""
 
 ORACLE["bronze_files"] = ORACLE["silver_standings"]
 ORACLE["stream_silver_standings"] = ORACLE["silver_standings"]
+
+# every table of the warehouse carries the audit columns
+for _t in ("dim_teams", "dim_players", "dim_groups", "dim_dates", "fact_team_performance", "fact_player_stats",
+           "fact_match_results"):
+    ORACLE[_t] = f"""
+SELECT t.*, TIMESTAMP '2024-07-01 00:00:00' AS created_at, TIMESTAMP '2024-07-01 00:00:00' AS updated_at
+FROM ({ORACLE[_t]}) t"""
+
+# ------------------------------------------- snapshots, seasons, loads ---
+
+# two snapshots of each player, of which the newer one is the plain table
+ORACLE["roster_latest_snapshot"] = ORACLE["team_roster_summary"]
+ORACLE["dim_players_snapshots"] = ORACLE["dim_players"]
+
+ORACLE["standings_two_seasons"] = W("t2_standings") + """
+SELECT '2024-25' AS season, team_id, CAST(points AS INT) AS points, CAST(gamesPlayed AS INT) AS games_played FROM t2_standings
+UNION ALL SELECT '2023-24', team_id, CAST(points + 1 AS INT), CAST(gamesPlayed AS INT) FROM t2_standings"""
+
+ORACLE["two_loads"] = """
+SELECT count(*) AS n_rows, count(*) AS n_keys, CAST(0 AS BIGINT) AS n_created_later,
+  count(CASE WHEN c_custkey % 2 = 0 THEN 1 END) AS n_updated, CAST(sum(c_custkey % 7) AS BIGINT) AS kept_extra
+FROM customer"""
+
+ORACLE["cast_decimal_text"] = """
+SELECT p_partkey, CAST(p_size AS INT) AS size_int, CAST(NULL AS INT) AS too_large, CAST(NULL AS DATE) AS bad_date
+FROM part"""

@@ -3,6 +3,7 @@ over the driver's tables bound through the league adapter views."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,9 +46,11 @@ def query(fn=None, *, name: str | None = None):
     return register(fn) if fn is not None else register
 
 
-def standings(t: Tables) -> DataFrame:
-    """Silver standings (E1 applied to the long form)."""
-    return pivot_stats(A.t1_standings_long(t), A.STAT_NAMES)
+def standings(t: Tables, rank: bool = False) -> DataFrame:
+    """Silver standings (E1 applied to the long form); with the rank
+    within the group only for those who read it."""
+    names = [n for n in A.STAT_NAMES if rank or n != "rank"]
+    return pivot_stats(A.t1_standings_long(t, rank), names)
 
 
 def athletes(t: Tables) -> DataFrame:
@@ -64,12 +67,12 @@ def athletes(t: Tables) -> DataFrame:
 
 @query(name="pivot_stats")
 def pivot_stats_q(t: Tables) -> DataFrame:
-    return standings(t)
+    return standings(t, rank=True)
 
 
 @query
 def team_performance_summary(t: Tables) -> DataFrame:
-    return gold.team_performance_summary(standings(t))
+    return gold.team_performance_summary(standings(t, rank=True))
 
 
 @query
@@ -134,7 +137,7 @@ def expected_points(t: Tables) -> DataFrame:
 
 @query
 def qualification_status(t: Tables) -> DataFrame:
-    s = standings(t)
+    s = standings(t, rank=True)
     r = X.to_int("rank")
     return s.select("group_id", "team_id", r.alias("group_rank"),
                     X.qualification(r).alias("qualification_status"))
@@ -150,7 +153,7 @@ def match_outcome(t: Tables) -> DataFrame:
 @query
 def team_stats_table(t: Tables) -> DataFrame:
     """Dashboard table: team, games, W-D-L record, points, GF, GA, GD."""
-    p = gold.team_performance_summary(standings(t))
+    p = gold.team_performance_summary(standings(t), rank=False)
     return p.select("team_id", "team_name", "games_played",
                     X.wdl("wins", "ties", "losses").alias("record"), "points",
                     "goals_for", "goals_against", "goal_differential")
@@ -196,23 +199,23 @@ def player_dim(t: Tables) -> DataFrame:
 
 @query
 def dim_teams(t: Tables) -> DataFrame:
-    return W.dim_teams(A.teams_silver(t))
+    return W.audited(W.dim_teams(A.teams_silver(t)), AUDIT_TS)
 
 
 @query
 def dim_players(t: Tables) -> DataFrame:
-    return player_dim(t)
+    return W.audited(player_dim(t), AUDIT_TS)
 
 
 @query
 def dim_groups(t: Tables) -> DataFrame:
-    return W.dim_groups(standings(t))
+    return W.audited(W.dim_groups(standings(t)), AUDIT_TS)
 
 
 @query
 def dim_dates(t: Tables) -> DataFrame:
     """Calendar over the span of the player-stat facts."""
-    return W.dim_dates(F.min("date_id"), F.max("date_id"), source=A.t6_fact_player_stats(t))
+    return W.audited(W.dim_dates(F.min("date_id"), F.max("date_id"), source=A.t6_fact_player_stats(t)), AUDIT_TS)
 
 
 # Fact loads carry an identity key (unique, engine-assigned); the compared
@@ -220,18 +223,18 @@ def dim_dates(t: Tables) -> DataFrame:
 
 @query
 def fact_team_performance(t: Tables) -> DataFrame:
-    f = W.fact_team_performance(gold.team_performance_summary(standings(t)), SNAPSHOT_DATE)
-    return f.drop("performance_id")
+    f = W.fact_team_performance(gold.team_performance_summary(standings(t, rank=True)), SNAPSHOT_DATE)
+    return W.audited(f.drop("performance_id"), AUDIT_TS)
 
 
 @query
 def fact_player_stats(t: Tables) -> DataFrame:
-    return W.fact_player_stats(A.t6_fact_player_stats(t)).drop("stat_id")
+    return W.audited(W.fact_player_stats(A.t6_fact_player_stats(t)).drop("stat_id"), AUDIT_TS)
 
 
 @query
 def fact_match_results(t: Tables) -> DataFrame:
-    return W.fact_match_results(A.events_silver(t)).drop("match_id")
+    return W.audited(W.fact_match_results(A.events_silver(t)).drop("match_id"), AUDIT_TS)
 
 
 @query
@@ -263,22 +266,31 @@ def upsert(t: Tables) -> DataFrame:
 # -------------------------------------------------------------- views ---
 
 def team_dim(t: Tables) -> DataFrame:
-    return t.supplier.select(F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("team_name"))
+    return t.supplier.select(F.col("s_suppkey").cast("string").alias("team_id"), F.col("s_name").alias("team_name"))
 
 
 def group_dim(t: Tables) -> DataFrame:
-    return broadcast_fixed(t.nation.select(F.col("n_nationkey").alias("group_id"),
+    return broadcast_fixed(t.nation.select(F.col("n_nationkey").cast("string").alias("group_id"),
                                            F.col("n_name").alias("group_name")))
 
 
+def stored_fact(t: Tables) -> DataFrame:
+    """The stored team fact with two snapshots: the newest one, and a year
+    before it one in which nobody had a point."""
+    new = W.fact_team_performance(gold.team_performance_summary(standings(t, rank=True)), SNAPSHOT_DATE)
+    new = R.materialize(new, "fact")
+    old = new.withColumns({"date_id": F.add_months("date_id", -12), "points": F.lit(0)})
+    return R.materialize(new.unionByName(old), "fact")
+
+
 @query
 def v_team_performance(t: Tables) -> DataFrame:
-    return V.v_team_performance_summary(A.t5_fact_team_performance(t), team_dim(t), group_dim(t))
+    return V.v_team_performance_summary(stored_fact(t), team_dim(t), group_dim(t))
 
 
 @query
 def v_group_standings(t: Tables) -> DataFrame:
-    return V.v_group_standings(A.t5_fact_team_performance(t), team_dim(t), group_dim(t))
+    return V.v_group_standings(stored_fact(t), team_dim(t), group_dim(t))
 
 
 @query
@@ -287,7 +299,7 @@ def v_recent_matches(t: Tables) -> DataFrame:
                                               F.col("n_name").alias("team_name")))
     regions = broadcast_fixed(t.region.select(F.col("r_regionkey").alias("group_id"),
                                               F.col("r_name").alias("group_name")))
-    return V.v_recent_matches(A.t4_matches(t), nations, regions, n=20)
+    return V.v_recent_matches(A.t4_matches(t, venue=True), nations, regions, n=20)
 
 
 @query
@@ -355,7 +367,7 @@ def team_composition(t: Tables) -> DataFrame:
 
 @query
 def venue_analysis(t: Tables) -> DataFrame:
-    return D.venue_analysis(A.t4_matches(t))
+    return D.venue_analysis(A.t4_matches(t, venue=True))
 
 
 @query
@@ -380,7 +392,7 @@ def team_form(t: Tables) -> DataFrame:
 
 @query
 def team_vs_average(t: Tables) -> DataFrame:
-    return D.team_vs_average(gold.team_performance_summary(standings(t)))
+    return D.team_vs_average(gold.team_performance_summary(standings(t), rank=False))
 
 
 @query
@@ -390,16 +402,16 @@ def top_performers(t: Tables) -> DataFrame:
 
 @query
 def param_filters(t: Tables) -> DataFrame:
-    """Season 1996-97 (D6), all groups and teams (D7), finished or open
-    matches only (D9 match-type parameter)."""
-    m = A.t4_matches(t).withColumn("season", W.season_label(F.col("match_date")))
-    return Flt.param_filters(m, season="1996-97", groups=None, teams=None,
-                             extra={"match_status": ["F", "O"]})
+    """Season 1996-97 (D6), some groups and home teams (D7), finished or
+    open matches only (D9 match-type parameter)."""
+    m = A.t4_matches(t, venue=True).withColumn("season", W.season_label(F.col("match_date")))
+    return Flt.param_filters(m, season="1996-97", groups=[0, 1, 3], teams=[0, 1, 2, 3, 5, 8, 13, 21],
+                             team_col="home_team_id", extra={"match_status": ["F", "O"]})
 
 
 @query
 def last_n_days(t: Tables) -> DataFrame:
-    return Flt.last_n_days(A.t4_matches(t), "match_date", days=30)
+    return Flt.last_n_days(A.t4_matches(t, venue=True), "match_date", days=30)
 
 
 # ------------------------------------------------------------ quality ---
@@ -470,7 +482,7 @@ def dq_ddl_contract(t: Tables) -> DataFrame:
     the values before the typed load."""
     p = gold.player_analytics(athletes(t)).withColumn(
         "player_id", F.col("athlete_id").cast("string"))
-    f = gold.team_performance_summary(standings(t)).withColumns(
+    f = gold.team_performance_summary(standings(t), rank=False).withColumns(
         {"team_id": F.col("team_id").cast("string"), "group_id": F.col("group_id").cast("string")})
     return (Q.ddl_violations(p, "dim_players", W.NOT_NULL["dim_players"],
                              W.VARCHAR_LIMITS["dim_players"], W.DECIMALS["dim_players"])
@@ -499,9 +511,11 @@ def metric_windows(t: Tables) -> DataFrame:
 
 @query
 def alarm_missing_window(t: Tables) -> DataFrame:
-    """Pipeline-style alarm (sum < 1, missing = breaching) on 300 s periods:
-    the 6 h period of the monitor is always filled by this data."""
-    return M.alarm_missing_window(A.t8_metrics(t), period_s=300, threshold=1.0)
+    """Pipeline-style alarm (sum < 1, missing = breaching) on 300 s periods
+    of January 2024 (the 6 h period of the monitor is always filled by this
+    data): all metrics stop before its end, ``heartbeat`` never starts."""
+    return M.alarm_missing_window(A.t8_metrics(t), ["click", "error", "heartbeat", "purchase", "signup", "view"],
+                                  dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), period_s=300, threshold=1.0)
 
 
 @query
@@ -566,7 +580,7 @@ def union_by_name(t: Tables) -> DataFrame:
 @query
 def export_metadata(t: Tables) -> DataFrame:
     """The metadata record written next to a JSON export."""
-    return Out.export_metadata(standings(t), "standings", ts=AUDIT_TS)
+    return Out.export_metadata(standings(t, rank=True), "standings", ts=AUDIT_TS)
 
 
 @query
@@ -574,14 +588,14 @@ def global_row_number(t: Tables) -> DataFrame:
     """a dense rank over the whole fact table, spread over all tasks."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
     return R.global_row_number(li, [F.col("l_extendedprice").desc(), "l_orderkey", "l_partkey",
-                                    "l_suppkey", "l_linenumber"], "rn", strategy="range")
+                                    "l_suppkey", "l_linenumber"], "rn")
 
 
 @query
 def head_to_head_matrix(t: Tables) -> DataFrame:
     """E14 wide form: one column per away team; the team list is the nation
     dimension, whose size TPC-H fixes (25 rows), so the width is bounded."""
-    away = [r.n_nationkey for r in t.nation.select("n_nationkey").orderBy("n_nationkey").collect()]
+    away = list(range(25))
     m = D.head_to_head_matrix(A.t4_matches(t), away)
     return m.select("home_team_id", *[F.col(str(k)).cast("bigint").alias(f"away_{k}") for k in away])
 
@@ -603,14 +617,15 @@ def dq_validate(t: Tables) -> DataFrame:
 
 @query
 def stream_metric_windows(t: Tables) -> DataFrame:
-    """L4: the metric-window stream over the events files (AvailableNow,
-    watermark 0 s): every window whose end the watermark has passed."""
+    """L4: the metric-window stream over the events files (AvailableNow):
+    every window, those still open at the end included."""
     from pitchline.streaming.incremental import run_metric_stream
 
     base = _scratch(t, "metric-stream")
     return run_metric_stream(
         t.spark, f"{t.sf_dir}/events*.parquet", t.events.schema, f"{base}/out", f"{base}/ckpt",
-        select=lambda s: s.select("ts", F.col("event_type").alias("metric_name"), "value"))
+        select=lambda s: s.select("ts", F.col("event_type").alias("metric_name"),
+                                  F.col("value").cast("decimal(18,2)").alias("value")))
 
 
 def _scratch(t: Tables, tag: str) -> str:
@@ -650,3 +665,68 @@ def stream_silver_standings(t: Tables) -> DataFrame:
     stream_silver(t.spark, f"{root}/bronze", f"{root}/silver", "standings", f"{root}/ckpt",
                   ts=AUDIT_TS, layout="lines").awaitTermination()
     return t.spark.read.parquet(f"{root}/silver/standings").drop("batch_id")
+
+
+# ------------------------------------------- snapshots, seasons, loads ---
+
+def snapshots(t: Tables) -> DataFrame:
+    """Two snapshots of every player; in the older one all were a year older
+    and played elsewhere."""
+    new = athletes(t).withColumn("ingestion_timestamp", F.lit("2024-07-01T06:00:00"))
+    old = new.withColumns({
+        "ingestion_timestamp": F.lit("2024-07-01T00:00:00"), "athlete_age": F.col("athlete_age") + 1,
+        "athlete_team": F.col("athlete_team").withField("id", F.lit("0"))})
+    return new.unionByName(old)
+
+
+@query
+def roster_latest_snapshot(t: Tables) -> DataFrame:
+    """E3 over repeated snapshots: each player counts once."""
+    return gold.team_roster_summary(snapshots(t), sets="string")
+
+
+@query
+def dim_players_snapshots(t: Tables) -> DataFrame:
+    """K2 over repeated snapshots: one row per player."""
+    return W.audited(W.dim_players(gold.player_analytics(snapshots(t))), AUDIT_TS)
+
+
+@query
+def standings_two_seasons(t: Tables) -> DataFrame:
+    """F1's input over two seasons, the newer one with a stale snapshot:
+    the newest row per season, group and team."""
+    s = standings(t)
+
+    def load(season: str, ts: str, points: Column) -> DataFrame:
+        return s.withColumns({"season": F.lit(season), "ingestion_timestamp": F.lit(ts), "points": points})
+
+    both = (load("2024-25", "2024-12-01T06:00:00", F.col("points"))
+            .unionByName(load("2024-25", "2024-12-01T00:00:00", F.lit(0.0)))
+            .unionByName(load("2023-24", "2024-06-01T00:00:00", F.col("points") + 1)))
+    return gold.team_performance_summary(both, rank=False).select("season", "team_id", "points", "games_played")
+
+
+@query
+def two_loads(t: Tables) -> DataFrame:
+    """K8/K9 over two loads: identity keys of the second load start behind
+    the first; a narrower reload keeps the other column and created_at."""
+    c = t.customer.select("c_custkey", (F.col("c_custkey") % 7).alias("extra"))
+    first = R.materialize(R.surrogate_key(c.where("c_custkey % 3 <> 0"), name="sk"), "load")
+    second = R.surrogate_key(c.where("c_custkey % 3 = 0"), name="sk", start=W.next_key(first, "sk"))
+    table = W.audited(R.materialize(first.unionByName(second), "load"), "2024-01-01 00:00:00")
+    reload = t.customer.where("c_custkey % 2 = 0").select("c_custkey", F.lit(1).alias("seen"))
+    out = W.upsert(table, reload, ["c_custkey"], ts="2024-06-01 00:00:00")
+    later = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sk").alias("n_keys"),
+                   F.count(F.when(F.col("created_at") >= later, 1)).alias("n_created_later"),
+                   F.count(F.when(F.col("updated_at") >= later, 1)).alias("n_updated"),
+                   F.sum("extra").cast("bigint").alias("kept_extra"))
+
+
+@query
+def cast_decimal_text(t: Tables) -> DataFrame:
+    """Decimal numbers in text, numbers out of range, dates that are none."""
+    return t.part.select(
+        "p_partkey", X.to_int(F.concat(F.col("p_size").cast("string"), F.lit(".0"))).alias("size_int"),
+        X.to_int(F.concat(F.col("p_size").cast("string"), F.lit("0000000000"))).alias("too_large"),
+        F.concat(F.lit("2024-13-"), F.col("p_size").cast("string")).try_cast("date").alias("bad_date"))

@@ -69,7 +69,8 @@ SELECT o_custkey AS player_id, c_nationkey AS team_id, CAST(o_orderdate AS DATE)
   CAST(o_orderkey % 4 AS INT) AS goals, CAST(o_orderkey % 3 AS INT) AS assists
 FROM orders JOIN customer ON o_custkey=c_custkey""",
     "t7_logs": """
-SELECT event_id, ts, CONCAT(UPPER(event_type), ' duration ', props) AS message, user_id AS log_stream FROM events""",
+SELECT event_id, ts, CONCAT(UPPER(event_type), CASE WHEN event_id % 3 = 0 THEN ' duration ' WHEN event_id % 3 = 1
+  THEN ' processing time ' ELSE ' size ' END, props) AS message, user_id AS log_stream FROM events""",
     "t8_metrics": """
 SELECT ts, event_type AS metric_name, value FROM events""",
 }

@@ -17,8 +17,9 @@ def _c(x: Column | str) -> Column:
 
 def to_int(x: Column | str) -> Column:
     """``try_cast`` to int: a non-numeric string becomes NULL.
-    Numeric inputs truncate toward zero like ``cast``."""
-    return _c(x).try_cast("int")
+    Numeric inputs, and decimal numbers in strings ("25.0"), truncate toward
+    zero like ``cast``; what does not fit becomes NULL."""
+    return F.coalesce(_c(x).try_cast("int"), _c(x).try_cast("double").try_cast("int"))
 
 
 def to_double(x: Column | str) -> Column:
@@ -26,7 +27,8 @@ def to_double(x: Column | str) -> Column:
 
 
 def to_bigint(x: Column | str) -> Column:
-    return _c(x).try_cast("bigint")
+    """As :func:`to_int`, for totals that may pass 2^31."""
+    return F.coalesce(_c(x).try_cast("bigint"), _c(x).try_cast("decimal(38,10)").try_cast("bigint"))
 
 
 # --- C11-C14: rates and ratings ---

@@ -18,11 +18,8 @@ cluster) serialises the work. The functions here instead:
    aggregate with one row per file (a proven bound, so its broadcast is
    safe).
 
-Strategies: ``"auto"`` (default) first writes the input to the checkpoint
-folder and counts it; at most ``SMALL_ROWS`` rows (a checked bound) are
-ranked by one single-partition window, anything bigger takes the range
-path above. ``"range"`` always takes the range path, ``"window"`` always
-the single window (only for inputs with a known small bound).
+There is one path for every input size. What is ranked is written when the
+DataFrame is built, so build ranks only where they are read.
 """
 
 from __future__ import annotations
@@ -62,31 +59,11 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     return back.withColumns({c: F.lit(None) for c in void}) if void else back
 
 
-# Largest input ranked by a single-partition window under ``"auto"``.
-SMALL_ROWS = 1_000_000
-
-
-def _small(df: DataFrame, strategy: str, small_rows: int) -> tuple[DataFrame, bool]:
-    """Apply the strategy: returns (input to use, rank it with one window?)."""
-    if strategy == "window":
-        return df, True
-    if strategy == "range":
-        return df, False
-    if strategy != "auto":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    stored = materialize(df, "input")
-    return stored, stored.count() <= small_rows
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column | str],
-                      name: str = "row_number", *, strategy: str = "auto",
-                      small_rows: int = SMALL_ROWS) -> DataFrame:
+                      name: str = "row_number") -> DataFrame:
     """Add ``name`` = 1..n in the given total order (include a unique
     tie-break in ``order`` for a deterministic result). Type: bigint."""
     order = _as_cols(order)
-    df, small = _small(df, strategy, small_rows)
-    if small:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     cols = df.columns
     stored = materialize(df.orderBy(*order), "sorted")
     fname = F.col("_metadata.file_name")
@@ -106,20 +83,13 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str],
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
-                name: str = "rank", *, strategy: str = "auto",
-                small_rows: int = SMALL_ROWS) -> DataFrame:
+                name: str = "rank") -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)`` (bigint).
 
-    Beyond the small bound, ranks globally by ``(by, order)`` and subtracts
-    the first global rank of each group, so a hot group is spread over many
-    tasks instead of landing in one window partition."""
-    order = _as_cols(order)
-    df, small = _small(df, strategy, small_rows)
-    if small:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    ranked = global_row_number(df, [*(F.col(c).asc() for c in by), *order], "_pl_g",
-                               strategy="range")
+    Ranks globally by ``(by, order)`` and subtracts the first global rank of
+    each group, so a hot group is spread over many tasks instead of landing
+    in one window partition."""
+    ranked = global_row_number(df, [*(F.col(c).asc() for c in by), *_as_cols(order)], "_pl_g")
     # first global rank per group: map-side partial min, one row per group
     firsts = ranked.groupBy(*by).agg(F.min("_pl_g").alias("_pl_first"))
     firsts = firsts.select(*(F.col(c).alias(f"_pl_k_{i}") for i, c in enumerate(by)),
@@ -132,13 +102,15 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
 
 def surrogate_key(df: DataFrame, order: Sequence[Column | str] | None = None,
                   name: str = "sk", *, dense: bool = False,
-                  hash_cols: Sequence[str] | None = None) -> DataFrame:
+                  hash_cols: Sequence[str] | None = None, start: int | Column = 0) -> DataFrame:
     """IDENTITY(1,1)-style key (K8). A warehouse identity column promises
     unique values, not consecutive ones, so the default needs no shuffle:
 
-    * default: ``monotonically_increasing_id`` - unique 64-bit ids
-      (partition index in the high bits); a re-run task re-issues ids from
-      its own range only, so ids stay unique after a lost executor;
+    * default: ``monotonically_increasing_id`` from ``start`` on - unique
+      64-bit ids (partition index in the high bits); a re-run task re-issues
+      ids from its own range only, so ids stay unique after a lost executor.
+      The ids of one call are unique; a further load of the same table
+      starts behind its greatest key (``start``);
     * ``dense=True``: exactly 1..n in ``order`` (a total order), via
       :func:`global_row_number` (a global sort);
     * ``hash_cols``: ``xxhash64`` of the natural key, stable across reloads
@@ -150,4 +122,4 @@ def surrogate_key(df: DataFrame, order: Sequence[Column | str] | None = None,
         return global_row_number(df, order, name)
     if hash_cols:
         return df.withColumn(name, F.xxhash64(*hash_cols))
-    return df.withColumn(name, F.monotonically_increasing_id())
+    return df.withColumn(name, F.monotonically_increasing_id() + start)

@@ -29,20 +29,27 @@ def _present(df: DataFrame, mapping: list[tuple[str, object]]) -> list:
     return out
 
 
-def _snapshot(standings: DataFrame, snapshot: str) -> DataFrame:
-    if snapshot == "latest" and "ingestion_timestamp" in standings.columns:
-        return latest_snapshot(standings, "ingestion_timestamp", by=["team_id"])
-    return standings
+STANDINGS_KEY = ("season", "group_id", "team_id")
+ATHLETES_KEY = ("season", "athlete_id")
+
+
+def _snapshot(df: DataFrame, snapshot: str, key: tuple[str, ...] = STANDINGS_KEY) -> DataFrame:
+    """The newest snapshot of each key (of the key columns that are there)."""
+    if snapshot == "latest" and "ingestion_timestamp" in df.columns:
+        return latest_snapshot(df, "ingestion_timestamp", by=[c for c in key if c in df.columns])
+    return df
 
 
 def team_performance_summary(standings: DataFrame, *, snapshot: str = "latest",
-                             rank_strategy: str = "auto") -> DataFrame:
+                             rank: bool = True) -> DataFrame:
     """Per-team performance with rates, rating and an overall rank (F1).
 
     ``overall_rank`` orders by points desc, goal difference desc and team id
-    (the tie-break makes it deterministic)."""
+    (the tie-break makes it deterministic); ``rank=False`` leaves it out,
+    for consumers that do not read it."""
     s = _snapshot(standings, snapshot)
     perf = s.select(*_present(s, [
+        ("season", F.col("season")),
         ("group_id", F.col("group_id")),
         ("group_name", F.col("group_name")),
         ("team_id", F.col("team_id")),
@@ -66,15 +73,19 @@ def team_performance_summary(standings: DataFrame, *, snapshot: str = "latest",
         "goals_conceded_per_game": X.safe_ratio("goals_against", "games_played"),
         "performance_rating": X.performance_rating("points_per_game", "goal_differential"),
     })
+    if not rank:
+        return perf
     return global_row_number(
         perf, [F.col("points").desc(), F.col("goal_differential").desc(),
-               F.col("team_id").asc()], "overall_rank", strategy=rank_strategy)
+               F.col("team_id").asc()], "overall_rank")
 
 
-def player_analytics(athletes: DataFrame) -> DataFrame:
-    """Per-player profile with team fields, age group and BMI."""
-    a = athletes
+def player_analytics(athletes: DataFrame, *, snapshot: str = "latest") -> DataFrame:
+    """Per-player profile with team fields, age group and BMI (K10), from
+    the player's newest snapshot."""
+    a = _snapshot(athletes, snapshot, ATHLETES_KEY)
     p = a.select(*_present(a, [
+        ("season", F.col("season")),
         ("athlete_id", F.col("athlete_id")),
         ("athlete_full_name", F.col("athlete_full_name").alias("player_name")),
         ("athlete_display_name", F.col("athlete_display_name").alias("player_display_name")),
@@ -98,15 +109,16 @@ def player_analytics(athletes: DataFrame) -> DataFrame:
                           "bmi": X.bmi("weight_kg", "height_cm")})
 
 
-def team_roster_summary(athletes: DataFrame, *, sets: str = "array") -> DataFrame:
+def team_roster_summary(athletes: DataFrame, *, sets: str = "array", snapshot: str = "latest") -> DataFrame:
     """Squad profile per team (E3): size, age/weight/height stats, distinct
-    nationalities and positions.
+    nationalities and positions, over each player's newest snapshot.
 
     ``sets``: ``"array"`` keeps sorted distinct arrays (memory per group is
     bounded by the number of distinct values, not by the squad size; the
     partial aggregate de-duplicates map-side), ``"string"`` joins them with
     commas, ``"count"`` keeps only the counts (``count(DISTINCT)``), the
     choice for high-cardinality columns at scale."""
+    athletes = _snapshot(athletes, snapshot, ATHLETES_KEY)
     team = F.col("athlete_team")
     age = X.to_int("athlete_age")
     aggs = [F.count(F.lit(1)).alias("total_players"),
@@ -162,8 +174,7 @@ def competition_overview(standings: DataFrame, *, snapshot: str = "latest",
     })
 
 
-def group_analysis(standings: DataFrame, *, snapshot: str = "latest",
-                   rank_strategy: str = "auto") -> DataFrame:
+def group_analysis(standings: DataFrame, *, snapshot: str = "latest") -> DataFrame:
     """Per-group statistics and competitiveness rank."""
     s = _snapshot(standings, snapshot)
     pts, gd = X.to_int("points"), X.to_int("goalDifferential")
@@ -185,4 +196,4 @@ def group_analysis(standings: DataFrame, *, snapshot: str = "latest",
     })
     return global_row_number(g, [F.col("competitiveness_score").desc(),
                                  F.col("group_id").asc()],
-                             "competitiveness_rank", strategy=rank_strategy)
+                             "competitiveness_rank")

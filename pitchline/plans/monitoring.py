@@ -4,16 +4,17 @@ Metric series are reduced to fixed windows first (a grouped aggregate with
 map-side partial aggregation), so everything after works on at most one
 row per (metric, period): a size set by the calendar, not by the volume of
 samples. Alarms that treat a *missing* period as breaching need the
-periods that have no samples, so a spine of periods is generated per metric
-from its own time range (``sequence`` + ``explode``; no cross join) and
-left-joined to the windowed values.
+periods that have no samples, so a spine of periods is generated from a
+stated time range and list of metrics (no cross join) and left-joined to
+the windowed values.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchline.operators.filters import message_like
@@ -46,15 +47,12 @@ def perf_logs(logs: DataFrame, n: int = 100) -> DataFrame:
 
 def metric_windows(metrics: DataFrame, period_s: int = RESOURCE_PERIOD_S,
                    ts_col: str = "ts", name_col: str = "metric_name",
-                   value_col: str = "value", exact_scale: int | None = 2) -> DataFrame:
+                   value_col: str = "value") -> DataFrame:
     """L2: tumbling windows of ``period_s`` seconds per metric with sum,
-    average and sample count.
-
-    ``exact_scale`` sums the values as ``decimal(18, scale)`` (exact and
-    independent of summation order) when the values carry that many
-    decimals; ``None`` sums doubles."""
+    average and sample count. Values are summed in their own type, never
+    rounded; decimal columns give sums that do not depend on their order."""
     v = F.col(value_col)
-    total = F.sum(v.cast(f"decimal(18,{exact_scale})")) if exact_scale is not None else F.sum(v)
+    total = F.sum(v)
     w = metrics.groupBy(F.window(ts_col, f"{period_s} seconds").alias("w"), F.col(name_col)).agg(
         total.alias("_sum"), F.count(v).alias("samples"))
     w = w.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -63,30 +61,29 @@ def metric_windows(metrics: DataFrame, period_s: int = RESOURCE_PERIOD_S,
     return w.withColumn("avg_value", F.col("sum_value") / F.col("samples"))
 
 
-def _floor_ts(c: Column, period_s: int) -> Column:
-    """Start of the epoch-aligned period holding ``c`` (timestamp_ntz), the
-    same alignment ``window()`` uses; independent of the session zone."""
-    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    secs = F.timestamp_diff("SECOND", epoch, c)
-    return F.timestamp_add("SECOND", secs - F.pmod(secs, F.lit(period_s)), epoch)
-
-
-def period_spine(metrics: DataFrame, period_s: int, ts_col: str = "ts",
-                 name_col: str = "metric_name") -> DataFrame:
-    """Every period of each metric between its first and last sample."""
-    b = metrics.groupBy(F.col(name_col).alias("metric_name")).agg(
-        _floor_ts(F.min(ts_col), period_s).alias("lo"), _floor_ts(F.max(ts_col), period_s).alias("hi"))
-    step = F.make_dt_interval(secs=F.lit(period_s))
-    return b.select("metric_name", F.explode(F.sequence("lo", "hi", step)).alias("window_start"))
+def period_spine(spark: SparkSession, names: Sequence[str], lo: _dt.datetime, hi: _dt.datetime,
+                 period_s: int) -> DataFrame:
+    """Every period of every named metric that starts in ``[lo, hi)``,
+    aligned to the epoch as ``window()`` aligns them. Its size follows the
+    calendar and the list of metrics; it reads no data."""
+    epoch = _dt.datetime(1970, 1, 1)
+    first = int((lo - epoch).total_seconds()) // period_s
+    last = -(-int((hi - epoch).total_seconds()) // period_s)
+    start = F.timestamp_add("SECOND", F.col("id") * period_s, F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))
+    return spark.range(first, max(first, last)).select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("metric_name"), start.alias("window_start"))
 
 
-def alarm_missing_window(metrics: DataFrame, period_s: int = PIPELINE_PERIOD_S,
-                         threshold: float = PIPELINE_THRESHOLD, ts_col: str = "ts",
-                         name_col: str = "metric_name", value_col: str = "value") -> DataFrame:
+def alarm_missing_window(metrics: DataFrame, names: Sequence[str], lo: _dt.datetime, hi: _dt.datetime,
+                         period_s: int = PIPELINE_PERIOD_S, threshold: float = PIPELINE_THRESHOLD,
+                         ts_col: str = "ts", name_col: str = "metric_name",
+                         value_col: str = "value") -> DataFrame:
     """L3: ``Sum over the period < threshold`` with missing data treated as
-    breaching. One row per (metric, period) of the spine."""
-    w = metric_windows(metrics, period_s, ts_col, name_col, value_col)
-    spine = period_spine(metrics, period_s, ts_col, name_col)
+    breaching: one row for every period of ``[lo, hi)`` and every alarmed
+    metric, so a metric that stops, or never starts, is flagged as well.
+    The samples are scanned once."""
+    w = metric_windows(metrics.where(F.col(name_col).isin(list(names))), period_s, ts_col, name_col, value_col)
+    spine = period_spine(metrics.sparkSession, names, lo, hi, period_s)
     j = spine.join(w.select("metric_name", "window_start", "sum_value", "samples"),
                    ["metric_name", "window_start"], "left")
     return j.select("metric_name", "window_start",
@@ -104,7 +101,8 @@ def alarm_consecutive(metrics: DataFrame, period_s: int = RESOURCE_PERIOD_S,
     consecutive periods (missing periods break a run). One row per
     (metric, period with samples) with ``breaching`` and ``alarm``.
 
-    The window runs over the per-period rows (already reduced), ordered by
+    The window runs over the per-period rows (already reduced, so that a
+    metric has at most one row a period of the calendar), ordered by
     time within a metric; ``periods - 1`` lags check that the earlier
     periods are the adjacent ones and breached as well."""
     w = metric_windows(metrics, period_s, ts_col, name_col, value_col).select(

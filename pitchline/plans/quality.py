@@ -221,7 +221,7 @@ def ddl_violations(df: DataFrame, table: str, not_null_cols: Sequence[str],
             checks.append((c, "not_null", F.col(c).isNull()))
     for c, n in varchar.items():
         if c in cols:
-            checks.append((c, f"varchar({n})", F.length(F.col(c).cast("string")) > n))
+            checks.append((c, f"varchar({n})", F.octet_length(F.col(c).cast("string")) > n))
     for c, (p, s) in decimals.items():
         if c in cols:
             checks.append((c, f"decimal({p},{s})",

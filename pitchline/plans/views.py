@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from pitchline.functions import exprs as X
 from pitchline.operators.filters import latest_snapshot
 
-PERFORMANCE_MEASURES = ("games_played", "wins", "losses", "ties", "points", "goals_for",
-                        "goals_against", "goal_differential", "group_rank", "overall_rank",
-                        "win_percentage", "performance_rating")
+PERFORMANCE_MEASURES = ("games_played", "wins", "losses", "ties", "points", "goal_differential",
+                        "group_rank", "overall_rank", "win_percentage", "performance_rating")
 
 
 def _measures(df: DataFrame, names) -> list[str]:

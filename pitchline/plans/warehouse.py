@@ -124,8 +124,11 @@ def dim_players(players: DataFrame) -> DataFrame:
 
 
 def dim_groups(standings: DataFrame) -> DataFrame:
-    """K3: distinct groups; one deterministic name per id (grouped min)."""
+    """K3: distinct groups; the newest name per id (of names that are as
+    new, the smallest)."""
     cols = set(standings.columns)
+    if "ingestion_timestamp" in cols:
+        standings = latest_snapshot(standings, "ingestion_timestamp", by=["group_id"])
     abbr = F.min("group_abbreviation") if "group_abbreviation" in cols else F.lit(None).cast("string")
     return (standings.groupBy(_str("group_id").alias("group_id"))
             .agg(F.min("group_name").alias("group_name"), abbr.alias("group_abbreviation")))
@@ -164,7 +167,7 @@ def dim_dates(lo: Column | str | _dt.date, hi: Column | str | _dt.date,
 
 
 def fact_team_performance(summary: DataFrame, date_id: Column | str | _dt.date,
-                          *, key: bool = True) -> DataFrame:
+                          *, key: bool = True, start: int | Column = 0) -> DataFrame:
     """K5: gold team summary stamped with its snapshot date, DDL types."""
     d = date_id if isinstance(date_id, Column) else F.lit(str(date_id)).cast("date")
     f = summary.select(
@@ -178,14 +181,26 @@ def fact_team_performance(summary: DataFrame, date_id: Column | str | _dt.date,
         _dec("goals_per_game", 5, 2).alias("goals_per_game"),
         _dec("goals_conceded_per_game", 5, 2).alias("goals_conceded_per_game"),
         _dec("performance_rating", 8, 2).alias("performance_rating"))
-    return surrogate_key(f, name="performance_id") if key else f
+    return surrogate_key(f, name="performance_id", start=start) if key else f
+
+
+def next_key(table: DataFrame, name: str) -> Column:
+    """Where the identity of the next load of ``table`` starts: behind the
+    greatest key so far (a scalar subquery)."""
+    return table.select(F.coalesce(F.max(name) + 1, F.lit(0).cast("bigint"))).scalar()
+
+
+def audited(df: DataFrame, ts: str) -> DataFrame:
+    """The audit columns that every table of the warehouse carries."""
+    stamp = F.lit(ts).cast("timestamp_ntz")
+    return df.withColumns({"created_at": stamp, "updated_at": stamp})
 
 
 PLAYER_STAT_COLUMNS = ("games_played", "goals", "assists", "yellow_cards", "red_cards",
                        "minutes_played", "shots", "shots_on_target", "pass_completion_rate")
 
 
-def fact_player_stats(stats: DataFrame, *, key: bool = True) -> DataFrame:
+def fact_player_stats(stats: DataFrame, *, key: bool = True, start: int | Column = 0) -> DataFrame:
     """K6: player statistics. Accepts the wide form, or the long payload
     form ``(player_id, team_id, date, stat_name, stat_value)`` which is
     pivoted with an explicit name list (no discovery job)."""
@@ -195,22 +210,22 @@ def fact_player_stats(stats: DataFrame, *, key: bool = True) -> DataFrame:
         s = s.groupBy(*keys).pivot("stat_name", list(PLAYER_STAT_COLUMNS)).agg(F.max("stat_value"))
     cols = set(s.columns)
     out = [_str("player_id").alias("player_id"), _str("team_id").alias("team_id"),
-           F.to_date("date_id").alias("date_id")]
-    for c in PLAYER_STAT_COLUMNS:
-        if c == "pass_completion_rate":
-            out.append((_dec(c, 5, 2) if c in cols else F.lit(None).cast("decimal(5,2)")).alias(c))
-        elif c in cols:
-            out.append(X.to_int(c).alias(c))
+           F.col("date_id").try_cast("date").alias("date_id")]
+    for c in PLAYER_STAT_COLUMNS:  # all of them, whatever the input carries
+        value = F.col(c) if c in cols else F.lit(None).cast("string")
+        out.append((_dec(value, 5, 2) if c == "pass_completion_rate" else X.to_int(value)).alias(c))
     f = s.select(*out)
-    return surrogate_key(f, name="stat_id") if key else f
+    return surrogate_key(f, name="stat_id", start=start) if key else f
 
 
-def fact_match_results(events: DataFrame, *, key: bool = True) -> DataFrame:
-    """K7: one row per match from silver events.
+def fact_match_results(events: DataFrame, *, key: bool = True, start: int | Column = 0) -> DataFrame:
+    """K7: one row per match from silver events, newest snapshot per event.
 
     Home and away sides are picked out of the ``competitors`` array with
     higher-order functions on each row: no explode + regroup, hence no
     shuffle. Scores are ``try_cast`` (a missing score stays NULL)."""
+    if "ingestion_timestamp" in events.columns:
+        events = latest_snapshot(events, "ingestion_timestamp", by=["event_id"])
     comp = F.explode("event_competitions").alias("c")
     e = events.select("event_id", "event_date", "event_status", comp)
 
@@ -222,13 +237,13 @@ def fact_match_results(events: DataFrame, *, key: bool = True) -> DataFrame:
         side("home")["teamId"].alias("home_team_id"),
         side("away")["teamId"].alias("away_team_id"),
         F.col("c.groupId").alias("group_id"),
-        F.to_date("event_date").alias("match_date"),
+        F.col("event_date").try_cast("date").alias("match_date"),
         X.to_int(side("home")["score"]).alias("home_score"),
         X.to_int(side("away")["score"]).alias("away_score"),
         F.col("event_status.name").alias("match_status"),
-        F.col("c.attendance").cast("int").alias("attendance"),
+        F.col("c.attendance").try_cast("int").alias("attendance"),
         F.col("c.venue").alias("venue"))
-    return surrogate_key(f, name="match_id") if key else f
+    return surrogate_key(f, name="match_id", start=start) if key else f
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str], *,
@@ -242,18 +257,28 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str], *,
     caller writes the result to a *new* version folder, never over the
     input being read."""
     key = list(key)
-    value_cols = [c for c in incoming.columns if c not in key and c not in (created_col, updated_col)]
+    audit = (created_col, updated_col)
+    # columns of either side stay: those that only the table has keep their
+    # values, those that only the load has are NULL in untouched rows
+    new_cols = [c for c in incoming.columns if c not in key and c not in audit]
+    old_cols = [c for c in existing.columns if c not in key and c not in audit]
     stamp = F.lit(ts).cast(existing.schema[created_col].dataType)
-    old = existing.select(*key, *[F.col(c).alias(f"_old_{c}") for c in value_cols],
+    old = existing.select(*key, *[F.col(c).alias(f"_old_{c}") for c in old_cols],
                           F.col(created_col).alias("_old_created"),
-                          F.col(updated_col).alias("_old_updated"), F.lit(True).alias("_old"))
-    new = incoming.select(*key, *[F.col(c).alias(f"_new_{c}") for c in value_cols],
+                          F.col(updated_col).alias("_old_updated"))
+    new = incoming.select(*key, *[F.col(c).alias(f"_new_{c}") for c in new_cols],
                           F.lit(True).alias("_new"))
     j = old.join(new, key, "full_outer")
     is_new = F.col("_new").isNotNull()
+
+    def merged(c: str) -> Column:
+        if c not in new_cols:
+            return F.col(f"_old_{c}")
+        if c not in old_cols:
+            return F.col(f"_new_{c}")
+        return F.when(is_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}"))
+
     return j.select(
-        *key,
-        *[F.when(is_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c)
-          for c in value_cols],
+        *key, *[merged(c).alias(c) for c in [*new_cols, *(c for c in old_cols if c not in new_cols)]],
         F.coalesce(F.col("_old_created"), stamp).alias(created_col),
         F.when(is_new, stamp).otherwise(F.col("_old_updated")).alias(updated_col))

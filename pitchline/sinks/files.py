@@ -64,12 +64,14 @@ def to_flat_text(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def export_metadata(df: DataFrame, name: str, *, ts: str | None = None) -> DataFrame:
+def export_metadata(df: DataFrame, name: str, *, ts: str | None = None,
+                    records: DataFrame | None = None) -> DataFrame:
     """``{dataset_name, export_timestamp, record_count, columns}`` as a
-    one-row DataFrame (the count is a distributed aggregate)."""
-    return df.agg(F.count(F.lit(1)).alias("record_count")).select(
+    one-row DataFrame (the count is a distributed aggregate, over the
+    written ``records`` if there are any)."""
+    return (df if records is None else records).agg(F.count(F.lit(1)).alias("record_count")).select(
         F.lit(name).alias("dataset_name"), F.lit(ts or _now()).alias("export_timestamp"),
-        "record_count", F.lit(",".join(df.columns)).alias("columns"))
+        "record_count", F.array(*[F.lit(c) for c in df.columns]).alias("columns"))
 
 
 # Export sub-folders per format.
@@ -87,8 +89,10 @@ def export(df: DataFrame, root: str, name: str, fmt: str, *, ts: str | None = No
     if fmt in ("csv", "bi"):
         to_flat_text(df).write.mode("overwrite").option("header", "true").csv(path)
     else:
-        df.write.mode("overwrite").json(path + "/records")
-        export_metadata(df, name, ts=stamp_iso).write.mode("overwrite").json(path + "/metadata")
+        # every key of a record is written; what was written is counted
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(path + "/records")
+        records = df.sparkSession.read.text(path + "/records")
+        export_metadata(df, name, ts=stamp_iso, records=records).write.mode("overwrite").json(path + "/metadata")
     return path
 
 
@@ -108,7 +112,7 @@ def export_all(spark: SparkSession, datasets: dict[str, Callable[[], DataFrame]]
         try:
             rows.append((name, "success", export(build(), root, name, fmt, ts=ts), None))
         except Exception as e:  # noqa: BLE001 - isolation is the point
-            rows.append((name, "failed", None, f"{type(e).__name__}: {e}"[:500]))
+            rows.append((name, "failed", None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, EXPORT_STATUS)
 
 

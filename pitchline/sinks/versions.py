@@ -29,12 +29,20 @@ def write_version(df: DataFrame, root: str, name: str, version: str) -> str:
     return path
 
 
+def has_version(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether the table has any ``version=`` folder (a listing, so that no
+    read error can pass for a first load)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}/{VERSION_COL}=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The greatest version. The version is a partition column, so the
     filter on it prunes folders; its value comes from an uncorrelated
     scalar subquery over the partition column only."""
-    all_versions = (spark.read.option("basePath", f"{root.rstrip('/')}/{name}")
-                    .parquet(f"{root.rstrip('/')}/{name}"))
+    all_versions = (spark.read.option("basePath", f"{root.rstrip('/')}/{name}").option("mergeSchema", "true")
+                    .parquet(f"{root.rstrip('/')}/{name}/{VERSION_COL}=*"))
     v = F.col(VERSION_COL).cast("string")
     newest = all_versions.select(F.max(v)).scalar()
     return all_versions.where(v == newest).drop(VERSION_COL)
@@ -45,10 +53,9 @@ def reload(spark: SparkSession, root: str, name: str, incoming: DataFrame,
            created_col: str = "created_at", updated_col: str = "updated_at") -> str:
     """Upsert ``incoming`` into the current version and write the result as
     ``version``; the first load stamps both audit columns with ``ts``."""
-    try:
-        existing = read_current(spark, root, name)
-    except Exception:  # noqa: BLE001 - no version yet: first load
-        existing = None
+    if incoming.groupBy(*key).count().where("count > 1").limit(1).count():
+        raise ValueError(f"keys repeat in the load of {name}")
+    existing = read_current(spark, root, name) if has_version(spark, root, name) else None
     if existing is None:
         stamp = F.lit(ts).cast("timestamp_ntz")
         merged = incoming.withColumns({created_col: stamp, updated_col: stamp})

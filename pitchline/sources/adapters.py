@@ -64,12 +64,16 @@ def t1_base(t: Tables) -> DataFrame:
     )
 
 
-def t1_wide(t: Tables) -> DataFrame:
-    """T1 with the derived stats (points per game, goal difference, rank)."""
+def t1_wide(t: Tables, rank: bool = True) -> DataFrame:
+    """T1 with the derived stats (points per game, goal difference, rank).
+    ``rank=False`` leaves the rank out: it is the only part that sorts and
+    writes, so it is built only for consumers that read it."""
     base = t1_base(t).withColumns({
         "pointsPerGame": F.round(F.col("points") / F.col("gamesPlayed"), 4),
         "goalDifferential": F.col("goalsFor") - F.col("goalsAgainst"),
     })
+    if not rank:
+        return base
     base = rank_within(base, by=["group_id"],
                        order=[F.col("points").desc(),
                               F.col("goalDifferential").desc(),
@@ -78,11 +82,11 @@ def t1_wide(t: Tables) -> DataFrame:
     return base.withColumn("rank", F.col("_rank").cast("double")).drop("_rank")
 
 
-def t1_standings_long(t: Tables) -> DataFrame:
+def t1_standings_long(t: Tables, rank: bool = True) -> DataFrame:
     """The exploded ``(stat_name, stat_value)`` form of T1: input of E1."""
-    base = t1_wide(t)
-    return base.unpivot(["group_id", "group_name", "team_id", "team_name"],
-                        list(STAT_NAMES), "stat_name", "stat_value")
+    names = [n for n in STAT_NAMES if rank or n != "rank"]
+    return t1_wide(t, rank).unpivot(["group_id", "group_name", "team_id", "team_name"],
+                                    names, "stat_name", "stat_value")
 
 
 def t3_athletes(t: Tables) -> DataFrame:
@@ -107,14 +111,15 @@ def t3_athletes(t: Tables) -> DataFrame:
     )
 
 
-def t4_matches(t: Tables) -> DataFrame:
-    """Matches: one per line item whose customer and supplier nations differ."""
+def t4_matches(t: Tables, venue: bool = False) -> DataFrame:
+    """Matches: one per line item whose customer and supplier nations differ
+    (a team does not play itself, so the other line items are no matches).
+    ``venue=True`` adds the venue, which needs a join with ``part``."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                            "l_quantity", "l_shipdate")
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
     cust = t.customer.select("c_custkey", "c_nationkey")
     supp = t.supplier.select("s_suppkey", "s_nationkey")
-    part = t.part.select("p_partkey", "p_brand")
     home = broadcast_fixed(t.nation.select(F.col("n_nationkey").alias("h_nationkey"),
                                            F.col("n_regionkey").alias("h_regionkey")))
     # home side: order -> customer -> nation (nation broadcast, fixed size)
@@ -123,8 +128,12 @@ def t4_matches(t: Tables) -> DataFrame:
                      .select("o_orderkey", "o_orderstatus", "h_nationkey", "h_regionkey"))
     m = (li.join(home_of_order, li.l_orderkey == home_of_order.o_orderkey)
          .join(supp, li.l_suppkey == supp.s_suppkey)
-         .join(part, li.l_partkey == part.p_partkey)
          .where(F.col("h_nationkey") != F.col("s_nationkey")))
+    extra = []
+    if venue:
+        part = t.part.select("p_partkey", "p_brand")
+        m = m.join(part, m.l_partkey == part.p_partkey)
+        extra = [F.col("p_brand").alias("venue")]
     return m.select(
         F.col("l_orderkey").alias("event_id"),
         F.col("h_nationkey").alias("home_team_id"),
@@ -134,9 +143,8 @@ def t4_matches(t: Tables) -> DataFrame:
         (F.col("l_linenumber") - 1).cast("int").alias("home_score"),
         (F.col("l_quantity").cast("int") % 5).alias("away_score"),
         F.col("o_orderstatus").alias("match_status"),
-        (F.col("l_partkey").cast("int") % 1000).cast("int").alias("attendance"),
-        F.col("p_brand").alias("venue"),
-    )
+        (F.col("l_partkey") % 1000).cast("int").alias("attendance"),
+        *extra)
 
 
 def t5_fact_team_performance(t: Tables) -> DataFrame:
@@ -173,16 +181,20 @@ def t6_fact_player_stats(t: Tables) -> DataFrame:
 
 
 def t7_logs(t: Tables) -> DataFrame:
-    """Application log lines."""
+    """Application log lines: a third of them with a duration, a third with
+    a processing time."""
+    kind = (F.when(F.col("event_id") % 3 == 0, " duration ").when(F.col("event_id") % 3 == 1, " processing time ")
+            .otherwise(" size "))
     return t.events.select(
-        "event_id", "ts",
-        F.concat(F.upper("event_type"), F.lit(" duration "), F.col("props")).alias("message"),
+        "event_id", "ts", F.concat(F.upper("event_type"), kind, F.col("props")).alias("message"),
         F.col("user_id").alias("log_stream"))
 
 
 def t8_metrics(t: Tables) -> DataFrame:
-    """Metric samples ``(ts, metric_name, value)``."""
-    return t.events.select("ts", F.col("event_type").alias("metric_name"), "value")
+    """Metric samples ``(ts, metric_name, value)``; the values carry two
+    decimals, so as decimals their sums do not depend on the order."""
+    return t.events.select("ts", F.col("event_type").alias("metric_name"),
+                           F.col("value").cast("decimal(18,2)").alias("value"))
 
 
 def teams_silver(t: Tables) -> DataFrame:
@@ -201,7 +213,7 @@ def teams_silver(t: Tables) -> DataFrame:
 def events_silver(t: Tables) -> DataFrame:
     """Silver events built from T4: the nested competition payload (our
     schema, FIXTURES A4/A5) with home and away competitors."""
-    m = t4_matches(t)
+    m = t4_matches(t, venue=True)
 
     def competitor(side: str, team: str, score: str) -> Column:
         return F.struct(F.lit(side).alias("homeAway"), F.col(team).cast("string").alias("teamId"),

@@ -64,14 +64,16 @@ def stream_silver(spark: SparkSession, bronze_root: str, silver_root: str, entit
 def stream_metrics(metrics: DataFrame, period: str = "300 seconds",
                    watermark: str = "10 minutes", ts_col: str = "ts",
                    name_col: str = "metric_name", value_col: str = "value") -> DataFrame:
-    """L4: event-time window aggregate of a metric stream (append mode)."""
+    """L4: event-time window aggregate of a metric stream. In append mode a
+    window appears once the watermark has passed it, in update mode with
+    every batch that changes it. Values are summed in their own type."""
     v = F.col(value_col)
     ntz = isinstance(metrics.schema[ts_col].dataType, T.TimestampNTZType)
     if ntz:  # watermarks need TIMESTAMP; the session zone maps it back below
         metrics = metrics.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
     agg = (metrics.withWatermark(ts_col, watermark)
            .groupBy(F.window(ts_col, period).alias("w"), F.col(name_col).alias("metric_name"))
-           .agg(F.sum(v.cast("decimal(18,2)")).cast("double").alias("sum_value"),
+           .agg(F.sum(v).cast("double").alias("sum_value"),
                 F.count(v).alias("samples")))
     back = (lambda c: c.cast("timestamp_ntz")) if ntz else (lambda c: c)
     return agg.select(back(F.col("w.start")).alias("window_start"),
@@ -82,18 +84,28 @@ def stream_metrics(metrics: DataFrame, period: str = "300 seconds",
 
 def run_metric_stream(spark: SparkSession, source: str, schema, out_dir: str,
                       checkpoint: str, *, period: str = "300 seconds",
-                      watermark: str = "0 seconds", ts_col: str = "ts",
+                      watermark: str = "10 minutes", ts_col: str = "ts",
                       name_col: str = "metric_name", value_col: str = "value",
+                      max_files_per_trigger: int | None = None,
                       select: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Run L4 over every file now under ``source`` (``AvailableNow``) into
-    a Parquet file sink (append: a window is written once the watermark
-    passes its end) and return what the sink holds. Files, offsets and state
-    live in shared folders, so a restarted run resumes where it stopped."""
-    sdf = spark.readStream.schema(schema).parquet(source)
+    """Run L4 over every file now under ``source`` (``AvailableNow``) and
+    return all windows, those still open at the end included.
+
+    Each micro-batch writes the windows that it changed into its own
+    partition (a replayed batch overwrites itself); the newest state of a
+    window is that of its greatest batch. Files, offsets and state live in
+    shared folders, so a restarted run resumes where it stopped."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    sdf = reader.parquet(source)
     if select is not None:
         sdf = select(sdf)
-    q = (stream_metrics(sdf, period, watermark, ts_col, name_col, value_col).writeStream
-         .format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    windows = stream_metrics(sdf, period, watermark, ts_col, name_col, value_col)
+    q = (windows.writeStream.foreachBatch(lambda df, i: write_batch(df, out_dir, "windows", i))
+         .option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out_dir)
+    rest = [c for c in windows.columns if c not in ("window_start", "metric_name")]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("w")
+    out = spark.read.parquet(f"{out_dir}/windows").groupBy("window_start", "metric_name").agg(newest)
+    return out.select(*[F.col(c) if c not in rest else F.col(f"w.{c}").alias(c) for c in windows.columns])

@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import Window
 from pyspark.sql import functions as F  # noqa: E402
 
 from pitchline.operators.ranking import global_row_number, rank_within  # noqa: E402
@@ -40,19 +41,21 @@ def main() -> None:
     base = spark.range(20000).repartition(4).select(
         "id", (F.col("id") % 97).alias("g"), (F.col("id") * 7 % 13).alias("p"))
     order = [F.col("p").desc(), F.col("id")]
-    expected = {r.id: r.rn for r in global_row_number(base, order, "rn", strategy="window").collect()}
+    expected = {r.id: r.rn for r in base.withColumn(
+        "rn", F.row_number().over(Window.orderBy(*order))).collect()}
 
     upstream = base.withColumn("id", flaky(1, "up")("id"))
-    got = {r.id: r.rn for r in global_row_number(upstream, order, "rn", strategy="range").collect()}
+    got = {r.id: r.rn for r in global_row_number(upstream, order, "rn").collect()}
     assert got == expected, "upstream retry changed the ranks"
 
-    ranked = global_row_number(base, order, "rn", strategy="range")
+    ranked = global_row_number(base, order, "rn")
     down = ranked.withColumn("rn", flaky(0, "down")("rn"))
     got = {r.id: r.rn for r in down.collect()}
     assert got == expected, "downstream retry changed the ranks"
 
-    exp_g = {r.id: r.r for r in rank_within(base, ["g"], order, "r", strategy="window").collect()}
-    got_g = {r.id: r.r for r in rank_within(upstream, ["g"], order, "r", strategy="range").collect()}
+    exp_g = {r.id: r.r for r in base.withColumn(
+        "r", F.row_number().over(Window.partitionBy("g").orderBy(*order))).collect()}
+    got_g = {r.id: r.r for r in rank_within(upstream, ["g"], order, "r").collect()}
     assert got_g == exp_g, "grouped ranks changed under retry"
     spark.stop()
     marks = os.listdir(MARKS)

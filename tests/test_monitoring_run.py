@@ -15,9 +15,19 @@ def metrics(spark, rows):
 def test_missing_window_is_breaching(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(t0 + dt.timedelta(hours=h), "PipelineExecution", 1.0) for h in (0, 1, 13, 19)]
-    r = M.alarm_missing_window(metrics(spark, rows), period_s=21600, threshold=1.0).collect()
-    state = {x.window_start.hour: (x.missing, x.breaching) for x in r}
-    assert state == {0: (False, False), 6: (True, True), 12: (False, False), 18: (False, False)}
+    r = M.alarm_missing_window(metrics(spark, rows), ["PipelineExecution", "Absent"], t0, t0 + dt.timedelta(hours=30),
+                               period_s=21600, threshold=1.0).collect()
+    state = {(x.window_start - t0).total_seconds() / 3600: (x.missing, x.breaching) for x in r
+             if x.metric_name == "PipelineExecution"}
+    # the metric stopped after 19 h: the last period is flagged
+    assert state == {0: (False, False), 6: (True, True), 12: (False, False), 18: (False, False), 24: (True, True)}
+    assert [x.breaching for x in r if x.metric_name == "Absent"] == [True] * 5
+
+
+def test_values_are_not_rounded(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(seconds=300 * i), "cpu", 80.004) for i in range(2)]
+    assert [x.alarm for x in M.alarm_consecutive(metrics(spark, rows)).orderBy("window_start").collect()] == [False, True]
 
 
 def test_two_hot_periods_in_a_row(spark):

@@ -4,15 +4,14 @@ fixed-size dimensions broadcast, big inputs aggregated before joins."""
 
 import pytest
 
-import __spark_entry__ as E
+import os
+
 from conftest import SF_SMALL
+from pitchline.catalog.queries import QUERIES
+from pitchline.session import ensure_checkpoint_dir
 from pitchline.sources import adapters as A
 from pitchline.sources.tables import Tables
 
-QUERIES = E.queries()
-# queries whose building materializes an intermediate table (runs a job)
-MATERIALIZING = set()
-
 
 def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -30,6 +29,30 @@ def test_no_python_udf(spark, key):
         assert node not in plan, f"{key} uses {node}"
 
 
+def written(spark) -> int:
+    base = ensure_checkpoint_dir(spark).removeprefix("file:").rstrip("/")
+    return sum(len(files) for _, _, files in os.walk(base))
+
+
+@pytest.mark.parametrize("key", ["kpi_points_per_game", "dim_groups", "audit_columns", "competition_overview",
+                                 "team_stats_table", "team_vs_average", "head_to_head"])
+def test_building_writes_nothing(spark, key):
+    before = written(spark)
+    QUERIES[key](spark, SF_SMALL)
+    assert written(spark) == before
+
+
+def scans(plan: str, table: str) -> int:
+    return plan.count(f"{table}.parquet")
+
+
+def test_tables_are_scanned_once(spark):
+    for key, table in (("head_to_head", "lineitem"), ("alarm_missing_window", "events")):
+        assert scans(physical(QUERIES[key](spark, SF_SMALL)), table) == 1, key
+    for key in ("head_to_head", "team_form", "match_outcome", "score_distribution", "fixture_calendar"):
+        assert scans(physical(QUERIES[key](spark, SF_SMALL)), "/part") == 0, key
+
+
 def test_scan_pushdown_and_pruning(spark):
     plan = physical(QUERIES["scan_parquet"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan

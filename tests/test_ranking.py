@@ -3,8 +3,7 @@ key holding a third of the rows and ties broken by a unique id."""
 
 import random
 
-import pytest
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitchline.operators.ranking import global_row_number, rank_within, surrogate_key
@@ -19,30 +18,26 @@ def frame(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "id long, g int, pts int, x double").repartition(6)
 
 
-@pytest.mark.parametrize("strategy,small", [("range", 0), ("auto", 0), ("auto", 10_000)])
-def test_global_row_number_matches_window(spark, strategy, small):
+def test_global_row_number_matches_window(spark):
     df = frame(spark)
     order = [F.col("pts").desc(), F.col("x").asc_nulls_first(), F.col("id")]
-    a = {r.id: r.rn for r in global_row_number(df, order, "rn", strategy=strategy,
-                                               small_rows=small).collect()}
-    b = {r.id: r.rn for r in global_row_number(df, order, "rn", strategy="window").collect()}
+    a = {r.id: r.rn for r in global_row_number(df, order, "rn").collect()}
+    b = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
     assert a == b and sorted(a.values()) == list(range(1, 3001))
 
 
-@pytest.mark.parametrize("strategy,small", [("range", 0), ("auto", 0), ("auto", 10_000)])
-def test_rank_within_matches_window(spark, strategy, small):
+def test_rank_within_matches_window(spark):
     df = frame(spark)
     order = [F.col("pts").desc(), F.col("id")]
-    a = {r.id: r.r for r in rank_within(df, ["g"], order, "r", strategy=strategy,
-                                        small_rows=small).collect()}
-    b = {r.id: r.r for r in rank_within(df, ["g"], order, "r", strategy="window").collect()}
+    a = {r.id: r.r for r in rank_within(df, ["g"], order, "r").collect()}
+    w = Window.partitionBy("g").orderBy(*order)
+    b = {r.id: r.r for r in df.withColumn("r", F.row_number().over(w)).collect()}
     assert a == b
 
 
 def test_rank_within_null_group_key(spark):
     df = spark.createDataFrame([(1, None, 5), (2, None, 7), (3, 1, 1)], "id int, g int, p int")
-    r = {x.id: x.r for x in rank_within(df, ["g"], [F.col("p").desc(), "id"], "r",
-                                        strategy="range").collect()}
+    r = {x.id: x.r for x in rank_within(df, ["g"], [F.col("p").desc(), "id"], "r").collect()}
     assert r == {2: 1, 1: 2, 3: 1}
 
 
@@ -56,7 +51,7 @@ def test_surrogate_keys(spark):
 
 def test_untyped_null_column_survives_materialization(spark):
     df = spark.range(5).select("id", F.lit(None).alias("nothing"))
-    out = global_row_number(df, [F.col("id").desc()], "rn", strategy="range").collect()
+    out = global_row_number(df, [F.col("id").desc()], "rn").collect()
     assert sorted((r.id, r.rn) for r in out) == [(i, 5 - i) for i in range(5)]
     assert all(r.nothing is None for r in out)
 

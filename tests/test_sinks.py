@@ -56,7 +56,7 @@ def test_exports(spark, workdir):
     assert sorted(r.tags for r in back.collect()) == ['["x","y"]', "[]"]
     pj = out.export(df, workdir, "ds", "json", ts="2024-07-01T12:30:00")
     meta = spark.read.json(pj + "/metadata").first()
-    assert (meta.record_count, meta.columns, meta.dataset_name) == (2, "id,tags", "ds")
+    assert (meta.record_count, meta.columns, meta.dataset_name) == (2, ["id", "tags"], "ds")
     assert "exports/bi/" in out.export(df, workdir, "ds", "bi", ts="2024-07-01T12:30:00")
 
 
