@@ -24,10 +24,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """base^0 .. base^(n-1) modulo 2^64; the longest made so far is kept."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1 << 16), base, np.uint64)
+        have[0] = 1
+        have = np.multiply.accumulate(have)
+        if n <= 1 << 22:
+            _POWERS[base] = have
+    return have[:n]
+
+
+_POWERS: dict = {}
+# bytes go through a mixing table, so that no byte weighs zero
+_WEIGHTS = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 class PrefixHash:
@@ -37,9 +47,7 @@ class PrefixHash:
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        # bytes go through a mixing table, so that no byte weighs zero
-        table = mix(np.arange(1, 257, dtype=np.uint64))
-        np.cumsum(table[data] * powers(BASE, n), out=self.sums[1:])
+        np.cumsum(_WEIGHTS[data] * powers(BASE, n), out=self.sums[1:])
         self.inverse = powers(BASE_INV, n + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:

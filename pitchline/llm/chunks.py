@@ -1,37 +1,105 @@
 """Encoding of texts piece by piece through a bounded cache.
 
 Both tokenizers here never join characters across certain boundaries, so a
-text's ids are those of its chunks, one after the other. A chunk is encoded
-once by the library and then looked up; the cache is emptied when full, so
-memory stays bounded on any vocabulary.
+text's ids are those of its chunks, one after the other. The chunks of a
+group of texts are found and told apart with numpy, by 64-bit hashes (of a
+group's n distinct chunks two are taken for one with probability n^2/2^65);
+each distinct one is looked up once, and encoded by the library when it is
+new. The cache is emptied by halves, so memory stays bounded on any
+vocabulary.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
-LIMIT = 300_000
+import numpy as np
+
+from pitchline.llm.bytehash import PrefixHash
+
+LIMIT = 500_000
+GROUP = 1 << 20
 
 
 class ChunkCache:
     """Chunk -> its ids as little-endian 32-bit integers. Two generations of
     ``limit`` entries each: what is used again outlives the older one."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = LIMIT):
+    def __init__(self, encode: Callable[[list], Iterable[bytes]], limit: int = LIMIT):
         self.encode, self.limit, self.known, self.older = encode, limit, {}, {}
 
-    def texts(self, chunked: list[list[str]]) -> list[bytes]:
-        """The ids of each text, given its chunks."""
+    def ids(self, chunks: list) -> list[bytes]:
         known, older = self.known, self.older
-        missing = {c for chunks in chunked for c in chunks if c not in known}
-        again = missing & older.keys() if len(missing) < len(older) else {c for c in missing if c in older}
-        known.update((c, older[c]) for c in again)
-        order = list(missing - again)
-        known.update(zip(order, self.encode(order)))
-        out = [b"".join(map(known.__getitem__, chunks)) for chunks in chunked]
-        if len(known) > self.limit:
-            self.known, self.older = {}, known
-        return out
+        found = list(map(known.get, chunks))
+        gaps = [i for i, v in enumerate(found) if v is None]
+        if gaps:
+            fresh = {c: older.get(c) for c in (chunks[i] for i in gaps)}
+            order = [c for c, v in fresh.items() if v is None]
+            fresh.update(zip(order, self.encode(order)))
+            for i in gaps:
+                found[i] = fresh[chunks[i]]
+            known.update(fresh)
+            if len(known) > self.limit:
+                self.known, self.older = {}, known
+        return found
+
+
+def groups(texts: list[bytes], size: int = GROUP) -> Iterator[list[bytes]]:
+    """Runs of texts of about ``size`` bytes; one text is never cut."""
+    out, held = [], 0
+    for t in texts:
+        out.append(t)
+        held += len(t)
+        if held >= size:
+            yield out
+            out, held = [], 0
+    if out:
+        yield out
+
+
+def words(texts: list[bytes], kinds: np.ndarray, single: int = -1) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of bytes of one kind (a table of 256; 0 is a gap, as must be
+    the line end; bytes of the kind ``single`` stand alone): data, starts,
+    ends, and how many each text has."""
+    data = b"\n".join([*texts, b""])
+    kind = kinds[np.frombuffer(data, np.uint8)]
+    edge = np.ones(len(kind) + 1, bool)
+    edge[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == single)
+    starts, ends = np.flatnonzero(edge[:-1] & (kind != 0)), np.flatnonzero(edge[1:] & (kind != 0)) + 1
+    borders = np.cumsum([len(t) + 1 for t in texts])
+    return data, starts, ends, np.diff(np.searchsorted(starts, borders), prepend=0)
+
+
+def runs(texts: list[bytes], first: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """Each text, with ``first`` (a space or nothing) before it, cut before
+    every run of spaces: as for :func:`words`."""
+    texts = [first + t if t else t for t in texts]
+    data = b"".join(texts)
+    space = np.frombuffer(data, np.uint8) == 32
+    start = space.copy()
+    start[1:] &= ~space[:-1]
+    borders = np.cumsum([len(t) for t in texts])
+    start[[b - len(t) for b, t in zip(borders.tolist(), texts) if t]] = True
+    starts = np.flatnonzero(start)
+    return data, starts, np.append(starts[1:], len(data)), np.diff(np.searchsorted(starts, borders), prepend=0)
+
+
+def encode(cache: ChunkCache, data: bytes, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """The ids of every text (``counts`` chunks each)."""
+    if not len(starts):
+        return [np.zeros(0, "<u4") for _ in counts]
+    hashes = PrefixHash(np.frombuffer(data, np.uint8)).of(starts, ends)
+    _, first, chunk = np.unique(hashes, return_index=True, return_inverse=True)
+    found = cache.ids([data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+    flat = np.frombuffer(b"".join(found), "<u4")
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+    offsets = np.cumsum(sizes) - sizes
+    n = sizes[chunk]
+    ids_before = np.cumsum(n) - n
+    ids = flat[np.repeat(offsets[chunk] - ids_before, n) + np.arange(int(n.sum()))]
+    last = np.cumsum(counts)
+    total = np.concatenate([ids_before, [len(ids)]])
+    return np.split(ids, total[last[:-1]])
 
 
 #: One per Python worker and key, kept between tasks.

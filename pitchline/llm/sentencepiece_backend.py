@@ -33,10 +33,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.llm.chunks import ChunkCache, kept
+from pitchline.llm.chunks import ChunkCache, groups, kept, runs
+from pitchline.llm.chunks import encode as encode_chunks
 from pitchline.llm.common import read_documents, text_of
 
 MARK = "▁"
+_MARK = MARK.encode()
 #: Kinds of pieces and of models in the protobuf.
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
@@ -103,52 +105,40 @@ class Encoder:
         self.differ: set[str] = set()
         self.cache = ChunkCache(self._checked)
 
-    def _checked(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks, given without the marker that starts each."""
-        marked = [self.prefix + c if self.prefix else c for c in chunks]
+    def _checked(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks, whose spaces stand for markers."""
+        plain = [c.decode() for c in chunks]
+        marked = [c.replace(" ", MARK) for c in plain]
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
         decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
-        wanted = self.original.encode([c.replace(MARK, " ") for c in chunks], num_threads=1)
+        wanted = self.original.encode([c[len(self.prefix):] for c in plain], num_threads=1)
         out = []
         for chunk, text, ids, back, right in zip(chunks, marked, encoded, decoded, wanted):
-            if chunk == "" and self.prefix:  # a marker of its own, not an empty text
+            if text == self.prefix:  # a marker of its own, not an empty text
                 right = ids
             if ids != right or back != text:
                 self.differ.add(chunk)
             out.append(np.array(right, "<u4").tobytes())
         return out
 
-    def _chunks(self, text: str) -> list[str]:
-        if not text:
-            return []
+    def _plain(self, text: bytes) -> bytes:
         if self.normaliser is not None:
-            text = self.normaliser.normalize_str(text)
-        if MARK in text:
-            text = text.replace(MARK, " ")
-        if self.whole:
-            return [text.replace(" ", MARK)]
-        parts = text.split(" ")
-        if "" not in parts:
-            return parts
-        # empty parts are further markers, which belong to the next chunk
-        out, marks = [], 0
-        for part in parts[:-1]:
-            if part:
-                out.append(MARK * marks + part)
-                marks = 0
+            text = self.normaliser.normalize_str(text.decode()).encode()
+        return text.replace(_MARK, b" ")
+
+    def texts(self, texts: list[bytes]) -> tuple[list[np.ndarray], list[bool]]:
+        """Ids of each text, and whether both libraries agree on all its
+        chunks and the ids decode to it."""
+        out, same = [], []
+        for group in groups(texts):
+            first = b" " if self.prefix else b""
+            group = [self._plain(t) for t in group]
+            if self.whole:
+                out += [np.frombuffer(x, "<u4") for x in self.cache.ids([first + t if t else t for t in group])]
             else:
-                marks += 1
-        out.append(MARK * marks + parts[-1])
-        return out
-
-    def texts(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
-        """Ids of each text as 32-bit integers, and whether both libraries
-        agree on all its chunks and the ids decode to it."""
-        chunked = [self._chunks(t) for t in texts]
-        out = self.cache.texts(chunked)
-        if not self.differ:
-            return out, [True] * len(out)
-        return out, [self.differ.isdisjoint(c) for c in chunked]
+                out += encode_chunks(self.cache, *runs(group, first))
+            same += [not self.differ or not any(d in first + t for d in self.differ) for t in group]
+        return out, same
 
     def decode(self, ids: list[int]) -> str:
         """The normalised text of the ids, without the dummy prefix."""
@@ -156,24 +146,25 @@ class Encoder:
         return text.removeprefix(self.prefix).replace(MARK, " ")
 
 
-def encode(docs: DataFrame, path: str, threads: int = THREADS) -> DataFrame:
-    """doc_id, ids, their number and crc32, and parity of each row."""
+def encode(docs: DataFrame, path: str, threads: int = THREADS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ids, their number and crc32, and parity of each row, and the
+    columns to ``keep``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("pieces", path, threads), lambda: Encoder(path, threads))
         for batch in batches:
-            data, same = encoder.texts(batch.column("text").to_pylist())
-            n = np.array([len(d) // 4 for d in data], np.int64)
+            found, same = encoder.texts([t.as_py() for t in batch.column("text").cast(pa.binary())])
+            n = np.array([len(x) for x in found], np.int64)
             offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-            values = np.frombuffer(b"".join(data), "<i4")
+            values = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array([zlib.crc32(d) for d in data], pa.int64()),
+                [batch.column("doc_id"), *(batch.column(c) for c in keep), pa.array(n), pa.array([zlib.crc32(x.tobytes()) for x in found], pa.int64()),
                  pa.array(same, pa.bool_()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                ["doc_id", "n_ids", "ids_crc32", "parity", "ids"])
+                ["doc_id", *keep, "n_ids", "ids_crc32", "parity", "ids"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_ids long, ids_crc32 long, parity boolean, ids array<int>")
+    rows = docs.select("doc_id", *keep, text_of().alias("text"))
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", *keep))
+    return rows.mapInArrow(run, f"{kinds}, n_ids long, ids_crc32 long, parity boolean, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
