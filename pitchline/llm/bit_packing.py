@@ -25,7 +25,6 @@ lost executors and repeated attempts do no harm.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -38,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchline.llm.chunks import ChunkCache, kept
+from pitchline.llm.chunks import ChunkCache, encode, groups, kept, words
 from pitchline.llm.common import read_documents, text_of
 from pitchline.operators.ranking import materialize
 from pitchline.session import ensure_checkpoint_dir
@@ -143,12 +142,19 @@ class Reader:
             start += step
 
 
-# Chunks of printable ASCII and Latin-1 letters, without apostrophes, are
-# split by the tokenizer into runs of letters, single digits and runs of
-# other characters, and neither case nor composition moves the borders.
-_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-_GAPS = re.compile("[ \t\n\r]+")
+# Printable ASCII without apostrophes and the letters of Latin-1 are split by
+# the tokenizer into runs of letters, single digits and runs of other
+# characters; neither case nor composition moves these borders.
+GAP, LETTER, OTHER, DIGIT = range(4)
+_GAPS = np.where(np.isin(np.arange(256), list(b" \t\n\r")), GAP, OTHER).astype(np.uint8)
+_KINDS = _GAPS.copy()
+_KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LETTER
+_KINDS[48:58] = DIGIT
+# bytes of any other character: control, apostrophe, not of the form C3 xx
+_STRANGE = np.ones(256, bool)
+_STRANGE[[*b" \t\n\r", *range(33, 127), *range(128, 192), 0xC3]] = False
+_STRANGE[39] = True
+_SIGNS = "\u00d7".encode(), "\u00f7".encode()  # the Latin-1 signs among the letters
 _JOINED = 1000
 
 
@@ -165,24 +171,21 @@ class WordEncoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
         self.pieces = ChunkCache(self._joined)
-        self.odd = ChunkCache(self._library)
-        self.chunks = ChunkCache(self._decomposed)
+        self.chunks = ChunkCache(lambda chunks: [x.tobytes() for x in self._library(chunks)], 100_000)
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _library(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
 
-    def _library(self, chunks: list[str]) -> list[bytes]:
-        return [x.tobytes() for x in self._ids(chunks)]
-
-    def _joined(self, pieces: list[str]) -> list[bytes]:
+    def _joined(self, pieces: list[bytes]) -> list[bytes]:
         """Pieces are whole words: many are encoded as one text, whose ids
         are cut after each id that ends a word."""
         out = []
-        groups = [pieces[i:i + _JOINED] for i in range(0, len(pieces), _JOINED)]
-        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+        joined = [pieces[i:i + _JOINED] for i in range(0, len(pieces), _JOINED)]
+        for group, ids in zip(joined, self._library([b" ".join(g) for g in joined])):
             cuts = np.flatnonzero(self.last[ids]) + 1
             if len(cuts) != len(group):
-                out += self._library(group)
+                out += [x.tobytes() for x in self._library(group)]
                 continue
             data, at = ids.tobytes(), 0
             for cut in (cuts * 4).tolist():
@@ -190,16 +193,14 @@ class WordEncoder:
                 at = cut
         return out
 
-    def _decomposed(self, chunks: list[str]) -> list[bytes]:
-        plain = [c for c in chunks if _PLAIN.fullmatch(c)]
-        known = dict(zip(plain, self.pieces.texts([_PIECES.findall(c.lower()) for c in plain])))
-        odd = [c for c in chunks if c not in known]
-        known.update(zip(odd, self.odd.texts([[c] if c else [] for c in odd])))
-        return [known[c] for c in chunks]
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        return self.chunks.texts([_GAPS.split(t) if "\t" in t or "\r" in t or "  " in t
-                                  else t.replace("\n", " ").split(" ") for t in texts])
+    def texts(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        for group in groups(texts):
+            odd = [bool(_STRANGE[np.frombuffer(t, np.uint8)].any()) or any(s in t for s in _SIGNS) for t in group]
+            plain = encode(self.pieces, *words([t.lower() for t, o in zip(group, odd) if not o], _KINDS, DIGIT))
+            other = encode(self.chunks, *words([t for t, o in zip(group, odd) if o], _GAPS))
+            both = iter(plain), iter(other)
+            for o in odd:
+                yield next(both[o])
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -208,18 +209,19 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("words", tokenizer), lambda: WordEncoder(tokenizer))
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         writer = out = None
         shard = TaskContext.get().partitionId()
         store, place = fs.FileSystem.from_uri(folder)
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}.bits"
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for doc, data in zip(ids, encoder.texts(batch.column("text").to_pylist())):
+            texts = [t.as_py() for t in batch.column("text").cast(pa.binary())]
+            for doc, found in zip(ids, encoder.texts(texts)):
                 if writer is None:
                     out = store.open_output_stream(f"{place}/{name}")
                     writer = Writer(out, max(encoder.vocabulary, end_id + 1))
-                writer.add(doc, np.frombuffer(data + end, "<u4"))
+                writer.add(doc, np.append(found, end))
         if writer is not None:
             writer.close()
             out.close()
