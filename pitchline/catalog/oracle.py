@@ -679,8 +679,10 @@ SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, metric
   samples, sum_value / samples AS avg_value
 FROM w"""
 
-ORACLE["bronze_files"] = ORACLE["silver_standings"]
-ORACLE["stream_silver_standings"] = ORACLE["silver_standings"]
+ORACLE["bronze_files"] = f"SELECT s.*, '2024' AS season FROM ({ORACLE['silver_standings']}) s"
+ORACLE["stream_silver_standings"] = ORACLE["bronze_files"]
+
+ORACLE["flatten_events"] = ORACLE["fact_match_results"]
 
 # every table of the warehouse carries the audit columns
 for _t in ("dim_teams", "dim_players", "dim_groups", "dim_dates", "fact_team_performance", "fact_player_stats",
@@ -704,6 +706,17 @@ SELECT count(*) AS n_rows, count(*) AS n_keys, CAST(0 AS BIGINT) AS n_created_la
   count(CASE WHEN c_custkey % 2 = 0 THEN 1 END) AS n_updated, CAST(sum(c_custkey % 7) AS BIGINT) AS kept_extra
 FROM customer"""
 
+ORACLE["unknown_stats"] = W("t2_standings") + """
+SELECT CAST(team_id AS VARCHAR) AS team_id, points, 'deductions' AS stat_name, CAST(team_id % 3 AS DOUBLE) AS stat_value
+FROM t2_standings"""
+
+ORACLE["corrupt_documents"] = W("t1_base") + """
+SELECT count(*) AS documents, count(CASE WHEN team_id % 10 = 0 THEN 1 END) AS corrupt FROM t1_base"""
+
+ORACLE["flatten_athletes"] = W("t3_athletes") + """
+SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, CAST(athlete_id AS VARCHAR) AS athlete_id, athlete_full_name,
+  athlete_age AS age, athlete_nationality AS country, CAST(team_id AS VARCHAR) AS team_id, team_name FROM t3_athletes"""
+
 ORACLE["cast_decimal_text"] = """
 SELECT p_partkey, CAST(p_size AS INT) AS size_int, CAST(NULL AS INT) AS too_large, CAST(NULL AS DATE) AS bad_date
 FROM part"""

@@ -544,7 +544,7 @@ def nested_roundtrip(t: Tables) -> DataFrame:
 
 @query
 def silver_standings(t: Tables) -> DataFrame:
-    return S.silver_standings(parsed_standings(t), ts=AUDIT_TS)
+    return S.silver_standings(parsed_standings(t), ts=AUDIT_TS).drop("other_stats")
 
 
 @query
@@ -652,7 +652,7 @@ def bronze_files(t: Tables) -> DataFrame:
     root = _scratch(t, "bronze")
     _land_standings(t, root)
     docs = bronze.read_bronze(t.spark, root, "standings", layout="lines")
-    return S.silver_standings(docs, ts=AUDIT_TS)
+    return S.silver_standings(docs, ts=AUDIT_TS).drop("other_stats")
 
 
 @query
@@ -664,7 +664,7 @@ def stream_silver_standings(t: Tables) -> DataFrame:
     _land_standings(t, f"{root}/bronze")
     stream_silver(t.spark, f"{root}/bronze", f"{root}/silver", "standings", f"{root}/ckpt",
                   ts=AUDIT_TS, layout="lines").awaitTermination()
-    return t.spark.read.parquet(f"{root}/silver/standings").drop("batch_id")
+    return t.spark.read.parquet(f"{root}/silver/standings").drop("batch_id", "other_stats")
 
 
 # ------------------------------------------- snapshots, seasons, loads ---
@@ -730,3 +730,56 @@ def cast_decimal_text(t: Tables) -> DataFrame:
         "p_partkey", X.to_int(F.concat(F.col("p_size").cast("string"), F.lit(".0"))).alias("size_int"),
         X.to_int(F.concat(F.col("p_size").cast("string"), F.lit("0000000000"))).alias("too_large"),
         F.concat(F.lit("2024-13-"), F.col("p_size").cast("string")).try_cast("date").alias("bad_date"))
+
+
+# ------------------------------------------ nothing lost on the way ---
+
+@query
+def unknown_stats(t: Tables) -> DataFrame:
+    """A stat outside the ten names survives in ``other_stats``."""
+    extra = F.struct(F.lit("deductions").alias("name"), (F.col("_id") % 3).cast("double").alias("value"))
+    docs = A.standings_documents(t).withColumn("_id", F.col("data.children")[0]["standings"]["entries"][0]["team"]["id"].cast("long"))
+    docs = docs.withColumn("data", F.col("data").withField("children", F.transform("data.children", lambda g: g.withField(
+        "standings", F.struct(F.transform(g["standings"]["entries"], lambda e: e.withField(
+            "stats", F.array_append(e["stats"], extra))).alias("entries"))))))
+    wide = S.silver_standings(docs.drop("_id"), ts=AUDIT_TS)
+    return wide.select("team_id", "points", F.explode("other_stats").alias("stat_name", "stat_value"))
+
+
+@query
+def corrupt_documents(t: Tables) -> DataFrame:
+    """A1: documents that are no valid JSON are kept and counted."""
+    d = A.standings_documents(t)
+    team = F.col("data.children")[0]["standings"]["entries"][0]["team"]["id"].cast("long")
+    text = F.to_json(F.struct("metadata", "data"))
+    text = F.when(team % 10 == 0, F.substring(text, 1, 40)).otherwise(text)
+    doc = F.from_json(text, bronze.document_schema("standings"), {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return bronze.corrupt_documents(d.select(doc.alias("d")).select("d.*"))
+
+
+@query
+def flatten_athletes(t: Tables) -> DataFrame:
+    """Athletes from documents through their JSON text."""
+    a = A.t3_athletes(t)
+    item = F.struct(F.col("athlete_id").cast("string").alias("id"), F.col("athlete_full_name").alias("fullName"),
+                    F.concat(F.col("athlete_age").cast("string"), F.lit(".0")).alias("age"),
+                    F.struct(F.col("athlete_nationality").alias("country")).alias("birthPlace"),
+                    F.struct(F.col("team_id").cast("string").alias("id"), F.col("team_name").alias("name")).alias("team"))
+    docs = a.select(F.to_json(F.struct(A._metadata().alias("metadata"), F.struct(F.array(item).alias("items")).alias("data"))).alias("v"))
+    parsed = docs.select(F.from_json("v", bronze.document_schema("athletes", corrupt=False)).alias("d")).select("d.*")
+    return S.silver_athletes(parsed, ts=AUDIT_TS).select(
+        "ingestion_timestamp", "athlete_id", "athlete_full_name", X.to_int("athlete_age").alias("age"),
+        F.get_json_object("athlete_birth_place", "$.country").alias("country"),
+        F.col("athlete_team.id").alias("team_id"), F.col("athlete_team.name").alias("team_name"))
+
+
+@query
+def flatten_events(t: Tables) -> DataFrame:
+    """Events from documents through their JSON text, to match rows."""
+    e = A.events_silver(t)
+    item = F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_date").alias("date"),
+                    F.col("event_status").alias("status"), F.col("event_competitions").alias("competitions"))
+    docs = e.select(F.to_json(F.struct(A._metadata().alias("metadata"), F.struct(F.array(item).alias("events")).alias("data"))).alias("v"))
+    parsed = docs.select(F.from_json("v", bronze.document_schema("events", corrupt=False)).alias("d")).select("d.*")
+    silver = S.silver_events(parsed, ts=AUDIT_TS).drop("ingestion_timestamp")  # an event id repeats for its line items
+    return W.fact_match_results(silver, key=False)

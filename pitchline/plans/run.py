@@ -7,14 +7,17 @@ ingestion, quality and transformation share one set of entity names.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchline.operators.audit import with_audit
-from pitchline.plans import gold, quality, silver
-from pitchline.sinks.files import write_layer
+from pitchline.plans import gold, quality, silver, warehouse
+from pitchline.sinks import versions
+from pitchline.sinks.files import export_all, write_layer
 from pitchline.sources.bronze import read_bronze
 from pitchline.sources.tables import read_table
 
@@ -54,40 +57,87 @@ RUN_STATUS = T.StructType([T.StructField("layer", T.StringType()),
                            T.StructField("error", T.StringType())])
 
 
+def _guarded(rows: list[tuple], layer: str, dataset: str, work: Callable[[], object]) -> None:
+    """Run one dataset's job and note how it went; others go on."""
+    try:
+        work()
+        rows.append((layer, dataset, True, None))
+    except Exception as e:  # noqa: BLE001 - one dataset must not stop the others
+        rows.append((layer, dataset, False, f"{type(e).__name__}: {e}"))
+
+
 def run_layer(spark: SparkSession, layer: str, root: str, *, ts: str | None = None,
-              only: list[str] | None = None, bronze_layout: str = "lines") -> dict[str, bool]:
+              only: list[str] | None = None, bronze_layout: str = "lines") -> list[tuple]:
     """Build and write every dataset of ``layer`` under ``root/<layer>``
-    (``bronze_layout``: how the bronze files hold their documents)."""
-    results: dict[str, bool] = {}
+    (``bronze_layout``: how the bronze files hold their documents). Returns
+    one status row per dataset (``RUN_STATUS``)."""
+    rows: list[tuple] = []
     for name, build in LAYERS[layer].items():
-        if only and name not in only:
-            continue
-        try:
-            write_layer(build(spark, root, ts, bronze_layout), f"{root}/{layer}", name)
-            results[name] = True
-        except Exception:  # noqa: BLE001 - one dataset must not stop the others
-            results[name] = False
-    return results
-
-
-def run_quality(spark: SparkSession, root: str) -> DataFrame:
-    """Validate each silver entity with its suite (Q5) in one union."""
-    out = None
+        if not only or name in only:
+            _guarded(rows, layer, name, lambda n=name, b=build: write_layer(
+                b(spark, root, ts, bronze_layout), f"{root}/{layer}", n))
+    return rows
+
+
+def run_quality(spark: SparkSession, root: str) -> tuple[list[tuple], bool]:
+    """Validate each silver entity with its suite (Q5) and append the report;
+    an entity that cannot be read costs only its own rows. Returns status
+    rows, and whether every expectation of every entity held."""
+    rows: list[tuple] = []
+    passed = True
     for entity in ("standings", "teams", "athletes"):
-        r = quality.validate(read_table(spark, f"{root}/silver", entity), entity)
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
-def run_pipeline(spark: SparkSession, root: str, *, ts: str | None = None,
-                 bronze_layout: str = "lines") -> dict[str, dict[str, bool]]:
-    """Bronze → silver → quality report → gold, one session."""
-    report: dict[str, dict[str, bool]] = {
-        "silver": run_layer(spark, "silver", root, ts=ts, bronze_layout=bronze_layout)}
-    try:
-        write_layer(run_quality(spark, root), f"{root}", "reports", mode="append")
-        report["quality"] = {"reports": True}
-    except Exception:  # noqa: BLE001
-        report["quality"] = {"reports": False}
-    report["gold"] = run_layer(spark, "gold", root, ts=ts)
-    return report
+        def check(e: str = entity) -> None:
+            nonlocal passed
+            report = quality.validate(read_table(spark, f"{root}/silver", e), e)
+            write_layer(report, root, "reports", mode="append")
+            passed &= not report.where(~F.coalesce(F.col("success"), F.lit(False))).limit(1).count()
+
+        _guarded(rows, "quality", entity, check)
+    return rows, passed and all(r[2] for r in rows)
+
+
+def load_warehouse(spark: SparkSession, root: str, *, ts: str) -> list[tuple]:
+    """Reload the tables of the warehouse from silver and gold; each load is
+    a new version, and rows of earlier loads keep their created_at."""
+    version = "".join(c for c in ts if c.isdigit())
+    day = ts[:10]
+
+    def silver_of(name: str) -> DataFrame:
+        return read_table(spark, f"{root}/silver", name)
+
+    def gold_of(name: str) -> DataFrame:
+        return read_table(spark, f"{root}/gold", name)
+
+    loads: dict[str, tuple[Callable[[], DataFrame], list[str]]] = {
+        "dim_teams": (lambda: warehouse.dim_teams(silver_of("teams")), ["team_id"]),
+        "dim_players": (lambda: warehouse.dim_players(gold_of("player_analytics")), ["player_id"]),
+        "dim_groups": (lambda: warehouse.dim_groups(silver_of("standings")), ["group_id"]),
+        "fact_team_performance": (lambda: warehouse.fact_team_performance(
+            gold_of("team_performance_summary"), day, key=False), ["team_id", "group_id", "date_id"]),
+        "fact_match_results": (lambda: warehouse.fact_match_results(silver_of("events"), key=False), ["event_id"]),
+    }
+    rows: list[tuple] = []
+    for name, (build, key) in loads.items():
+        _guarded(rows, "warehouse", name, lambda n=name, b=build, k=key: versions.reload(
+            spark, f"{root}/warehouse", n, b(), k, version=version, ts=ts))
+    return rows
+
+
+def run_pipeline(spark: SparkSession, root: str, *, ts: str | None = None, bronze_layout: str = "lines",
+                 gate: bool = False, export_format: str = "csv") -> DataFrame:
+    """Bronze → silver → quality report → gold → warehouse load → export,
+    one session. Returns the status rows (one per dataset, with the whole
+    error of those that failed). With ``gate`` the layers after the report
+    run only if every expectation held."""
+    stamp = ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()
+    rows = run_layer(spark, "silver", root, ts=ts, bronze_layout=bronze_layout)
+    report, passed = run_quality(spark, root)
+    rows += report
+    if passed or not gate:
+        rows += run_layer(spark, "gold", root, ts=ts)
+        rows += load_warehouse(spark, root, ts=stamp)
+        done = [name for layer, name, ok, _ in rows if layer == "gold" and ok]
+        exported = export_all(spark, {n: lambda n=n: read_table(spark, f"{root}/gold", n) for n in done},
+                              root, export_format, ts=stamp)
+        rows += [("export", r["dataset"], r["status"] == "success", r["error"]) for r in exported.collect()]
+    return spark.createDataFrame(rows, RUN_STATUS)

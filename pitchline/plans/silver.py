@@ -31,9 +31,11 @@ def _explode(col: Column | str, outer: bool) -> Column:
     return F.explode_outer(col) if outer else F.explode(col)
 
 
-def envelope_columns() -> list[Column]:
+def envelope_columns(bronze: DataFrame) -> list[Column]:
+    """Snapshot time and source, and the season of the folder if it is known."""
+    season = [F.col("season")] if "season" in bronze.columns else []
     return [F.col("metadata.ingestion_timestamp").alias("ingestion_timestamp"),
-            F.col("metadata.source").alias("source")]
+            F.col("metadata.source").alias("source"), *season]
 
 
 def explode_standings(bronze: DataFrame, *, outer: bool = False) -> DataFrame:
@@ -42,30 +44,33 @@ def explode_standings(bronze: DataFrame, *, outer: bool = False) -> DataFrame:
     ``outer=False`` drops a group without entries and a team without stats
     (``explode`` of an empty or NULL array emits nothing); ``outer=True``
     keeps them with NULL stats."""
-    g = bronze.select(*envelope_columns(), _explode("data.children", outer).alias("g"))
-    e = g.select("ingestion_timestamp", "source",
+    g = bronze.select(*envelope_columns(bronze), _explode("data.children", outer).alias("g"))
+    first = [c for c in g.columns if c != "g"]
+    e = g.select(*first,
                  F.col("g.id").alias("group_id"), F.col("g.name").alias("group_name"),
                  F.col("g.abbreviation").alias("group_abbreviation"),
                  _explode("g.standings.entries", outer).alias("e"))
-    s = e.select("ingestion_timestamp", "source", "group_id", "group_name", "group_abbreviation",
+    s = e.select(*first, "group_id", "group_name", "group_abbreviation",
                  F.col("e.team.id").alias("team_id"), F.col("e.team.name").alias("team_name"),
                  F.col("e.team.abbreviation").alias("team_abbreviation"),
                  _explode("e.stats", outer).alias("s"))
-    return s.select(*STANDINGS_KEYS, F.col("s.name").alias("stat_name"),
+    return s.select(*first, *STANDINGS_KEYS[2:], F.col("s.name").alias("stat_name"),
                     F.col("s.value").alias("stat_value"))
 
 
 def silver_standings(bronze: DataFrame, *, ts: str | None = None) -> DataFrame:
-    """Exploded stats pivoted to one column per stat name + audit."""
+    """Exploded stats pivoted to one column per stat name + audit; stats
+    of other names go to the map ``other_stats``."""
     long = explode_standings(bronze)
-    wide = pivot_stats(long, STAT_NAMES, keys=list(STANDINGS_KEYS))
+    keys = [c for c in long.columns if c not in ("stat_name", "stat_value")]
+    wide = pivot_stats(long, STAT_NAMES, keys=keys, others="other_stats")
     return with_audit(wide, "silver", None, ts)
 
 
 def explode_items(bronze: DataFrame, path: str = "data.items", *, outer: bool = False,
                   alias: str = "item") -> DataFrame:
     """Envelope columns + one row per element of an item list."""
-    return bronze.select(*envelope_columns(), _explode(path, outer).alias(alias))
+    return bronze.select(*envelope_columns(bronze), _explode(path, outer).alias(alias))
 
 
 def renamed_fields(struct_type: T.StructType, prefix: str, *, source: str = "item",
@@ -87,7 +92,8 @@ def silver_items(bronze: DataFrame, prefix: str, path: str = "data.items",
                  *, ts: str | None = None, skip: tuple[str, ...] = ()) -> DataFrame:
     """Flatten an item list, renaming every payload field by rule."""
     fields = renamed_fields(_items_type(bronze, path), prefix, skip=skip)
-    flat = explode_items(bronze, path).select("ingestion_timestamp", "source", *fields)
+    items = explode_items(bronze, path)
+    flat = items.select(*[c for c in items.columns if c != "item"], *fields)
     return with_audit(flat, "silver", None, ts)
 
 

@@ -86,7 +86,9 @@ def dim_teams(teams: DataFrame) -> DataFrame:
     def opt(name: str, typ: str = "string") -> Column:
         return F.col(name) if name in cols else F.lit(None).cast(typ).alias(name)
 
-    logos = F.to_json("team_logos") if "team_logos" in cols else F.lit(None).cast("string")
+    logos = F.lit(None).cast("string")
+    if "team_logos" in cols:  # JSON text already, or nested
+        logos = F.col("team_logos") if dict(t.dtypes)["team_logos"] == "string" else F.to_json("team_logos")
     sel = t.select(
         _str("team_id").alias("team_id"),
         F.col("team_name"),
@@ -227,6 +229,8 @@ def fact_match_results(events: DataFrame, *, key: bool = True, start: int | Colu
     if "ingestion_timestamp" in events.columns:
         events = latest_snapshot(events, "ingestion_timestamp", by=["event_id"])
     comp = F.explode("event_competitions").alias("c")
+    text = dict(events.dtypes)["event_status"] == "string"  # JSON text, or nested
+    status = F.get_json_object("event_status", "$.name") if text else F.col("event_status.name")
     e = events.select("event_id", "event_date", "event_status", comp)
 
     def side(which: str) -> Column:
@@ -240,7 +244,7 @@ def fact_match_results(events: DataFrame, *, key: bool = True, start: int | Colu
         F.col("event_date").try_cast("date").alias("match_date"),
         X.to_int(side("home")["score"]).alias("home_score"),
         X.to_int(side("away")["score"]).alias("away_score"),
-        F.col("event_status.name").alias("match_status"),
+        status.alias("match_status"),
         F.col("c.attendance").try_cast("int").alias("attendance"),
         F.col("c.venue").alias("venue"))
     return surrogate_key(f, name="match_id", start=start) if key else f

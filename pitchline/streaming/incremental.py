@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pitchline.plans import silver
 from pitchline.sinks.files import write_batch
-from pitchline.sources.bronze import LAYOUTS, document_schema
+from pitchline.sources.bronze import ENTITY_PARTITIONS, LAYOUTS, document_schema, folder_key
 
 SILVER_BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "standings": silver.silver_standings,
@@ -43,7 +43,9 @@ def bronze_stream(spark: SparkSession, root: str, entity: str, *, layout: str =
          .option("pathGlobFilter", "*.json*"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.json(f"{root.rstrip('/')}/{entity}")
+    docs = r.json(f"{root.rstrip('/')}/{entity}")
+    path = F.col("_metadata.file_path")
+    return docs.withColumns({k: folder_key(path, entity, k) for k in ENTITY_PARTITIONS.get(entity, ())})
 
 
 def stream_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity: str,

@@ -61,10 +61,26 @@ def test_run_pipeline(spark, workdir):
     os.makedirs(f"{root}/bronze/standings/2024")
     with open(f"{root}/bronze/standings/2024/a.json", "w") as f:
         json.dump(doc, f, indent=2)
-    report = run_pipeline(spark, root, ts="2024-09-01T01:00:00", bronze_layout="document")
-    assert report["silver"]["standings"] is True
-    assert report["silver"]["teams"] is False          # no teams landed: isolated failure
-    assert report["gold"]["team_performance_summary"] is True
-    assert report["gold"]["competition_overview"] is True
+    status = {(r.layer, r.dataset): r for r in run_pipeline(
+        spark, root, ts="2024-09-01T01:00:00", bronze_layout="document").collect()}
+    assert status["silver", "standings"].success
+    # no teams landed: an isolated failure, with its cause
+    assert not status["silver", "teams"].success and "PATH_NOT_FOUND" in status["silver", "teams"].error
+    # the other entities keep their report
+    assert status["quality", "standings"].success and not status["quality", "teams"].success
+    assert {r.suite for r in spark.read.parquet(f"{root}/reports").collect()} == {"standings"}
+    for layer, name in (("gold", "team_performance_summary"), ("gold", "competition_overview"),
+                        ("warehouse", "dim_groups"), ("warehouse", "fact_team_performance"),
+                        ("export", "team_performance_summary")):
+        assert status[layer, name].success, status[layer, name].error
     tps = spark.read.parquet(f"{root}/gold/team_performance_summary").first()
     assert (tps.team_id, tps.overall_rank, tps.dataset_name) == ("t1", 1, "team_performance_summary")
+    assert tps.season == "2024"
+    # a second run reloads: created_at stays, updated_at moves
+    run_pipeline(spark, root, ts="2024-09-02T01:00:00", bronze_layout="document")
+    from pitchline.sinks.versions import read_current
+    group = read_current(spark, f"{root}/warehouse", "dim_groups").first()
+    assert (group.created_at.day, group.updated_at.day) == (1, 2)
+    # the gate stops behind a failed report
+    gated = run_pipeline(spark, root, ts="2024-09-03T01:00:00", bronze_layout="document", gate=True)
+    assert {r.layer for r in gated.collect()} == {"silver", "quality"}

@@ -5,8 +5,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from pitchline.plans import gold, silver
-from pitchline.sources.bronze import read_bronze
+from pitchline.plans import gold, silver, warehouse
+from pitchline.sources.bronze import corrupt_documents, read_bronze
 
 TS1, TS2 = "2024-09-01T00:00:00", "2024-09-08T00:00:00"
 
@@ -97,3 +97,35 @@ def test_gold_latest_snapshot_and_ties(spark, workdir):
     assert (ov.total_teams, ov.total_groups, ov.total_games_played) == (3, 2, 6)
     ga = {r.group_id: r for r in gold.group_analysis(wide).collect()}
     assert ga["A"].points_spread == 3 and ga["B"].competitiveness_score == 100.0
+
+
+def test_nothing_is_lost_on_the_way(spark, workdir):
+    entries = [entry("t1", "Alpha", stats(2, 1, 0, 1, 4, 3, 1, 1) + [{"name": "deductions", "value": 3.0},
+                                                                    {"name": "deductions", "value": 2.0}])]
+    write_doc(workdir, "standings/season=2023/a.json", standings_doc(TS1, entries, []))
+    write_doc(workdir, "standings/2024/b.json", standings_doc(TS2, entries, []))
+    os.makedirs(os.path.join(workdir, "standings/2024"), exist_ok=True)
+    with open(os.path.join(workdir, "standings/2024/bad.json"), "w") as f:
+        f.write("{ no json")
+    docs = read_bronze(spark, workdir, "standings", layout="document")
+    counts = corrupt_documents(docs).first()
+    assert (counts.documents, counts.corrupt) == (3, 1)
+    wide = silver.silver_standings(docs)
+    assert {(r.season, r.other_stats["deductions"]) for r in wide.collect()} == {("2023", 3.0), ("2024", 3.0)}
+    only = read_bronze(spark, workdir, "standings", layout="document", seasons=["2024"])
+    assert {r.season for r in only.collect()} == {"2024"}
+    # one row per season, group and team
+    assert gold.team_performance_summary(wide).count() == 2
+    event = {"metadata": {"ingestion_timestamp": TS1}, "data": {"events": [
+        {"id": "7", "date": "2024-13-99", "status": {"name": "F", "detail": {"clock": "90"}}, "season": {"year": 2024, "x": 1},
+         "competitions": [{"competitors": [{"homeAway": "home", "teamId": "1", "score": "25.0"},
+                                           {"homeAway": "away", "teamId": "2", "score": "x"}]}]}]}}
+    write_doc(workdir, "events/2024/e.json", event)
+    e = silver.silver_events(read_bronze(spark, workdir, "events", layout="document"))
+    row = e.first()
+    assert json.loads(row.event_status)["detail"] == {"clock": "90"} and json.loads(row.event_season)["x"] == 1
+    match = warehouse.fact_match_results(e).first()
+    assert (match.match_status, match.match_date, match.home_score, match.away_score) == ("F", None, 25, None)
+    write_doc(workdir, "team_info/17/t.json", {"metadata": {"source": "api"}, "data": {"team": {"id": 17}}})
+    info = read_bronze(spark, workdir, "team_info", layout="document").first()
+    assert info.team_id == "17" and json.loads(info.data) == {"team": {"id": 17}}
