@@ -10,7 +10,7 @@ highest-IDF licence words look up the postings (template, position); hits
 that agree on the relative position (place in the document less place in
 the template) add up their weights. A template whose best alignment holds
 at least ``MIN_SCORE`` of its indexed weight, and whose mandatory key
-phrases all stand in the document, is a label.
+phrases all stand in the document, is a label; the best alignment's share, to nine digits, is the score.
 
 Defined results: null text is empty (no words, no labels, score 0);
 repeated rows are scanned one by one; ties between words go by the word;
@@ -145,7 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
     return joined.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join(F.array_sort("base"), ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
-        F.least(F.coalesce("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+        F.round(F.least(F.coalesce("score", F.lit(0.0)), F.lit(1.0)), 9).alias("score"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
