@@ -75,6 +75,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete what this application has written under the checkpoint folder
+    (tables that cut lineage); call it when their last reader is done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitchline/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cluster_conf(total_cores: int, shuffle_bytes: float | None = None,
                  checkpoint_dir: str | None = None) -> dict[str, str]:
     """Starting settings for a large cluster (e.g. 1000 executors, ~100 TB

@@ -13,7 +13,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from pitchline.catalog.queries import QUERIES  # noqa: E402
 from pitchline.session import local_session  # noqa: E402
 
 NODES = ["SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin",
@@ -39,11 +39,11 @@ def summarize(plan: str) -> tuple[str, list[str]]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
-    qs = E.queries()
+    qs = QUERIES
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, initial AQE plan)\n")
     print("Generated by `scripts/plan_summary.py`. `Exchange[SinglePartition]` appears only")
-    print("after a partial aggregate (one row per task feeds it), for a window over a")
-    print("bounded input (checked row count, calendar-bounded series) or for a LIMIT.\n")
+    print("after a partial aggregate (one row per task feeds it), for a window over one row")
+    print("per output file, or for a LIMIT.\n")
     print("| query | operators |\n|---|---|")
     for k in sorted(qs):
         df = qs[k](spark, sf_dir)

@@ -14,7 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from pitchline.session import DEFAULT_CONF
+    from pitchline.session import DEFAULT_CONF, drop_intermediates
     b = (SparkSession.builder.master("local[*]").appName("pitchline-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
@@ -25,6 +25,7 @@ def spark():
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    drop_intermediates(s)
     s.stop()
 
 
