@@ -9,20 +9,21 @@ Candidates are verified by banded alignment of the k-mer sequences: with a
 longest common subsequence L of two texts of m and n k-mers, they are near
 duplicates if L / (m + n - L) is at least ``THRESHOLD``.
 
-Texts with equal words are one text from the start. In each bucket one
-member leads and is compared with all others. Then up to ``LEADERS`` of the
-texts that have not led the bucket lead it, linked ones first, and are
-compared with the members of other components, so that copies which
-resemble only the original, not each other, still meet through it; a round
-of a bucket of n texts costs at most ``LEADERS`` n comparisons, not n^2/2.
-From the second round on, one without a new link ends the search. Classes are the connected components.
+Texts with equal words are one text from the start. In rounds, each bucket
+that holds several components is led by one member that has not led it,
+which is compared with the members of other components: n comparisons for n
+texts, not n^2/2. In the first round the text leads whose buckets hold the
+most texts, which an original's do; copies that resemble only it, not each
+other, meet through it. Later, texts that have found a link lead before
+others, different ones in different buckets. ``IDLE`` rounds in a row
+without a new link end the search. Classes are the connected components.
 
 Defined results: null text is empty; texts without words are equal; texts of
 fewer words than a k-mer are one k-mer; the class is named by its smallest
 doc_id (null only if all are null); repeated rows are copies; extra columns
 do not matter; very long texts are compared whole; an empty table gives an
 empty result. At the threshold a pair shares no bucket with probability
-(1 - THRESHOLD^SAMPLED)^BANDS, about 3 in a million; k-mers are hashed to
+(1 - THRESHOLD^SAMPLED)^BANDS, about 5 in a million; k-mers are hashed to
 64 bits for buckets but compared as they are in the alignment.
 
 At scale: one pass sketches the texts; copies are joined before anything
@@ -33,11 +34,12 @@ share a bucket are moved, compressed, to be compared.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.llm.bytehash import PrefixHash, mix
@@ -46,8 +48,8 @@ from pitchline.llm.components import components
 from pitchline.operators.ranking import materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, SAMPLED, SEED = 24, 4, 29
-LEADERS = 8
+BANDS, SAMPLED, SEED = 40, 6, 29
+IDLE = 2  # rounds in a row without a new link that end the search
 CELLS = 1 << 21  # hashes worked out at a time
 
 
@@ -61,6 +63,11 @@ def key_of(text: Column) -> Column:
     return F.md5(normalised(text))
 
 
+def plain(text: bytes) -> bytes:
+    """What :func:`normalised` gives, inside a task."""
+    return b" ".join(text.lower().split())
+
+
 # ---------------------------------------------------------------- sketches
 
 
@@ -121,16 +128,19 @@ def word_hashes(text: bytes) -> np.ndarray:
 def sketches(docs: DataFrame, bands: int = BANDS, sampled: int = SAMPLED) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(word_hashes(t.as_py()), bands, sampled) for t in batch.column("words").cast(pa.binary())]
+            keys, found = [], []
+            for text in batch.column("text").cast(pa.binary()):
+                words = plain(text.as_py())
+                keys.append(hashlib.md5(words).hexdigest())
+                found.append(sketch(word_hashes(words), bands, sampled))
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             values = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"),
+                [batch.column("doc_id"), pa.array(keys, pa.string()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["doc_id", "key", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", normalised(text_of()).alias("words")).withColumn("key", F.md5("words"))
-    return rows.mapInArrow(run, f"doc_id {kind}, key string, bands array<long>")
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, key string, bands array<long>")
 
 
 # --------------------------------------------------------------- alignment
@@ -188,23 +198,24 @@ def similar(a: list, b: list, threshold: float = THRESHOLD) -> bool:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts are near duplicates."""
+    """The pairs (a, b) of nodes whose texts are near duplicates, with the
+    labels (ca, cb) that come with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, parts = None, []
         for batch in batches:
             out = []
-            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y"))):
+            for i, (a, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "x", "y")))):
                 if a != last:
                     last, parts = a, kmers(unpack(x))
                 if similar(parts, kmers(unpack(y)), threshold):
-                    out.append((a, b))
-            ones, others = zip(*out) if out else ((), ())
-            yield pa.RecordBatch.from_pydict({"a": pa.array(ones, pa.int64()), "b": pa.array(others, pa.int64())})
+                    out.append(i)
+            yield batch.select(["a", "b", "ca", "cb"]).take(pa.array(out, pa.int64()))
 
     left = texts.select(F.col("node").alias("a"), F.col("packed").alias("x"))
     right = texts.select(F.col("node").alias("b"), F.col("packed").alias("y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ca", "cb", "x", "y").mapInArrow(
+        run, "a long, b long, ca long, cb long")
 
 
 def unpack(data: bytes) -> bytes:
@@ -217,14 +228,14 @@ def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [len(t).to_bytes(8, "little") + (pa.compress(t, "zstd", asbytes=True) if t else b"")
-                    for t in (x.as_py() for x in batch.column("words").cast(pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(data, pa.binary())],
+            words = [plain(t.as_py()) for t in batch.column("text").cast(pa.binary())]
+            keys = [hashlib.md5(w).hexdigest() for w in words]
+            data = [len(w).to_bytes(8, "little") + (pa.compress(w, "zstd", asbytes=True) if w else b"") for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.string()), pa.array(data, pa.binary())],
                                              ["doc_id", "key", "packed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", normalised(text_of()).alias("words")).withColumn("key", F.md5("words"))
-    rows = rows.mapInArrow(run, f"doc_id {kind}, key string, packed binary")
+    rows = docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, key string, packed binary")
     wanted = nodes.select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc"), "node")
     found = rows.join(wanted, (rows["key"] == wanted["_key"]) & rows["doc_id"].eqNullSafe(wanted["_doc"]))
     return found.groupBy("_key", "_doc").agg(F.first("node").alias("node"), F.first("packed").alias("packed")).select(
@@ -234,6 +245,17 @@ def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ classes
 
 
+def spread(links: DataFrame, steps: int = 3) -> DataFrame:
+    """(comp, to) of the labels in ``links`` (a, b): the least label within
+    ``steps`` + 1 links."""
+    around = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to"))
+    for _ in range(steps):
+        least = around.join(least.select(F.col("a").alias("b"), "to"), "b").groupBy("a").agg(
+            F.least(F.min("to"), F.col("a")).alias("to"))
+    return least.select(F.col("a").alias("comp"), "to")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, sampled: int = SAMPLED) -> DataFrame:
     """(doc_id, key, first, class_id, class_key) of each row: ``key`` names
     its words and ``first`` is the least doc_id that has them; the class is
@@ -242,36 +264,47 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, s
     texts = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     texts = materialize(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
     sent = texts.select("node", F.explode("bands").alias("band"))
-    counted = materialize(sent.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "bands")
+    counted = materialize(sent.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
     members = materialize(sent.join(counted, "band"), "members")
+    # the more texts share a text's buckets, the more likely they are its copies
+    central = members.groupBy("node").agg(F.sum("n").alias("central"))
     nodes = texts.join(members.select("node").distinct(), "node").select("key", F.col("first").alias("doc_id"), "node")
     packed = materialize(packed_texts(docs, nodes), "packed")
 
-    comps = links = led = None
-    state = members.withColumn("comp", F.col("node"))
-    while True:
-        if comps is None:  # one leader a bucket, the same in as many as possible
-            leaders = state.groupBy("band").agg(F.min(F.struct(
-                F.xxhash64("node").alias("h"), F.col("node").alias("a"), F.col("comp").alias("c"))).alias("lead"))
-            leaders = leaders.select("band", "lead.a", "lead.c")
+    # within the rounds a component is known by the least label that has
+    # reached it so far: that only spares comparisons
+    state = materialize(members.select("band", "node").join(central, "node").select(
+        "band", "node", "central", F.col("node").alias("comp"), F.lit(False).alias("linked")), "state")
+    links = led = None
+    idle = 0
+    while idle < IDLE:
+        if led is None:  # originals lead as many buckets as possible
+            free, first = state, F.struct(-F.col("central"), "node")
         else:  # texts that have not led the bucket, linked ones first, others in each bucket
-            open_ = state.groupBy("band").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").select("band")
-            free = state.join(materialize(open_, "open"), "band").join(led, ["band", "node"], "left_anti")
-            first = Window.partitionBy("band").orderBy(F.desc("linked"), F.xxhash64("node", "band"), "node")
-            leaders = free.withColumn("r", F.row_number().over(first)).where(F.col("r") <= LEADERS).select(
-                "band", F.col("node").alias("a"), F.col("comp").alias("c"))
-        leaders = materialize(leaders, "leaders")
-        pairs = state.join(leaders, "band").where(F.col("comp") != F.col("c")).select("a", F.col("node").alias("b")).distinct()
+            free, first = state.join(led, ["band", "node"], "left_anti"), F.struct(F.xxhash64("node", "band"), "node")
+        several = state.groupBy("band").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").select("band")
+        leaders = free.groupBy("band").agg(F.min(F.struct(
+            (~F.col("linked")).alias("alone"), first.alias("h"), F.col("node").alias("a"), F.col("comp").alias("ca"))).alias("lead"))
+        leaders = materialize(leaders.join(several, "band").select("band", "lead.a", "lead.ca"), "leaders")
+        pairs = state.join(leaders, "band").where(F.col("comp") != F.col("ca")).groupBy("a", F.col("node").alias("b")).agg(
+            F.first("ca").alias("ca"), F.first("comp").alias("cb"))
         new = materialize(verified(materialize(pairs, "pairs"), packed, threshold), "verified")
-        if comps is not None and new.isEmpty():
-            break
-        links = new if links is None else links.unionByName(new)
-        comps = materialize(components(links), "components")
         done = leaders.select("band", F.col("a").alias("node"))
         led = done if led is None else led.unionByName(done)
-        state = materialize(members.join(comps, "node", "left").select(
-            "band", "node", F.coalesce("comp", "node").alias("comp"), F.col("comp").isNotNull().alias("linked")), "state")
+        if leaders.isEmpty():
+            break
+        if new.isEmpty():
+            idle += 1
+            continue
+        idle = 0
+        links = new if links is None else links.unionByName(new)
+        moves = spread(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        hit = new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node"))).distinct()
+        state = materialize(state.join(moves, "comp", "left").join(hit.withColumn("hit", F.lit(True)), "node", "left").select(
+            "band", "node", "central", F.least("comp", "to").alias("comp"),
+            (F.col("linked") | F.col("hit").isNotNull()).alias("linked")), "state")
 
+    comps = None if links is None else materialize(components(links), "components")
     named = texts.select("key", "first", "node")
     if comps is None:
         named = named.withColumn("class_id", F.col("first")).withColumn("class_key", F.col("key"))
