@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchline.llm.chunks import ChunkCache, encode, groups, kept, words
+from pitchline.llm.chunks import ChunkCache, encode, groups, kept, slices, words
 from pitchline.llm.common import read_documents, text_of
 from pitchline.operators.ranking import materialize
 from pitchline.session import ensure_checkpoint_dir
@@ -170,8 +170,8 @@ class WordEncoder:
         self.last = np.zeros(self.vocabulary, bool)  # ids that end a word
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
-        self.pieces = ChunkCache(self._joined)
-        self.chunks = ChunkCache(lambda chunks: [x.tobytes() for x in self._library(chunks)], 100_000)
+        self.pieces = ChunkCache(self._joined, 300_000)
+        self.chunks = ChunkCache(lambda chunks: [x.tobytes() for x in self._library(chunks)], 50_000)
 
     def _library(self, texts: list[bytes]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
@@ -214,7 +214,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
         shard = TaskContext.get().partitionId()
         store, place = fs.FileSystem.from_uri(folder)
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}.bits"
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             ids = batch.column("doc_id").to_pylist()
             texts = [t.as_py() for t in batch.column("text").cast(pa.binary())]
             for doc, found in zip(ids, encoder.texts(texts)):

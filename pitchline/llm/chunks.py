@@ -14,11 +14,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pitchline.llm.bytehash import PrefixHash
 
-LIMIT = 500_000
+LIMIT = 150_000
 GROUP = 1 << 20
+AT_ONCE = 4096  # chunks given to a library at a time
 
 
 class ChunkCache:
@@ -35,7 +38,9 @@ class ChunkCache:
         if gaps:
             fresh = {c: older.get(c) for c in (chunks[i] for i in gaps)}
             order = [c for c, v in fresh.items() if v is None]
-            fresh.update(zip(order, self.encode(order)))
+            for a in range(0, len(order), AT_ONCE):
+                part = order[a:a + AT_ONCE]
+                fresh.update(zip(part, self.encode(part)))
             for i in gaps:
                 found[i] = fresh[chunks[i]]
             known.update(fresh)
@@ -57,6 +62,16 @@ def groups(texts: list[bytes], size: int = GROUP) -> Iterator[list[bytes]]:
         yield out
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = 4 * GROUP) -> Iterator[pa.RecordBatch]:
+    """The rows of an Arrow batch by about ``size`` bytes of a text column."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    block = np.cumsum(lengths, dtype=np.int64) // size
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lengths)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def words(texts: list[bytes], kinds: np.ndarray, single: int = -1) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """The runs of bytes of one kind (a table of 256; 0 is a gap, as must be
     the line end; bytes of the kind ``single`` stand alone): data, starts,

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.llm.chunks import ChunkCache, groups, kept, runs
+from pitchline.llm.chunks import ChunkCache, groups, kept, runs, slices
 from pitchline.llm.chunks import encode as encode_chunks
 from pitchline.llm.common import read_documents, text_of
 
@@ -152,7 +152,7 @@ def encode(docs: DataFrame, path: str, threads: int = THREADS, keep: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("pieces", path, threads), lambda: Encoder(path, threads))
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             found, same = encoder.texts([t.as_py() for t in batch.column("text").cast(pa.binary())])
             n = np.array([len(x) for x in found], np.int64)
             offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
