@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pitchline.llm.bytehash import PrefixHash
 
 LIMIT = 150_000
-GROUP = 1 << 20
+GROUP = 1 << 19
 AT_ONCE = 4096  # chunks given to a library at a time
 
 
@@ -62,7 +62,7 @@ def groups(texts: list[bytes], size: int = GROUP) -> Iterator[list[bytes]]:
         yield out
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 4 * GROUP) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, size: int = 2 * GROUP) -> Iterator[pa.RecordBatch]:
     """The rows of an Arrow batch by about ``size`` bytes of a text column."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
     block = np.cumsum(lengths, dtype=np.int64) // size
