@@ -392,7 +392,7 @@ def team_form(t: Tables) -> DataFrame:
 
 @query
 def team_vs_average(t: Tables) -> DataFrame:
-    return D.team_vs_average(gold.team_performance_summary(standings(t), rank=False))
+    return D.team_vs_average(gold.team_performance_summary(standings(t), rank=False), digits=6)
 
 
 @query

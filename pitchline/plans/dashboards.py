@@ -139,15 +139,15 @@ RADAR_METRICS = ("win_percentage", "goals_per_game", "goals_conceded_per_game",
 
 
 def team_vs_average(summary: DataFrame, metrics: Sequence[str] = RADAR_METRICS,
-                    teams: Sequence | None = None, digits: int = 6) -> DataFrame:
+                    teams: Sequence | None = None, digits: int | None = None) -> DataFrame:
     """each (selected) team's radar metrics next to the league average.
 
     The averages come from ONE uncorrelated scalar subquery (a struct of
     all metric averages over the whole league, computed once), so no window
-    over all rows and no cross join. Averages are rounded to ``digits`` so
-    they do not depend on the summation order of the doubles."""
+    over all rows and no cross join. ``digits`` rounds the averages, for
+    those who want them free of the summation order of the doubles."""
     league = summary.select(F.struct(*[F.avg(m).alias(m) for m in metrics])).scalar()
-    avgs = {m: F.round(league.getField(m), digits) for m in metrics}
+    avgs = {m: league.getField(m) if digits is None else F.round(league.getField(m), digits) for m in metrics}
     out = summary if teams is None else summary.where(F.col("team_id").isin(list(teams)))
     cols: list[Column] = [F.col("team_id")]
     for m in metrics:
