@@ -1,4 +1,4 @@
-"""Differential test: every registered query vs its DuckDB oracle SQL on
+"""Differential test: every query of the catalog vs its DuckDB oracle SQL on
 the smallest driver tables (the driver repeats this at sf0.01)."""
 
 import duckdb
@@ -7,11 +7,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from pitchline.catalog.compare import compare, register_tables
+from pitchline.catalog.oracle import ORACLE
+from pitchline.catalog.queries import QUERIES
 from pitchline.sources.tables import TABLE_NAMES
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -25,6 +24,10 @@ def test_every_query_has_an_oracle():
     assert missing == [], missing
 
 
+def test_entry_registers_them():
+    assert QUERIES.keys() <= E.queries().keys() and ORACLE.keys() <= E.oracle_sql().keys()
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
