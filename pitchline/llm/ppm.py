@@ -54,7 +54,8 @@ END, START, SYMBOLS = 0xFE, 0xFF, 255
 BITS = 8
 END_TOKEN = b"\n"  # no word holds white space
 WORDS, GRAMS = 0, 1
-DENSE = 1 << 26
+DENSE = 1 << 25
+BLOCK = 4 << 20  # bytes of text that a task works on at a time
 
 
 def is_training(doc_id: int | None) -> bool:
@@ -278,7 +279,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score and score (log10 probabilities)."""
     spark = docs.sparkSession
-    blocks = to_blocks(docs)
+    blocks = to_blocks(docs, BLOCK)
     n_buckets = buckets(spark)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
