@@ -15,8 +15,12 @@ which is compared with the members of other components: n comparisons for n
 texts, not n^2/2. In the first round the text leads whose buckets hold the
 most texts, which an original's do; copies that resemble only it, not each
 other, meet through it. Later, texts that have found a link lead before
-others, different ones in different buckets. ``IDLE`` rounds in a row
-without a new link end the search. Classes are the connected components.
+others, different ones in different buckets. The rounds end after ``IDLE``
+ones in a row without a new link. What is open then, two members of a bucket
+that have not led it and belong to different components, is searched whole:
+similar texts share one of their rarest k-mers (see ``open_pairs``), so that
+not all pairs of a large bucket need an alignment, and none is left out.
+Classes are the connected components.
 
 Defined results: null text is empty; texts without words are equal; texts of
 fewer words than a k-mer are one k-mer; the class is named by its smallest
@@ -49,7 +53,7 @@ from pitchline.operators.ranking import materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, SAMPLED, SEED = 40, 6, 29
-IDLE = 2  # rounds in a row without a new link that end the search
+IDLE = 2  # rounds in a row without a new link, before what is open is searched whole
 CELLS = 1 << 21  # hashes worked out at a time
 
 
@@ -256,6 +260,45 @@ def spread(links: DataFrame, steps: int = 3) -> DataFrame:
     return least.select(F.col("a").alias("comp"), "to")
 
 
+def open_pairs(rest: DataFrame, packed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Of the pairs of ``rest`` (band, node, comp) that share a bucket but no
+    component, those (a, b, ca, cb) that can reach the threshold.
+
+    Similar texts of m and n k-mers have c = threshold / (1 + threshold) *
+    (m + n) labelled k-mers in common. Sorted from the rarest on, the first
+    common one then has at most m - c others before it in one text and n - c
+    in the other; pairs without such a k-mer are not similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column("node").to_pylist(), batch.column("packed").to_pylist()):
+                names = labelled(shingle_hashes(word_hashes(unpack(data)))).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(names), node, np.int64)), pa.array(names)], ["node", "name"])
+
+    members = materialize(rest.groupBy("node").agg(F.first("comp").alias("comp"), F.collect_list("band").alias("bands")), "open")
+    names = materialize(packed.join(members.select("node"), "node").select("node", "packed").mapInArrow(
+        run, "node long, name long"), "names")
+    # a k-mer of one text only joins nothing, but counts as a place
+    held = names.groupBy("name").agg(F.count(F.lit(1)).alias("df"))
+    ordered = names.join(held, "name").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "name"))).alias("names"))
+    m = F.size("names")
+    # no partner has fewer than threshold * m
+    prefix = F.slice("names", F.lit(1), (m - F.ceil(m * threshold - 1e-9) + 1).cast("int"))
+    keyed = ordered.select("node", m.alias("m"), F.posexplode(prefix).alias("at", "k")).where("k.df > 1").select(
+        "node", "m", "at", F.col("k.name").alias("name"))
+    keyed = materialize(keyed.join(members.select("node", "comp"), "node"), "prefixes")
+    left = keyed.select("name", *(F.col(c).alias(f"{c}_a") for c in ("node", "m", "at", "comp")))
+    right = keyed.select("name", *(F.col(c).alias(f"{c}_b") for c in ("node", "m", "at", "comp")))
+    common = (F.col("m_a") + F.col("m_b")) * (threshold / (1 + threshold)) - 1e-6
+    met = left.join(right, (left["name"] == right["name"]) & (F.col("node_a") < F.col("node_b")) & (
+        F.col("comp_a") != F.col("comp_b")) & (F.least(F.col("m_a") - F.col("at_a"), F.col("m_b") - F.col("at_b")) >= common))
+    met = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("comp_a").alias("ca"), F.col("comp_b").alias("cb")).distinct()
+    bands = members.select("node", "bands")
+    met = met.join(bands.select(F.col("node").alias("a"), F.col("bands").alias("x")), "a").join(
+        bands.select(F.col("node").alias("b"), F.col("bands").alias("y")), "b")
+    return met.where(F.arrays_overlap("x", "y")).select("a", "b", "ca", "cb")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, sampled: int = SAMPLED) -> DataFrame:
     """(doc_id, key, first, class_id, class_key) of each row: ``key`` names
     its words and ``first`` is the least doc_id that has them; the class is
@@ -277,6 +320,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, s
         "band", "node", "central", F.col("node").alias("comp"), F.lit(False).alias("linked")), "state")
     links = led = None
     idle = 0
+    ended = False
     while idle < IDLE:
         if led is None:  # originals lead as many buckets as possible
             free, first = state, F.struct(-F.col("central"), "node")
@@ -292,6 +336,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, s
         done = leaders.select("band", F.col("a").alias("node"))
         led = done if led is None else led.unionByName(done)
         if leaders.isEmpty():
+            ended = True
             break
         if new.isEmpty():
             idle += 1
@@ -304,6 +349,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, s
             "band", "node", "central", F.least("comp", "to").alias("comp"),
             (F.col("linked") | F.col("hit").isNotNull()).alias("linked")), "state")
 
+    if not ended:  # what no leader has met
+        free = state.join(led, ["band", "node"], "left_anti").select("band", "node", "comp")
+        several = free.groupBy("band").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").select("band")
+        rest = materialize(free.join(several, "band"), "rest")
+        if not rest.isEmpty():
+            new = materialize(verified(materialize(open_pairs(rest, packed, threshold), "pairs"), packed, threshold), "verified")
+            links = new if links is None else links.unionByName(new)
+
     comps = None if links is None else materialize(components(links), "components")
     named = texts.select("key", "first", "node")
     if comps is None:

@@ -95,3 +95,15 @@ def test_alignment_is_the_plain_one(seed):
                 line[k + 1] = before[k] + 1 if x == y else max(before[k + 1], line[k])
         n, both = line[-1], len(a) + len(b)
         assert om.similar(a, b, 0.8) == (5 * n >= 4 * (both - n))
+
+
+def test_pairs_of_a_large_bucket(spark):
+    # pages on one template have 50 of 57 k-mers in common, a similarity of
+    # 0.78; near copies one more, 0.81, which few buckets can show
+    template = " ".join(f"t{i}" for i in range(54))
+    page = lambda first, rest: f"{template} {first} " + " ".join(f"u{rest}x{j}" for j in range(6))
+    pages = {i: page(f"f{i}", i) for i in range(800)}
+    copies = {1000 + i: page(f"f{i}", 1000 + i) for i in range(30, 800, 50)}
+    rows = [(d, t, "k", 1) for d, t in (pages | copies).items()]
+    got = {r["doc_id"]: r["class_id"] for r in om.classes(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert got == {d: d % 1000 for d, *_ in rows}
