@@ -5,6 +5,10 @@ of ``SHINGLE`` words, each labelled with its number among equal ones in the
 text. For each of ``BANDS`` hash functions the ``SAMPLED`` k-mers with the
 smallest hashes are kept in the order of the text, and this sequence is a
 bucket key: it agrees for texts that share most k-mers in the same order.
+Texts of up to ``SHORT`` k-mers also have a key for each sequence that is
+left when as many k-mers are taken out as the threshold allows, so that
+similar ones share a key for certain; texts of up to ``MEDIUM`` k-mers get
+``MORE`` hash functions.
 Candidates are verified by banded alignment of the k-mer sequences: with a
 longest common subsequence L of two texts of m and n k-mers, they are near
 duplicates if L / (m + n - L) is at least ``THRESHOLD``.
@@ -26,9 +30,11 @@ Defined results: null text is empty; texts without words are equal; texts of
 fewer words than a k-mer are one k-mer; the class is named by its smallest
 doc_id (null only if all are null); repeated rows are copies; extra columns
 do not matter; very long texts are compared whole; an empty table gives an
-empty result. At the threshold a pair shares no bucket with probability
-(1 - THRESHOLD^SAMPLED)^BANDS, about 5 in a million; k-mers are hashed to
-64 bits for buckets but compared as they are in the alignment.
+empty result. At the threshold a pair of m and n > ``SHORT`` k-mers, m <= n, shares
+no bucket with probability (1 - C(m, SAMPLED) / C(n, SAMPLED))^bands at most,
+about 5 in a million for medium texts and for long ones, up to 9 for texts
+little longer than ``MEDIUM``; k-mers are hashed to 64 bits for buckets but
+compared as they are in the alignment.
 
 At scale: one pass sketches the texts; copies are joined before anything
 else, by partial aggregation; buckets are counted and led by partial
@@ -40,6 +46,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +60,7 @@ from pitchline.operators.ranking import materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, SAMPLED, SEED = 40, 6, 29
+SHORT, MEDIUM, MORE = 14, 100, 60
 IDLE = 2  # rounds in a row without a new link, before what is open is searched whole
 CELLS = 1 << 21  # hashes worked out at a time
 
@@ -99,6 +107,35 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
     return mix(shingles + mix(number))
 
 
+def left_out(shingles: np.ndarray, threshold: float) -> np.ndarray:
+    """Keys of what is left of a text when up to n * (1 - threshold) of its
+    n k-mers are taken out.
+
+    A partner of m <= n k-mers has at most n and at least n * threshold of
+    them, and L = threshold / (1 + threshold) * (m + n) in common at least:
+    the longer text lacks partners for n * (1 - threshold) at most, the
+    shorter one for fewer than m * (1 - threshold)."""
+    n, out = len(shingles), []
+    for gone in range(int(n * (1 - threshold) + 1e-9) + 1):
+        stay = np.array(list(combinations(range(n), n - gone)), np.int64)
+        key = np.full(len(stay), mix(np.array([SEED], np.uint64))[0])
+        for c in range(stay.shape[1]):
+            key = mix(key + shingles[stay[:, c]])
+        out.append(key)
+    return np.unique(np.concatenate(out)).view(np.int64)
+
+
+def keys_of(words: np.ndarray, threshold: float, bands: int = BANDS, sampled: int = SAMPLED) -> np.ndarray:
+    """All bucket keys of a text."""
+    shingles = shingle_hashes(words)
+    n = len(shingles)
+    if not 0 < n <= SHORT:
+        return sketch(words, max(bands, MORE) if n <= MEDIUM else bands, sampled)
+    exact = left_out(shingles, threshold)
+    # all partners may be short themselves
+    return exact if n <= SHORT * threshold else np.concatenate([sketch(words, max(bands, MORE), sampled), exact])
+
+
 def sketch(words: np.ndarray, bands: int = BANDS, sampled: int = SAMPLED, k: int = SHINGLE) -> np.ndarray:
     """The bucket keys of a text, one for each hash function."""
     shingles = shingle_hashes(words, k)
@@ -129,14 +166,14 @@ def word_hashes(text: bytes) -> np.ndarray:
     return PrefixHash(data).of(starts, ends)
 
 
-def sketches(docs: DataFrame, bands: int = BANDS, sampled: int = SAMPLED) -> DataFrame:
+def sketches(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, sampled: int = SAMPLED) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, found = [], []
             for text in batch.column("text").cast(pa.binary()):
                 words = plain(text.as_py())
                 keys.append(hashlib.md5(words).hexdigest())
-                found.append(sketch(word_hashes(words), bands, sampled))
+                found.append(keys_of(word_hashes(words), threshold, bands, sampled))
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             values = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -303,7 +340,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, s
     """(doc_id, key, first, class_id, class_key) of each row: ``key`` names
     its words and ``first`` is the least doc_id that has them; the class is
     named by its least doc_id and the key of that."""
-    rows = materialize(sketches(docs, bands, sampled), "sketches")
+    rows = materialize(sketches(docs, threshold, bands, sampled), "sketches")
     texts = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     texts = materialize(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
     sent = texts.select("node", F.explode("bands").alias("band"))

@@ -107,3 +107,26 @@ def test_pairs_of_a_large_bucket(spark):
     rows = [(d, t, "k", 1) for d, t in (pages | copies).items()]
     got = {r["doc_id"]: r["class_id"] for r in om.classes(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
     assert got == {d: d % 1000 for d, *_ in rows}
+
+
+def test_short_texts_with_a_word_more_or_less(spark):
+    rows = []
+    for n in range(5, 22):  # words; the pairs of 8 and 9 and of 9 and 10 are near duplicates
+        words = [f"a{n}x{i}" for i in range(n)]
+        rows += [(10 * n, " ".join(words)), (10 * n + 1, " ".join([*words, "end"])), (10 * n + 2, " ".join(words[2:]))]
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("n", range(1, 15))
+def test_similar_short_texts_share_a_key(n):
+    r = random.Random(n)
+    for _ in range(60):
+        a = [f"w{i}" for i in range(n + om.SHINGLE - 1)]
+        b = list(a)
+        for _ in range(r.randint(0, 3)):
+            i = r.choice([0, len(b), r.randrange(len(b) + 1)])
+            b[i:i + r.randint(0, 1)] = r.choice([[], ["y"]])
+        x, y = (" ".join(w).encode() for w in (a, b))
+        if len(om.kmers(y)) <= om.SHORT and om.similar(om.kmers(x), om.kmers(y)):
+            keys = [set(om.keys_of(om.word_hashes(t), om.THRESHOLD).tolist()) for t in (x, y)]
+            assert keys[0] & keys[1]
