@@ -7,11 +7,12 @@ earliest deadline among the released ones; since the shares add up to one,
 every block meets its window, so at each slot every source has had its
 share of the slots to within less than one block.
 
-Shares are rounded to whole numbers of ``resolution`` slots (each source at
-least one), so the schedule repeats after that many slots and only this
-period is worked out, on the driver: its size follows the number of
-sources, not of rows. When a source runs out, a new phase starts with the
-shares of those that remain. No row is dropped or repeated.
+The weights are taken exactly, as fractions, and one task deals the blocks
+slot by slot (:func:`dealt`): it holds one entry a source and writes one row
+a block. When a source runs out, a new phase starts with the shares of those
+that remain. No row is dropped or repeated. With ``resolution`` given, shares
+are rounded to whole numbers of so many slots (each source at least one) and
+one period of the schedule, worked out on the driver, is repeated.
 
 Defined results: null and empty sources are one source; sources without a
 weight get the least one given; weights must be positive; rows that share
@@ -20,8 +21,8 @@ one another; an empty table gives an empty result; very long texts do not
 matter, as blocks are counted in rows.
 
 At scale: ranks within the sources come from a range sort of (source, key),
-so a hot source is spread over many tasks; every row then finds its slot
-from the schedule, one row a source, by arithmetic.
+so a hot source is spread over many tasks; rows find their slot by a join on
+(source, block). The schedule is sequential: one task takes a step a block.
 """
 
 from __future__ import annotations
@@ -29,12 +30,16 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchline.llm.common import read_documents
-from pitchline.operators.ranking import rank_within
+from pitchline.operators.ranking import materialize, rank_within
 
 BLOCK, RESOLUTION, TEMPERATURE, SEED = 8, 1000, 0.5, 17
 
@@ -102,8 +107,48 @@ def slot_of(phases: list[dict], block: int) -> int:
     return p["start"] + i // len(p["slots"]) * p["period"] + p["slots"][i % len(p["slots"])]
 
 
+def dealt(counts: dict[str, int], weights: dict[str, float], block: int = BLOCK) -> Iterator[tuple[str, int, int, int]]:
+    """Source, block, slot and first position of every block, in order; the
+    sources have ``counts`` rows."""
+    exact = {s: Fraction(weights[s]) for s in counts}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    share = {s: int(w * scale) for s, w in exact.items()}
+    left, done = dict(counts), dict.fromkeys(counts, 0)
+    live = sorted(s for s, n in counts.items() if n)
+    slot = position = 0
+    while live:
+        total, begin = sum(share[s] for s in live), slot
+        waiting = [(0, s, 0) for s in live]  # release, source, block of the phase
+        ready: list[tuple[int, str, int]] = []  # deadline, source, block of the phase
+        while True:
+            while waiting and waiting[0][0] <= slot - begin:
+                _, s, i = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(i + 1) * total // share[s]), s, i))
+            _, s, i = heapq.heappop(ready)
+            yield s, done[s], slot, position
+            size = min(block, left[s])
+            left[s], done[s], slot, position = left[s] - size, done[s] + 1, slot + 1, position + size
+            if not left[s]:
+                live.remove(s)
+                break
+            heapq.heappush(waiting, ((i + 1) * total // share[s], s, i + 1))
+
+
+def slots(spark: SparkSession, counts: dict[str, int], weights: dict[str, float], block: int) -> DataFrame:
+    """What :func:`dealt` gives, as a table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = dealt(counts, weights, block) if batch.num_rows else iter(())
+            while part := list(islice(rows, 50_000)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), (
+                    pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["_name", "_at", "slot", "_start"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(run, "_name string, _at long, slot long, _start long")
+
+
 def positions(rows: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK,
-              resolution: int = RESOLUTION, seed: int = SEED) -> DataFrame:
+              resolution: int | None = None, seed: int = SEED) -> DataFrame:
     """``rows`` (doc_id, source, ...) with the row's ``slot`` and dense
     ``position`` from 0. Without weights a source of n rows weighs
     n^``TEMPERATURE``."""
@@ -116,6 +161,13 @@ def positions(rows: DataFrame, weights: dict[str, float] | None = None, block: i
     elif min(weights.values(), default=1) <= 0:
         raise ValueError("weights must be positive")
     least = min(weights.values(), default=1.0)
+    order = [c for c in ("_mixed", "doc_id", "_copy") if c in rows.columns]
+    if resolution is None:
+        table = materialize(slots(spark, counts, {s: weights.get(s, least) for s in counts}, block), "slots")
+        ranked = rank_within(rows, ["_source"], order, "_rank").withColumn("_block", F.expr(f"(_rank - 1) div {block}"))
+        placed = ranked.join(table, (ranked["_source"] == table["_name"]) & (ranked["_block"] == table["_at"]))
+        return placed.withColumn("position", F.col("_start") + F.expr(f"(_rank - 1) % {block}")).drop(
+            "_source", "_mixed", "_rank", "_block", "_name", "_at", "_start")
     blocks = {s: -(-n // block) for s, n in counts.items()}
     plan = schedule(blocks, {s: weights.get(s, least) for s in counts}, resolution)
     # the last block of a source may be short: rows behind it move up
@@ -123,7 +175,6 @@ def positions(rows: DataFrame, weights: dict[str, float] | None = None, block: i
     table = spark.createDataFrame(
         [(s, [(p["first"], p["n"], p["start"], p["period"], p["slots"]) for p in phases]) for s, phases in plan.items()],
         "_source string, _phases array<struct<first: long, n: long, start: long, period: long, slots: array<int>>>")
-    order = [c for c in ("_mixed", "doc_id", "_copy") if c in rows.columns]
     ranked = rank_within(rows, ["_source"], order, "_rank").withColumn(
         "_block", F.expr(f"(_rank - 1) div {block}"))
     placed = ranked.join(F.broadcast(table), "_source").withColumn("_phase", F.filter(
@@ -140,7 +191,7 @@ def positions(rows: DataFrame, weights: dict[str, float] | None = None, block: i
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK,
-        resolution: int = RESOLUTION, seed: int = SEED) -> DataFrame:
+        resolution: int | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` in the mixed order (sorted by position), all rows and columns."""
     kept = docs.select("doc_id", "source", F.struct("*").alias("_row"))
     # rows with one doc_id are numbered by content; equal rows may swap

@@ -73,3 +73,26 @@ def test_empty_one_source_and_bad_weights(spark):
     assert sorted(x["position"] for x in pfair.positions(one.select("doc_id", "source")).collect()) == list(range(9))
     with pytest.raises(ValueError):
         pfair.positions(one.select("doc_id", "source"), {"": 0.0})
+
+
+@pytest.mark.parametrize("weights", [
+    {"hot": 1.0} | {f"s{i}": 0.002 + i * 1e-5 for i in range(199)}, {"big": 0.9997, "small": 0.0003},
+    {f"s{i}": 0.3 if not i else 0.7 / 19 for i in range(20)}])
+def test_given_weights_hold_to_a_block(weights):
+    total, got = sum(weights.values()), dict.fromkeys(weights, 0)
+    for t, (s, block, slot, position) in enumerate(pfair.dealt(dict.fromkeys(weights, 10**9), weights)):
+        if t == 12_500:
+            break
+        assert (block, slot, position) == (got[s], t, 8 * t)
+        got[s] += 1
+        assert all(abs(n - weights[x] / total * (t + 1)) < 1 + 1e-9 for x, n in got.items())
+
+
+def test_rows_by_exact_weights(spark):
+    rows = [(i, "small" if i % 5 == 0 else "big", "t", "p", "r") for i in range(403)]
+    weights = {"big": 0.9997, "small": 0.0003}
+    df = spark.createDataFrame(rows, SCHEMA).select("doc_id", "source").repartition(4)
+    placed = pfair.positions(df, weights, block=4).collect()
+    assert sorted(x["position"] for x in placed) == list(range(len(rows)))
+    plan = {p: (s, slot) for s, _, slot, p in pfair.dealt({"big": 322, "small": 81}, weights, 4)}
+    assert all(plan[x["position"]] == (x["source"], x["slot"]) for x in placed if x["position"] in plan)
