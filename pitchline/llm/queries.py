@@ -13,7 +13,7 @@ from pitchline.llm.ppm import op2_ppm_score
 from pitchline.llm.repeats import op7_maximal_repeats
 from pitchline.llm.secrets import op1_secret_scan
 from pitchline.llm.sentencepiece_backend import op5_sentencepiece
-
+from pitchline.llm.simhash_join import op11_simhash_join
 
 
 def pipeline(spark, sf_dir):
@@ -25,4 +25,5 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {q.__name__: q for q in (
     op1_secret_scan, op2_ppm_score, op3_order_minhash, op4_bit_packing, op5_sentencepiece, op6_license_scan,
-    op7_maximal_repeats, op8_host_quality, op9_hilbert_neighbours, op10_mix_sources, pipeline)}
+    op7_maximal_repeats, op8_host_quality, op9_hilbert_neighbours, op10_mix_sources,
+    op11_simhash_join, pipeline)}
