@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pitchline.llm.common import LOWER, UPPER
+from pitchline.llm.hard_negatives import HIGH, LOW, NEGATIVES, POSITIVES
 from pitchline.llm.host_quality import MAX_RATE, SYMBOLS
 from pitchline.llm.licenses import BASE, INDEXED, LOOKED_UP, MIN_SCORE, TEMPLATES
 from pitchline.llm.repeats import LENGTH
@@ -106,4 +107,24 @@ SELECT doc_id, n AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed
   sha256(unhex(COALESCE(kept, h))) AS kept_sha256
 FROM p LEFT JOIN kept USING (r)"""
 
-ORACLE = {"op6_license_scan": OP6, "op7_maximal_repeats": OP7, "op8_host_quality": OP8}
+# ------------------------------------------------------------ operator 12
+
+OP12 = f"""
+WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE same) WHERE k <= {POSITIVES})
+SELECT * FROM (
+  SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND {LOW} * positive_score <= 100 * score AND 100 * score <= {HIGH} * positive_score)
+WHERE rank <= {NEGATIVES}"""
+
+ORACLE = {"op6_license_scan": OP6, "op7_maximal_repeats": OP7, "op8_host_quality": OP8,
+          "op12_hard_negatives": OP12}
