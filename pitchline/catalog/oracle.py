@@ -720,3 +720,184 @@ SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, CAST(athlete_id AS VARCHAR)
 ORACLE["cast_decimal_text"] = """
 SELECT p_partkey, CAST(p_size AS INT) AS size_int, CAST(NULL AS INT) AS too_large, CAST(NULL AS DATE) AS bad_date
 FROM part"""
+
+# ------------------------------------------------- seasons, table loads ---
+
+_SEASONS = W("t2_standings") + """,
+ss AS (SELECT *, '2024-25' AS season FROM t2_standings
+  UNION ALL SELECT * REPLACE (points + team_id % 5 AS points), '2023-24' AS season FROM t2_standings WHERE team_id % 3 <> 0)"""
+_PLAYER_SEASONS = W("t3_athletes") + """,
+ps AS (SELECT *, '2024-25' AS season, CASE WHEN team_id IS NOT NULL THEN CAST(team_id AS VARCHAR) END AS team FROM t3_athletes
+  UNION ALL SELECT * REPLACE (athlete_age - 1 AS athlete_age), '2023-24' AS season,
+    CASE WHEN team_id IS NOT NULL THEN '0' END AS team FROM t3_athletes WHERE athlete_id % 4 <> 0)"""
+
+ORACLE["gold_two_seasons"] = _SEASONS + """,
+g AS (
+  SELECT season, group_id, group_name, count(*) AS teams_in_group,
+    CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT) AS total_games_played,
+    CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) AS total_goals_scored,
+    avg(CAST(points AS INT)) AS avg_points_per_team,
+    max(CAST(points AS INT)) AS group_leader_points, min(CAST(points AS INT)) AS group_lowest_points,
+    avg(CAST(goalDifferential AS INT)) AS avg_goal_differential,
+    max(CAST(goalDifferential AS INT)) AS best_goal_differential,
+    min(CAST(goalDifferential AS INT)) AS worst_goal_differential
+  FROM ss GROUP BY season, group_id, group_name),
+s AS (
+  SELECT *, group_leader_points - group_lowest_points AS points_spread,
+    CASE WHEN group_leader_points - group_lowest_points > 0
+         THEN 100 / (group_leader_points - group_lowest_points) ELSE 100.0 END AS competitiveness_score,
+    CASE WHEN total_games_played > 0 THEN total_goals_scored / total_games_played ELSE 0 END AS goals_per_game
+  FROM g)
+SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY season ORDER BY competitiveness_score DESC, group_id) AS BIGINT) AS competitiveness_rank
+FROM s"""
+
+ORACLE["gold_two_seasons_overview"] = _SEASONS + """
+SELECT count(DISTINCT team_id) AS total_teams, count(DISTINCT group_id) AS total_groups,
+  CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT) AS total_games_played,
+  CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) AS total_goals_scored, avg(CAST(goalsFor AS INT)) AS avg_goals_per_team,
+  max(CAST(points AS INT)) AS max_points, min(CAST(points AS INT)) AS min_points,
+  CAST(sum(CAST(goalsFor AS INT)) AS BIGINT) / CAST(sum(CAST(gamesPlayed AS INT)) AS BIGINT) AS goals_per_game,
+  'Competition' AS competition_name, season
+FROM ss GROUP BY season"""
+
+ORACLE["gold_two_seasons_ranks"] = _SEASONS + """
+SELECT season, group_id, team_id, CAST(points AS INT) AS points,
+  CAST(ROW_NUMBER() OVER (PARTITION BY season ORDER BY CAST(points AS INT) DESC, CAST(goalDifferential AS INT) DESC, team_id) AS BIGINT) AS overall_rank
+FROM ss"""
+
+ORACLE["gold_two_seasons_rosters"] = _PLAYER_SEASONS + """
+SELECT season, team AS team_id, team_name, CAST(NULL AS VARCHAR) AS team_abbreviation,
+  count(*) AS total_players, avg(athlete_age) AS avg_age, min(athlete_age) AS min_age,
+  max(athlete_age) AS max_age, avg(athlete_weight) AS avg_weight, avg(athlete_height) AS avg_height,
+  array_to_string(list_sort(list_distinct(list(athlete_nationality))), ',') AS nationalities,
+  array_to_string(list_sort(list_distinct(list(athlete_position))), ',') AS positions,
+  CAST(len(list_distinct(list(athlete_nationality))) AS INT) AS nationality_count,
+  CAST(len(list_distinct(list(athlete_position))) AS INT) AS position_count,
+  max(athlete_age) - min(athlete_age) AS age_diversity
+FROM ps WHERE team IS NOT NULL GROUP BY season, team, team_name"""
+
+ORACLE["gold_two_seasons_players"] = _PLAYER_SEASONS + f""",
+p AS (SELECT season, team, athlete_position AS position, {_AGE_GROUP.format(x='athlete_age')} AS age_group
+      FROM ps WHERE athlete_full_name IS NOT NULL AND athlete_age IS NOT NULL)
+SELECT season, 'age' AS "by", age_group AS name, position, count(*) AS players FROM p GROUP BY season, age_group, position
+UNION ALL SELECT season, 'team', team, position, count(*) FROM p GROUP BY season, team, position"""
+
+ORACLE["warehouse_two_seasons"] = W("t2_standings", "t3_athletes", "t4_matches", "t6_fact_player_stats") + """,
+days AS (SELECT min(d) AS lo, max(d) AS hi FROM (
+  SELECT DATE '2024-06-30' AS d UNION ALL SELECT DATE '2024-12-31'
+  UNION ALL SELECT match_date FROM (SELECT event_id, min(match_date) AS match_date FROM t4_matches GROUP BY event_id)
+  UNION ALL SELECT max(match_date) FROM t4_matches GROUP BY event_id
+  UNION ALL SELECT date_id FROM t6_fact_player_stats)),
+n AS (
+  SELECT 'dim_teams' AS table_name, count(*) AS n, FALSE AS has_id FROM supplier
+  UNION ALL SELECT 'dim_players', count(*), FALSE FROM t3_athletes WHERE athlete_full_name IS NOT NULL AND athlete_age IS NOT NULL
+  UNION ALL SELECT 'dim_groups', count(DISTINCT group_id), FALSE FROM t2_standings
+  UNION ALL SELECT 'dim_dates', date_diff('day', lo, hi) + 1, FALSE FROM days
+  UNION ALL SELECT 'fact_team_performance', count(*) + count(*) FILTER (WHERE team_id % 3 <> 0), TRUE FROM t2_standings
+  UNION ALL SELECT 'fact_player_stats', count(*), TRUE FROM (SELECT DISTINCT player_id, team_id, date_id FROM t6_fact_player_stats)
+  UNION ALL SELECT 'fact_match_results', 2 * count(DISTINCT event_id), TRUE FROM t4_matches)
+SELECT table_name, n AS n_rows, n AS n_keys, CASE WHEN has_id THEN n END AS n_identities, n AS n_kept FROM n"""
+
+ORACLE["warehouse_season_dates"] = W("t2_standings") + """
+SELECT DATE '2024-12-31' AS date_id, count(*) AS n_rows, count(*) AS n_keys FROM t2_standings
+UNION ALL SELECT DATE '2024-06-30', count(*), count(*) FROM t2_standings WHERE team_id % 3 <> 0"""
+
+ORACLE["two_competitions"] = W("t4_matches") + """
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS event_id, CAST(2 AS BIGINT) AS matches, CAST(2 AS BIGINT) AS ids, 'second' AS last_group
+FROM t4_matches"""
+
+ORACLE["unfinished_version"] = """
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN lower(c_name) ELSE c_name END AS c_name,
+  TIMESTAMP '2024-07-01 00:00:00' AS created_at,
+  CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '2024-08-01 00:00:00' ELSE TIMESTAMP '2024-07-01 00:00:00' END AS updated_at
+FROM customer"""
+
+ORACLE["identity_reload"] = """
+SELECT count(*) AS n_rows, count(*) AS n_keys,
+  count(*) FILTER (WHERE c_custkey % 3 = 0) + 2 * count(*) FILTER (WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0) AS n_kept
+FROM customer"""
+
+ORACLE["alarm_episodes"] = _WIN + """,
+sp AS (SELECT metric_name, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:55:00', INTERVAL '300 seconds')) AS window_start
+       FROM (SELECT unnest(['click', 'error', 'heartbeat', 'view']) AS metric_name)),
+v AS (SELECT sp.metric_name, sp.window_start, sum_value / samples AS value, sum_value / samples > 60.0 AS breaching
+      FROM sp LEFT JOIN w ON sp.metric_name = w.metric_name AND sp.window_start = w.window_start),
+st AS (SELECT metric_name, window_start, value,
+         CASE WHEN count(*) FILTER (WHERE breaching) OVER l >= 2 THEN 'ALARM' WHEN count(breaching) OVER l = 0 THEN 'INSUFFICIENT_DATA' ELSE 'OK' END AS state
+       FROM v WINDOW l AS (PARTITION BY metric_name ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+i AS (SELECT *, row_number() OVER (PARTITION BY metric_name ORDER BY window_start)
+         - row_number() OVER (PARTITION BY metric_name, state ORDER BY window_start) AS island FROM st)
+SELECT metric_name, state, min(window_start) AS started, max(window_start) + INTERVAL '300 seconds' AS ended,
+  count(*) AS periods, max(value) AS worst_value
+FROM i GROUP BY metric_name, state, island"""
+
+# ------------------------------------------------------ partial states ---
+
+_REBUILT = W("t2_standings") + """,
+ss AS (SELECT * REPLACE (points + CASE WHEN team_id % 3 = 0 THEN 7 ELSE 0 END AS points), '2024' AS season FROM t2_standings
+  UNION ALL SELECT * REPLACE (points + CASE WHEN team_id % 2 = 1 THEN team_id % 4 ELSE 0 END AS points), '2023' AS season FROM t2_standings)"""
+ORACLE["incremental_gold"] = ORACLE["gold_two_seasons"].replace(_SEASONS, _REBUILT).replace(
+    "SELECT season, group_id, group_name, count(*)", "SELECT season, CAST(group_id AS VARCHAR) AS group_id, group_name, count(*)")
+ORACLE["incremental_overview"] = ORACLE["gold_two_seasons_overview"].replace(_SEASONS, _REBUILT)
+
+# ---------------------------------------------- sketches, open payloads ---
+
+ORACLE["distinct_sketches"] = """
+SELECT CAST(year(l_shipdate) AS INT) AS year, CAST(quarter(l_shipdate) AS INT) AS quarter,
+  count(*) AS row_count, count(DISTINCT l_suppkey) AS unique_l_suppkey
+FROM lineitem GROUP BY 1, 2"""
+
+ORACLE["table_metrics_sketched"] = W("t6_fact_player_stats") + """
+SELECT count(*) AS row_count, count(DISTINCT player_id) AS unique_player_id, count(DISTINCT date_id) AS unique_dates
+FROM t6_fact_player_stats"""
+
+_ATHLETE_CONTRACT = ("id", "uid", "guid", "firstName", "lastName", "fullName", "displayName", "shortName", "weight", "height", "age",
+                     "dateOfBirth", "birthPlace", "nationality", "position", "team", "jersey")
+ORACLE["payload_drift"] = W("t3_athletes") + """,
+seen AS (
+  SELECT 'id' AS field, count(*) AS n, 'STRING' AS type FROM t3_athletes
+  UNION ALL SELECT 'fullName', count(athlete_full_name), 'STRING' FROM t3_athletes
+  UNION ALL SELECT 'age', count(athlete_age), 'BIGINT' FROM t3_athletes
+  UNION ALL SELECT 'nickname', count(*), 'STRING' FROM t3_athletes WHERE athlete_id % 5 = 0
+  UNION ALL SELECT 'contract', count(*), 'OBJECT<until: BIGINT>' FROM t3_athletes WHERE athlete_id % 7 = 0
+  UNION ALL SELECT 'birthPlace', count(*), 'OBJECT<country: STRING>' FROM t3_athletes WHERE athlete_id % 2 = 0),
+known AS (SELECT unnest([""" + ", ".join(f"'{c}'" for c in _ATHLETE_CONTRACT) + """]) AS field)
+SELECT 'athletes' AS entity, COALESCE(seen.field, known.field) AS field, known.field IS NOT NULL AS in_contract,
+  COALESCE(n, 0) AS occurrences, CAST(0 AS BIGINT) AS nulls, type
+FROM seen FULL OUTER JOIN known ON seen.field = known.field"""
+
+ORACLE["payload_variant"] = W("t3_athletes") + """
+SELECT athlete_id, CASE WHEN athlete_id % 5 = 0 THEN 'nick' END AS nickname,
+  CASE WHEN athlete_id % 7 = 0 THEN CAST(athlete_id % 4 + 2025 AS INT) END AS until,
+  CASE WHEN athlete_id % 2 = 0 THEN athlete_nationality END AS country
+FROM t3_athletes"""
+
+ORACLE["teams_all_fields"] = ORACLE["project_rename"].replace(
+    "s_acctbal >= 0 AS team_is_active,", """s_acctbal >= 0 AS team_is_active,
+  concat('[{"href":"/logos/', s_suppkey, '"}]') AS team_logos, CAST(NULL AS VARCHAR) AS team_links,""")
+
+ORACLE["athletes_all_fields"] = W("t3_athletes") + """
+SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, 'api' AS source, CAST(athlete_id AS VARCHAR) AS athlete_id,
+  concat('s:', athlete_id) AS athlete_uid, md5(CAST(athlete_id AS VARCHAR)) AS athlete_guid,
+  substr(athlete_full_name, 1, 4) AS athlete_first_name, substr(athlete_full_name, 5, 20) AS athlete_last_name,
+  athlete_full_name, upper(athlete_full_name) AS athlete_display_name, lower(athlete_full_name) AS athlete_short_name,
+  CASE WHEN athlete_weight IS NOT NULL THEN concat(CAST(athlete_weight AS INT), '.0') END AS athlete_weight,
+  CASE WHEN athlete_height IS NOT NULL THEN concat(CAST(athlete_height AS INT), '.0') END AS athlete_height,
+  CAST(athlete_age AS VARCHAR) AS athlete_age, concat('1990-01-', lpad(CAST(athlete_id % 28 + 1 AS VARCHAR), 2, '0')) AS athlete_date_of_birth,
+  concat('{"city":"', team_name, '"}') AS athlete_birth_place, athlete_nationality,
+  concat('{"name":"', athlete_position, '"}') AS athlete_position, CAST(athlete_id % 99 AS VARCHAR) AS athlete_jersey,
+  CAST(team_id AS VARCHAR) AS team_id, team_name, 'T' AS team_abbreviation,
+  '2024-07-01T00:00:00' AS transformation_timestamp, 'silver' AS data_layer
+FROM t3_athletes"""
+
+ORACLE["events_all_fields"] = W("t4_matches") + """,
+r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY match_date DESC, match_status DESC, venue DESC, attendance DESC,
+        CAST(group_id AS VARCHAR) DESC, CAST(home_team_id AS VARCHAR) DESC, CAST(home_score AS VARCHAR) DESC,
+        CAST(away_team_id AS VARCHAR) DESC, CAST(away_score AS VARCHAR) DESC) AS k FROM t4_matches)
+SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, 'api' AS source, CAST(event_id AS VARCHAR) AS event_id, concat('e:', event_id) AS event_uid,
+  strftime(match_date, '%Y-%m-%dT00:00Z') AS event_date, concat('Event ', event_id) AS event_name, concat('E', event_id) AS event_short_name,
+  concat('{"name":"', match_status, '"}') AS event_status, concat('{"year":', year(match_date), '}') AS event_season,
+  event_id % 2 = 0 AS event_time_valid, concat('[{"href":"/e/', event_id, '"}]') AS event_links, venue,
+  CAST(group_id AS VARCHAR) AS group_id, CAST(home_team_id AS VARCHAR) AS home, CAST(away_team_id AS VARCHAR) AS away,
+  '2024-07-01T00:00:00' AS transformation_timestamp, 'silver' AS data_layer
+FROM r WHERE k = 1"""

@@ -4,6 +4,7 @@ over the driver's tables bound through the league adapter views."""
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -184,8 +185,10 @@ def having_filter(t: Tables) -> DataFrame:
 
 @query
 def latest_snapshot(t: Tables) -> DataFrame:
-    f = A.t5_fact_team_performance(t)
-    return Flt.latest_snapshot(f, "date_id")
+    """D3: the newest date comes from the dates of the line items alone; as a
+    value it filters them before anything is summed or joined."""
+    newest = t.lineitem.select(F.make_date(F.max(F.year("l_shipdate")), F.lit(12), F.lit(31))).first()[0]
+    return Flt.latest_snapshot(A.t5_fact_team_performance(t), "date_id", newest=F.lit(newest))
 
 
 # --------------------------------------------------------- warehouse ---
@@ -275,22 +278,28 @@ def group_dim(t: Tables) -> DataFrame:
 
 
 def stored_fact(t: Tables) -> DataFrame:
-    """The stored team fact with two snapshots: the newest one, and a year
-    before it one in which nobody had a point."""
-    new = W.fact_team_performance(gold.team_performance_summary(standings(t, rank=True)), SNAPSHOT_DATE)
-    new = R.materialize(new, "fact")
-    old = new.withColumns({"date_id": F.add_months("date_id", -12), "points": F.lit(0)})
-    return R.materialize(new.unionByName(old), "fact")
+    """The newest snapshot of the stored team fact, which is partitioned by
+    date and holds two: the newest one, and a year before it one in which
+    nobody had a point. Written in one pass, read by partition."""
+    from pitchline.sinks import versions
+
+    root = _scratch(t, "fact")
+    new = W.fact_team_performance(gold.team_performance_summary(standings(t, rank=True)), SNAPSHOT_DATE, key=False)
+    new = new.withColumn("old", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns({
+        "date_id": F.when(F.col("old"), F.add_months("date_id", -12)).otherwise(F.col("date_id")),
+        "points": F.when(F.col("old"), 0).otherwise(F.col("points"))}).drop("old")
+    versions.write_version(new, root, "fact_team_performance", "1", None, ["date_id"])
+    return versions.read_newest(t.spark, root, "fact_team_performance", "date_id")
 
 
 @query
 def v_team_performance(t: Tables) -> DataFrame:
-    return V.v_team_performance_summary(stored_fact(t), team_dim(t), group_dim(t))
+    return V.v_team_performance_summary(stored_fact(t), team_dim(t), group_dim(t), newest=False)
 
 
 @query
 def v_group_standings(t: Tables) -> DataFrame:
-    return V.v_group_standings(stored_fact(t), team_dim(t), group_dim(t))
+    return V.v_group_standings(stored_fact(t), team_dim(t), group_dim(t), newest=False)
 
 
 @query
@@ -411,7 +420,11 @@ def param_filters(t: Tables) -> DataFrame:
 
 @query
 def last_n_days(t: Tables) -> DataFrame:
-    return Flt.last_n_days(A.t4_matches(t, venue=True), "match_date", days=30)
+    """The days up to the newest match. A first pass without the venues
+    finds that day; as a value it filters the line items of the second one
+    before they are joined."""
+    newest = A.t4_matches(t).agg(F.max("match_date")).first()[0]
+    return Flt.last_n_days(A.t4_matches(t, venue=True), "match_date", days=30, as_of=newest)
 
 
 # ------------------------------------------------------------ quality ---
@@ -563,7 +576,7 @@ def flatten_struct(t: Tables) -> DataFrame:
 def scan_parquet(t: Tables) -> DataFrame:
     """A2: projection + filter reach the Parquet scan (ReadSchema /
     PushedFilters)."""
-    li = read_table(t.spark, t.sf_dir, "lineitem")
+    li = read_table(t.spark, t.sf_dir, "lineitem.parquet")
     return (li.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
             .select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"))
 
@@ -783,3 +796,336 @@ def flatten_events(t: Tables) -> DataFrame:
     parsed = docs.select(F.from_json("v", bronze.document_schema("events", corrupt=False)).alias("d")).select("d.*")
     silver = S.silver_events(parsed, ts=AUDIT_TS).drop("ingestion_timestamp")  # an event id repeats for its line items
     return W.fact_match_results(silver, key=False)
+
+
+# ------------------------------------------------- seasons, table loads ---
+
+def two_seasons(t: Tables, rank: bool = False) -> DataFrame:
+    """Standings of two seasons; in the older one only some teams played,
+    with other points."""
+    s = standings(t, rank).withColumn("ingestion_timestamp", F.lit("2024-12-01T06:00:00"))
+    old = s.where("team_id % 3 <> 0").withColumns({"points": F.col("points") + F.col("team_id") % 5, "season": F.lit("2023-24")})
+    return s.withColumn("season", F.lit("2024-25")).unionByName(old)
+
+
+def two_player_seasons(t: Tables) -> DataFrame:
+    """Athletes of two seasons; a year earlier they were a year younger, and
+    some elsewhere."""
+    a = athletes(t).withColumn("ingestion_timestamp", F.lit("2024-12-01T06:00:00"))
+    old = a.where("athlete_id % 4 <> 0").withColumns({
+        "athlete_age": F.col("athlete_age") - 1, "season": F.lit("2023-24"),
+        "athlete_team": F.col("athlete_team").withField("id", F.lit("0"))})
+    return a.withColumn("season", F.lit("2024-25")).unionByName(old)
+
+
+@query
+def gold_two_seasons(t: Tables) -> DataFrame:
+    """Groups are analysed and ranked season by season."""
+    return gold.group_analysis(two_seasons(t))
+
+
+@query
+def gold_two_seasons_overview(t: Tables) -> DataFrame:
+    """One overview row a season."""
+    return gold.competition_overview(two_seasons(t))
+
+
+@query
+def gold_two_seasons_ranks(t: Tables) -> DataFrame:
+    """the overall rank within the season."""
+    return gold.team_performance_summary(two_seasons(t)).select("season", "group_id", "team_id", "points", "overall_rank")
+
+
+@query
+def gold_two_seasons_rosters(t: Tables) -> DataFrame:
+    """Each player counts once a season."""
+    return gold.team_roster_summary(two_player_seasons(t), sets="string")
+
+
+@query
+def gold_two_seasons_players(t: Tables) -> DataFrame:
+    """Players by age group and by team, season by season."""
+    p = gold.player_analytics(two_player_seasons(t))
+    ages = D.age_distribution(p).select("season", F.lit("age").alias("by"), F.col("age_group").alias("name"), "position", "players")
+    teams = D.team_composition(p).select("season", F.lit("team").alias("by"), F.col("team_id").alias("name"), "position", "players")
+    return ages.unionByName(teams)
+
+
+def _player_stats_long(t: Tables) -> DataFrame:
+    """Player statistics in the long form of the silver layer."""
+    s = A.t6_fact_player_stats(t).groupBy("player_id", "team_id", "date_id").agg(
+        *(F.sum(c).cast("double").alias(c) for c in ("games_played", "goals", "assists")))
+    return s.unpivot(["player_id", "team_id", "date_id"], ["games_played", "goals", "assists"], "stat_name", "stat_value")
+
+
+def _one_match_an_event(t: Tables) -> DataFrame:
+    """Events with two competitions each, in different groups."""
+    e = W.one_row_per_key(A.events_silver(t), ["event_id"])
+    other = F.col("event_competitions")[0].withField("groupId", F.lit("second"))
+    return e.withColumn("event_competitions", F.array_append("event_competitions", other))
+
+
+@query
+def warehouse_two_seasons(t: Tables) -> DataFrame:
+    """K1-K8 in the flow: silver of two seasons to gold and into all seven
+    tables, loaded twice: rows, distinct keys, identity values, and rows that
+    kept their identity and created_at over the reload."""
+    from pitchline.plans import run
+    from pitchline.sinks import versions
+
+    root = _scratch(t, "flow")
+    silver = {"standings": two_seasons(t, rank=True), "teams": A.teams_silver(t), "athletes": two_player_seasons(t),
+              "events": _one_match_an_event(t), "player_stats": _player_stats_long(t)}
+    for name, df in silver.items():
+        Out.write_layer(df, f"{root}/silver", name)
+    status = run.run_layer(t.spark, "gold", root, ts=AUDIT_TS)
+    status += run.load_warehouse(t.spark, root, ts="2024-12-31T00:00:00")
+    tables = run.warehouse_loads(t.spark, root, "2024-12-31")
+    first = {n: versions.read_current(t.spark, f"{root}/warehouse", n) for n in tables}
+    status += run.load_warehouse(t.spark, root, ts="2024-12-31T06:00:00")
+    failed = [r for r in status if not r[2]]
+    if failed:
+        raise RuntimeError(f"loads failed: {failed}")
+    out = []
+    for name, load in tables.items():
+        now = versions.read_current(t.spark, f"{root}/warehouse", name)
+        same = [*load.key, "created_at", *([load.identity] if load.identity else [])]
+        kept = now.select(*same).intersect(first[name].select(*same))
+        ids = F.count_distinct(load.identity) if load.identity else F.lit(None).cast("bigint")
+        out.append(now.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                           F.count_distinct(*load.key).alias("n_keys"), ids.alias("n_identities"))
+                   .withColumn("n_kept", kept.select(F.count(F.lit(1))).scalar()))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+@query
+def warehouse_season_dates(t: Tables) -> DataFrame:
+    """K5: the facts of an earlier season are dated by its last day."""
+    summary = gold.team_performance_summary(two_seasons(t, rank=True))
+    f = W.fact_team_performance(summary, W.season_date(F.col("season"), SNAPSHOT_DATE), key=False)
+    return f.groupBy("date_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("team_id", "group_id").alias("n_keys"))
+
+
+@query
+def two_competitions(t: Tables) -> DataFrame:
+    """K7: an event of two competitions is two matches, told apart by group."""
+    from pitchline.sinks import versions
+
+    root = _scratch(t, "matches")
+    rows = W.fact_match_results(_one_match_an_event(t), key=False)
+    versions.reload(t.spark, root, "fact_match_results", rows, ["event_id", "group_id"], version="1", ts=AUDIT_TS, identity="match_id")
+    return versions.read_current(t.spark, root, "fact_match_results").groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("matches"), F.count_distinct("match_id").alias("ids"), F.max("group_id").alias("last_group"))
+
+
+@query
+def unfinished_version(t: Tables) -> DataFrame:
+    """A load that wrote its rows but did not publish them, and one
+    that was refused because another was faster, leave the table as it was."""
+    from pitchline.sinks import commits, versions
+
+    root = _scratch(t, "versions")
+    c = t.customer.select("c_custkey", "c_name")
+    versions.reload(t.spark, root, "dim", c, ["c_custkey"], version="1", ts=AUDIT_TS)
+    base = versions.manifest(t.spark, root, "dim")
+    Out.write_layer(c.where("c_custkey % 7 = 0"), f"{root}/dim", "version=2")  # died before its manifest
+    versions.reload(t.spark, root, "dim", c.where("c_custkey % 2 = 0").withColumn("c_name", F.lower("c_name")), ["c_custkey"],
+                    version="3", ts="2024-08-01T00:00:00")
+    try:
+        versions.write_version(c.limit(0), root, "dim", "4", base)
+        raise RuntimeError("a load on an old version was published")
+    except commits.Conflict:
+        pass
+    return versions.read_current(t.spark, root, "dim")
+
+
+@query
+def identity_reload(t: Tables) -> DataFrame:
+    """K8: three loads of overlapping rows. A row keeps the key of its first
+    load, no key is given twice, and a load run again changes nothing."""
+    from pitchline.sinks import versions
+
+    root = _scratch(t, "identity")
+    c = t.customer.select("c_custkey", "c_name")
+    seen = []
+    for load, part in (("a", c.where("c_custkey % 3 = 0")), ("b", c.where("c_custkey % 2 = 0")), ("b", c), ("c", c)):
+        versions.reload(t.spark, root, "dim", part, ["c_custkey"], version=load, ts=AUDIT_TS, identity="sk")
+        seen.append(versions.read_current(t.spark, root, "dim").select("c_custkey", "sk"))
+    first, second, again, last = seen
+    kept = functools.reduce(DataFrame.unionByName, (x.join(last, ["c_custkey", "sk"], "left_semi") for x in (first, second, again)))
+    return last.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sk").alias("n_keys")).withColumn(
+        "n_kept", kept.select(F.count(F.lit(1))).scalar())
+
+
+@query
+def alarm_episodes(t: Tables) -> DataFrame:
+    """L3: episodes of the state of a 2-of-3 alarm on 5-minute averages in
+    January 2024; ``heartbeat`` never reports."""
+    states = M.period_states(A.t8_metrics(t), ["click", "error", "heartbeat", "view"], dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1),
+                             threshold=60.0, points=2, out_of=3)
+    return M.alarm_episodes(states)
+
+
+# ------------------------------------------------------ partial states ---
+
+def _season_batches(t: Tables) -> list[tuple[DataFrame, str, str]]:
+    """Standings documents in three deliveries: all teams; a newer snapshot
+    of some with a season before it; and a stale snapshot with new teams of
+    that season. Each is (documents, season, snapshot time)."""
+    wide = R.materialize(A.t1_wide(t), "wide")
+    docs = lambda rows: A.standings_documents(t, rows).select("data.*")
+    points = lambda by: {"points": F.col("points") + by}
+    return [
+        [(docs(wide), "2024", "2024-12-01T00:00:00")],
+        [(docs(wide.where("team_id % 3 = 0").withColumns(points(7))), "2024", "2024-12-02T00:00:00"),
+         (docs(wide.where("team_id % 2 = 0")), "2023", "2024-12-02T00:00:00")],
+        [(docs(wide.where("team_id % 2 = 0").withColumns(points(-50))), "2024", "2024-11-30T00:00:00"),
+         (docs(wide.where("team_id % 2 = 1").withColumns(points(F.col("team_id") % 4))), "2023", "2024-12-03T00:00:00")]]
+
+
+def _streamed_gold(t: Tables) -> str:
+    from pitchline.streaming.partials import stream_gold
+
+    root = _scratch(t, "partials")
+    for batch in _season_batches(t):
+        for docs, season, ts in batch:
+            Out.land_bronze(docs.withColumn("season", F.lit(season)), f"{root}/bronze", "standings", A.BRONZE_SOURCE,
+                            partition_by=["season"], ts=ts)
+        stream_gold(t.spark, f"{root}/bronze", f"{root}/state", f"{root}/ckpt").awaitTermination()
+    return f"{root}/state"
+
+
+@query
+def incremental_gold(t: Tables) -> DataFrame:
+    """Group analysis from partial states after three micro-batches
+    with replaced and stale snapshots, equal to the full rebuild."""
+    from pitchline.streaming import partials
+
+    return partials.group_analysis(partials.counts(t.spark, _streamed_gold(t)))
+
+
+@query
+def incremental_overview(t: Tables) -> DataFrame:
+    """The season overviews from the same partial states."""
+    from pitchline.streaming import partials
+
+    state = _streamed_gold(t)
+    return partials.competition_overview(partials.counts(t.spark, state), partials.rows(t.spark, state))
+
+
+# ---------------------------------------------- sketches, open payloads ---
+
+@query
+def distinct_sketches(t: Tables) -> DataFrame:
+    """Sketches of the suppliers a day, stored from two loads that
+    overlap in time, and merged to quarters; only sketches are read for it.
+    At up to some thousand keys the counts are exact."""
+    from pitchline.plans import sketches as Sk
+    from pitchline.sinks import versions
+
+    root = _scratch(t, "sketches")
+    li = t.lineitem.select(F.col("l_shipdate").cast("date").alias("day"), "l_suppkey", "l_linenumber")
+    for load, part in (("a", li.where("l_linenumber <= 4")), ("b", li.where("l_linenumber > 4")), ("b", li)):
+        Sk.append_sketches(t.spark, root, "by_day", Sk.sketch_by(part, ["day"], ["l_suppkey"], lg=15), ["day"], load)
+    days = versions.read_current(t.spark, root, "by_day")
+    quarters = Sk.merged(days, [F.year("day").alias("year"), F.quarter("day").alias("quarter")])
+    return Sk.estimates(quarters)
+
+
+@query
+def table_metrics_sketched(t: Tables) -> DataFrame:
+    """E7 from sketches a date: rows, distinct players and dates of the
+    player facts."""
+    from pitchline.plans import sketches as Sk
+
+    days = Sk.sketch_by(A.t6_fact_player_stats(t), ["date_id"], ["player_id"], lg=15)
+    stored = R.materialize(days, "sketches")
+    return Sk.estimates(Sk.merged(stored)).withColumn("unique_dates", stored.select(F.count(F.lit(1))).scalar())
+
+
+def _drifted_athletes(t: Tables, root: str) -> None:
+    """Athlete documents with fields outside the contract, one of them of two
+    types, and with fields that are null or missing."""
+    a = A.t3_athletes(t)
+    k = F.col("athlete_id")
+    item = F.struct(
+        k.cast("string").alias("id"), F.col("athlete_full_name").alias("fullName"), F.col("athlete_age").alias("age"),
+        F.when(k % 5 == 0, F.lit("nick")).alias("nickname"),
+        F.when(k % 7 == 0, F.struct((k % 4 + 2025).alias("until"))).alias("contract"),
+        F.when(k % 2 == 0, F.struct(F.col("athlete_nationality").alias("country"))).alias("birthPlace"))
+    docs = a.select(F.struct(A._metadata().alias("metadata"), F.struct(F.array(item).alias("items")).alias("data")).alias("d"))
+    docs.select("d.*").write.mode("overwrite").json(f"{root}/athletes/season=2024")
+
+
+@query
+def payload_drift(t: Tables) -> DataFrame:
+    """The fields of landed documents against the contract."""
+    from pitchline.plans import drift
+
+    root = _scratch(t, "drift")
+    _drifted_athletes(t, root)
+    return drift.drift_report(drift.read_documents(t.spark, root, "athletes"), "athletes")
+
+
+@query
+def payload_variant(t: Tables) -> DataFrame:
+    """Fields that no schema names, taken out of the VARIANT by path."""
+    from pitchline.plans import drift
+
+    root = _scratch(t, "drift")
+    _drifted_athletes(t, root)
+    items = drift.items(drift.read_documents(t.spark, root, "athletes"), "athletes")
+    return items.select(drift.field("id", "bigint").alias("athlete_id"), drift.field("nickname", "string").alias("nickname"),
+                        drift.field("contract.until", "int").alias("until"), drift.field("birthPlace.country", "string").alias("country"))
+
+
+def _parsed(documents: DataFrame, entity: str) -> DataFrame:
+    """Documents through their JSON text and the entity's explicit schema."""
+    text = documents.select(F.to_json(F.struct("metadata", "data")).alias("v"))
+    return text.select(F.from_json("v", bronze.document_schema(entity, corrupt=False)).alias("d")).select("d.*")
+
+
+@query
+def teams_all_fields(t: Tables) -> DataFrame:
+    """C4: all 13 payload fields of the teams, logos and links as JSON text."""
+    return S.silver_teams(_parsed(A.teams_documents(t), "teams"), ts=AUDIT_TS)
+
+
+ATHLETE_FIELDS = ("id", "uid", "guid", "firstName", "lastName", "fullName", "displayName", "shortName", "weight", "height", "age",
+                  "dateOfBirth", "birthPlace", "nationality", "position", "jersey")
+
+
+@query
+def athletes_all_fields(t: Tables) -> DataFrame:
+    """All 17 payload fields of the athletes."""
+    a = A.t3_athletes(t)
+    name, k = F.col("athlete_full_name"), F.col("athlete_id").cast("string")
+    values = {"id": k, "uid": F.concat(F.lit("s:"), k), "guid": F.md5(k), "firstName": F.substring(name, 1, 4), "lastName": F.substring(name, 5, 20),
+              "fullName": name, "displayName": F.upper(name), "shortName": F.lower(name), "weight": F.col("athlete_weight").cast("string"),
+              "height": F.col("athlete_height").cast("string"), "age": F.col("athlete_age").cast("string"),
+              "dateOfBirth": F.concat(F.lit("1990-01-"), F.lpad((F.col("athlete_id") % 28 + 1).cast("string"), 2, "0")),
+              "birthPlace": F.struct(F.col("team_name").alias("city")), "nationality": F.col("athlete_nationality"),
+              "position": F.struct(F.col("athlete_position").alias("name")), "jersey": (F.col("athlete_id") % 99).cast("string")}
+    team = F.struct(F.col("team_id").cast("string").alias("id"), F.col("team_name").alias("name"), F.lit("T").alias("abbreviation"))
+    item = F.struct(*(values[f].alias(f) for f in ATHLETE_FIELDS), team.alias("team"))
+    docs = a.select(A._metadata().alias("metadata"), F.struct(F.array(item).alias("items")).alias("data"))
+    silver = S.silver_athletes(_parsed(docs, "athletes"), ts=AUDIT_TS)
+    return silver.select(*[c for c in silver.columns if c != "athlete_team"], F.col("athlete_team.id").alias("team_id"),
+                         F.col("athlete_team.name").alias("team_name"), F.col("athlete_team.abbreviation").alias("team_abbreviation"))
+
+
+@query
+def events_all_fields(t: Tables) -> DataFrame:
+    """All 10 payload fields of the events; of the competitions venue,
+    group and the sides."""
+    e = W.one_row_per_key(A.events_silver(t), ["event_id"])
+    k = F.col("event_id").cast("string")
+    item = F.struct(k.alias("id"), F.concat(F.lit("e:"), k).alias("uid"), F.col("event_date").alias("date"), F.concat(F.lit("Event "), k).alias("name"),
+                    F.concat(F.lit("E"), k).alias("shortName"), F.col("event_status").alias("status"), F.col("event_competitions").alias("competitions"),
+                    F.struct(F.substring("event_date", 1, 4).cast("int").alias("year")).alias("season"), (F.col("event_id") % 2 == 0).alias("timeValid"),
+                    F.array(F.struct(F.concat(F.lit("/e/"), k).alias("href"))).alias("links"))
+    docs = e.select(A._metadata().alias("metadata"), F.struct(F.array(item).alias("events")).alias("data"))
+    silver = S.silver_events(_parsed(docs, "events"), ts=AUDIT_TS)
+    c = F.col("event_competitions")[0]
+    return silver.select(*[x for x in silver.columns if x != "event_competitions"], c["venue"].alias("venue"), c["groupId"].alias("group_id"),
+                         c["competitors"][0]["teamId"].alias("home"), c["competitors"][1]["teamId"].alias("away"))

@@ -19,15 +19,18 @@ def require_not_null(df: DataFrame, *cols: str) -> DataFrame:
     return df if cond is None else df.where(cond)
 
 
-def latest_snapshot(df: DataFrame, date_col: str, by: Sequence[str] | None = None) -> DataFrame:
+def latest_snapshot(df: DataFrame, date_col: str, by: Sequence[str] | None = None, *,
+                    newest: Column | None = None) -> DataFrame:
     """Rows of the newest snapshot (D3).
 
     ``by=None``: ``WHERE d = (SELECT max(d) FROM df)`` as an uncorrelated
-    scalar subquery, planned once. With ``by``: the newest snapshot per key,
+    scalar subquery, planned once; where the newest date is known more cheaply
+    (from partition names, or from the column alone before ``df`` was joined
+    and summed), ``newest`` takes its place. With ``by``: the newest snapshot per key,
     as a grouped max (map-side partial aggregate, one row per key) joined
     back null-safely; no window, so a hot key is not one task."""
     if not by:
-        return df.where(F.col(date_col) == df.select(F.max(date_col)).scalar())
+        return df.where(F.col(date_col) == (df.select(F.max(date_col)).scalar() if newest is None else newest))
     newest = df.groupBy(*by).agg(F.max(date_col).alias("_pl_max"))
     newest = newest.select(*(F.col(c).alias(f"_pl_k_{i}") for i, c in enumerate(by)), "_pl_max")
     cond = [df[c].eqNullSafe(newest[f"_pl_k_{i}"]) for i, c in enumerate(by)]

@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from pitchline.functions import exprs as X
 
 
+def _season(df: DataFrame) -> list[str]:
+    """The season as a grouping key, where the data has it."""
+    return ["season"] if "season" in df.columns else []
+
+
 def kpi_cards(standings: DataFrame) -> DataFrame:
     """Distinct teams and groups, total goals, goals per game."""
     goals, games = X.to_int("goalsFor"), X.to_int("gamesPlayed")
@@ -44,13 +49,15 @@ def performance_trend(facts: DataFrame, date_col: str = "date_id",
 
 
 def age_distribution(players: DataFrame) -> DataFrame:
-    """Player count by age group and position."""
-    return players.groupBy("age_group", "position").agg(F.count(F.lit(1)).alias("players"))
+    """Player count by age group and position, per season where the
+    players have one."""
+    return players.groupBy(*_season(players), "age_group", "position").agg(F.count(F.lit(1)).alias("players"))
 
 
 def team_composition(players: DataFrame) -> DataFrame:
-    """Player count by team and position."""
-    return players.groupBy("team_id", "position").agg(F.count(F.lit(1)).alias("players"))
+    """Player count by team and position, per season where the players
+    have one."""
+    return players.groupBy(*_season(players), "team_id", "position").agg(F.count(F.lit(1)).alias("players"))
 
 
 def venue_analysis(matches: DataFrame) -> DataFrame:

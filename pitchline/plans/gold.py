@@ -2,7 +2,8 @@
 
 Each builder is ``DataFrame → DataFrame``; writing (and audit columns) is
 left to the layer job. Inputs are the silver shapes: wide standings with
-the stat columns, athletes with an ``athlete_team`` struct.
+the stat columns, athletes with an ``athlete_team`` struct. Where the input
+has a ``season``, every total, count, rank and label is per season.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 from pitchline.functions import exprs as X
 from pitchline.operators.filters import latest_snapshot, require_not_null
-from pitchline.operators.ranking import global_row_number
+from pitchline.operators.ranking import global_row_number, rank_within
 
-# Labels of the overview row; a load passes its own competition and season.
+# Labels of the overview row; the season is that of rows without one of their own.
 COMPETITION_NAME = "Competition"
 SEASON = "2024-25"
 
@@ -33,6 +34,17 @@ STANDINGS_KEY = ("season", "group_id", "team_id")
 ATHLETES_KEY = ("season", "athlete_id")
 
 
+def _season(df: DataFrame) -> list[str]:
+    """The season as a grouping key, where the data has it."""
+    return ["season"] if "season" in df.columns else []
+
+
+def _ranked(df: DataFrame, order: list, name: str) -> DataFrame:
+    """Rows ranked in ``order``, within their season where there is one."""
+    season = _season(df)
+    return rank_within(df, season, order, name) if season else global_row_number(df, order, name)
+
+
 def _snapshot(df: DataFrame, snapshot: str, key: tuple[str, ...] = STANDINGS_KEY) -> DataFrame:
     """The newest snapshot of each key (of the key columns that are there)."""
     if snapshot == "latest" and "ingestion_timestamp" in df.columns:
@@ -42,7 +54,8 @@ def _snapshot(df: DataFrame, snapshot: str, key: tuple[str, ...] = STANDINGS_KEY
 
 def team_performance_summary(standings: DataFrame, *, snapshot: str = "latest",
                              rank: bool = True) -> DataFrame:
-    """Per-team performance with rates, rating and an overall rank (F1).
+    """Per-team performance with rates, rating and an overall rank (F1)
+    of the season.
 
     ``overall_rank`` orders by points desc, goal difference desc and team id
     (the tie-break makes it deterministic); ``rank=False`` leaves it out,
@@ -75,9 +88,8 @@ def team_performance_summary(standings: DataFrame, *, snapshot: str = "latest",
     })
     if not rank:
         return perf
-    return global_row_number(
-        perf, [F.col("points").desc(), F.col("goal_differential").desc(),
-               F.col("team_id").asc()], "overall_rank")
+    return _ranked(perf, [F.col("points").desc(), F.col("goal_differential").desc(),
+                          F.col("team_id").asc(), *[c for c in ("group_id",) if c in perf.columns]], "overall_rank")
 
 
 def player_analytics(athletes: DataFrame, *, snapshot: str = "latest") -> DataFrame:
@@ -110,7 +122,7 @@ def player_analytics(athletes: DataFrame, *, snapshot: str = "latest") -> DataFr
 
 
 def team_roster_summary(athletes: DataFrame, *, sets: str = "array", snapshot: str = "latest") -> DataFrame:
-    """Squad profile per team (E3): size, age/weight/height stats, distinct
+    """Squad profile per team and season (E3): size, age/weight/height stats, distinct
     nationalities and positions, over each player's newest snapshot.
 
     ``sets``: ``"array"`` keeps sorted distinct arrays (memory per group is
@@ -133,7 +145,7 @@ def team_roster_summary(athletes: DataFrame, *, sets: str = "array", snapshot: s
     else:
         aggs += [F.sort_array(F.collect_set("athlete_nationality")).alias("nationalities"),
                  F.sort_array(F.collect_set("athlete_position")).alias("positions")]
-    r = (athletes.groupBy(team.getField("id").alias("team_id"),
+    r = (athletes.groupBy(*_season(athletes), team.getField("id").alias("team_id"),
                           team.getField("name").alias("team_name"),
                           team.getField("abbreviation").alias("team_abbreviation"))
          .agg(*aggs)
@@ -150,7 +162,7 @@ def team_roster_summary(athletes: DataFrame, *, sets: str = "array", snapshot: s
 def competition_overview(standings: DataFrame, *, snapshot: str = "latest",
                          competition_name: str = COMPETITION_NAME,
                          season: str = SEASON, approx: bool = False) -> DataFrame:
-    """One-row competition totals (E2). Two exact distinct counts in one
+    """Competition totals, one row a season (E2). Two exact distinct counts in one
     aggregate (Catalyst expands them); totals are summed per task first.
     ``approx=True`` uses HyperLogLog++ for the two distinct counts."""
     s = _snapshot(standings, snapshot)
@@ -158,7 +170,7 @@ def competition_overview(standings: DataFrame, *, snapshot: str = "latest",
     def distinct(c: str):
         return (F.approx_count_distinct(c) if approx else F.count_distinct(c)).cast("bigint")
 
-    o = s.agg(
+    o = s.groupBy(*_season(s)).agg(
         distinct("team_id").alias("total_teams"),
         distinct("group_id").alias("total_groups"),
         F.sum(X.to_int("gamesPlayed")).alias("total_games_played"),
@@ -170,15 +182,16 @@ def competition_overview(standings: DataFrame, *, snapshot: str = "latest",
     return o.withColumns({
         "goals_per_game": X.safe_ratio("total_goals_scored", "total_games_played"),
         "competition_name": F.lit(competition_name),
-        "season": F.lit(season),
+        "season": F.col("season") if _season(s) else F.lit(season),
     })
 
 
 def group_analysis(standings: DataFrame, *, snapshot: str = "latest") -> DataFrame:
-    """Per-group statistics and competitiveness rank."""
+    """Per-group statistics and competitiveness rank (E4, C18, C19, F2) of
+    the season."""
     s = _snapshot(standings, snapshot)
     pts, gd = X.to_int("points"), X.to_int("goalDifferential")
-    g = s.groupBy("group_id", "group_name").agg(
+    g = s.groupBy(*_season(s), "group_id", "group_name").agg(
         F.count(F.lit(1)).alias("teams_in_group"),
         F.sum(X.to_int("gamesPlayed")).alias("total_games_played"),
         F.sum(X.to_int("goalsFor")).alias("total_goals_scored"),
@@ -189,11 +202,15 @@ def group_analysis(standings: DataFrame, *, snapshot: str = "latest") -> DataFra
         F.max(gd).alias("best_goal_differential"),
         F.min(gd).alias("worst_goal_differential"),
     )
+    return ranked_groups(g)
+
+
+def ranked_groups(g: DataFrame) -> DataFrame:
+    """Spread, competitiveness and rank of group totals."""
     g = g.withColumn("points_spread", F.col("group_leader_points") - F.col("group_lowest_points"))
     g = g.withColumns({
         "competitiveness_score": X.competitiveness("points_spread"),
         "goals_per_game": X.safe_ratio("total_goals_scored", "total_games_played"),
     })
-    return global_row_number(g, [F.col("competitiveness_score").desc(),
-                                 F.col("group_id").asc()],
-                             "competitiveness_rank")
+    return _ranked(g, [F.col("competitiveness_score").desc(), F.col("group_id").asc(), "group_name"],
+                   "competitiveness_rank")

@@ -116,3 +116,50 @@ def alarm_consecutive(metrics: DataFrame, period_s: int = RESOURCE_PERIOD_S,
         adjacent = prev_start == F.col("window_start") - F.make_dt_interval(secs=F.lit(k * period_s))
         alarm = alarm & F.coalesce(adjacent & prev_breach, F.lit(False))
     return w.withColumn("alarm", alarm)
+
+
+OK, ALARM, NO_DATA = "OK", "ALARM", "INSUFFICIENT_DATA"
+
+
+def period_states(metrics: DataFrame, names: Sequence[str], lo: _dt.datetime, hi: _dt.datetime, *,
+                  period_s: int = RESOURCE_PERIOD_S, threshold: float = RESOURCE_THRESHOLD, above: bool = True,
+                  statistic: str = "avg_value", points: int = RESOURCE_PERIODS, out_of: int = RESOURCE_PERIODS,
+                  missing: str = "missing", ts_col: str = "ts", name_col: str = "metric_name",
+                  value_col: str = "value") -> DataFrame:
+    """The alarm's state in every period of ``[lo, hi)`` for each metric:
+    ALARM when at least ``points`` of the last ``out_of`` periods breach,
+    INSUFFICIENT_DATA when none of them has data, OK otherwise. ``missing``
+    says how periods without samples count: "missing" (not at all),
+    "breaching" or "notBreaching".
+
+    The window runs over one row per metric and period of the calendar."""
+    if missing not in ("missing", "breaching", "notBreaching"):
+        raise ValueError(f"unknown treatment of missing data {missing!r}")
+    w = metric_windows(metrics.where(F.col(name_col).isin(list(names))), period_s, ts_col, name_col, value_col)
+    spine = period_spine(metrics.sparkSession, names, lo, hi, period_s)
+    beyond = F.col("value") > threshold if above else F.col("value") < threshold
+    instead = {"missing": F.lit(None).cast("boolean"), "breaching": F.lit(True), "notBreaching": F.lit(False)}[missing]
+    values = w.select("metric_name", "window_start", F.col(statistic).alias("value"))
+    periods = spine.join(values, ["metric_name", "window_start"], "left").select(
+        "metric_name", "window_start", "value", F.when(F.col("value").isNull(), instead).otherwise(beyond).alias("breaching"))
+    last = Window.partitionBy("metric_name").orderBy("window_start").rowsBetween(1 - out_of, 0)
+    breaches, known = F.count_if("breaching").over(last), F.count("breaching").over(last)
+    return periods.select("*", F.when(breaches >= points, ALARM).when(known == 0, NO_DATA).otherwise(OK).alias("state"))
+
+
+def alarm_episodes(states: DataFrame, period_s: int = RESOURCE_PERIOD_S, above: bool = True) -> DataFrame:
+    """L3: consecutive periods of one state as one row: first and last period,
+    their number, and the worst value (the highest, or the lowest of an alarm
+    on low values). Gaps and islands: a period that changes the state starts
+    an island, and the running number of starts names it."""
+    order = Window.partitionBy("metric_name").orderBy("window_start")
+    before = F.lag("state").over(order)
+    begins = (before.isNull() | (before != F.col("state"))).cast("int")
+    marked = states.withColumn("_begins", begins)
+    island = F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    worst = F.max("value") if above else F.min("value")
+    found = marked.withColumn("_island", island).groupBy("metric_name", "_island", "state").agg(
+        F.min("window_start").alias("started"), F.max("window_start").alias("_last"),
+        F.count(F.lit(1)).alias("periods"), worst.alias("worst_value"))
+    return found.select("metric_name", "state", "started",
+                        (F.col("_last") + F.make_dt_interval(secs=F.lit(period_s))).alias("ended"), "periods", "worst_value")

@@ -1,11 +1,12 @@
 """Data-quality suites as Spark aggregates (J: Q1-Q12, E6).
 
 A suite is a list of expectations. :func:`run_suite` evaluates **all
-column expectations of a suite in ONE aggregate pass** over the data (each
-expectation contributes a few conditional counts), turns the single result
-row into one row per expectation with ``inline``, and adds uniqueness
-checks as uncorrelated scalar subqueries (one grouped count per key, with
-map-side partial aggregation, so a hot key is reduced where it sits).
+expectations of a suite in ONE aggregate pass** over the data (each
+contributes a few conditional counts, taken per key first where uniqueness
+is asked for; the map-side partial counts reduce a hot key where it sits)
+and turns the single result row into one row per expectation with
+``inline``. :func:`write_checked` takes the same counts while a table is
+written, and sets failing rows apart.
 
 Result schema (one row per expectation)::
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,13 +107,49 @@ def _result(e: Expectation, suite: str, success: Column, observed: Column,
                     F.lit(e.details).alias("details"))
 
 
-def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation]) -> DataFrame:
-    """Evaluate a suite; returns one row per expectation (see module doc)."""
-    aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
+def _bad_row(e: Expectation) -> Column | None:
+    """Whether a row breaks the expectation; None for those on whole tables."""
+    c = F.col(e.column) if e.column else None
+    if e.kind == NOT_NULL:
+        return c.isNull()
+    if e.kind == IN_RANGE:
+        lo, hi = e.kwargs["min_value"], e.kwargs["max_value"]
+        out = F.lit(False)
+        if lo is not None:
+            out = out | (c < lo)
+        if hi is not None:
+            out = out | (c > hi)
+        return c.isNotNull() & out
+    if e.kind == MATCHES_FORMAT:
+        text = c.cast("string")
+        return text.isNotNull() & F.try_to_timestamp(text, F.lit(e.kwargs["format"])).isNull()
+    if e.kind == MATCHES_REGEX:
+        text = c.cast("string")
+        return text.isNotNull() & ~text.rlike(e.kwargs["regex"])
+    return None
+
+
+def measures(expectations: Sequence[Expectation]) -> list[Column]:
+    """The counts that a suite needs, of any part of the rows; counts of
+    parts add up."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, e in enumerate(expectations):
+        bad = _bad_row(e)
+        if bad is not None:
+            aggs.append(_count_if(bad).alias(f"_a{i}"))
+        if e.kind in (COMPLETENESS, IN_RANGE, MATCHES_FORMAT, MATCHES_REGEX):
+            aggs.append(F.count(F.col(e.column)).alias(f"_a{i}n"))
+    return aggs
+
+
+def report(counts: DataFrame, schema: T.StructType, suite: str, expectations: Sequence[Expectation],
+           duplicates: dict[str, Column]) -> DataFrame:
+    """One row per expectation from the one row of :func:`measures`;
+    ``duplicates``: the rows that share each key of a uniqueness check."""
     results = []
     n = F.col("_n")
     for i, e in enumerate(expectations):
-        a = f"_a{i}"
+        bad, known = F.col(f"_a{i}"), F.col(f"_a{i}n")
         if e.kind == ROW_COUNT_BETWEEN:
             lo, hi = e.kwargs["min_value"], e.kwargs["max_value"]
             ok = F.lit(True)
@@ -122,51 +159,80 @@ def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation]) ->
                 ok = ok & (n <= hi)
             results.append(_result(e, suite, ok, n, F.lit(None), n))
         elif e.kind == COLUMN_EXISTS:
-            ok = has_path(df.schema, e.column)
+            ok = has_path(schema, e.column)
             results.append(_result(e, suite, F.lit(ok), F.lit(None), F.lit(None), F.lit(None)))
         elif e.kind == NOT_NULL:
-            aggs.append(_count_if(F.col(e.column).isNull()).alias(a))
-            bad = F.col(a)
             results.append(_result(e, suite, bad == 0, F.when(n > 0, bad / n), bad, n))
         elif e.kind == COMPLETENESS:
-            aggs.append(F.count(F.col(e.column)).alias(a))
-            frac = F.when(n > 0, F.col(a) / n)
+            frac = F.when(n > 0, known / n)
             ok = F.coalesce(frac >= F.lit(e.kwargs["threshold"]), F.lit(False))
-            results.append(_result(e, suite, ok, frac, n - F.col(a), n))
-        elif e.kind == IN_RANGE:
-            c = F.col(e.column)
-            lo, hi = e.kwargs["min_value"], e.kwargs["max_value"]
-            out = F.lit(False)
-            if lo is not None:
-                out = out | (c < lo)
-            if hi is not None:
-                out = out | (c > hi)
-            aggs.append(_count_if(c.isNotNull() & out).alias(a))
-            aggs.append(F.count(c).alias(a + "n"))
-            bad = F.col(a)
-            results.append(_result(e, suite, bad == 0,
-                                   F.when(F.col(a + "n") > 0, bad / F.col(a + "n")), bad, n))
-        elif e.kind in (MATCHES_FORMAT, MATCHES_REGEX):
-            c = F.col(e.column).cast("string")
-            if e.kind == MATCHES_FORMAT:
-                bad_row = c.isNotNull() & F.try_to_timestamp(c, F.lit(e.kwargs["format"])).isNull()
-            else:
-                bad_row = c.isNotNull() & ~c.rlike(e.kwargs["regex"])
-            aggs.append(_count_if(bad_row).alias(a))
-            aggs.append(F.count(c).alias(a + "n"))
-            bad = F.col(a)
-            results.append(_result(e, suite, bad == 0,
-                                   F.when(F.col(a + "n") > 0, bad / F.col(a + "n")), bad, n))
+            results.append(_result(e, suite, ok, frac, n - known, n))
+        elif e.kind in (IN_RANGE, MATCHES_FORMAT, MATCHES_REGEX):
+            results.append(_result(e, suite, bad == 0, F.when(known > 0, bad / known), bad, n))
         elif e.kind == UNIQUE:
-            cols = e.column.split(",")
-            dup_rows = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-                        .where(F.col("_c") > 1).select(F.coalesce(F.sum("_c"), F.lit(0))).scalar())
-            results.append(_result(e, suite, dup_rows == 0,
-                                   F.when(n > 0, dup_rows / n), dup_rows, n))
+            dup = duplicates[e.column]
+            results.append(_result(e, suite, dup == 0, F.when(n > 0, dup / n), dup, n))
         else:
             raise ValueError(f"unknown expectation {e.kind}")
-    one = df.agg(*aggs)
-    return one.select(F.inline(F.array(*results)))
+    return counts.select(F.inline(F.array(*results)))
+
+
+def _duplicates(df: DataFrame, key: str) -> Column:
+    """Rows that share their key with another, as a scalar subquery."""
+    return (df.groupBy(*key.split(",")).agg(F.count(F.lit(1)).alias("_c"))
+            .where(F.col("_c") > 1).select(F.coalesce(F.sum("_c"), F.lit(0))).scalar())
+
+
+def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation]) -> DataFrame:
+    """Evaluate a suite; returns one row per expectation (see module doc).
+
+    All counts come from one pass. With a uniqueness check they are taken
+    for each key first (the partial counts of the keys add up to those of the
+    table), so that check needs no pass of its own; further uniqueness checks
+    take one each."""
+    aggs = measures(expectations)
+    keys = list(dict.fromkeys(e.column for e in expectations if e.kind == UNIQUE))
+    if not keys:
+        return report(df.agg(*aggs), df.schema, suite, expectations, {})
+    names = [f"_a{i}{x}" for i, e in enumerate(expectations) for x in ("", "n")]
+    per_key = df.groupBy(*keys[0].split(",")).agg(*aggs)
+    names = ["_n", *(x for x in names if x in per_key.columns)]
+    one = per_key.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_dup"),
+                      *(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in names))
+    return report(one, df.schema, suite, expectations, {keys[0]: F.col("_dup")} | {k: _duplicates(df, k) for k in keys[1:]})
+
+
+# Where the rows of a checked table lie, and what they broke.
+STATE, PASSED, QUARANTINED, BROKEN = "quality_state", "passed", "quarantined", "broken_rules"
+
+
+def write_checked(df: DataFrame, path: str, suite: str, expectations: Sequence[Expectation]) -> DataFrame:
+    """Write a table and evaluate its suite in the same pass (Q4, Q12).
+
+    The counts are taken by ``observe`` while the rows are written; rows that
+    break an expectation on rows go to the partition ``quarantined`` of the
+    table, with the names of what they broke, all others to ``passed``
+    (:func:`passed` reads those alone). Uniqueness is checked on the key
+    columns of what was written. Returns the report; the counts are those of
+    all rows, as :func:`run_suite` gives them."""
+    spark = df.sparkSession
+    seen = Observation()
+    rules = [(f"{e.kind}({e.column})", bad) for e in expectations if (bad := _bad_row(e)) is not None]
+    broken = F.array_compact(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules))) if rules else F.array().cast("array<string>")
+    marked = df.observe(seen, *measures(expectations)).withColumn(BROKEN, broken)
+    state = F.when(F.size(BROKEN) > 0, F.lit(QUARANTINED)).otherwise(F.lit(PASSED))
+    marked.withColumn(STATE, state).write.mode("overwrite").option("compression", "snappy").partitionBy(STATE).parquet(path)
+    counts = spark.createDataFrame([seen.get])
+    schema = T.StructType([*df.schema.fields, T.StructField(BROKEN, T.ArrayType(T.StringType())), T.StructField(STATE, T.StringType())])
+    written = spark.read.schema(schema).parquet(path)
+    keys = {e.column: _duplicates(written, e.column) for e in expectations if e.kind == UNIQUE}
+    return report(counts, df.schema, suite, expectations, keys)
+
+
+def passed(table: DataFrame) -> DataFrame:
+    """The rows of a checked table that broke nothing (all, if it was written
+    without a check)."""
+    return table.where(F.col(STATE) == PASSED).drop(STATE, BROKEN) if STATE in table.columns else table
 
 
 def suite_summary(results: DataFrame) -> DataFrame:

@@ -9,37 +9,40 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchline.operators.audit import with_audit
+from pitchline.operators.filters import require_not_null
+from pitchline.operators.ranking import materialize
 from pitchline.plans import gold, quality, silver, warehouse
 from pitchline.sinks import versions
 from pitchline.sinks.files import export_all, write_layer
-from pitchline.sources.bronze import read_bronze
+from pitchline.sources.bronze import corrupt_count, read_bronze
 from pitchline.sources.tables import read_table
 
 Builder = Callable[..., DataFrame]
 
 
-def _silver(entity: str) -> Builder:
-    def build(spark: SparkSession, root: str, ts: str | None, layout: str = "lines") -> DataFrame:
-        docs = read_bronze(spark, f"{root}/bronze", entity, layout=layout)
-        return {"standings": silver.silver_standings, "teams": silver.silver_teams,
-                "athletes": silver.silver_athletes, "events": silver.silver_events}[entity](docs, ts=ts)
-    return build
+SILVER_BUILDERS: dict[str, Callable[..., DataFrame]] = {
+    "standings": silver.silver_standings,
+    "teams": silver.silver_teams,
+    "athletes": silver.silver_athletes,
+    "events": silver.silver_events,
+    "player_stats": silver.silver_player_stats,
+}
 
 
 def _gold(name: str, source: str, fn: Callable[[DataFrame], DataFrame]) -> Builder:
     def build(spark: SparkSession, root: str, ts: str | None, layout: str = "lines") -> DataFrame:
-        return with_audit(fn(read_table(spark, f"{root}/silver", source)), "gold", name, ts)
+        return with_audit(fn(quality.passed(read_table(spark, f"{root}/silver", source))), "gold", name, ts)
     return build
 
 
 LAYERS: dict[str, dict[str, Builder]] = {
-    "silver": {e: _silver(e) for e in ("standings", "teams", "athletes", "events")},
     "gold": {
         "team_performance_summary": _gold("team_performance_summary", "standings",
                                           gold.team_performance_summary),
@@ -54,23 +57,29 @@ LAYERS: dict[str, dict[str, Builder]] = {
 RUN_STATUS = T.StructType([T.StructField("layer", T.StringType()),
                            T.StructField("dataset", T.StringType()),
                            T.StructField("success", T.BooleanType()),
-                           T.StructField("error", T.StringType())])
+                           T.StructField("error", T.StringType()),
+                           # documents that are no JSON, rows without a key
+                           T.StructField("rejected", T.LongType())])
 
 
 def _guarded(rows: list[tuple], layer: str, dataset: str, work: Callable[[], object]) -> None:
-    """Run one dataset's job and note how it went; others go on."""
+    """Run one dataset's job and note how it went, with the rejected rows
+    that it returns (if it counts them); others go on."""
     try:
-        work()
-        rows.append((layer, dataset, True, None))
+        rejected = work()
+        rows.append((layer, dataset, True, None, rejected if isinstance(rejected, int) else None))
     except Exception as e:  # noqa: BLE001 - one dataset must not stop the others
-        rows.append((layer, dataset, False, f"{type(e).__name__}: {e}"))
+        rows.append((layer, dataset, False, f"{type(e).__name__}: {e}", None))
 
 
 def run_layer(spark: SparkSession, layer: str, root: str, *, ts: str | None = None,
               only: list[str] | None = None, bronze_layout: str = "lines") -> list[tuple]:
     """Build and write every dataset of ``layer`` under ``root/<layer>``
     (``bronze_layout``: how the bronze files hold their documents). Returns
-    one status row per dataset (``RUN_STATUS``)."""
+    one status row per dataset (``RUN_STATUS``); silver rows count the
+    corrupt documents of their entity."""
+    if layer == "silver":
+        return [r for r in run_silver(spark, root, ts=ts, only=only, bronze_layout=bronze_layout)[0] if r[0] == "silver"]
     rows: list[tuple] = []
     for name, build in LAYERS[layer].items():
         if not only or name in only:
@@ -79,47 +88,105 @@ def run_layer(spark: SparkSession, layer: str, root: str, *, ts: str | None = No
     return rows
 
 
-def run_quality(spark: SparkSession, root: str) -> tuple[list[tuple], bool]:
-    """Validate each silver entity with its suite (Q5) and append the report;
-    an entity that cannot be read costs only its own rows. Returns status
-    rows, and whether every expectation of every entity held."""
+def run_silver(spark: SparkSession, root: str, *, ts: str | None = None, only: list[str] | None = None,
+               bronze_layout: str = "lines") -> tuple[list[tuple], bool]:
+    """Write each silver entity and validate it with its suite (Q5, Q12) in
+    the same pass over its documents; reports are appended to
+    ``root/reports``, failing rows are set apart
+    (:func:`quality.write_checked`), corrupt documents counted. Returns the
+    status rows of both, and whether every expectation of every entity held.
+
+    The count of corrupt documents is taken below the standings' pivot, so a
+    stage that is run again after a loss may count some twice."""
     rows: list[tuple] = []
-    passed = True
-    for entity in ("standings", "teams", "athletes"):
-        def check(e: str = entity) -> None:
-            nonlocal passed
-            report = quality.validate(read_table(spark, f"{root}/silver", e), e)
+    held: dict[str, bool] = {}
+
+    def one(entity: str) -> int:
+        documents = Observation()
+        docs = read_bronze(spark, f"{root}/bronze", entity, layout=bronze_layout)
+        docs = docs.observe(documents, corrupt_count().alias("corrupt"))
+        built = SILVER_BUILDERS[entity](docs, ts=ts)
+        suite = quality.SUITES.get(entity, [])
+        report = quality.write_checked(built, f"{root}/silver/{entity}", entity, suite)
+        if suite:
+            report = materialize(report, "report")  # evaluated once: a row an expectation
             write_layer(report, root, "reports", mode="append")
-            passed &= not report.where(~F.coalesce(F.col("success"), F.lit(False))).limit(1).count()
+            held[entity] = not report.where(~F.coalesce(F.col("success"), F.lit(False))).limit(1).count()
+        return documents.get["corrupt"]
 
-        _guarded(rows, "quality", entity, check)
-    return rows, passed and all(r[2] for r in rows)
+    for entity in SILVER_BUILDERS:
+        if not only or entity in only:
+            _guarded(rows, "silver", entity, lambda e=entity: one(e))
+    failed = {name: error for _, name, ok, error, _ in rows if not ok}
+    rows += [("quality", e, e in held, failed.get(e), None) for e in quality.SUITES if not only or e in only]
+    return rows, all(held.get(e, False) for e in quality.SUITES if not only or e in only)
 
 
-def load_warehouse(spark: SparkSession, root: str, *, ts: str) -> list[tuple]:
-    """Reload the tables of the warehouse from silver and gold; each load is
-    a new version, and rows of earlier loads keep their created_at."""
-    version = "".join(c for c in ts if c.isdigit())
-    day = ts[:10]
+class Load(NamedTuple):
+    """One table of the warehouse: its rows, its natural key, its identity."""
+
+    build: Callable[[], DataFrame]
+    key: list[str]
+    identity: str | None = None
+    partition_by: tuple[str, ...] = ()
+
+
+def warehouse_loads(spark: SparkSession, root: str, day: str) -> dict[str, Load]:
+    """All seven tables from silver and gold (a load of ``day``). Facts of
+    earlier seasons are dated by their season, so that (team, group, date)
+    stays a key; an event's competitions are told apart by their group."""
 
     def silver_of(name: str) -> DataFrame:
-        return read_table(spark, f"{root}/silver", name)
+        return quality.passed(read_table(spark, f"{root}/silver", name))
 
     def gold_of(name: str) -> DataFrame:
         return read_table(spark, f"{root}/gold", name)
 
-    loads: dict[str, tuple[Callable[[], DataFrame], list[str]]] = {
-        "dim_teams": (lambda: warehouse.dim_teams(silver_of("teams")), ["team_id"]),
-        "dim_players": (lambda: warehouse.dim_players(gold_of("player_analytics")), ["player_id"]),
-        "dim_groups": (lambda: warehouse.dim_groups(silver_of("standings")), ["group_id"]),
-        "fact_team_performance": (lambda: warehouse.fact_team_performance(
-            gold_of("team_performance_summary"), day, key=False), ["team_id", "group_id", "date_id"]),
-        "fact_match_results": (lambda: warehouse.fact_match_results(silver_of("events"), key=False), ["event_id"]),
+    def team_performance() -> DataFrame:
+        summary = gold_of("team_performance_summary")
+        date = warehouse.season_date(F.col("season"), day) if "season" in summary.columns else day
+        return warehouse.fact_team_performance(summary, date, key=False)
+
+    def dates() -> DataFrame:
+        """Every day from the first to the last one that a fact names."""
+        summary = gold_of("team_performance_summary")
+        seasons = warehouse.season_date(F.col("season"), day) if "season" in summary.columns else F.lit(day).cast("date")
+        found = summary.select(seasons.alias("d"))
+        for name, column in (("events", "event_date"), ("player_stats", "date_id")):
+            if versions.commits.names(spark, f"{root}/silver/{name}"):  # an entity may not have landed yet
+                found = found.unionByName(silver_of(name).select(F.col(column).try_cast("date").alias("d")))
+        return warehouse.dim_dates(F.min("d"), F.max("d"), source=found)
+
+    return {
+        "dim_teams": Load(lambda: warehouse.dim_teams(silver_of("teams")), ["team_id"]),
+        "dim_players": Load(lambda: warehouse.dim_players(gold_of("player_analytics")), ["player_id"]),
+        "dim_groups": Load(lambda: warehouse.dim_groups(silver_of("standings")), ["group_id"]),
+        "dim_dates": Load(dates, ["date_id"]),
+        "fact_team_performance": Load(team_performance, ["team_id", "group_id", "date_id"], "performance_id", ("date_id",)),
+        "fact_player_stats": Load(lambda: warehouse.fact_player_stats(silver_of("player_stats"), key=False),
+                                  ["player_id", "team_id", "date_id"], "stat_id"),
+        "fact_match_results": Load(lambda: warehouse.fact_match_results(silver_of("events"), key=False),
+                                   ["event_id", "group_id"], "match_id"),
     }
+
+
+def load_warehouse(spark: SparkSession, root: str, *, ts: str) -> list[tuple]:
+    """Reload the tables of the warehouse; each load is a new version. Rows
+    of earlier loads keep created_at and their identity value. Rows without
+    a key are left out and counted; of rows that share one the greatest is
+    loaded."""
+    version = "".join(c for c in ts if c.isdigit())
+
+    def one(name: str, load: Load) -> int:
+        built = materialize(load.build(), name)
+        keyed = require_not_null(built, *load.key)
+        versions.reload(spark, f"{root}/warehouse", name, warehouse.one_row_per_key(keyed, load.key), load.key, version=version,
+                        ts=ts, identity=load.identity, partition_by=load.partition_by)
+        return built.count() - keyed.count()
+
     rows: list[tuple] = []
-    for name, (build, key) in loads.items():
-        _guarded(rows, "warehouse", name, lambda n=name, b=build, k=key: versions.reload(
-            spark, f"{root}/warehouse", n, b(), k, version=version, ts=ts))
+    for name, load in warehouse_loads(spark, root, ts[:10]).items():
+        _guarded(rows, "warehouse", name, lambda n=name, x=load: one(n, x))
     return rows
 
 
@@ -130,14 +197,12 @@ def run_pipeline(spark: SparkSession, root: str, *, ts: str | None = None, bronz
     error of those that failed). With ``gate`` the layers after the report
     run only if every expectation held."""
     stamp = ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()
-    rows = run_layer(spark, "silver", root, ts=ts, bronze_layout=bronze_layout)
-    report, passed = run_quality(spark, root)
-    rows += report
+    rows, passed = run_silver(spark, root, ts=ts, bronze_layout=bronze_layout)
     if passed or not gate:
         rows += run_layer(spark, "gold", root, ts=ts)
         rows += load_warehouse(spark, root, ts=stamp)
-        done = [name for layer, name, ok, _ in rows if layer == "gold" and ok]
+        done = [name for layer, name, ok, *_ in rows if layer == "gold" and ok]
         exported = export_all(spark, {n: lambda n=n: read_table(spark, f"{root}/gold", n) for n in done},
                               root, export_format, ts=stamp)
-        rows += [("export", r["dataset"], r["status"] == "success", r["error"]) for r in exported.collect()]
+        rows += [("export", r["dataset"], r["status"] == "success", r["error"], None) for r in exported.collect()]
     return spark.createDataFrame(rows, RUN_STATUS)

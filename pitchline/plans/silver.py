@@ -112,6 +112,19 @@ def silver_events(bronze: DataFrame, *, ts: str | None = None) -> DataFrame:
     return silver_items(bronze, "event", path="data.events", ts=ts)
 
 
+def silver_player_stats(bronze: DataFrame, *, ts: str | None = None) -> DataFrame:
+    """Player statistics, one row per (player, team, date, stat); a player
+    without any keeps one row of NULL stats."""
+    items = explode_items(bronze)
+    first = [c for c in items.columns if c != "item"]
+    long = items.select(
+        *first, F.col("item.playerId").alias("player_id"), F.col("item.teamId").alias("team_id"),
+        F.col("item.date").alias("date_id"), _explode("item.stats", True).alias("s"))
+    flat = long.select(*[c for c in long.columns if c != "s"], F.col("s.name").alias("stat_name"),
+                       F.col("s.value").alias("stat_value"))
+    return with_audit(flat, "silver", None, ts)
+
+
 def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
     """Every nested struct field becomes a top-level column named by
     its path (``a.b.c``); arrays and maps stay as they are. Pure schema

@@ -23,19 +23,20 @@ def _measures(df: DataFrame, names) -> list[str]:
     return [c for c in names if c in cols]
 
 
-def v_team_performance_summary(fact: DataFrame, teams: DataFrame, groups: DataFrame) -> DataFrame:
-    """G1: newest snapshot of team performance with team and group names."""
-    f = latest_snapshot(fact, "date_id")
+def v_team_performance_summary(fact: DataFrame, teams: DataFrame, groups: DataFrame, *, newest: bool = True) -> DataFrame:
+    """G1: newest snapshot of team performance with team and group names
+    (``newest=False``: ``fact`` is that snapshot already, read by partition)."""
+    f = latest_snapshot(fact, "date_id") if newest else fact
     t_cols = ["team_id", "team_name"] + _measures(teams, ["team_abbreviation"])
     j = (f.join(teams.select(*t_cols), "team_id")
          .join(groups.select("group_id", "group_name"), "group_id"))
     return j.select(*t_cols[1:], "group_name", *_measures(f, PERFORMANCE_MEASURES))
 
 
-def v_group_standings(fact: DataFrame, teams: DataFrame, groups: DataFrame) -> DataFrame:
+def v_group_standings(fact: DataFrame, teams: DataFrame, groups: DataFrame, *, newest: bool = True) -> DataFrame:
     """Newest standings per group, ordered by group then rank
-    (or points when no rank is stored)."""
-    f = latest_snapshot(fact, "date_id")
+    (or points when no rank is stored); ``newest`` as for G1."""
+    f = latest_snapshot(fact, "date_id") if newest else fact
     j = (f.join(teams.select("team_id", "team_name"), "team_id")
          .join(groups.select("group_id", "group_name"), "group_id"))
     order = [F.col("group_name")]
@@ -80,7 +81,7 @@ def top_scorers(stats: DataFrame, players: DataFrame, teams: DataFrame) -> DataF
         F.sum("_n").cast("bigint").alias("total_games"))
     agg = agg.withColumn("goals_per_game",
                          X.goals_ratio_decimal("total_goals", "total_games").cast("decimal(18,2)"))
-    return agg.orderBy(F.col("total_goals").desc(), F.col("total_assists").desc())
+    return agg.orderBy(F.col("total_goals").desc(), F.col("total_assists").desc(), "player_name", "position", "team_name")
 
 
 def _null_count(c: str) -> Column:

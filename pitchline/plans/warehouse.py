@@ -14,26 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pitchline.functions import exprs as X
 from pitchline.operators.filters import latest_snapshot
 from pitchline.operators.ranking import surrogate_key
 
-# The DDL column types, as Spark types (VARCHAR(n) → string with a length
-# contract checked by the quality module).
-DIM_TEAMS = T.StructType([
-    T.StructField("team_id", T.StringType(), False),
-    T.StructField("team_name", T.StringType(), False),
-    T.StructField("team_abbreviation", T.StringType()),
-    T.StructField("team_display_name", T.StringType()),
-    T.StructField("team_location", T.StringType()),
-    T.StructField("team_color", T.StringType()),
-    T.StructField("team_alternate_color", T.StringType()),
-    T.StructField("team_is_active", T.BooleanType()),
-    T.StructField("team_logos", T.StringType()),
-])
-
 # VARCHAR lengths and DECIMAL types of the warehouse DDL.
 VARCHAR_LIMITS = {
     "dim_teams": {"team_id": 20, "team_name": 100, "team_abbreviation": 10,
@@ -98,19 +83,39 @@ def dim_teams(teams: DataFrame) -> DataFrame:
         logos.alias("team_logos"))
     # one row per key, deterministic: the greatest row (a partial aggregate,
     # so a key repeated in many snapshots is reduced map-side)
-    rest = [c for c in sel.columns if c != "team_id"]
-    return (sel.groupBy("team_id").agg(F.max(F.struct(*rest)).alias("_r"))
-            .select("team_id", *[F.col(f"_r.{c}").alias(c) for c in rest]))
+    return one_row_per_key(sel, ["team_id"])
+
+
+def one_row_per_key(df: DataFrame, key: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """One row for each value of ``key``: the newest by the columns
+    ``newest`` (which are dropped), of equals the greatest row. A partial
+    aggregate, so a key repeated in many rows is reduced map-side."""
+    rest = [c for c in df.columns if c not in key and c not in newest]
+    row = F.max(F.struct(*newest, *rest)).alias("_r")
+    return df.groupBy(*key).agg(row).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def season_date(season: Column, day: str, start_month: int = 7) -> Column:
+    """The date of a season's rows in a load of ``day``: that day for the
+    season it lies in (and for rows of no season), the last day of the season
+    for any other. ``season`` begins with its first year."""
+    today = F.lit(day).cast("date")
+    first = F.substring(season, 1, 4).try_cast("int")
+    now = F.year(today) - F.when(F.month(today) < start_month, 1).otherwise(0)
+    last = F.date_sub(F.make_date(first + 1, F.lit(start_month), F.lit(1)), 1)
+    return F.when(first != now, last).otherwise(today)
 
 
 def dim_players(players: DataFrame) -> DataFrame:
-    """K2: from gold player analytics, DDL types (DECIMAL(5,2) via try_cast)."""
+    """K2: from gold player analytics, one row per player, that of the newest
+    season; DDL types (DECIMAL(5,2) via try_cast)."""
     cols = set(players.columns)
 
     def opt(name: str, typ: str = "string") -> Column:
         return F.col(name) if name in cols else F.lit(None).cast(typ).alias(name)
 
-    return players.select(
+    rows = players.select(
+        opt("season").alias("_season"),
         _str("athlete_id").alias("player_id"),
         F.col("player_name"),
         opt("player_display_name"),
@@ -123,6 +128,7 @@ def dim_players(players: DataFrame) -> DataFrame:
         F.col("age_group"),
         _dec("bmi", 5, 2).alias("bmi"),
     )
+    return one_row_per_key(rows, ["player_id"], newest=["_season"])
 
 
 def dim_groups(standings: DataFrame) -> DataFrame:
@@ -203,12 +209,15 @@ PLAYER_STAT_COLUMNS = ("games_played", "goals", "assists", "yellow_cards", "red_
 
 
 def fact_player_stats(stats: DataFrame, *, key: bool = True, start: int | Column = 0) -> DataFrame:
-    """K6: player statistics. Accepts the wide form, or the long payload
-    form ``(player_id, team_id, date, stat_name, stat_value)`` which is
-    pivoted with an explicit name list (no discovery job)."""
+    """K6: player statistics. Accepts the wide form, or the long form
+    ``(player_id, team_id, date_id, stat_name, stat_value)`` of the silver
+    layer, which is pivoted with an explicit name list (no discovery job).
+    Of repeated snapshots the newest counts."""
     s = stats
+    if "ingestion_timestamp" in s.columns:
+        s = latest_snapshot(s, "ingestion_timestamp", by=["player_id", "team_id", "date_id"])
     if "stat_name" in s.columns:
-        keys = [c for c in s.columns if c not in ("stat_name", "stat_value")]
+        keys = ["player_id", "team_id", "date_id"]
         s = s.groupBy(*keys).pivot("stat_name", list(PLAYER_STAT_COLUMNS)).agg(F.max("stat_value"))
     cols = set(s.columns)
     out = [_str("player_id").alias("player_id"), _str("team_id").alias("team_id"),
@@ -232,6 +241,7 @@ def fact_match_results(events: DataFrame, *, key: bool = True, start: int | Colu
     text = dict(events.dtypes)["event_status"] == "string"  # JSON text, or nested
     status = F.get_json_object("event_status", "$.name") if text else F.col("event_status.name")
     e = events.select("event_id", "event_date", "event_status", comp)
+    # an event may have several competitions: the group tells them apart
 
     def side(which: str) -> Column:
         return F.element_at(F.filter("c.competitors", lambda x: x["homeAway"] == which), 1)

@@ -10,9 +10,9 @@ does not duplicate data.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,13 +138,3 @@ def write_batch(df: DataFrame, root: str, name: str, batch_id: int,
     (df.withColumn(partition_col, F.lit(batch_id).cast("bigint")).write
      .mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(f"{root.rstrip('/')}/{name}"))
-
-
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def partitioned(df: DataFrame, cols: Iterable[str | Column]) -> DataFrame:
-    """Cluster rows by the output partition columns before a partitioned
-    write, so each task writes few files."""
-    return df.repartition(*[_col(c) for c in cols])

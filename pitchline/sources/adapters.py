@@ -240,10 +240,11 @@ def _metadata() -> Column:
                     F.lit(BRONZE_SOURCE).alias("source"), F.lit(BRONZE_VERSION).alias("version"))
 
 
-def standings_documents(t: Tables) -> DataFrame:
+def standings_documents(t: Tables, wide: DataFrame | None = None) -> DataFrame:
     """Bronze standings documents, one per team (groups → entries → stats);
-    every array holds a bounded number of elements."""
-    w = t1_wide(t)
+    every array holds a bounded number of elements. ``wide``: other rows
+    than those of T1."""
+    w = t1_wide(t) if wide is None else wide
     none = F.lit(None).cast("string")
     stats = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value"))
                       for n in STAT_NAMES])

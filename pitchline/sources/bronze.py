@@ -109,12 +109,16 @@ def _folders(path: str, seasons: Sequence[str] | None) -> str | list[str]:
     return f"{path}/{{{','.join(f'{s},season={s}' for s in seasons)}}}"
 
 
+def corrupt_count() -> Column:
+    """How many documents are no valid JSON."""
+    # the reader wants the parsed columns beside the corrupt one
+    return F.count(F.when(F.col("_corrupt_record").isNotNull(), F.struct("metadata", "data")))
+
+
 def corrupt_documents(bronze: DataFrame) -> DataFrame:
     """One row: documents read, and those that are no valid JSON (kept with
     their text in ``_corrupt_record``)."""
-    # the reader wants the parsed columns beside the corrupt one
-    bad = F.when(F.col("_corrupt_record").isNotNull(), F.struct("metadata", "data"))
-    return bronze.agg(F.count(F.lit(1)).alias("documents"), F.count(bad).alias("corrupt"))
+    return bronze.agg(F.count(F.lit(1)).alias("documents"), corrupt_count().alias("corrupt"))
 
 
 def read_bronze(spark: SparkSession, root: str, entity: str, *, layout: str = "lines",

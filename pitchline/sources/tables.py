@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -13,53 +11,31 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders",
 
 def read_table(spark: SparkSession, root: str, name: str, *,
                merge_schema: bool = False) -> DataFrame:
-    """Read one Parquet dataset. ``name`` may be a file (``x.parquet``) or a
-    folder of part files; ``merge_schema`` unions differing part schemas by
-    column name (what a pandas concat of the parts gives)."""
-    path = f"{root.rstrip('/')}/{name}"
-    # local convenience: a single-file table may be named without its suffix
-    if not name.endswith(".parquet") and os.path.exists(path + ".parquet") \
-            and not os.path.exists(path):
-        path = path + ".parquet"
+    """Read one Parquet dataset: a file (``x.parquet``) or a folder of part
+    files; ``merge_schema`` unions differing part schemas by column name
+    (what a pandas concat of the parts gives)."""
     reader = spark.read
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    return reader.parquet(path)
-
-
-# Footer schemas already read, keyed by (path, size, mtime): a later read of
-# the same unchanged file passes the schema and skips Spark's inference job.
-_SCHEMAS: dict[tuple[str, int, float], object] = {}
-
-
-def read_parquet_cached(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet`` that reuses the footer schema of an unchanged
-    local file (other paths are read normally)."""
-    try:
-        st = os.stat(path)
-        key = (os.path.abspath(path), st.st_size, st.st_mtime)
-    except OSError:
-        return spark.read.parquet(path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    return reader.parquet(f"{root.rstrip('/')}/{name}")
 
 
 class Tables:
     """Lazy handles on the driver's tables in one scale-factor folder.
 
     Every attribute is a plain ``spark.read.parquet`` DataFrame, so column
-    pruning and filter pushdown reach the scan."""
+    pruning and filter pushdown reach the scan; a query that names a table
+    twice reads its schema once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return read_parquet_cached(self.spark, f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.sf_dir, f"{name}.parquet")
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

@@ -31,6 +31,7 @@ SILVER_BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "teams": silver.silver_teams,
     "athletes": silver.silver_athletes,
     "events": silver.silver_events,
+    "player_stats": silver.silver_player_stats,
 }
 
 
