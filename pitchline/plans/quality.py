@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RESULT_FIELDS = ("suite", "expectation_type", "column", "success", "observed",
-                 "unexpected_count", "element_count", "details")
+RESULT = ("suite string, expectation_type string, column string, success boolean, observed double, "
+          "unexpected_count bigint, element_count bigint, details string")
 
 # Expectation type names of the validation suites.
 ROW_COUNT_BETWEEN = "expect_table_row_count_to_be_between"
@@ -174,6 +174,8 @@ def report(counts: DataFrame, schema: T.StructType, suite: str, expectations: Se
             results.append(_result(e, suite, dup == 0, F.when(n > 0, dup / n), dup, n))
         else:
             raise ValueError(f"unknown expectation {e.kind}")
+    if not results:
+        return counts.sparkSession.createDataFrame([], RESULT)
     return counts.select(F.inline(F.array(*results)))
 
 
@@ -264,14 +266,8 @@ def validate(df: DataFrame, entity: str) -> DataFrame:
     """Pick the suite by entity (Q5). An unknown entity yields one failed
     result row instead of an exception."""
     if entity not in SUITES:
-        spark = df.sparkSession
-        schema = T.StructType([
-            T.StructField("suite", T.StringType()), T.StructField("expectation_type", T.StringType()),
-            T.StructField("column", T.StringType()), T.StructField("success", T.BooleanType()),
-            T.StructField("observed", T.DoubleType()), T.StructField("unexpected_count", T.LongType()),
-            T.StructField("element_count", T.LongType()), T.StructField("details", T.StringType())])
-        return spark.createDataFrame([(entity, "unknown_entity", None, False, None, None, None,
-                                       "Unknown data type")], schema)
+        return df.sparkSession.createDataFrame([(entity, "unknown_entity", None, False, None, None, None,
+                                                 "Unknown data type")], RESULT)
     return run_suite(df, entity, SUITES[entity])
 
 

@@ -244,7 +244,7 @@ def fact_match_results(events: DataFrame, *, key: bool = True, start: int | Colu
     # an event may have several competitions: the group tells them apart
 
     def side(which: str) -> Column:
-        return F.element_at(F.filter("c.competitors", lambda x: x["homeAway"] == which), 1)
+        return F.get(F.filter("c.competitors", lambda x: x["homeAway"] == which), F.lit(0))  # NULL if there is none
 
     f = e.select(
         _str("event_id").alias("event_id"),

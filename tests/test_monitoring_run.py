@@ -84,3 +84,61 @@ def test_run_pipeline(spark, workdir):
     # the gate stops behind a failed report
     gated = run_pipeline(spark, root, ts="2024-09-03T01:00:00", bronze_layout="document", gate=True)
     assert {r.layer for r in gated.collect()} == {"silver", "quality"}
+
+
+def _land(root, entity, docs):
+    os.makedirs(f"{root}/bronze/{entity}/2024", exist_ok=True)
+    with open(f"{root}/bronze/{entity}/2024/a.json", "w") as f:
+        f.write("\n".join(d if isinstance(d, str) else json.dumps(d) for d in docs))
+
+
+def _document(**data):
+    return {"metadata": {"ingestion_timestamp": "2024-09-01T00:00:00", "source": "api", "version": "1.0"}, "data": data}
+
+
+def test_resumed_run_builds_what_is_left(spark, workdir):
+    """Corrupt documents and quarantined rows are counted and set apart; a run
+    after a failure builds the failed dataset alone."""
+    root = f"{workdir}/lake"
+    group = {"id": "A", "name": "Group A", "abbreviation": "A", "standings": {"entries": [
+        {"team": {"id": "t1", "name": "Alpha", "abbreviation": "ALP"}, "stats": [{"name": "gamesPlayed", "value": 2.0}, {"name": "points", "value": 4.0}]}]}}
+    nameless = {**group, "id": None}
+    _land(root, "standings", [_document(children=[group]), "{not json", _document(children=[nameless])])
+    _land(root, "events", [_document(events=[{"id": "e1", "date": "2024-09-01T18:00Z", "competitions": [
+        {"groupId": g, "competitors": [{"homeAway": "home", "teamId": "t1", "score": "1"}, {"homeAway": "away", "teamId": "t2", "score": "0"}]}
+        for g in ("A", "B", None)]}])])
+    _land(root, "player_stats", [_document(items=[{"playerId": "p1", "teamId": "t1", "date": "2024-09-01", "stats": [{"name": "goals", "value": 2.0}]}])])
+    _land(root, "athletes", [_document(items=[{"id": "p1", "fullName": "Ann", "age": "20"}])])
+    first = {(r.layer, r.dataset): r for r in run_pipeline(spark, root, ts="2024-09-01T01:00:00").collect()}
+    assert first["silver", "standings"].rejected == 1 and not first["silver", "teams"].success
+    assert first["warehouse", "fact_match_results"].rejected == 1 and first["warehouse", "dim_dates"].success
+    silver = spark.read.parquet(f"{root}/silver/standings")
+    assert sorted((r.quality_state, r.broken_rules) for r in silver.collect()) == [
+        ("passed", []), ("quarantined", ["expect_column_values_to_not_be_null(group_id)"])]
+    assert spark.read.parquet(f"{root}/gold/group_analysis").count() == 1
+    from pitchline.sinks.versions import read_current
+    matches = read_current(spark, f"{root}/warehouse", "fact_match_results").collect()
+    assert sorted(m.group_id for m in matches) == ["A", "B"] and len({m.match_id for m in matches}) == 2
+    stats = read_current(spark, f"{root}/warehouse", "fact_player_stats").first()
+    assert (stats.goals, stats.assists, str(stats.date_id)) == (2, None, "2024-09-01")
+
+    _land(root, "teams", [_document(items=[{"id": "t1", "name": "Alpha"}])])
+    again = {(r.layer, r.dataset): r for r in run_pipeline(spark, root, ts="2024-09-02T01:00:00", resume=True).collect()}
+    built = {k for k, r in again.items() if r.success and not r.skipped}
+    assert built == {("silver", "teams"), ("quality", "teams"), ("warehouse", "dim_teams")}
+    assert again["silver", "standings"].rejected == 1
+    last = run_pipeline(spark, root, ts="2024-09-03T01:00:00", resume=True)
+    assert last.where("not skipped").count() == 0
+
+
+def test_pools_do_not_mix_up_rows(spark, workdir):
+    from pitchline.plans.run import Job, _run_jobs
+
+    def work(i):
+        if i == 3:
+            raise RuntimeError("boom")
+        return {"rejected": spark.range(i).count()}
+
+    rows = [row for row, _ in _run_jobs(spark, workdir, "layer", [Job(f"d{i}", lambda i=i: work(i), []) for i in range(8)], False)]
+    assert [(r[1], r[2], r[4]) for r in rows] == [(f"d{i}", i != 3, None if i == 3 else i) for i in range(8)]
+    assert "boom" in rows[3][3]
