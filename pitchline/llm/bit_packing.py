@@ -165,7 +165,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # a token that was added to the vocabulary is matched in the text itself
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.last = np.zeros(self.vocabulary, bool)  # ids that end a word
         for token, i in self.tokenizer.get_vocab().items():
@@ -195,12 +196,21 @@ class WordEncoder:
 
     def texts(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         for group in groups(texts):
-            odd = [bool(_STRANGE[np.frombuffer(t, np.uint8)].any()) or any(s in t for s in _SIGNS) for t in group]
-            plain = encode(self.pieces, *words([t.lower() for t, o in zip(group, odd) if not o], _KINDS, DIGIT))
-            other = encode(self.chunks, *words([t for t, o in zip(group, odd) if o], _GAPS))
-            both = iter(plain), iter(other)
-            for o in odd:
-                yield next(both[o])
+            kinds = [self._kind(t) for t in group]
+            plain = encode(self.pieces, *words([t.lower() for t, k in zip(group, kinds) if k == 0], _KINDS, DIGIT))
+            other = encode(self.chunks, *words([t for t, k in zip(group, kinds) if k == 1], _GAPS))
+            whole = (self._library([t])[0] for t, k in zip(group, kinds) if k == 2)
+            ways = iter(plain), iter(other), whole
+            for k in kinds:
+                yield next(ways[k])
+
+    def _kind(self, text: bytes) -> int:
+        """0: cut into pieces; 1: cut at white space; 2: left whole, as an
+        added token stands in it."""
+        folded = text.lower() if text.isascii() else text.decode().lower().encode()
+        if any(t in folded for t in self.added):
+            return 2
+        return int(bool(_STRANGE[np.frombuffer(text, np.uint8)].any()) or any(s in text for s in _SIGNS))
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:

@@ -14,9 +14,14 @@ TEXTS = ["Hello, World!", None, "", "don't DON'T it's 'S x", "İK ſ \x0b\x0c\x1
          "<|endoftext|> x", "\u0085x　z", "👍🏽 ok", "a_b-c...!!", "\x00a", "Êtes ÇÀ ß ẞ ª × ÷ ÿ", "word " * 50_000]
 
 
+def morse(n, a, b):
+    """A word and its complement, which polynomial hashes modulo 2^64 take for one."""
+    bits = [i.bit_count() & 1 for i in range(n)]
+    return "".join(b if x else a for x in bits), "".join(a if x else b for x in bits)
+
+
 def ids_of(text):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [bp.END_ID]
 
 
@@ -35,6 +40,26 @@ def test_whole_texts(spark):
     check(spark, [(97 * i % 50, t) for i, t in enumerate(TEXTS)] + [(None, "null id"), (3, "tie b"), (3, "tie a"), (3, "tie a")])
 
 
+def test_added_tokens_and_colliding_chunks(spark):
+    pair = morse(4096, "a", "b")
+    more = ["a <|endoftext|> b", "<|startoftext|>Hello<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "é<|EndOfText|> ß", *pair,
+            pair[1] + " " + pair[0], "x".join(pair)]
+    check(spark, list(enumerate(more)))
+
+
+def test_random_texts():
+    import random
+
+    r = random.Random(9)
+    letters = list("aAbBzZ059 .,!?'-_<|>\n\t") + ["é", "É", "ß", "漢", "👍", "\u0301", "İ", "<|endoftext|>", " the", "’"]
+    texts = ["".join(r.choices(letters, k=r.randint(0, 30))) for _ in range(10_000)]
+    plain = Tokenizer.from_file(PATH)
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    got = bp.WordEncoder(PATH).texts([t.encode() for t in texts])
+    for text, ids, right in zip(texts, got, want):
+        assert ids.tolist() == right, repr(text)
+
+
 def test_empty_table(spark):
     assert bp.packed(spark.createDataFrame([], SCHEMA), PATH).collect() == []
 
