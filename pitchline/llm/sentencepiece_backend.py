@@ -10,14 +10,15 @@ same ids for it (the public model here is of that kind).
 Texts are encoded in batches by the library's own threads. When no piece of
 the model has the marker after another character, a text's ids are those of
 its chunks (a run of markers with what follows), so each distinct chunk is
-encoded once and looked up afterwards. Every distinct chunk is also checked:
-its ids must be those of the sentencepiece library and decode to the chunk.
+encoded once and looked up afterwards. The ids are always those of this
+pipeline. Every distinct chunk is also checked: its ids should be those of
+the sentencepiece library and decode to the chunk; documents with a chunk
+that fails say ``parity`` false.
 
 Defined results: null and empty texts have no ids; repeated rows are encoded
 one by one; very long texts whole; a white-space marker that stands in the
 text itself counts as a space, as in the original; an empty table gives no
-rows; other columns are not read. A chunk on which the libraries differ
-takes the sentencepiece ids, and its documents say ``parity`` false.
+rows; other columns are not read.
 
 At scale: one pass in the scan's own tasks, no shuffle; the chunk cache is
 bounded.
@@ -102,7 +103,7 @@ class Encoder:
         self.tokenizer, self.normaliser = build(model)
         self.prefix = MARK if model.normalizer_spec.add_dummy_prefix else ""
         self.whole = any(MARK in p.piece.lstrip(MARK) for p in model.pieces if p.type == NORMAL) or not self.prefix
-        self.differ: set[str] = set()
+        self.differ: set[bytes] = set()  # failed chunks that the cache may hold
         self.cache = ChunkCache(self._checked)
 
     def _checked(self, chunks: list[bytes]) -> list[bytes]:
@@ -114,13 +115,27 @@ class Encoder:
         wanted = self.original.encode([c[len(self.prefix):] for c in plain], num_threads=1)
         out = []
         for chunk, text, ids, back, right in zip(chunks, marked, encoded, decoded, wanted):
-            if text == self.prefix:  # a marker of its own, not an empty text
-                right = ids
-            if ids != right or back != text:
+            # a marker of its own is no empty text
+            if (ids != right and text != self.prefix) or back != text:
                 self.differ.add(chunk)
-            out.append(np.array(right, "<u4").tobytes())
+            out.append(np.array(ids, "<u4").tobytes())
         return out
 
+    def _agree(self, texts: list[bytes], first: bytes) -> list[bool]:
+        """Whether no chunk of each text failed."""
+        if not self.differ:
+            return [True] * len(texts)
+        if self.whole:
+            same = [not t or first + t not in self.differ for t in texts]
+        else:
+            data, starts, ends, counts = runs(texts, first)
+            fine = [data[a:b] not in self.differ for a, b in zip(starts.tolist(), ends.tolist())]
+            cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
+            same = [all(fine[a:b]) for a, b in zip(cuts, cuts[1:])]
+        # chunks that have left the cache are checked again when they come back
+        self.differ = {c for c in self.differ if c in self.cache.known or c in self.cache.older}
+        return same
+
     def _plain(self, text: bytes) -> bytes:
         if self.normaliser is not None:
             text = self.normaliser.normalize_str(text.decode()).encode()
@@ -137,7 +152,7 @@ class Encoder:
                 out += [np.frombuffer(x, "<u4") for x in self.cache.ids([first + t if t else t for t in group])]
             else:
                 out += encode_chunks(self.cache, *runs(group, first))
-            same += [not self.differ or not any(d in first + t for d in self.differ) for t in group]
+            same += self._agree(group, first)
         return out, same
 
     def decode(self, ids: list[int]) -> str:

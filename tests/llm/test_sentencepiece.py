@@ -44,6 +44,22 @@ def test_documents(spark):
     assert len(rows) == len(texts) and all(r["ids"] == original.encode(texts[r["doc_id"]]) for r in rows)
 
 
+def test_colliding_chunks_and_parity_by_text():
+    bits = [i.bit_count() & 1 for i in range(4096)]
+    pair = ["".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)]
+    encoder = sb.Encoder(PATH)
+    original = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    ids, same = encoder.texts([t.encode() for t in pair])
+    assert [i.tolist() for i in ids] == [original.encode(t) for t in pair] and same == [True, True]
+    # a chunk that fails speaks for the texts that hold it as a chunk, whatever came before
+    encoder.differ = {b" bad"}
+    encoder.cache.known[b" bad"] = np.array([5], "<u4").tobytes()
+    assert encoder.texts([b"bad", b"x bad", b"badly", b"", b"x"])[1] == [False, False, True, True, True]
+    encoder.cache.known, encoder.cache.older = {}, {}
+    assert encoder.texts([b"x"])[1] == [True] and not encoder.differ
+    assert encoder.texts([b"x bad"])[1] == [True]
+
+
 def model(kind, pieces, **spec):
     """A small model file's content; its scores are given, nothing is trained."""
     from sentencepiece import sentencepiece_model_pb2 as pb
