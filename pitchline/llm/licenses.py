@@ -5,8 +5,8 @@ Words are runs of ASCII letters and digits and of non-ASCII characters,
 after ASCII letters are lowered. Base labels are the places where fixed
 phrases stand word by word. The method finds more: the words of the licence
 templates get their inverse document frequency from all documents; each
-template is indexed by its rarest words with their positions. A document's
-highest-IDF licence words look up the postings (template, position); hits
+template is indexed by its rarest words with their positions. All of these
+words that a document holds look up the postings (template, position); hits
 that agree on the relative position (place in the document less place in
 the template) add up their weights. A template whose best alignment holds
 at least ``MIN_SCORE`` of its indexed weight, and whose mandatory key
@@ -65,8 +65,8 @@ TEMPLATES = {
     "unlicense": ("this is free and unencumbered software released into the public domain",
                   ["unencumbered software", "public domain"]),
 }
-#: Rarest words by which a template is indexed; highest-IDF words looked up for a document.
-INDEXED, LOOKED_UP = 6, 12
+#: Rarest words by which a template is indexed.
+INDEXED = 6
 MIN_SCORE = 0.5
 
 
@@ -116,7 +116,7 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "*", *(F.when(F.contains("spaced", F.lit(f" {p} ")), _starts("words", p)).otherwise(none).alias(f"at_{k}")
                for k, p in enumerate(BASE)),
-        F.slice(F.array_intersect(F.array(*map(F.lit, used)), "words"), 1, LOOKED_UP).alias("rare"))
+        F.array_intersect(F.array(*map(F.lit, used)), "words").alias("rare"))
     places = F.concat(*(f"at_{k}" for k in range(len(BASE))))
     verified = F.array_compact(F.array(*(
         F.when(reduce(lambda a, b: a & b, [F.contains("spaced", F.lit(f" {p} ")) for p in phrases]), F.lit(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pitchline.llm.common import LOWER, UPPER
 from pitchline.llm.hard_negatives import HIGH, LOW, NEGATIVES, POSITIVES
 from pitchline.llm.host_quality import MAX_RATE, SYMBOLS
-from pitchline.llm.licenses import BASE, INDEXED, LOOKED_UP, MIN_SCORE, TEMPLATES
+from pitchline.llm.licenses import BASE, INDEXED, MIN_SCORE, TEMPLATES
 from pitchline.llm.repeats import LENGTH
 
 _ROWS = "SELECT row_number() OVER () AS r, doc_id, {columns} FROM documents"
@@ -72,8 +72,7 @@ rare AS (SELECT template, word, idf FROM (SELECT template, word, idf, row_number
            PARTITION BY template ORDER BY idf DESC, word) AS k FROM (SELECT DISTINCT template, word FROM tw) JOIN idf USING (word))
          WHERE k <= {INDEXED}),
 posting AS (SELECT template, word, tpos, idf / sum(idf) OVER (PARTITION BY template) AS share FROM tw JOIN rare USING (template, word)),
-top AS (SELECT r, word FROM (SELECT r, word, row_number() OVER (PARTITION BY r ORDER BY idf DESC, word) AS k
-          FROM (SELECT DISTINCT r, word FROM t) JOIN (SELECT DISTINCT word, idf FROM rare) USING (word)) WHERE k <= {LOOKED_UP}),
+top AS (SELECT DISTINCT r, word FROM t WHERE word IN (SELECT word FROM rare)),
 cand AS (SELECT DISTINCT r, template FROM top JOIN posting USING (word)),
 verified AS (SELECT r, template FROM cand JOIN w USING (r) JOIN phrase USING (template) GROUP BY r, template
              HAVING bool_and(contains(' ' || array_to_string(words, ' ') || ' ', ' ' || phrase || ' '))),
@@ -111,9 +110,9 @@ FROM p LEFT JOIN kept USING (r)"""
 
 OP12 = f"""
 WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
-             list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
       FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
 p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
@@ -126,5 +125,33 @@ SELECT * FROM (
   WHERE NOT same AND {LOW} * positive_score <= 100 * score AND 100 * score <= {HIGH} * positive_score)
 WHERE rank <= {NEGATIVES}"""
 
+# ------------------------------------------------------------ operator 13
+
+# crc32 of the id's digits, bit by bit; a node's prefix is the list of its turns' hashes
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+OP13 = f"""
+WITH w AS (SELECT conv_id, turn, COALESCE(role, '') AS role, strlen(COALESCE(text, '')) AS size,
+             sha256(strlen(COALESCE(role, '')) || ' ' || COALESCE(role, '') || COALESCE(text, '')) AS h
+           FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, h, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, h) AS pos FROM w),
+c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS heads FROM o GROUP BY conv_id),
+t AS (SELECT c.*, least(c.heads, COALESCE(b.n, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (SELECT t.conv_id, pos AS d, h, size FROM t JOIN o ON o.conv_id = t.base AND pos <= taken
+      UNION ALL SELECT t.conv_id, taken + pos - heads, h, size FROM t JOIN o USING (conv_id) WHERE pos > heads),
+s AS (SELECT t.conv_id, COALESCE(list(h ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS turns,
+        COALESCE(list(size ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS sizes FROM t LEFT JOIN r USING (conv_id) GROUP BY t.conv_id),
+p AS (SELECT conv_id, len(turns) AS length, d, array_to_string(turns[1:d], ',') AS prefix,
+        CASE WHEN d > 0 THEN array_to_string(list_slice(turns, 1, d - 1), ',') END AS parent, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size
+      FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM s)),
+g AS (SELECT prefix, d, any_value(parent) AS parent, any_value(size) AS size, min(conv_id) AS low, count(*) AS n,
+        COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = d), '') AS ends FROM p GROUP BY prefix, d),
+k AS (SELECT parent AS prefix, d - 1 AS d, count(*) AS children FROM g WHERE d > 0 GROUP BY 1, 2),
+u AS (SELECT a.prefix, a.d, count(*) FILTER (WHERE children IS NULL) AS leaves, sum((x.n - 1) * x.size) AS saved
+      FROM g x LEFT JOIN k USING (prefix, d) JOIN p a ON a.conv_id = x.low AND a.d <= x.d GROUP BY 1, 2)
+SELECT g.low AS conv_id, g.d AS depth, up.low AS parent_conv_id, g.n AS n_convs, COALESCE(children, 0) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(g.ends) AS ends_sha256
+FROM g JOIN u USING (prefix, d) LEFT JOIN k USING (prefix, d) LEFT JOIN g up ON up.prefix = g.parent AND up.d = g.d - 1"""
+
 ORACLE = {"op6_license_scan": OP6, "op7_maximal_repeats": OP7, "op8_host_quality": OP8,
-          "op12_hard_negatives": OP12}
+          "op12_hard_negatives": OP12, "op13_prefix_trie": OP13}

@@ -9,6 +9,13 @@ CASES = [
         "the following conditions are met: " + "x " * 40_000),
     (9, "source forms and binary use of redistribution conditions without permitted modification"),
     (10, "é" + "mit license"), (10, "é mit license"), (10, "é mit license"), (None, "apache license"),
+    (12, "Distributed under the Boost Software License, Version 1.0. This is free and unencumbered software released into the public "
+         "domain. To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. "
+         "This program and the accompanying materials are made available under the terms of the Eclipse Public License. This Source Code "
+         "Form is subject to the terms of the Mozilla Public License, v. 2.0. Permission to use, copy, modify, and/or distribute this "
+         "software for any purpose with or without fee is hereby granted."),
+    (13, "purpose extent eclipse conditions binary source unencumbered waived boost neighboring redistribution mozilla agpl affero " * 3000
+         + "Released under the MIT License: permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     (11, "This is free and unencumbered software released into the public domain.")]
 
 
@@ -32,6 +39,7 @@ def test_base_and_labels(spark):
     score = {r["doc_id"]: r["score"] for r in rows}
     assert all(0 <= s <= 1 for s in score.values()) and score[1] == score[2] == 0
     assert labels[5] == "cc-by,cc-by-nc" and labels[8] == "bsd" and labels[9] == "" and labels[11] == "unlicense"
+    assert labels[12] == "boost,cc0,epl,isc,mpl,unlicense" and "mit" in labels[13].split(",")
     assert score[8] == 1 and set(labels[4].split(",")) == {"gpl"}
 
 

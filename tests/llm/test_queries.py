@@ -9,7 +9,7 @@ from pitchline.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_sql(spark, key):
     con = duckdb.connect()
-    register_tables(con, SF_SMALL, ["documents", "embeddings"])
+    register_tables(con, SF_SMALL, ["documents", "embeddings", "conversations"])
     assert compare(QUERIES[key](spark, SF_SMALL), con, ORACLE[key]) == []
 
 
