@@ -11,7 +11,8 @@ reported as ``guess`` spans; base spans always stay.
 Defined results: null text is empty (no spans); ties between spans that
 start together go by the order of the kinds; repeated rows are scanned one
 by one; very long texts and values are scanned whole (the segmentation is
-linear in the value's length); an empty table gives an empty result.
+linear in the value's length); an empty table gives an empty result; other
+columns are not read by the scan, and left as they are by the redaction.
 
 At scale: one pass in the scan's own tasks, no shuffle; a text is in memory
 with its batch only.
@@ -59,9 +60,10 @@ LEET = str.maketrans("430157@$!", "aeoistasi")
 #: The rows of a keyboard.
 KEYS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 _AT = {c: (y, x) for y, row in enumerate(KEYS) for x, c in enumerate(row)}
-DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
-                  r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)?\d\d|(?:19|20)\d\d")
-LONGEST_UNIT = 8
+DATES = [re.compile(p, re.ASCII) for p in (
+    r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])",
+    r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)\d\d",
+    r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1\d\d", r"(?:19|20)\d\d")]
 
 
 def _class_size(c: str) -> int:
@@ -72,34 +74,27 @@ def _class_size(c: str) -> int:
     return 33 if c < "\x7f" else 100
 
 
-def _runs(value: str, follows) -> list[tuple[int, int]]:
-    """Maximal stretches in which each character follows its predecessor."""
-    out, start = [], 0
-    for i in range(1, len(value) + 1):
-        if i == len(value) or not follows(value[i - 1], value[i]):
-            if i - start >= 3:
-                out.append((start, i))
-            start = i
-    return out
-
-
 def _adjacent(a: str, b: str) -> bool:
     p, q = _AT.get(a), _AT.get(b)
     return bool(p and q and p != q and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1)
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses for the cheapest segmentation of ``value``.
+def guess_cost(value: str, enough: float = math.inf) -> float:
+    """log10 of the guesses for the cheapest segmentation of ``value``, or
+    something from ``enough`` on, if that is not less.
 
     Costs of the segments, in guesses: a dictionary word its rank (times 2
     with capitals, times 2 with look-alike digits), a date the days of 200
-    years, a keyboard walk 50 starts times 3 per step, a repeat the cost of
-    its unit times the repetitions, anything else the size of its
-    character class per character. Each further segment doubles the
-    guesses.
+    years, a keyboard walk of three keys or more 50 starts times 3 per step,
+    a repeat (three characters or more) the cost of its unit by brute force
+    times the repetitions, anything else the size of its character class per
+    character. Each further segment doubles the guesses.
+
+    A unit of ``u`` characters costs 10^u guesses at least, so units longer
+    than ``enough`` need no look, and the time is linear in the value.
     """
     n = len(value)
-    lower = value.lower() if value.isascii() else value
+    lower = "".join(c.lower() if c.isascii() else c for c in value)
     plain = lower.translate(LEET)
     found: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: start and cost
     for i in range(n):
@@ -107,34 +102,69 @@ def guess_cost(value: str) -> float:
             rank = RANK.get(lower[i:j]) or 2 * RANK.get(plain[i:j], 0)
             if rank:
                 found[j].append((i, math.log10(rank * (1 + (value[i:j] != lower[i:j])))))
-        m = DATE.match(value, i)
-        if m:
-            found[m.end()].append((i, math.log10(200 * (366 if m.end() - i > 4 else 1))))
-    for i, j in _runs(lower, _adjacent):
-        # a walk may be left early and joined late: its cost grows by the step
-        for k in range(i + 3, j + 1):
-            found[k].append((i, math.log10(50) + (k - i - 1) * math.log10(3)))
-    for unit in range(1, LONGEST_UNIT + 1):
-        i = 0
-        while i + unit < n:
-            j = i
-            while j + unit < n and value[j] == value[j + unit]:
-                j += 1
-            times = (j - i) // unit + 1
-            if times >= 2 and times * unit >= 3:
-                each = sum(math.log10(_class_size(c)) for c in value[i:i + unit])
-                found[i + times * unit].append((i, each + math.log10(times)))
-            i = max(j - unit + 1, i + 1)
-    again = math.log10(2)
+        for pattern in DATES:
+            m = pattern.match(value, i)
+            if m:
+                found[m.end()].append((i, math.log10(200 * (366 if m.end() - i > 4 else 1))))
+    again, step = math.log10(2), math.log10(3)
+    longest = n // 2 if enough == math.inf else min(n // 2, int(enough))
+    sizes = [0.0]  # brute-force cost of the first characters
+    for c in value:
+        sizes.append(sizes[-1] + math.log10(_class_size(c)))
     best = [0.0] + [math.inf] * n  # the cheapest way to each end
-    brute = [math.inf] * (n + 1)  # the cheapest way that ends in a brute-force span
+    brute = walk = math.inf  # the cheapest ways that end in an open brute-force span, or walk of three
+    one = two = math.inf  # those in a walk of one and of two keys
+    repeats = [Repeats(u) for u in range(1, longest + 1)]
     for j in range(1, n + 1):
-        here = math.log10(_class_size(value[j - 1]))
-        brute[j] = min(brute[j - 1], best[j - 1] + (again if j > 1 else 0)) + here
-        best[j] = min([brute[j], *(best[i] + c + (again if i else 0) for i, c in found[j])])
+        start = best[j - 1] + (again if j > 1 else 0)
+        brute = min(brute, start) + sizes[j] - sizes[j - 1]
+        if j > 1 and _adjacent(lower[j - 2], lower[j - 1]):
+            walk, two = min(walk, two) + step, one + step
+        else:
+            walk = two = math.inf
+        one = start + math.log10(50)
+        cheapest = min(brute, walk)
+        for i, c in found[j]:
+            cheapest = min(cheapest, best[i] + c + (again if i else 0))
+        for r in repeats:
+            if r.extend(value, j):
+                cheapest = min(cheapest, r.cheapest(best, j, again) + sizes[j] - sizes[j - r.unit])
+        best[j] = cheapest
     return best[n]
 
 
+class Repeats:
+    """Where repeats of units of one length may have begun."""
+
+    def __init__(self, unit: int):
+        self.unit, self.alike = unit, 0
+        self.least = 2 * unit if unit > 1 else 3  # characters of the shortest repeat
+        self.starts: dict[int, list[int]] = {}  # by place modulo the unit
+
+    def extend(self, value: str, j: int) -> bool:
+        """Take the character before ``j``; whether a repeat may end there."""
+        if j > self.unit and value[j - 1] == value[j - 1 - self.unit]:
+            self.alike += 1
+        else:
+            self.alike = 0
+            self.starts.clear()
+        return self.alike + self.unit >= self.least
+
+    def cheapest(self, best: list[float], j: int, again: float) -> float:
+        """Without the cost of the unit. A later start is kept only if it is
+        cheaper at its first end: the lead of an earlier one never shrinks."""
+        def cost(i: int) -> float:
+            return best[i] + (again if i else 0) + math.log10((j - i) // self.unit)
+
+        starts = self.starts.setdefault(j % self.unit, [])
+        here = min(map(cost, starts), default=math.inf)
+        new = cost(j - self.least)
+        if new < here:
+            starts.append(j - self.least)
+            here = new
+        return here
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, rank of the kind, end) of the base patterns, in order."""
     out = []
@@ -160,7 +190,7 @@ def guess_spans(text: str, taken: list[tuple[int, int, int]], min_log10: float =
             end -= 1
         if end - start < MIN_VALUE or any(s < end and start < e for s, _, e in taken):
             continue
-        if guess_cost(text[start:end]) >= min_log10:
+        if guess_cost(text[start:end], min_log10) >= min_log10:
             out.append((start, 3, end))
     return out
 

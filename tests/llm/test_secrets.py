@@ -57,14 +57,18 @@ def test_scan_and_redaction(spark):
 def cheapest(value):
     """Guess cost over all segmentations, one after the other."""
     def segment(part):
-        low = part.lower()
+        low, size = part.lower(), len(part)
         costs = [sum(math.log10(secrets._class_size(c)) for c in part)]
         rank = secrets.RANK.get(low) or 2 * secrets.RANK.get(low.translate(secrets.LEET), 0)
-        if len(part) >= 3 and rank:
+        if size >= 3 and rank:
             costs.append(math.log10(rank * (1 + (part != low))))
-        m = secrets.DATE.fullmatch(part)
-        if m:
-            costs.append(math.log10(200 * (366 if len(part) > 4 else 1)))
+        if any(p.fullmatch(part) for p in secrets.DATES):
+            costs.append(math.log10(200 * (366 if size > 4 else 1)))
+        if size >= 3 and all(secrets._adjacent(a, b) for a, b in zip(low, low[1:])):
+            costs.append(math.log10(50) + (size - 1) * math.log10(3))
+        for unit in range(1, size // 2 + 1):
+            if size >= 3 and size % unit == 0 and part == part[:unit] * (size // unit):
+                costs.append(sum(math.log10(secrets._class_size(c)) for c in part[:unit]) + math.log10(size // unit))
         return min(costs)
 
     best = [0.0]
@@ -73,13 +77,35 @@ def cheapest(value):
     return best[-1]
 
 
-@pytest.mark.parametrize("value", ["password", "Dragon7", "p4ssw0rd", "monkeyXq", "the2019cat", "zq8vxk", "x2024-02-29y"])
-def test_guess_cost_is_the_cheapest_segmentation(value):
-    assert secrets.guess_cost(value) == pytest.approx(cheapest(value))
+FIXED = ["password", "Dragon7", "p4ssw0rd", "monkeyXq", "the2019cat", "zq8vxk", "x2024-02-29y", "passwordfghjkl", "welcomeeeeeeeee",
+         "xabcabcabcqwertyuiopzz", "31121999", "311299a", "aaaa1aaaa1aaaa1", "qwqwqwqwqw"]
+
+
+def made(seed):
+    import random
+
+    r = random.Random(seed)
+    parts = ["password", "Dragon", "w3lcome", "20240229", "1999", "qwerty", "asdf", "lkj", "aaa", "abab", "xyzxyz", "!", "7", "Q", "é", "0", "e"]
+    return "".join(r.choice(parts) if r.random() < 0.6 else r.choice("aab1qw.") for _ in range(r.randint(1, 8)))
+
+
+@pytest.mark.parametrize("values", [FIXED, [made(i) for i in range(500)]])
+def test_guess_cost_is_the_cheapest_segmentation(values):
+    for value in values:
+        least = cheapest(value)
+        assert secrets.guess_cost(value) == pytest.approx(least), value
+        for enough in (3.0, 6.5, 9.0):  # the decision is the same with a limit
+            assert (secrets.guess_cost(value, enough) >= enough) == (least >= enough) or abs(least - enough) < 1e-9, value
+
+
+def test_weak_values_are_no_secrets():
+    assert secrets.guess_spans("login: welcomeeeeeeeee pwd=passwordfghjkl", []) == []
 
 
 def test_guess_cost_of_walks_and_repeats():
     assert secrets.guess_cost("qwertyuiop") < 7 < secrets.guess_cost("qwxrzyuvop")
     assert secrets.guess_cost("abababababab") < 5 and secrets.guess_cost("zzzzzzzzzzzz") < 4
-    assert secrets.guess_cost("a" * 20_000) < 8 < 20_000 < secrets.guess_cost("q7" "xk" * 1 + "Zv9!" * 0 + "".join(
-        chr(33 + i * 37 % 94) for i in range(20_000)))
+    # very long values, in linear time: the decision only
+    assert secrets.guess_cost("a" * 20_000, 9.0) < 8
+    assert secrets.guess_cost("q7xk" + "".join(chr(33 + i * 37 % 94) for i in range(20_000)), 9.0) >= 9
+    assert secrets.guess_cost("abcdefghijklmnopqrstuvwx!" * 40) < 40  # units of any length without a limit
