@@ -25,8 +25,10 @@ arrays to buckets by hash (grams by their last two context bytes); a bucket
 adds up the counts of all blocks, works out the probabilities of its grams
 and sends each block the values of its own entries, in the order in which
 they came. A word or gram of every document is one entry a block, so hot
-ones do not gather rows. Only the counts of single contexts (256 x 256 at
-most) go through the driver.
+ones do not gather rows. A bucket holds 12 bytes for each entry that blocks
+sent it; that of a frequent pair of bytes grows with the number of blocks
+(see README). Only the counts of single contexts (256 x 256 at most) go
+through the driver.
 """
 
 from __future__ import annotations
@@ -37,7 +39,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -246,29 +247,56 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, short: Short, order
     return np.where(alive, out - math.log10(max(SYMBOLS - short.q0, 1)), out)
 
 
+def combined(parts: list[tuple[np.ndarray, np.ndarray]], at_once: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of all parts, sorted, and their summed counts. Parts
+    are merged a few at a time, so that memory follows the distinct keys."""
+    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held, size = [], 0
+
+    def merge() -> tuple[np.ndarray, np.ndarray]:
+        both = np.concatenate([keys, *(k for k, _ in held)])
+        n = np.concatenate([counts, *(c.astype(np.int64) for _, c in held)])
+        order = np.argsort(both, kind="stable")
+        both, n = both[order], n[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(both), 1), bool), both[1:] != both[:-1]]))
+        return both[first], np.add.reduceat(n, first) if len(first) else n
+
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= max(at_once, len(keys)):
+            keys, counts = merge()
+            held, size = [], 0
+    return merge() if held else (keys, counts)
+
+
 def answer(sent: DataFrame, short: Short, order: int) -> DataFrame:
     """The values of every block's entries: counts of words, log10
     probabilities of grams; and each bucket's totals of words (block null)."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        kind, bucket = int(frame["kind"].iloc[0]), int(frame["bucket"].iloc[0])
-        keys = [np.frombuffer(x, np.uint64) for x in frame["keys"]]
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["counts"]]).astype(np.float64)
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(place, counts, len(distinct))
-        totals = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # what is held of a bucket: its packed keys and counts, 12 bytes an entry
+        rows = [(block, keys, counts, kind, bucket) for batch in batches for kind, bucket, block, keys, counts in zip(
+            *(batch.column(c).to_pylist() for c in ("kind", "bucket", "block", "keys", "counts")))]
+        if not rows:
+            return
+        kind, bucket = rows[0][3:]
+        distinct, n = combined([(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint32)) for _, k, c, _, _ in rows])
+
+        def row(block: int | None, data: bytes, total: int = 0, known: int = 0) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()), "block": pa.array([block], pa.int64()),
+                "data": pa.array([data], pa.binary()), "n": pa.array([total], pa.int64()), "v": pa.array([known], pa.int64())})
+
         if kind == WORDS:
             values = n.astype("<u8")
-            totals = [(kind, bucket, None, b"", int(n.sum()), int((n > 0).sum()))]
+            yield row(None, b"", int(n.sum()), int((n > 0).sum()))
         else:
-            values = log_probabilities(distinct, n, short, order).astype("<f4")
-        cuts = np.cumsum([len(k) for k in keys])[:-1]
-        rows = [(kind, bucket, block, values[part].tobytes(), 0, 0)
-                for block, part in zip(frame["block"].tolist(), np.split(place, cuts))]
-        out = pd.DataFrame(rows + totals, columns=["kind", "bucket", "block", "data", "n", "v"])
-        return out.astype({"block": "Int64"})
-
-    return sent.groupBy("kind", "bucket").applyInPandas(
+            values = log_probabilities(distinct, n.astype(np.float64), short, order).astype("<f8")
+        for block, keys, _, _, _ in rows:
+            yield row(block, values[np.searchsorted(distinct, np.frombuffer(keys, np.uint64))].tobytes())
+
+    return sent.groupBy("kind", "bucket").applyInArrow(
         run, "kind int, bucket int, block long, data binary, n long, v long")
 
 
@@ -308,7 +336,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
             at = np.fromiter(map(index.__getitem__, doc), np.int64, len(doc))
             base.append(float(logs[at].sum()))
             known.append(int((c[at] > 0).sum()))
-        total = grams.sums(entries.placed(GRAMS, parts[GRAMS], "<f4").astype(np.float64))
+        total = grams.sums(entries.placed(GRAMS, parts[GRAMS], "<f8"))
         return pa.table({
             "doc_id": pa.array(block.ids, pa.int64()), "held_out": pa.array([not is_training(d) for d in block.ids]),
             "n_tokens": pa.array([len(w) for w in words], pa.int64()), "n_known": pa.array(known, pa.int64()),

@@ -60,3 +60,19 @@ def test_probabilities_add_up_to_one():
     model.cost(b"abracadabra")
     history = (ord("b"), ord("r"))
     assert sum(model.probability(history, s) for s in range(256) if s != ppm.START) == pytest.approx(1)
+
+
+def test_parts_are_summed_whatever_their_sizes():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    parts = [(np.unique(r.integers(0, 500, r.integers(0, 80))).astype(np.uint64),) for _ in range(30)]
+    parts = [(k, r.integers(0, 9, len(k)).astype(np.uint32)) for k, in parts]
+    want = {}
+    for keys, n in parts:
+        for k, c in zip(keys.tolist(), n.tolist()):
+            want[k] = want.get(k, 0) + c
+    for at_once in (1, 100, 1 << 20):
+        keys, n = ppm.combined(parts, at_once)
+        assert dict(zip(keys.tolist(), n.tolist())) == want and keys.tolist() == sorted(want)
+    assert [len(x) for x in ppm.combined([])] == [0, 0]
