@@ -901,3 +901,65 @@ SELECT '2024-07-01T00:00:00' AS ingestion_timestamp, 'api' AS source, CAST(event
   CAST(group_id AS VARCHAR) AS group_id, CAST(home_team_id AS VARCHAR) AS home, CAST(away_team_id AS VARCHAR) AS away,
   '2024-07-01T00:00:00' AS transformation_timestamp, 'silver' AS data_layer
 FROM r WHERE k = 1"""
+
+# --------------------------------------------- files written, read back ---
+
+ORACLE["bronze_assets"] = W("t1_base") + """
+SELECT season, count(*) AS documents, count(*) AS named FROM t1_base, (VALUES ('2023'), ('2024')) s(season) GROUP BY season"""
+
+ORACLE["lake_inventory"] = """
+SELECT * FROM (VALUES ('silver', 'nation', TRUE), ('silver', 'customer', TRUE), ('gold', 'region', TRUE)) v(layer, dataset, has_rows)"""
+
+_STANDINGS = """SELECT group_id, group_name, team_id, team_name, gamesPlayed, wins, losses, ties, points, pointsPerGame,
+  goalsFor, goalsAgainst, goalDifferential FROM t2_standings"""
+ORACLE["layer_write"] = W("t2_standings") + _STANDINGS
+
+_TAGGED = W("t2_standings") + """
+SELECT CAST(group_id AS INT) AS group_id, group_name, team_id, team_name, points, {tags} AS tags{more} FROM t2_standings"""
+ORACLE["export_csv"] = ORACLE["export_bi"] = _TAGGED.format(
+    tags="""concat('["', group_name, '","a \\"b\\", c"]')""", more="")
+ORACLE["export_json"] = _TAGGED.format(tags="""concat(group_name, '|a "b", c')""", more=", (SELECT count(*) FROM t2_standings) AS record_count")
+
+ORACLE["export_all"] = """
+SELECT * FROM (VALUES ('nation', 'success', TRUE, FALSE), ('broken', 'failed', FALSE, TRUE), ('region', 'success', TRUE, FALSE))
+  v(dataset, status, written, has_error)"""
+
+ORACLE["warehouse_table"] = "SELECT * FROM nation"
+
+_TEAM_TABLE = "(SELECT s_suppkey AS team_id, s_name AS team_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"
+ORACLE["quality_reports"] = W("t2_standings") + _UNION.join([
+    _row_count("standings", "t2_standings", 1, 100), _exists("standings", "group_id", True), _exists("standings", "group_name", True),
+    _not_null("standings", "t2_standings", "group_id"), _row_count("teams", _TEAM_TABLE, 1, 50), _exists("teams", "team_id", True),
+    _exists("teams", "team_name", True), _not_null("teams", _TEAM_TABLE, "team_id"), _not_null("teams", _TEAM_TABLE, "team_name")])
+
+ORACLE["layer_job"] = W("t2_standings") + f"""
+SELECT 'silver' AS layer, 'standings' AS dataset, TRUE AS success, CAST(0 AS BIGINT) AS rejected, count(*) AS n_rows FROM t2_standings
+UNION ALL SELECT 'silver', 'teams', TRUE, 0, count(*) FROM {_TEAM_TABLE}
+UNION ALL SELECT 'gold', 'team_performance_summary', TRUE, NULL, count(*) FROM t2_standings
+UNION ALL SELECT 'gold', 'competition_overview', TRUE, NULL, 1
+UNION ALL SELECT 'gold', 'group_analysis', TRUE, NULL, count(DISTINCT group_id) FROM t2_standings"""
+
+_RUN = [("silver", "standings", "TRUE", "0", "TRUE"), ("silver", "teams", "TRUE", "0", "FALSE"),
+        *(("silver", e, "FALSE", "NULL", "FALSE") for e in ("athletes", "events", "player_stats")),
+        ("quality", "standings", "TRUE", "NULL", "TRUE"), ("quality", "teams", "TRUE", "NULL", "FALSE"), ("quality", "athletes", "FALSE", "NULL", "FALSE"),
+        *(("gold", g, "TRUE", "NULL", "FALSE") for g in ("team_performance_summary", "competition_overview", "group_analysis")),
+        *(("gold", g, "FALSE", "NULL", "FALSE") for g in ("player_analytics", "team_roster_summary")),
+        *(("warehouse", w, "TRUE", "0", "FALSE") for w in ("dim_teams", "dim_groups", "dim_dates", "fact_team_performance")),
+        *(("warehouse", w, "FALSE", "NULL", "FALSE") for w in ("dim_players", "fact_player_stats", "fact_match_results")),
+        *(("export", g, "TRUE", "NULL", "FALSE") for g in ("team_performance_summary", "competition_overview", "group_analysis"))]
+ORACLE["pipeline_run"] = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{layer}', '{name}', {ok}, NOT {ok}, CAST({n} AS BIGINT), {skipped})" for layer, name, ok, n, skipped in _RUN) + (
+    ") v(layer, dataset, success, has_error, rejected, skipped)")
+
+ORACLE["dq_observed"] = ORACLE["dq_suite"]
+
+ORACLE["quarantine"] = W("t3_athletes") + """
+SELECT athlete_id, array_to_string([x FOR x IN [
+    CASE WHEN athlete_id IS NULL THEN 'expect_column_values_to_not_be_null(athlete_id)' END,
+    CASE WHEN athlete_age < 18 OR athlete_age > 38 THEN 'expect_column_values_to_be_between(athlete_age)' END,
+    CASE WHEN athlete_nationality IS NULL THEN 'expect_column_values_to_not_be_null(athlete_nationality)' END] IF x IS NOT NULL], ',') AS broken
+FROM t3_athletes"""
+
+ORACLE["compacted_batches"] = """
+SELECT l_linenumber, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, TRUE AS one_file
+FROM lineitem GROUP BY l_linenumber"""

@@ -1129,3 +1129,183 @@ def events_all_fields(t: Tables) -> DataFrame:
     c = F.col("event_competitions")[0]
     return silver.select(*[x for x in silver.columns if x != "event_competitions"], c["venue"].alias("venue"), c["groupId"].alias("group_id"),
                          c["competitors"][0]["teamId"].alias("home"), c["competitors"][1]["teamId"].alias("away"))
+
+
+# --------------------------------------------- files written, read back ---
+
+def _two_season_documents(t: Tables, root: str) -> None:
+    """Standings documents of two seasons, landed under their folders."""
+    docs = A.standings_documents(t).select("data.*")
+    for season in ("2023", "2024"):
+        Out.land_bronze(docs.withColumn("season", F.lit(season)), root, "standings", A.BRONZE_SOURCE, partition_by=["season"], ts=A.BRONZE_TS)
+
+
+@query
+def bronze_assets(t: Tables) -> DataFrame:
+    """A4: names of the files that hold the documents, and their season
+    folders; files of another kind in the same folders are not read."""
+    root = _scratch(t, "assets")
+    _two_season_documents(t, root)
+    t.spark.range(3).write.mode("append").csv(f"{root}/standings/season=2024")
+    docs = bronze.read_bronze(t.spark, root, "standings")
+    return docs.groupBy("season").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("asset_name").rlike("^part-[0-9]+")).alias("named"))
+
+
+@query
+def lake_inventory(t: Tables) -> DataFrame:
+    """A5: layers and datasets of a lake, with files that hold something."""
+    from pitchline.sources.inventory import lake_inventory as inventory
+
+    root = _scratch(t, "lake")
+    Out.write_layer(t.nation, f"{root}/silver", "nation")
+    Out.write_layer(t.customer, f"{root}/silver", "customer", partition_by=["c_mktsegment"])
+    Out.write_layer(t.region, f"{root}/gold", "region")
+    found = inventory(t.spark, root)
+    return found.select("layer", "dataset", (F.col("bytes") > 0).alias("has_rows"))
+
+
+@query
+def layer_write(t: Tables) -> DataFrame:
+    """A layer written and read back; a second write replaces it."""
+    root = _scratch(t, "layer")
+    for _ in range(2):
+        Out.write_layer(standings(t), root, "standings", partition_by=["group_id"])
+    return read_table(t.spark, root, "standings")
+
+
+def _exported(t: Tables, fmt: str) -> str:
+    s = standings(t).withColumn("tags", F.array(F.col("group_name"), F.lit('a "b", c')))
+    return Out.export(s, _scratch(t, "export"), "standings", fmt, ts=AUDIT_TS)
+
+
+_CSV = "group_id int, group_name string, team_id bigint, team_name string, points double, tags string"
+
+
+def _read_csv(t: Tables, path: str) -> DataFrame:
+    df = t.spark.read.option("header", "true").option("escape", "\\").csv(path)
+    return df.select(*[F.col(c.split()[0]).cast(c.split()[1]).alias(c.split()[0]) for c in _CSV.split(", ")])
+
+
+@query
+def export_csv(t: Tables) -> DataFrame:
+    """A CSV export read back, nested columns as JSON text."""
+    return _read_csv(t, _exported(t, "csv"))
+
+
+@query
+def export_bi(t: Tables) -> DataFrame:
+    """The BI extract read back."""
+    return _read_csv(t, _exported(t, "bi"))
+
+
+@query
+def export_json(t: Tables) -> DataFrame:
+    """A JSON export read back beside the count of its metadata."""
+    path = _exported(t, "json")
+    meta = t.spark.read.json(f"{path}/metadata").select("record_count").scalar()
+    schema = "group_id int, group_name string, team_id bigint, team_name string, points double, tags array<string>"
+    return t.spark.read.schema(schema).json(f"{path}/records").withColumn("tags", F.array_join("tags", "|")).withColumn("record_count", meta)
+
+
+@query
+def export_all(t: Tables) -> DataFrame:
+    """All datasets exported; one that fails does not stop the others."""
+    def broken() -> DataFrame:
+        return t.nation.select("no_such_column")
+
+    status = Out.export_all(t.spark, {"nation": lambda: t.nation, "broken": broken, "region": lambda: t.region}, _scratch(t, "export"), "csv", ts=AUDIT_TS)
+    return status.select("dataset", "status", F.col("path").isNotNull().alias("written"), F.col("error").isNotNull().alias("has_error"))
+
+
+@query
+def warehouse_table(t: Tables) -> DataFrame:
+    """A table of the catalog written, replaced, and read by its name."""
+    path = _scratch(t, "table")
+    name = f"dim_{path.rsplit('-', 1)[1]}"
+    for rows in (t.nation.limit(0), t.nation):
+        Out.write_warehouse(rows, name, path=path)
+    rows = R.materialize(t.spark.table(name), "table")
+    t.spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+def _landed_lake(t: Tables) -> str:
+    """Bronze documents of standings and teams."""
+    root = _scratch(t, "lake")
+    _land_standings(t, f"{root}/bronze")
+    Out.land_bronze(A.teams_documents(t).select("data.*", F.lit("2024").alias("season")), f"{root}/bronze", "teams", A.BRONZE_SOURCE,
+                    partition_by=["season"], ts=A.BRONZE_TS)
+    return root
+
+
+@query
+def quality_reports(t: Tables) -> DataFrame:
+    """Q12: the reports that the silver jobs append."""
+    from pitchline.plans import run
+
+    root = _landed_lake(t)
+    run.run_silver(t.spark, root, ts=AUDIT_TS, only=["standings", "teams"])
+    return read_table(t.spark, root, "reports")
+
+
+@query
+def layer_job(t: Tables) -> DataFrame:
+    """The silver and gold jobs of landed documents: what was written."""
+    from pitchline.plans import run
+
+    root = _landed_lake(t)
+    made = ["team_performance_summary", "competition_overview", "group_analysis"]
+    status = run.run_layer(t.spark, "silver", root, ts=AUDIT_TS, only=["standings", "teams"])
+    status += run.run_layer(t.spark, "gold", root, ts=AUDIT_TS, only=made)
+    status = t.spark.createDataFrame(status, run.RUN_STATUS).select("layer", "dataset", "success", "rejected")
+    rows = functools.reduce(DataFrame.unionByName, (read_table(t.spark, f"{root}/{layer}", n).groupBy(
+        F.lit(layer).alias("layer"), F.lit(n).alias("dataset")).agg(F.count(F.lit(1)).alias("n_rows"))
+        for layer, n in [("silver", "standings"), ("silver", "teams"), *(("gold", n) for n in made)]))
+    return status.join(rows, ["layer", "dataset"], "left")
+
+
+@query
+def pipeline_run(t: Tables) -> DataFrame:
+    """The whole run over documents of two entities, and again after it
+    was interrupted: what is there is skipped, what is missing fails alone."""
+    from pitchline.plans import run
+
+    root = _landed_lake(t)
+    run.run_silver(t.spark, root, ts=AUDIT_TS, only=["standings"])
+    return run.run_pipeline(t.spark, root, ts=AUDIT_TS, resume=True).select(
+        "layer", "dataset", "success", F.col("error").isNotNull().alias("has_error"), "rejected", "skipped")
+
+
+@query
+def dq_observed(t: Tables) -> DataFrame:
+    """Q4/Q12: the suite's report from the counts that are taken while the
+    table is written; equal to that of ``dq_suite``."""
+    return Q.write_checked(athletes(t), f"{_scratch(t, 'checked')}/athletes", "athletes", ATHLETE_SUITE)
+
+
+@query
+def quarantine(t: Tables) -> DataFrame:
+    """Q4: rows that break a rule are set apart, with what they broke."""
+    path = f"{_scratch(t, 'checked')}/athletes"
+    Q.write_checked(athletes(t), path, "athletes", [*ATHLETE_SUITE, Q.not_null("athlete_nationality")])
+    table = t.spark.read.parquet(path)
+    apart = table.where(F.col(Q.STATE) == Q.QUARANTINED).select("athlete_id", F.array_join(Q.BROKEN, ",").alias("broken"))
+    return apart.unionByName(Q.passed(table).select("athlete_id", F.lit("").alias("broken")))
+
+
+@query
+def compacted_batches(t: Tables) -> DataFrame:
+    """Twelve micro-batches packed every four: all rows, in a bounded
+    number of files."""
+    from pitchline.sinks import compaction
+
+    root = _scratch(t, "batches")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    for i in range(12):
+        Out.write_batch(li.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(12)) == i), root, "lineitem", i)
+        if i % 4 == 3:
+            compaction.compact(t.spark, root, "lineitem")
+    rows = compaction.read_packed(t.spark, root, "lineitem")
+    files = rows.select("_metadata.file_path").distinct().select(F.count(F.lit(1)) == 1).scalar()
+    return rows.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")).withColumn(
+        "one_file", files)

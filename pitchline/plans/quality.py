@@ -208,6 +208,16 @@ def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation]) ->
 STATE, PASSED, QUARANTINED, BROKEN = "quality_state", "passed", "quarantined", "broken_rules"
 
 
+def marked(df: DataFrame, expectations: Sequence[Expectation]) -> tuple[DataFrame, Observation]:
+    """The rows with what they broke and their state, and the counts of the
+    suite, taken while the rows pass by."""
+    seen = Observation()
+    rules = [(f"{e.kind}({e.column})", bad) for e in expectations if (bad := _bad_row(e)) is not None]
+    broken = F.array_compact(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules))) if rules else F.array().cast("array<string>")
+    rows = df.observe(seen, *measures(expectations)).withColumn(BROKEN, broken)
+    return rows.withColumn(STATE, F.when(F.size(BROKEN) > 0, F.lit(QUARANTINED)).otherwise(F.lit(PASSED))), seen
+
+
 def write_checked(df: DataFrame, path: str, suite: str, expectations: Sequence[Expectation]) -> DataFrame:
     """Write a table and evaluate its suite in the same pass (Q4, Q12).
 
@@ -218,12 +228,8 @@ def write_checked(df: DataFrame, path: str, suite: str, expectations: Sequence[E
     columns of what was written. Returns the report; the counts are those of
     all rows, as :func:`run_suite` gives them."""
     spark = df.sparkSession
-    seen = Observation()
-    rules = [(f"{e.kind}({e.column})", bad) for e in expectations if (bad := _bad_row(e)) is not None]
-    broken = F.array_compact(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules))) if rules else F.array().cast("array<string>")
-    marked = df.observe(seen, *measures(expectations)).withColumn(BROKEN, broken)
-    state = F.when(F.size(BROKEN) > 0, F.lit(QUARANTINED)).otherwise(F.lit(PASSED))
-    marked.withColumn(STATE, state).write.mode("overwrite").option("compression", "snappy").partitionBy(STATE).parquet(path)
+    rows, seen = marked(df, expectations)
+    rows.write.mode("overwrite").option("compression", "snappy").partitionBy(STATE).parquet(path)
     counts = spark.createDataFrame([seen.get])
     schema = T.StructType([*df.schema.fields, T.StructField(BROKEN, T.ArrayType(T.StringType())), T.StructField(STATE, T.StringType())])
     written = spark.read.schema(schema).parquet(path)

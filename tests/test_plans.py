@@ -7,7 +7,8 @@ import pytest
 import os
 
 from conftest import SF_SMALL
-from pitchline.catalog.queries import QUERIES
+from pitchline.catalog.queries import ATHLETE_SUITE, QUERIES, athletes
+from pitchline.plans import gold, quality
 from pitchline.session import ensure_checkpoint_dir
 from pitchline.sources import adapters as A
 from pitchline.sources.tables import Tables
@@ -24,8 +25,8 @@ def optimized(df) -> str:
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_udf(spark, key):
     plan = physical(QUERIES[key](spark, SF_SMALL))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
-                 "FlatMapGroupsInPandas"):
+    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "MapInArrow",
+                 "FlatMapGroupsInPandas", "FlatMapGroupsInArrow", "FlatMapCoGroups"):
         assert node not in plan, f"{key} uses {node}"
 
 
@@ -47,7 +48,8 @@ def scans(plan: str, table: str) -> int:
 
 
 def test_tables_are_scanned_once(spark):
-    for key, table in (("head_to_head", "lineitem"), ("alarm_missing_window", "events")):
+    for key, table in (("head_to_head", "lineitem"), ("alarm_missing_window", "events"), ("last_n_days", "lineitem"),
+                       ("latest_snapshot", "lineitem"), ("dq_uniqueness", "lineitem"), ("dq_suite", "customer"), ("alarm_episodes", "events")):
         assert scans(physical(QUERIES[key](spark, SF_SMALL)), table) == 1, key
     for key in ("head_to_head", "team_form", "match_outcome", "score_distribution", "fixture_calendar"):
         assert scans(physical(QUERIES[key](spark, SF_SMALL)), "/part") == 0, key
@@ -79,6 +81,28 @@ def test_team_totals_aggregate_before_join(spark):
     assert "BroadcastHashJoin" in physical(A.t1_base(t))
 
 
-def test_nested_pruning(spark):
-    plan = physical(QUERIES["team_roster_summary"](spark, SF_SMALL))
-    assert "Scan parquet" in plan
+def test_nested_pruning(spark, workdir):
+    athletes(Tables(spark, SF_SMALL)).write.parquet(f"{workdir}/athletes")
+    stored = spark.read.parquet(f"{workdir}/athletes")
+    plan = physical(gold.team_roster_summary(stored.drop("athlete_name"), sets="count").select("team_id", "total_players"))
+    read = plan[plan.index("ReadSchema: "):].split("\n")[0]
+    assert read == "ReadSchema: struct<athlete_team:struct<id:string,name:string,abbreviation:string>>"
+    assert "struct<athlete_team:struct<id:string>>" in physical(stored.select("athlete_team.id"))
+
+
+def test_snapshot_of_the_newest_partition(spark):
+    for key in ("v_team_performance", "v_group_standings"):
+        plan = physical(QUERIES[key](spark, SF_SMALL))
+        assert scans(plan, "lineitem") == 0 and "PartitionFilters: [isnotnull(date_id" in plan, key
+
+
+def test_dates_filter_before_the_sums(spark):
+    plan = optimized(QUERIES["latest_snapshot"](spark, SF_SMALL))
+    assert plan.index("Aggregate") < plan.index("year(cast(l_shipdate")  # the filter stands below
+
+
+def test_quality_is_taken_in_the_write(spark):
+    source = athletes(Tables(spark, SF_SMALL))
+    rows, _ = quality.marked(source, ATHLETE_SUITE)
+    plan = physical(rows)
+    assert "CollectMetrics" in plan and scans(plan, "customer") == 1 and "Exchange hashpartitioning" not in plan
