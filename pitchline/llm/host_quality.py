@@ -136,16 +136,13 @@ def filter_documents(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns and no
     others. Rows that fail no rule need no verdict of their host, so only
     the doubtful ones, which fail a host rule, meet the table of hosts."""
-    verdicts = host_verdicts(materialize(measures(docs), "quality"), max_rate)
-    verdicts = verdicts.select("host", *(f"bad_{k}" for k in rules()))
+    # measured once: the rows are written with their measures
+    measured = materialize(measures(docs, carry=True), "quality")
+    verdicts = host_verdicts(measured, max_rate).select("host", *(f"bad_{k}" for k in rules()))
     doubtful = F.lit(False)
     for c in rules().values():
         doubtful = doubtful | c
-    # the id keeps the filters behind the measures, which would otherwise be
-    # worked out anew inside each of their own loops
-    rows = measures(docs, carry=True).withColumn("at", F.monotonically_increasing_id())
-    rows = rows.where(~base_failed() & (F.col("at") >= 0))
-    doubtful = doubtful & (F.col("at") >= 0)
+    rows = measured.where(~base_failed())
     clean = rows.where(~doubtful).select("row.*")
     return clean.unionByName(rows.where(doubtful).join(verdicts, "host").where(~_dropped()).select("row.*"))
 
