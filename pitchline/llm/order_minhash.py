@@ -340,6 +340,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, s
     """(doc_id, key, first, class_id, class_key) of each row: ``key`` names
     its words and ``first`` is the least doc_id that has them; the class is
     named by its least doc_id and the key of that."""
+    rows, named = named_texts(docs, threshold, bands, sampled)
+    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "key", "first", "class_id", "class_key")
+
+
+def named_texts(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, sampled: int = SAMPLED) -> tuple[DataFrame, DataFrame]:
+    """The rows with their keys, and the class of each key once."""
     rows = materialize(sketches(docs, threshold, bands, sampled), "sketches")
     texts = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     texts = materialize(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
@@ -404,16 +410,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, s
         found = materialize(comps.join(whole, "comp").select("node", "m"), "found")
         named = named.join(found, "node", "left").select(
             "key", "first", F.coalesce("m.first", "first").alias("class_id"), F.coalesce("m.key", "key").alias("class_key"))
-    named = materialize(named.select("key", "first", "class_id", "class_key"), "named")
-    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "key", "first", "class_id", "class_key")
+    return rows, materialize(named.select("key", "first", "class_id", "class_key"), "named")
 
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of ``docs`` for each class, with all its columns: that of the
     class's least doc_id."""
-    found = classes(docs, threshold)
-    kept = found.where(F.col("key") == F.col("class_key")).select(
-        F.col("key").alias("_key"), F.col("class_id").alias("_doc")).distinct()
+    _, named = named_texts(docs, threshold)
+    kept = named.where(F.col("key") == F.col("class_key")).select(F.col("key").alias("_key"), F.col("class_id").alias("_doc"))
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", key_of(text_of()).alias("key"))
     rows = rows.join(kept, (rows["key"] == kept["_key"]) & rows["doc_id"].eqNullSafe(kept["_doc"]))
     # repeated rows have their keys in common: one of them stays
