@@ -963,3 +963,20 @@ FROM t3_athletes"""
 ORACLE["compacted_batches"] = """
 SELECT l_linenumber, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, TRUE AS one_file
 FROM lineitem GROUP BY l_linenumber"""
+
+# ------------------------------------------- views of the loaded warehouse ---
+
+ORACLE["views_from_warehouse"] = ORACLE["v_team_performance"].replace(
+    "SELECT s_name AS team_name, n_name AS group_name", "SELECT s_name AS team_name, CAST(NULL AS VARCHAR) AS team_abbreviation, n_name AS group_name")
+
+ORACLE["table_metrics_loaded"] = W("t2_standings", "t6_fact_player_stats") + """
+SELECT 'fact_team_performance' AS table_name, count(*) + count(*) FILTER (WHERE team_id % 3 <> 0) AS row_count,
+  TIMESTAMP '2024-12-31 00:00:00' AS earliest_record, TIMESTAMP '2024-12-31 00:00:00' AS latest_record,
+  count(DISTINCT team_id) AS unique_teams, CAST(2 AS BIGINT) AS unique_dates FROM t2_standings
+UNION ALL SELECT 'fact_player_stats', count(*), TIMESTAMP '2024-12-31 00:00:00', TIMESTAMP '2024-12-31 00:00:00',
+  count(DISTINCT player_id), count(DISTINCT date_id) FROM (SELECT DISTINCT player_id, team_id, date_id FROM t6_fact_player_stats)"""
+
+ORACLE["data_quality_loaded"] = W("t2_standings", "t3_athletes") + """
+SELECT 'Teams' AS table_name, count(*) AS record_count, CAST(0 AS BIGINT) AS null_names, CAST(0 AS BIGINT) AS null_ids FROM supplier
+UNION ALL SELECT 'Players', count(*), 0, 0 FROM t3_athletes WHERE athlete_full_name IS NOT NULL AND athlete_age IS NOT NULL
+UNION ALL SELECT 'Team Performance', count(*) + count(*) FILTER (WHERE team_id % 3 <> 0), 0, 0 FROM t2_standings"""

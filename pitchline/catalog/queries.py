@@ -873,19 +873,10 @@ def warehouse_two_seasons(t: Tables) -> DataFrame:
     from pitchline.plans import run
     from pitchline.sinks import versions
 
-    root = _scratch(t, "flow")
-    silver = {"standings": two_seasons(t, rank=True), "teams": A.teams_silver(t), "athletes": two_player_seasons(t),
-              "events": _one_match_an_event(t), "player_stats": _player_stats_long(t)}
-    for name, df in silver.items():
-        Out.write_layer(df, f"{root}/silver", name)
-    status = run.run_layer(t.spark, "gold", root, ts=AUDIT_TS)
-    status += run.load_warehouse(t.spark, root, ts="2024-12-31T00:00:00")
+    root = _loaded_warehouse(t)
     tables = run.warehouse_loads(t.spark, root, "2024-12-31")
     first = {n: versions.read_current(t.spark, f"{root}/warehouse", n) for n in tables}
-    status += run.load_warehouse(t.spark, root, ts="2024-12-31T06:00:00")
-    failed = [r for r in status if not r[2]]
-    if failed:
-        raise RuntimeError(f"loads failed: {failed}")
+    _must(run.load_warehouse(t.spark, root, ts="2024-12-31T06:00:00"))
     out = []
     for name, load in tables.items():
         now = versions.read_current(t.spark, f"{root}/warehouse", name)
@@ -898,6 +889,50 @@ def warehouse_two_seasons(t: Tables) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, out)
 
 
+def _must(status: list[tuple]) -> None:
+    failed = [r for r in status if not r[2]]
+    if failed:
+        raise RuntimeError(f"jobs failed: {failed}")
+
+
+def _loaded_warehouse(t: Tables) -> str:
+    """Silver of two seasons, gold from it, and all seven tables loaded once."""
+    from pitchline.plans import run
+
+    root = _scratch(t, "flow")
+    silver = {"standings": two_seasons(t, rank=True), "teams": A.teams_silver(t), "athletes": two_player_seasons(t),
+              "events": _one_match_an_event(t), "player_stats": _player_stats_long(t)}
+    for name, df in silver.items():
+        Out.write_layer(df, f"{root}/silver", name)
+    _must(run.run_layer(t.spark, "gold", root, ts=AUDIT_TS))
+    _must(run.load_warehouse(t.spark, root, ts="2024-12-31T00:00:00"))
+    return root
+
+
+@query
+def views_from_warehouse(t: Tables) -> DataFrame:
+    """G1 over the loaded warehouse: names and the newest season's facts."""
+    from pitchline.plans import run
+
+    return run.warehouse_views(t.spark, _loaded_warehouse(t))["v_team_performance_summary"]()
+
+
+@query
+def table_metrics_loaded(t: Tables) -> DataFrame:
+    """E7/I2 over the loaded warehouse, with the load times of its rows."""
+    from pitchline.plans import run
+
+    return run.warehouse_views(t.spark, _loaded_warehouse(t))["table_metrics"]()
+
+
+@query
+def data_quality_loaded(t: Tables) -> DataFrame:
+    """I1/E6 over the loaded warehouse."""
+    from pitchline.plans import run
+
+    return run.warehouse_views(t.spark, _loaded_warehouse(t))["data_quality_check"]()
+
+
 @query
 def warehouse_season_dates(t: Tables) -> DataFrame:
     """K5: the facts of an earlier season are dated by its last day."""

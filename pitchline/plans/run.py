@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pitchline.operators.audit import with_audit
 from pitchline.operators.filters import require_not_null
 from pitchline.operators.ranking import materialize
-from pitchline.plans import gold, quality, silver, warehouse
+from pitchline.plans import gold, quality, silver, views, warehouse
 from pitchline.sinks import ledger, versions
 from pitchline.sinks.files import export_all, write_layer
 from pitchline.sources.bronze import corrupt_count, read_bronze
@@ -215,6 +215,30 @@ def load_warehouse(spark: SparkSession, root: str, *, ts: str, resume: bool = Fa
     return [row for row, _ in _run_jobs(spark, root, "warehouse", jobs, resume)]
 
 
+def warehouse_views(spark: SparkSession, root: str) -> dict[str, Callable[[], DataFrame]]:
+    """The reporting views over the loaded warehouse (G1-G4, E5, E7, I1):
+    current versions of its tables; of the team facts the newest date alone,
+    by its partition, where the view asks for the newest snapshot."""
+    place = f"{root}/warehouse"
+
+    def table(name: str) -> DataFrame:
+        return versions.read_current(spark, place, name)
+
+    def newest() -> DataFrame:
+        return versions.read_newest(spark, place, "fact_team_performance", "date_id")
+
+    return {
+        "v_team_performance_summary": lambda: views.v_team_performance_summary(
+            newest(), table("dim_teams"), table("dim_groups"), newest=False),
+        "v_group_standings": lambda: views.v_group_standings(newest(), table("dim_teams"), table("dim_groups"), newest=False),
+        "v_recent_matches": lambda: views.v_recent_matches(table("fact_match_results"), table("dim_teams"), table("dim_groups")),
+        "top_scorers": lambda: views.top_scorers(table("fact_player_stats"), table("dim_players"), table("dim_teams")),
+        "data_quality_check": lambda: views.data_quality_check(
+            table("dim_teams"), table("dim_players"), table("fact_team_performance")),
+        "table_metrics": lambda: views.table_metrics(table("fact_team_performance"), table("fact_player_stats")),
+    }
+
+
 def run_pipeline(spark: SparkSession, root: str, *, ts: str | None = None, bronze_layout: str = "lines",
                  gate: bool = False, export_format: str = "csv", resume: bool = False) -> DataFrame:
     """Bronze → silver → quality report → gold → warehouse load → export,
