@@ -10,8 +10,9 @@ rows, and a query meets its run and the two beside it. The nearest of all
 curves are merged and ranked by the exact inner product.
 
 The directions' scales are fitted on ``SAMPLE`` vectors at most; every
-vector is indexed. Recall depends on how much of the data the runs cover
-(see README for figures).
+vector is indexed. The length of the runs is measured, not assumed: from
+``RUN`` rows on it doubles until ``MEASURED`` queries at most, compared with
+all vectors, find ``RECALL`` of their nearest (README has figures).
 
 Defined results: vectors that are null, zero, of another length than most,
 or hold nulls or non-finite components take no part, nor do rows without
@@ -38,6 +39,7 @@ from pitchline.operators.ranking import global_row_number, materialize
 
 CURVES, AXES, BITS, RUN, TOP, EVERY = 24, 6, 5, 1024, 20, 20
 SAMPLE, SEED = 10_000, 41
+MEASURED, RECALL = 100, 0.95
 EDGE = 3.2  # cells cover so many standard deviations on either side
 
 
@@ -119,10 +121,46 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (sizes["n"] if sizes else 0))
 
 
+def first_of(x: np.ndarray, node: np.ndarray, low: np.ndarray, q: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query the nodes and scores of its ``most`` nearest in x, ties
+    by the least id of a node."""
+    for a in range(0, len(q), 256):
+        rough = q[a:a + 256] @ x.T
+        keep = min(2 * most, len(x))
+        best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
+        for i, pick in enumerate(best):
+            score = (x[pick] * q[a + i]).sum(axis=1)
+            order = np.lexsort((low[pick], -score))[:most]
+            yield node[pick][order], score[order]
+
+
+def worst_scores(points: DataFrame, queries: list, top: int) -> DataFrame:
+    """asked, worst, n: the score of the last of the ``top`` nearest of a few
+    queries (rows of query_id, node, q) among all points, and their number."""
+    ids, q = [r["node"] for r in queries], np.array([r["q"] for r in queries])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = first_of(matrix(batch.column("v")), batch.column("node").to_numpy(), batch.column("low").to_numpy(), q, top + 1)
+                for asked, (node, score) in zip(ids, found):
+                    yield pa.RecordBatch.from_pydict({"asked": pa.array([asked] * len(node), pa.int64()), "node": pa.array(node), "score": pa.array(score)})
+
+    spark = points.sparkSession
+    near = points.select("node", "v", F.col("ids")[0].alias("low")).mapInArrow(run, "asked long, node long, score double")
+    own = spark.createDataFrame([(r["node"], r["query_id"]) for r in queries], "asked long, query_id long")
+    by_score = Window.partitionBy("asked").orderBy(F.desc("score"))
+    near = near.withColumn("r", F.row_number().over(by_score)).where(F.col("r") <= 4 * (top + 1)).drop("r")
+    each = near.join(points.select("node", "ids"), "node").join(own, "asked").select("asked", "query_id", "score", F.explode("ids").alias("vec_id"))
+    each = each.where("vec_id <> query_id").withColumn("r", F.row_number().over(by_score)).where(F.col("r") <= top)
+    return each.groupBy("asked").agg(F.min("score").alias("worst"), F.count(F.lit(1)).alias("n"))
+
+
 def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY, curves: int = CURVES, axes: int = AXES,
-               bits: int = BITS, run_rows: int = RUN, seed: int = SEED) -> DataFrame:
+               bits: int = BITS, run_rows: int = RUN, seed: int = SEED, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id and score of the ``top`` nearest found of each
-    row whose id is divisible by ``every``."""
+    row whose id is divisible by ``every``; ``recall`` 0 leaves the runs as
+    long as given."""
     rows = usable(vectors)
     # equal vectors become one point with its smallest ids
     few = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
@@ -153,13 +191,38 @@ def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY, curves: i
     wanted = asked.select("node").distinct().withColumn("ask", F.lit(True))
     flagged = points.join(wanted, "node", "left").select("node", "v", F.coalesce("ask", F.lit(False)).alias("ask"))
     placed = flagged.mapInArrow(keyed, "curve int, key long, kind int, node long")
-    placed = global_row_number(placed, ["curve", "key", "kind", "node"], "place").select(
-        "kind", "node", F.expr(f"(place - 1) div {run_rows}").alias("run"))
+    placed = global_row_number(placed, ["curve", "key", "kind", "node"], "place").select("kind", "node", "place")
+    n_points = points.count()
+    queries = asked.orderBy(F.xxhash64("query_id"), "query_id").limit(MEASURED).join(points.select("node", F.col("v").alias("q")), "node").collect()
+    length = run_rows
+    if recall and queries and 3 * length < n_points:
+        worst = materialize(worst_scores(points, queries, top), "worst")
+        sample = rows.sparkSession.createDataFrame([(r["query_id"], r["node"]) for r in queries], asked.schema)
+        while 3 * length < n_points:
+            hits = search(placed, points, sample, length, top, only=True).join(sample.withColumnRenamed("node", "asked"), "query_id")
+            good = hits.join(worst, "asked").agg(F.count_if(F.col("score") >= F.col("worst")).alias("n")).first()["n"]
+            if good >= recall * worst.agg(F.sum("n").alias("n")).first()["n"]:
+                break
+            length *= 2
+    return search(placed, points, asked, length, top)
+
+
+def search(placed: DataFrame, points: DataFrame, asked: DataFrame, run_rows: int, top: int, only: bool = False) -> DataFrame:
+    """The nearest that the queries (query_id, node) meet in runs of
+    ``run_rows`` places; ``only``: of a few queries, so that no other run than
+    theirs has to move."""
+    placed = placed.select("kind", "node", F.expr(f"(place - 1) div {run_rows}").alias("run"))
     vector = points.select("node", "v", F.col("ids")[0].alias("low"))
-    members = placed.where("kind = 0").join(vector, "node").select("run", "node", "low", "v")
     asking = placed.where("kind = 1").join(points.select(F.col("node").alias("asked"), F.col("v").alias("q")),
                                            F.col("node") == F.col("asked"))
+    if only:
+        asking = asking.join(asked.select("node"), "node", "left_semi")
     asking = asking.select(F.explode(F.array(F.col("run") - 1, F.col("run"), F.col("run") + 1)).alias("beside"), "asked", "q")
+    members = placed.where("kind = 0")
+    if only:
+        asking = materialize(asking, "asking")
+        members = members.join(asking.select(F.col("beside").alias("run")).distinct(), "run", "left_semi")
+    members = members.join(vector, "node").select("run", "node", "low", "v")
 
     def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {"node": [], "found": []}
@@ -167,17 +230,10 @@ def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY, curves: i
             # a run may hold the end of one curve and the start of the next
             left = left.take(np.unique(left.column("node").to_numpy(), return_index=True)[1])
             x, q = matrix(left.column("v").combine_chunks()), matrix(right.column("q").combine_chunks())
-            node, low = left.column("node").to_numpy(), left.column("low").to_numpy()
-            for a in range(0, len(q), 256):
-                rough = q[a:a + 256] @ x.T
-                keep = min(2 * top + 2, len(x))
-                best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-                for i, pick in enumerate(best):
-                    score = (x[pick] * q[a + i]).sum(axis=1)
-                    order = np.lexsort((low[pick], -score))[:top + 1]
-                    out["node"].append(right.column("asked")[a + i].as_py())
-                    out["found"].append([{"score": s, "node": n} for s, n in
-                                         zip(score[order].tolist(), node[pick][order].tolist())])
+            found = first_of(x, left.column("node").to_numpy(), left.column("low").to_numpy(), q, top + 1)
+            for who, (node, score) in zip(right.column("asked").to_pylist(), found):
+                out["node"].append(who)
+                out["found"].append([{"score": s, "node": n} for s, n in zip(score.tolist(), node.tolist())])
         return pa.table({"node": pa.array(out["node"], pa.int64()), "found": pa.array(
             out["found"], pa.list_(pa.struct([("score", pa.float64()), ("node", pa.int64())])))})
 

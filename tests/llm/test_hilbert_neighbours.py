@@ -62,6 +62,25 @@ def test_recall_in_small_runs(spark):
     assert sum(len(got[i] & want[i]) for i in want) >= 0.9 * sum(map(len, want.values()))
 
 
+def test_runs_grow_until_the_recall_holds(spark):
+    """Windows of short runs on few curves cover under a tenth of the table at
+    first; the measured recall makes them as long as it takes."""
+    r = np.random.default_rng(8)
+    rows = [(i, v) for i, v in enumerate(r.standard_normal((4000, 16)).round(3).tolist())]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+
+    def share(**more):
+        got = {}
+        for x in hn.neighbours(df, top=5, every=80, curves=3, run_rows=16, **more).collect():
+            got.setdefault(x["query_id"], set()).add(x["vec_id"])
+        want = {}
+        for i, _, j, _ in brute(rows, 5, 80):
+            want.setdefault(i, set()).add(j)
+        return sum(len(got.get(i, set()) & want[i]) for i in want) / sum(map(len, want.values()))
+
+    assert share(recall=0) < 0.6 and share(recall=0.9) >= 0.9
+
+
 @pytest.mark.parametrize("axes,bits", [(2, 3), (3, 2), (4, 2)])
 def test_curve_visits_neighbouring_cells(axes, bits):
     cells = np.array(list(itertools.product(range(1 << bits), repeat=axes)))
