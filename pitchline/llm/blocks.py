@@ -11,10 +11,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import text_of
+from pitchline.llm.common import arrow_batches, text_of
 from pitchline.operators.ranking import materialize
 
 SIZE = 8 << 20
+TEXTS = 256  # rows that go to Python at once
 
 
 def to_blocks(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -48,8 +49,9 @@ def to_blocks(docs: DataFrame, size: int = SIZE) -> DataFrame:
             yield full()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return materialize(rows.mapInArrow(
-        run, "block long, ids array<long>, lengths array<int>, size long, data binary"), "blocks")
+    packed = rows.mapInArrow(run, "block long, ids array<long>, lengths array<int>, size long, data binary")
+    with arrow_batches(docs.sparkSession, TEXTS):
+        return materialize(packed, "blocks")
 
 
 class Block:

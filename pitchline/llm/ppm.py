@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from pitchline.llm.blocks import Block, each, to_blocks
 from pitchline.llm.bytehash import mix
-from pitchline.llm.common import buckets, read_documents
+from pitchline.llm.common import arrow_batches, buckets, read_documents
 from pitchline.operators.ranking import materialize
 
 ORDER = 4
@@ -57,6 +57,7 @@ END_TOKEN = b"\n"  # no word holds white space
 WORDS, GRAMS = 0, 1
 DENSE = 1 << 25
 BLOCK = 4 << 20  # bytes of text that a task works on at a time
+ROWS = 16  # blocks or packed entries that go to Python at once
 
 
 def is_training(doc_id: int | None) -> bool:
@@ -317,8 +318,9 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"pair": pa.array(grams.codes[n > 0]), "n": pa.array(n[n > 0])})
 
     counted = blocks.mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    short = Short({r["pair"]: r["n"] for r in counted.collect()})  # 256 x 256 rows at most
-    answers = materialize(answer(send(blocks, n_buckets, order), short, order), "answers")
+    with arrow_batches(spark, ROWS):
+        short = Short({r["pair"]: r["n"] for r in counted.collect()})  # 256 x 256 rows at most
+        answers = materialize(answer(send(blocks, n_buckets, order), short, order), "answers")
     row = answers.where(F.col("block").isNull()).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n_all, v_all = row["n"] or 0, row["v"] or 0
     floor = n_all + 0.1 * (v_all + 1)
