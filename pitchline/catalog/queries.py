@@ -947,7 +947,7 @@ def two_competitions(t: Tables) -> DataFrame:
     from pitchline.sinks import versions
 
     root = _scratch(t, "matches")
-    rows = W.fact_match_results(_one_match_an_event(t), key=False)
+    rows = R.materialize(W.fact_match_results(_one_match_an_event(t), key=False), "matches")  # a load reads its rows more than once
     versions.reload(t.spark, root, "fact_match_results", rows, ["event_id", "group_id"], version="1", ts=AUDIT_TS, identity="match_id")
     return versions.read_current(t.spark, root, "fact_match_results").groupBy("event_id").agg(
         F.count(F.lit(1)).alias("matches"), F.count_distinct("match_id").alias("ids"), F.max("group_id").alias("last_group"))

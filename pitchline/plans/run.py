@@ -13,6 +13,8 @@ their jobs run side by side, each in a scheduler pool of its own. With
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import operator
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -200,15 +202,16 @@ def load_warehouse(spark: SparkSession, root: str, *, ts: str, resume: bool = Fa
     """Reload the tables of the warehouse; each load is a new version. Rows
     of earlier loads keep created_at and their identity value. Rows without
     a key are left out and counted; of rows that share one the greatest is
-    loaded."""
+    loaded. They are grouped and counted in one pass and written once; the
+    checks and the load read what is written."""
     version = "".join(c for c in ts if c.isdigit())
 
     def one(name: str, load: Load) -> dict:
-        built = materialize(load.build(), name)
-        keyed = require_not_null(built, *load.key)
-        versions.reload(spark, f"{root}/warehouse", name, warehouse.one_row_per_key(keyed, load.key), load.key, version=version,
-                        ts=ts, identity=load.identity, partition_by=load.partition_by)
-        return {"rejected": built.count() - keyed.count()}
+        grouped = materialize(warehouse.one_row_per_key(load.build(), load.key, count="_rows"), name)
+        versions.reload(spark, f"{root}/warehouse", name, require_not_null(grouped, *load.key).drop("_rows"), load.key,
+                        version=version, ts=ts, identity=load.identity, partition_by=load.partition_by)
+        keyless = grouped.where(functools.reduce(operator.or_, (F.col(c).isNull() for c in load.key)))
+        return {"rejected": keyless.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()["n"]}
 
     jobs = [Job(n, lambda n=n, x=x: one(n, x), [f"{root}/{i}" for i in x.inputs])
             for n, x in warehouse_loads(spark, root, ts[:10]).items()]

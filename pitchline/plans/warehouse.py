@@ -86,13 +86,15 @@ def dim_teams(teams: DataFrame) -> DataFrame:
     return one_row_per_key(sel, ["team_id"])
 
 
-def one_row_per_key(df: DataFrame, key: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+def one_row_per_key(df: DataFrame, key: Sequence[str], newest: Sequence[str] = (), count: str | None = None) -> DataFrame:
     """One row for each value of ``key``: the newest by the columns
     ``newest`` (which are dropped), of equals the greatest row. A partial
-    aggregate, so a key repeated in many rows is reduced map-side."""
+    aggregate, so a key repeated in many rows is reduced map-side. The column
+    ``count``, if named, says how many rows the key had."""
     rest = [c for c in df.columns if c not in key and c not in newest]
     row = F.max(F.struct(*newest, *rest)).alias("_r")
-    return df.groupBy(*key).agg(row).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    n = [F.count(F.lit(1)).alias(count)] if count else []
+    return df.groupBy(*key).agg(row, *n).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest], *([count] if count else []))
 
 
 def season_date(season: Column, day: str, start_month: int = 7) -> Column:

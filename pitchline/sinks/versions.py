@@ -124,20 +124,23 @@ def reserve(spark: SparkSession, root: str, name: str, load: str, count: int, re
 def with_identity(incoming: DataFrame, existing: DataFrame | None, root: str, name: str, key: Sequence[str],
                   identity: str, load: str) -> DataFrame:
     """K8: rows whose key is in the table keep its identity value; the others
-    are numbered in the order of the key from a range reserved for the load."""
+    are numbered in the order of the key from a range reserved for the load.
+    If there are no others, the rows come back without the identity: an
+    upsert keeps the columns that only the table has."""
     spark = incoming.sparkSession
+
+    def numbered(fresh: DataFrame) -> DataFrame:
+        rows = global_row_number(fresh, list(key), identity)
+        count = rows.count()  # of the sorted rows, which are written by now
+        start = reserve(spark, root, name, load, count) if count else 0
+        return rows.withColumn(identity, F.col(identity) + (start - 1))
+
     if existing is None:
-        known = incoming.withColumn(identity, F.lit(None).cast("bigint"))
-    else:
-        known = incoming.join(existing.select(*key, identity), list(key), "left")
-    known = materialize(known, "identity")
-    fresh = known.where(F.col(identity).isNull()).drop(identity)
-    count = fresh.count()
-    if not count:
-        return known
-    start = reserve(spark, root, name, load, count)
-    numbered = global_row_number(fresh, list(key), identity).withColumn(identity, F.col(identity) + (start - 1))
-    return known.where(F.col(identity).isNotNull()).unionByName(numbered)
+        return numbered(incoming)
+    if not incoming.join(existing.where(F.col(identity).isNotNull()).select(*key), list(key), "left_anti").limit(1).count():
+        return incoming
+    known = materialize(incoming.join(existing.select(*key, identity), list(key), "left"), "identity")
+    return known.where(F.col(identity).isNotNull()).unionByName(numbered(known.where(F.col(identity).isNull()).drop(identity)))
 
 
 def reload(spark: SparkSession, root: str, name: str, incoming: DataFrame,
