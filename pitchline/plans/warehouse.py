@@ -213,14 +213,17 @@ PLAYER_STAT_COLUMNS = ("games_played", "goals", "assists", "yellow_cards", "red_
 def fact_player_stats(stats: DataFrame, *, key: bool = True, start: int | Column = 0) -> DataFrame:
     """K6: player statistics. Accepts the wide form, or the long form
     ``(player_id, team_id, date_id, stat_name, stat_value)`` of the silver
-    layer, which is pivoted with an explicit name list (no discovery job).
+    layer, which is pivoted with an explicit name list: a maximum a name in
+    one grouped pass (no discovery job, and one shuffle: ``pivot`` groups by
+    key and name first, then by key).
     Of repeated snapshots the newest counts."""
     s = stats
     if "ingestion_timestamp" in s.columns:
         s = latest_snapshot(s, "ingestion_timestamp", by=["player_id", "team_id", "date_id"])
     if "stat_name" in s.columns:
         keys = ["player_id", "team_id", "date_id"]
-        s = s.groupBy(*keys).pivot("stat_name", list(PLAYER_STAT_COLUMNS)).agg(F.max("stat_value"))
+        s = s.groupBy(*keys).agg(*(F.max(F.when(F.col("stat_name") == c, F.col("stat_value"))).alias(c)
+                                   for c in PLAYER_STAT_COLUMNS))
     cols = set(s.columns)
     out = [_str("player_id").alias("player_id"), _str("team_id").alias("team_id"),
            F.col("date_id").try_cast("date").alias("date_id")]
@@ -234,9 +237,8 @@ def fact_player_stats(stats: DataFrame, *, key: bool = True, start: int | Column
 def fact_match_results(events: DataFrame, *, key: bool = True, start: int | Column = 0) -> DataFrame:
     """K7: one row per match from silver events, newest snapshot per event.
 
-    Home and away sides are picked out of the ``competitors`` array with
-    higher-order functions on each row: no explode + regroup, hence no
-    shuffle. Scores are ``try_cast`` (a missing score stays NULL)."""
+    Home and away sides are picked out of the ``competitors`` array by their
+    place in it on each row: no explode + regroup, hence no shuffle. Scores are ``try_cast`` (a missing score stays NULL)."""
     if "ingestion_timestamp" in events.columns:
         events = latest_snapshot(events, "ingestion_timestamp", by=["event_id"])
     comp = F.explode("event_competitions").alias("c")
@@ -246,7 +248,8 @@ def fact_match_results(events: DataFrame, *, key: bool = True, start: int | Colu
     # an event may have several competitions: the group tells them apart
 
     def side(which: str) -> Column:
-        return F.get(F.filter("c.competitors", lambda x: x["homeAway"] == which), F.lit(0))  # NULL if there is none
+        at = F.array_position("c.competitors.homeAway", which)  # 0 if there is none, which gets NULL
+        return F.get("c.competitors", (at - 1).cast("int"))
 
     f = e.select(
         _str("event_id").alias("event_id"),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchline.operators.ranking import global_row_number, materialize
+from pitchline.operators.ranking import materialize, numbered, sorted_rows
 from pitchline.plans.warehouse import upsert
 from pitchline.sinks import commits
 
@@ -129,18 +129,18 @@ def with_identity(incoming: DataFrame, existing: DataFrame | None, root: str, na
     upsert keeps the columns that only the table has."""
     spark = incoming.sparkSession
 
-    def numbered(fresh: DataFrame) -> DataFrame:
-        rows = global_row_number(fresh, list(key), identity)
-        count = rows.count()  # of the sorted rows, which are written by now
+    def in_order(fresh: DataFrame) -> DataFrame:
+        stored = sorted_rows(fresh, list(key))
+        count = stored.count()  # of what is written by now: no column is read
         start = reserve(spark, root, name, load, count) if count else 0
-        return rows.withColumn(identity, F.col(identity) + (start - 1))
+        return numbered(stored, identity).withColumn(identity, F.col(identity) + (start - 1))
 
     if existing is None:
-        return numbered(incoming)
+        return in_order(incoming)
     if not incoming.join(existing.where(F.col(identity).isNotNull()).select(*key), list(key), "left_anti").limit(1).count():
         return incoming
     known = materialize(incoming.join(existing.select(*key, identity), list(key), "left"), "identity")
-    return known.where(F.col(identity).isNotNull()).unionByName(numbered(known.where(F.col(identity).isNull()).drop(identity)))
+    return known.where(F.col(identity).isNotNull()).unionByName(in_order(known.where(F.col(identity).isNull()).drop(identity)))
 
 
 def reload(spark: SparkSession, root: str, name: str, incoming: DataFrame,
