@@ -126,14 +126,15 @@ def t4_matches(t: Tables, venue: bool = False) -> DataFrame:
     home_of_order = (orders.join(cust, orders.o_custkey == cust.c_custkey)
                      .join(home, F.col("c_nationkey") == F.col("h_nationkey"))
                      .select("o_orderkey", "o_orderstatus", "h_nationkey", "h_regionkey"))
-    m = (li.join(home_of_order, li.l_orderkey == home_of_order.o_orderkey)
-         .join(supp, li.l_suppkey == supp.s_suppkey)
-         .where(F.col("h_nationkey") != F.col("s_nationkey")))
     extra = []
     if venue:
         part = t.part.select("p_partkey", "p_brand")
-        m = m.join(part, m.l_partkey == part.p_partkey)
+        li = li.join(part, li.l_partkey == part.p_partkey)
         extra = [F.col("p_brand").alias("venue")]
+    # the order comes last: what is grouped by event then lies together already
+    m = (li.join(supp, li.l_suppkey == supp.s_suppkey)
+         .join(home_of_order, li.l_orderkey == home_of_order.o_orderkey)
+         .where(F.col("h_nationkey") != F.col("s_nationkey")))
     return m.select(
         F.col("l_orderkey").alias("event_id"),
         F.col("h_nationkey").alias("home_team_id"),
@@ -210,27 +211,35 @@ def teams_silver(t: Tables) -> DataFrame:
         F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal") > 1000).alias("team_is_active"))
 
 
-def events_silver(t: Tables) -> DataFrame:
-    """Silver events built from T4: the nested competition payload (our
-    schema, FIXTURES A4/A5) with home and away competitors."""
-    m = t4_matches(t, venue=True)
-
-    def competitor(side: str, team: str, score: str) -> Column:
-        return F.struct(F.lit(side).alias("homeAway"), F.col(team).cast("string").alias("teamId"),
-                        F.col(score).cast("string").alias("score"))
-
-    competition = F.struct(
-        F.col("venue").alias("venue"), F.col("attendance").alias("attendance"),
-        F.col("group_id").cast("string").alias("groupId"),
-        F.array(competitor("home", "home_team_id", "home_score"),
-                competitor("away", "away_team_id", "away_score")).alias("competitors"))
-    return m.select(
-        F.col("event_id"),
+def event_matches(t: Tables) -> DataFrame:
+    """The matches of the silver events before they are nested: columns in
+    the order in which the nested rows compare, texts as texts, so that the
+    greatest row of an event is the same before and after."""
+    texts = ("group_id", "home_team_id", "home_score", "away_team_id", "away_score")
+    return t4_matches(t, venue=True).select("event_id", "match_date", "match_status", "venue", "attendance",
+                                            *(F.col(c).cast("string").alias(c) for c in texts))
+
+
+def nested_events(matches: DataFrame) -> DataFrame:
+    """Silver events from :func:`event_matches`: the nested competition
+    payload (our schema, FIXTURES A4/A5) with home and away competitors."""
+    def competitor(side: str) -> Column:
+        return F.struct(F.lit(side).alias("homeAway"), F.col(f"{side}_team_id").alias("teamId"), F.col(f"{side}_score").alias("score"))
+
+    competition = F.struct("venue", "attendance", F.col("group_id").alias("groupId"),
+                           F.array(competitor("home"), competitor("away")).alias("competitors"))
+    return matches.select(
+        "event_id",
         F.date_format("match_date", "yyyy-MM-dd'T'HH:mm'Z'").alias("event_date"),
         F.struct(F.col("match_status").alias("name")).alias("event_status"),
         F.array(competition).alias("event_competitions"))
 
 
+def events_silver(t: Tables) -> DataFrame:
+    """Silver events built from T4, one a match."""
+    return nested_events(event_matches(t))
+
+
 # Envelope of the bronze documents built from the tables.
 BRONZE_TS, BRONZE_SOURCE, BRONZE_VERSION = "2024-07-01T00:00:00", "api", "1.0"
 
